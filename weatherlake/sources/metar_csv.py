@@ -58,34 +58,27 @@ def _fail(message: str, value: Column) -> Column:
     return F.raise_error(F.concat(F.lit(message), F.coalesce(value, F.lit("NULL"))))
 
 
-def _number(text: Column, name: str, strict: bool) -> Column:
-    parsed = text.try_cast("float")
-    if not strict:
-        return parsed
-    return F.when(text.isNotNull() & parsed.isNull(), _fail(f"not a number in column {name}: ", text)).otherwise(parsed)
-
-
-def _timestamp_utc(text: Column, name: str, strict: bool) -> Column:
-    local = text.try_cast("timestamp_ntz")
-    secs = F.second(local).cast("decimal(8,6)")
-    ts = F.make_timestamp(F.year(local), F.month(local), F.dayofmonth(local), F.hour(local), F.minute(local),
-                          secs, F.lit("UTC"))
-    ts = F.when(local.isNotNull(), ts)
-    if not strict:
-        return ts
-    return F.when(text.isNotNull() & local.isNull(), _fail(f"not a timestamp in column {name}: ", text)).otherwise(ts)
+def _valid_prefix() -> Column:
+    """The matched ``Y-M-D h:m`` prefix of ``valid``; empty when it does not
+    match, NULL when ``valid`` is NULL.  One regex evaluation per row."""
+    return F.regexp_extract(F.col("valid"), schema.VALID_PATTERN, 0)
 
 
 def valid_ok(raw: DataFrame) -> Column:
-    return F.coalesce(F.col("valid").rlike(schema.VALID_PATTERN), F.lit(False))
+    return F.coalesce(_valid_prefix() != F.lit(""), F.lit(False))
 
 
-def _time_part(i: int, name: str, strict: bool) -> Column:
-    text = F.regexp_extract(F.col("valid"), schema.VALID_PATTERN, i)
-    v = text.try_cast("int")
-    if not strict:
-        return v
-    return F.when(v.isNull(), _fail(f"{name} out of range: ", text)).otherwise(v)
+def _typed(name: str, text: Column, strict: bool) -> Column:
+    """Parse an already cleaned text column (referenced by name, so each
+    cell is cleaned and parsed once)."""
+    if name in ("station", "metar") + schema.TEXT_INDICATORS:
+        return text
+    if name == "peak_wind_time":
+        local = text.try_cast("timestamp_ntz")
+        ts = F.make_timestamp(F.year(local), F.month(local), F.dayofmonth(local), F.hour(local),
+                              F.minute(local), F.second(local).cast("decimal(8,6)"), F.lit("UTC"))
+        return F.when(local.isNotNull(), ts)
+    return text.try_cast("float")
 
 
 def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = False,
@@ -95,32 +88,57 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     ``valid_struct`` emits ``valid`` as a struct of the five time parts and
     keeps the raw ``metar`` text, instead of five separate columns.
     ``keep`` names extra columns passed through unchanged (``_seq`` always is).
+
+    Three narrow projections inside one codegen stage: clean the cells, parse
+    them, then check (strict) or drop (lenient) what failed.
     """
     if "valid" not in raw.columns:
         raise ValueError("input has no 'valid' column")
-    parts = [_time_part(i + 1, n, strict).alias(n) for i, n in enumerate(schema.TIME_PARTS)]
-    cols: list[Column] = []
-    for name in schema.OBS_COLUMNS:
-        if name in schema.TIME_PARTS:
-            if name == "year":
-                cols.extend([F.struct(*parts).alias("valid")] if valid_struct else parts)
-            continue
-        text = _cell(raw, name)
-        if name in ("station",) + schema.TEXT_INDICATORS:
-            cols.append(text.alias(name))
-        elif name == "peak_wind_time":
-            cols.append(_timestamp_utc(text, name, strict).alias(name))
-        else:
-            cols.append(_number(text, name, strict).alias(name))
-    if valid_struct:
-        cols.append(_cell(raw, "metar").alias("metar"))
+    value_cols = [c for c in schema.OBS_COLUMNS if c not in schema.TIME_PARTS]
+    text_cols = value_cols + (["metar"] if valid_struct else [])
     passthrough = [c for c in keep if c in raw.columns] + ([SEQ] if SEQ in raw.columns and SEQ not in keep else [])
-    out = raw.filter(valid_ok(raw)).select(*cols, *passthrough)
-    no_pos = F.col("lat").isNull() | F.col("lon").isNull()
-    if strict:
-        check = F.when(no_pos, F.raise_error(F.lit("NULL position cannot be stored"))).otherwise(F.lit(True))
-        return out.filter(check)
-    return out.filter(~no_pos)
+
+    # 1. clean: null tokens to NULL, the timestamp prefix split into parts.
+    cleaned = raw.select(F.split(_valid_prefix(), "[-: ]").alias("_parts"),
+                         *[_cell(raw, c).alias(f"_t_{c}") for c in text_cols], *passthrough)
+    cleaned = cleaned.filter(F.size("_parts") == len(schema.TIME_PARTS))
+    # 2. parse.
+    parsed = cleaned.select(
+        *[F.col("_parts")[i].alias(f"_t_{n}") for i, n in enumerate(schema.TIME_PARTS)],
+        *[F.col("_parts")[i].try_cast("int").alias(n) for i, n in enumerate(schema.TIME_PARTS)],
+        *[F.col(f"_t_{c}") for c in text_cols],
+        *[_typed(c, F.col(f"_t_{c}"), strict).alias(c) for c in text_cols],
+        *passthrough)
+    # 3. check: one flag per row, one error branch (evaluated only on failure).
+    def output(station: Column) -> list[Column]:
+        cols: list[Column] = []
+        for name in schema.OBS_COLUMNS:
+            if name == "station":
+                cols.append(station.alias("station"))
+            elif name == "year":
+                times = [F.col(n) for n in schema.TIME_PARTS]
+                cols.extend([F.struct(*times).alias("valid")] if valid_struct else times)
+            elif name not in schema.TIME_PARTS:
+                cols.append(F.col(name))
+        return cols + ([F.col("metar")] if valid_struct else []) + [F.col(c) for c in passthrough]
+
+    if not strict:
+        return parsed.select(*output(F.col("station"))).filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+
+    typed = [n for n in list(schema.TIME_PARTS) + value_cols
+             if n not in ("station", "metar") + schema.TEXT_INDICATORS]
+    fails = [(n, F.col(f"_t_{n}").isNotNull() & F.col(n).isNull()) for n in typed]
+    no_pos = F.col("_t_lat").isNull() | F.col("_t_lon").isNull()
+    bad = no_pos
+    for _, cond in fails:
+        bad = bad | cond
+    message = F.concat(
+        F.lit("unparsable METAR row: "),
+        F.when(no_pos, F.lit("NULL position; ")).otherwise(F.lit("")),
+        F.concat_ws(", ", *[F.when(cond, F.concat(F.lit(f"{n}="), F.col(f"_t_{n}"))) for n, cond in fails]))
+    # The guard rides on the station column: a projection, so Catalyst has no
+    # filter to push below the parse (which would evaluate the parse twice).
+    return parsed.select(*output(F.when(bad, F.raise_error(message)).otherwise(F.col("station"))))
 
 
 def metar_rejects(raw: DataFrame, *, strict: bool = True) -> DataFrame:
