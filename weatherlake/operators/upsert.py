@@ -33,15 +33,21 @@ def _check_key(df: DataFrame, key: Sequence[str]) -> None:
         raise ValueError(f"key columns not in input: {missing}")
 
 
-def upsert_last(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | str | Column) -> DataFrame:
+def upsert_last(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | str | Column,
+                *, count_as: str | None = None) -> DataFrame:
     """One row per key: the row that is greatest in ``order`` (written last),
-    with all its cells, NULLs included.  Column order is kept."""
+    with all its cells, NULLs included.  Column order is kept.
+
+    ``count_as`` adds a column with the number of rows written on the key.
+    """
     _check_key(df, key)
     payload = [c for c in df.columns if c not in key]
+    n = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     if not payload:
-        return df.select(*key).distinct()
-    agg = df.groupBy(*key).agg(F.max_by(F.struct(*payload), _order(order)).alias("_last"))
-    return agg.select(*[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in df.columns])
+        return df.groupBy(*key).agg(*n) if n else df.select(*key).distinct()
+    agg = df.groupBy(*key).agg(F.max_by(F.struct(*payload), _order(order)).alias("_last"), *n)
+    return agg.select(*[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in df.columns],
+                      *([count_as] if count_as else []))
 
 
 def upsert_partial(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | str | Column) -> DataFrame:

@@ -35,12 +35,12 @@ class WriteReport:
 def _write(obs: DataFrame, path: str, key: Sequence[str], order: Sequence[str | Column] | str | Column | None,
            layout: Sequence[str], partition_by: Sequence[str], mode: str, partitions: int | None,
            max_records_per_file: int | None) -> WriteReport:
-    sent, kept = Observation("rows_sent"), Observation("rows_kept")
-    df = obs.observe(sent, F.count(F.lit(1)).alias("n"))
-    if order is not None:
-        df = upsert_last(df, key, order)
-    df = df.observe(kept, F.count(F.lit(1)).alias("n"))
+    # Counts are observed after the range exchange: the sampling job that
+    # computes the range bounds runs the plan below it a second time.
+    report = Observation("write_report")
+    df = upsert_last(obs, key, order, count_as="_n") if order is not None else obs.withColumn("_n", F.lit(1))
     df = (df.repartitionByRange(partitions, *layout) if partitions else df.repartitionByRange(*layout))
+    df = df.observe(report, F.sum("_n").alias("sent"), F.count(F.lit(1)).alias("kept")).drop("_n")
     df = df.sortWithinPartitions(*layout)
     w = df.write.mode(mode)
     if max_records_per_file:
@@ -48,7 +48,8 @@ def _write(obs: DataFrame, path: str, key: Sequence[str], order: Sequence[str |
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return WriteReport(int(sent.get["n"]), int(kept.get["n"]))
+    got = report.get
+    return WriteReport(int(got["sent"] or 0), int(got["kept"]))
 
 
 def write_by_position(obs: DataFrame, path: str, order: Sequence[str | Column] | str | Column | None = "_seq",
