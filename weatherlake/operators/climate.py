@@ -134,3 +134,21 @@ def seasonal_pair(obs: DataFrame, first: str = "tmpf", second: str = "relh", lat
             .groupBy(*keys, "month")
             .agg(F.count(a).alias(f"{first}_n"), _finish(F.avg(a), first_celsius).alias(f"{first}_mean"),
                  F.count(b).alias(f"{second}_n"), _finish(F.avg(b), second_celsius).alias(f"{second}_mean")))
+
+
+# The series labels of the year-against-seasonal figure.
+SEASONAL_LABEL = "Seasonal mean"
+YEAR_LABEL = "{year} values"
+
+
+def year_vs_seasonal_series(obs: DataFrame, indicator: str, year: int, lat: float | None = None,
+                            lon: float | None = None) -> DataFrame:
+    """``year_vs_seasonal`` in long, plot-ready form: one row per month and
+    series, labelled as the figure's legend.  A month missing from a series
+    has no row for it.  Columns: [lat, lon,] month, series, value."""
+    wide = year_vs_seasonal(obs, indicator, year, lat, lon)
+    keys = [c for c in wide.columns if c in ("lat", "lon")] + ["month"]
+    long = wide.select(*keys, F.col("others_mean").alias(SEASONAL_LABEL),
+                       F.col("year_mean").alias(YEAR_LABEL.format(year=year)))
+    return (long.unpivot(keys, [SEASONAL_LABEL, YEAR_LABEL.format(year=year)], "series", "value")
+            .filter(F.col("value").isNotNull()))

@@ -80,6 +80,11 @@ class KMeansResult:
         v = self.assignments.agg(F.sum("dist")).first()[0]
         return float(v) if v is not None else 0.0
 
+    def members(self) -> DataFrame:
+        """Stations per cluster: cluster, label, n_members (empty clusters
+        are absent)."""
+        return self.assignments.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n_members"))
+
 
 def _z_lit(value: float, mean: float, std: float) -> Column:
     return F.lit(0.0 if std == 0 else (value - mean) / std)

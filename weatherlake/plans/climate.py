@@ -136,3 +136,16 @@ def q_seasonal_pair(spark, sf_dir):
     obs = fx.observations(spark, sf_dir)
     return (climate.seasonal_pair(obs, "tmpf", "relh", LAT, LON)
             .select("month", "tmpf_n", r6("tmpf_mean"), "relh_n", r6("relh_mean")))
+
+
+@register("year_vs_seasonal_series", with_o(f"""
+SELECT month, 'Seasonal mean' AS series, round(avg(CAST(tmpf AS DOUBLE)), 6) AS value
+FROM O WHERE {POS} AND tmpf IS NOT NULL AND year <> {YEAR}
+GROUP BY month
+UNION ALL
+SELECT month, '{YEAR} values' AS series, round(avg(CAST(tmpf AS DOUBLE)), 6) AS value
+FROM O WHERE {POS} AND tmpf IS NOT NULL AND year = {YEAR}
+GROUP BY month"""))
+def q_year_vs_seasonal_series(spark, sf_dir):
+    obs = fx.observations(spark, sf_dir)
+    return climate.year_vs_seasonal_series(obs, "tmpf", YEAR, LAT, LON).select("month", "series", r6("value"))

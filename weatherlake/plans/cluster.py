@@ -83,3 +83,10 @@ SELECT round(sum(d), 6) AS inertia, count(*) AS n_points FROM a{N_ITER + 1}"""))
 def q_kmeans_inertia(spark, sf_dir):
     res = cluster.kmeans_stations(_features(spark, sf_dir), K, N_ITER)
     return res.assignments.agg(F.round(F.sum("dist"), 6).alias("inertia"), F.count(F.lit(1)).alias("n_points"))
+
+
+@register("kmeans_members", with_o(kmeans_sql(K, N_ITER) + f"""
+SELECT k AS cluster, 'cluster_' || CAST(k + 1 AS VARCHAR) AS label, count(*) AS n_members
+FROM a{N_ITER + 1} GROUP BY k"""))
+def q_kmeans_members(spark, sf_dir):
+    return cluster.kmeans_stations(_features(spark, sf_dir), K, N_ITER).members()

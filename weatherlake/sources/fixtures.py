@@ -40,7 +40,8 @@ OBS_INDICATORS = ("tmpf", "alti", "relh", "sknt")
 RAW_ADAPTER = (
     "station",
     "case when l_orderkey % 17 = 0 then 'bad' else "
-    "format_string('%d-%02d-%02d %02d:%02d', year, month, day, hour, minute) end as valid",
+    "concat(year, '-', lpad(month, 2, '0'), '-', lpad(day, 2, '0'), ' ', "
+    "lpad(hour, 2, '0'), ':', lpad(minute, 2, '0')) end as valid",
     "cast(lat as string) as lat",
     "cast(lon as string) as lon",
     "case when tmpf is not null then cast(tmpf as string) "

@@ -68,9 +68,9 @@ def valid_ok(raw: DataFrame) -> Column:
     return F.coalesce(_valid_prefix() != F.lit(""), F.lit(False))
 
 
-def _typed(name: str, text: Column, strict: bool) -> Column:
-    """Parse an already cleaned text column (referenced by name, so each
-    cell is cleaned and parsed once)."""
+def _typed(name: str, text: Column) -> Column:
+    """Parse a cleaned text cell into the column's type (NULL when it does
+    not parse)."""
     if name in ("station", "metar") + schema.TEXT_INDICATORS:
         return text
     if name == "peak_wind_time":
@@ -89,8 +89,12 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     keeps the raw ``metar`` text, instead of five separate columns.
     ``keep`` names extra columns passed through unchanged (``_seq`` always is).
 
-    Three narrow projections inside one codegen stage: clean the cells, parse
-    them, then check (strict) or drop (lenient) what failed.
+    One filter and one projection.  Each output column is a self-contained
+    expression on the raw cells; the strict check is a single flag over the
+    same expressions, which subexpression elimination evaluates once.  (A
+    chain of projections carrying text and typed copies of every column
+    compiles to one method too large for the JIT; a filter for the check
+    would be pushed below the parse and evaluate it twice.)
     """
     if "valid" not in raw.columns:
         raise ValueError("input has no 'valid' column")
@@ -98,47 +102,46 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     text_cols = value_cols + (["metar"] if valid_struct else [])
     passthrough = [c for c in keep if c in raw.columns] + ([SEQ] if SEQ in raw.columns and SEQ not in keep else [])
 
-    # 1. clean: null tokens to NULL, the timestamp prefix split into parts.
-    cleaned = raw.select(F.split(_valid_prefix(), "[-: ]").alias("_parts"),
-                         *[_cell(raw, c).alias(f"_t_{c}") for c in text_cols], *passthrough)
-    cleaned = cleaned.filter(F.size("_parts") == len(schema.TIME_PARTS))
-    # 2. parse.
-    parsed = cleaned.select(
-        *[F.col("_parts")[i].alias(f"_t_{n}") for i, n in enumerate(schema.TIME_PARTS)],
-        *[F.col("_parts")[i].try_cast("int").alias(n) for i, n in enumerate(schema.TIME_PARTS)],
-        *[F.col(f"_t_{c}") for c in text_cols],
-        *[_typed(c, F.col(f"_t_{c}"), strict).alias(c) for c in text_cols],
-        *passthrough)
-    # 3. check: one flag per row, one error branch (evaluated only on failure).
-    def output(station: Column) -> list[Column]:
-        cols: list[Column] = []
-        for name in schema.OBS_COLUMNS:
-            if name == "station":
-                cols.append(station.alias("station"))
-            elif name == "year":
-                times = [F.col(n) for n in schema.TIME_PARTS]
-                cols.extend([F.struct(*times).alias("valid")] if valid_struct else times)
-            elif name not in schema.TIME_PARTS:
-                cols.append(F.col(name))
-        return cols + ([F.col("metar")] if valid_struct else []) + [F.col(c) for c in passthrough]
-
+    parts = F.split(_valid_prefix(), "[-: ]")
+    part_text = {n: parts[i] for i, n in enumerate(schema.TIME_PARTS)}
+    times = {n: t.try_cast("int") for n, t in part_text.items()}
+    is_text = lambda c: c in ("station", "metar") + schema.TEXT_INDICATORS
+    present = {c: (F.col(c) if c in raw.columns else F.lit(None).cast("string")) for c in text_cols}
+    # Text cells map the null tokens to NULL; typed cells need no such step,
+    # as the tokens do not parse and become NULL anyway.
+    typed = {c: (_cell(raw, c) if is_text(c) else _typed(c, present[c])) for c in text_cols}
+
+    station = typed["station"]
+    if strict:
+        fails = [part_text[n].isNotNull() & times[n].isNull() for n in schema.TIME_PARTS]
+        def given(c: str) -> Column:
+            return present[c].isNotNull() & ~present[c].isin(*schema.NULL_TOKENS, "")
+
+        fails += [given(c) & typed[c].isNull() for c in text_cols if not is_text(c) and c in raw.columns]
+        bad = ~given("lat") | ~given("lon")
+        for f in fails:
+            bad = bad | f
+        # A short message keeps the generated code small: station and time
+        # locate the row.
+        message = F.concat(F.lit("unparsable METAR row (NULL position or bad number) at station "),
+                           F.coalesce(F.col("station"), F.lit("NULL")), F.lit(", valid "), F.col("valid"))
+        station = F.when(bad, F.raise_error(message)).otherwise(station)
+
+    cols: list[Column] = []
+    for name in schema.OBS_COLUMNS:
+        if name == "station":
+            cols.append(station.alias("station"))
+        elif name == "year":
+            tcols = [times[n].alias(n) for n in schema.TIME_PARTS]
+            cols.extend([F.struct(*tcols).alias("valid")] if valid_struct else tcols)
+        elif name not in schema.TIME_PARTS:
+            cols.append(typed[name].alias(name))
+    if valid_struct:
+        cols.append(typed["metar"].alias("metar"))
+    out = raw.filter(F.col("valid").rlike(schema.VALID_PATTERN)).select(*cols, *passthrough)
     if not strict:
-        return parsed.select(*output(F.col("station"))).filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-
-    typed = [n for n in list(schema.TIME_PARTS) + value_cols
-             if n not in ("station", "metar") + schema.TEXT_INDICATORS]
-    fails = [(n, F.col(f"_t_{n}").isNotNull() & F.col(n).isNull()) for n in typed]
-    no_pos = F.col("_t_lat").isNull() | F.col("_t_lon").isNull()
-    bad = no_pos
-    for _, cond in fails:
-        bad = bad | cond
-    message = F.concat(
-        F.lit("unparsable METAR row: "),
-        F.when(no_pos, F.lit("NULL position; ")).otherwise(F.lit("")),
-        F.concat_ws(", ", *[F.when(cond, F.concat(F.lit(f"{n}="), F.col(f"_t_{n}"))) for n, cond in fails]))
-    # The guard rides on the station column: a projection, so Catalyst has no
-    # filter to push below the parse (which would evaluate the parse twice).
-    return parsed.select(*output(F.when(bad, F.raise_error(message)).otherwise(F.col("station"))))
+        out = out.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    return out
 
 
 def metar_rejects(raw: DataFrame, *, strict: bool = True) -> DataFrame:
