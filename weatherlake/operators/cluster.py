@@ -48,13 +48,17 @@ def station_features(obs: DataFrame, year: int, month: int, day1: int | None = N
             .agg(F.count(F.lit(1)).alias("n_obs"), *[F.avg(as_double(c)).alias(c) for c in features]))
 
 
-def feature_stats(features: DataFrame, cols: Sequence[str] = schema.KMEANS_FEATURES) -> DataFrame:
-    """One row: mean and population std of each feature over the stations
-    (``<f>_mean``, ``<f>_std``)."""
+def _stat_aggs(cols: Sequence[str]) -> list[Column]:
     aggs = []
     for c in cols:
         aggs += [F.avg(as_double(c)).alias(f"{c}_mean"), F.stddev_pop(as_double(c)).alias(f"{c}_std")]
-    return features.agg(*aggs)
+    return aggs
+
+
+def feature_stats(features: DataFrame, cols: Sequence[str] = schema.KMEANS_FEATURES) -> DataFrame:
+    """One row: mean and population std of each feature over the stations
+    (``<f>_mean``, ``<f>_std``)."""
+    return features.agg(*_stat_aggs(cols))
 
 
 def feature_zscore(features: DataFrame, cols: Sequence[str] = schema.KMEANS_FEATURES) -> DataFrame:
@@ -110,13 +114,15 @@ def kmeans_stations(features: DataFrame, k: int, n_iter: int = 100, *,
     if k < 1:
         raise ValueError("k must be at least 1")
     cols = list(cols)
-    st = feature_stats(features, cols).first()
+    # One pass over the observations: the station rows are materialised, and
+    # their count and statistics come from that small frame in one job.
+    base = materialize(features.select("lat", "lon", *[as_double(c).alias(c) for c in cols]))
+    st = base.agg(F.count(F.lit(1)).alias("_n"), *_stat_aggs(cols)).first()
+    n_points = int(st["_n"])
     means = [float(st[f"{c}_mean"]) if st[f"{c}_mean"] is not None else 0.0 for c in cols]
     stds = [float(st[f"{c}_std"]) if st[f"{c}_std"] is not None else 0.0 for c in cols]
-    points = materialize(features.select(
-        "lat", "lon", *[as_double(c).alias(c) for c in cols],
-        *[zscore(c, F.lit(m), F.lit(s)).alias(f"_z{i}") for i, (c, m, s) in enumerate(zip(cols, means, stds))]))
-    n_points = points.count()
+    points = base.select(
+        "*", *[zscore(c, F.lit(m), F.lit(s)).alias(f"_z{i}") for i, (c, m, s) in enumerate(zip(cols, means, stds))])
     if k > n_points:
         raise ValueError(f"k={k} is larger than the number of points ({n_points})")
     if init is None:
