@@ -124,3 +124,18 @@ def test_unknown_indicator_rejected(spark):
 def test_f_to_c(spark):
     from pyspark.sql import functions as F
     assert spark.range(1).select(f_to_c(F.lit(212.0))).first()[0] == pytest.approx(100.0)
+
+
+def test_display_labels_and_celsius_guard(spark):
+    from weatherlake.functions.exprs import position_label, year_month_label
+    r = spark.createDataFrame([(2011, 9, -3.7894, 37.1897)], "year int, month int, lat double, lon double") \
+        .select(year_month_label().alias("ym"), position_label().alias("pos")).first()
+    assert (r.ym, r.pos) == ("2011-9", "-3.7894,37.1897")
+    with pytest.raises(ValueError):
+        climate.seasonal_mean(obs_frame(spark, _rows()), "relh", LAT, LON, to_celsius=True)
+
+
+def test_plot_order_is_numeric(spark):
+    rows = [("S", y, m, 1, 0, 0, 1.0, 2.0, 50.0, 1.0) for y, m in ((2011, 10), (2010, 2), (2011, 9), (2010, 11))]
+    got = climate.plot_order(climate.monthly_mean(obs_frame(spark, rows), "tmpf", 1.0, 2.0)).collect()
+    assert [(r.year, r.month) for r in got] == [(2010, 2), (2010, 11), (2011, 9), (2011, 10)]

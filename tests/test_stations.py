@@ -88,3 +88,10 @@ def test_station_file_round_trip(spark, tmp_path):
     write_stations(st_df, str(tmp_path / "out"))
     back = load_stations(spark, str(tmp_path / "out")).select("station", "lat", "lon").collect()
     assert sorted(tuple(r) for r in back) == [("AAAA", 37.1897, -3.7894), ("BBBB", 38.8833, -6.8292)]
+
+
+def test_snap_position(spark):
+    from weatherlake.operators.stations import snap_position
+    s = spark.createDataFrame([("FAR", 0.0, 0.9, 1), ("NEAR", 0.0, 0.1, 2)], "station string, lon double, lat double, ord long")
+    assert snap_position(s, 0.0, 0.0, eps=1.0) == (0.0, 0.0, "FAR")
+    assert snap_position(s, 0.0, 0.0, eps=1e-4) == (0.0, 0.1, "NEAR")

@@ -32,7 +32,9 @@ def _value(indicator: str, pre_round: int | None) -> Column:
     return as_double(indicator) if pre_round is None else half_even(indicator, pre_round)
 
 
-def _finish(mean: Column, to_celsius: bool) -> Column:
+def _finish(mean: Column, to_celsius: bool, indicator: str | None = None) -> Column:
+    if to_celsius and indicator is not None and indicator not in schema.FAHRENHEIT_INDICATORS:
+        raise ValueError(f"{indicator!r} is not a temperature in Fahrenheit")
     return f_to_c(mean) if to_celsius else mean
 
 
@@ -48,7 +50,7 @@ def seasonal_mean(obs: DataFrame, indicator: str = "tmpf", lat: float | None = N
     return (df.filter(F.col(indicator).isNotNull())
             .groupBy(*keys, "month")
             .agg(F.count(F.lit(1)).alias("n_obs"),
-                 _finish(F.avg(_value(indicator, pre_round)), to_celsius).alias("mean")))
+                 _finish(F.avg(_value(indicator, pre_round)), to_celsius, indicator).alias("mean")))
 
 
 def monthly_mean(obs: DataFrame, indicator: str = "tmpf", lat: float | None = None, lon: float | None = None,
@@ -59,7 +61,7 @@ def monthly_mean(obs: DataFrame, indicator: str = "tmpf", lat: float | None = No
     return (df.filter(F.col(indicator).isNotNull())
             .groupBy(*keys, "year", "month")
             .agg(F.count(F.lit(1)).alias("n_obs"),
-                 _finish(F.avg(_value(indicator, pre_round)), to_celsius).alias("mean")))
+                 _finish(F.avg(_value(indicator, pre_round)), to_celsius, indicator).alias("mean")))
 
 
 def historical_stats(obs: DataFrame, indicator: str = "tmpf", lat: float | None = None, lon: float | None = None,
@@ -132,8 +134,8 @@ def seasonal_pair(obs: DataFrame, first: str = "tmpf", second: str = "relh", lat
     a, b = as_double(first), as_double(second)
     return (df.filter(F.col(first).isNotNull() | F.col(second).isNotNull())
             .groupBy(*keys, "month")
-            .agg(F.count(a).alias(f"{first}_n"), _finish(F.avg(a), first_celsius).alias(f"{first}_mean"),
-                 F.count(b).alias(f"{second}_n"), _finish(F.avg(b), second_celsius).alias(f"{second}_mean")))
+            .agg(F.count(a).alias(f"{first}_n"), _finish(F.avg(a), first_celsius, first).alias(f"{first}_mean"),
+                 F.count(b).alias(f"{second}_n"), _finish(F.avg(b), second_celsius, second).alias(f"{second}_mean")))
 
 
 # The series labels of the year-against-seasonal figure.
@@ -152,3 +154,12 @@ def year_vs_seasonal_series(obs: DataFrame, indicator: str, year: int, lat: floa
                        F.col("year_mean").alias(YEAR_LABEL.format(year=year)))
     return (long.unpivot(keys, [SEASONAL_LABEL, YEAR_LABEL.format(year=year)], "series", "value")
             .filter(F.col("value").isNotNull()))
+
+
+def plot_order(df: DataFrame) -> DataFrame:
+    """Sort a climatology result the way its figure reads: by position, then
+    year and month numerically, then series.  Results are unordered by
+    default, since a global sort costs a sampling job and a shuffle; call
+    this on the (small) aggregated result only when order matters."""
+    keys = [c for c in ("lat", "lon", "year", "month", "series") if c in df.columns]
+    return df.orderBy(*keys)

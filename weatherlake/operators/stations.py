@@ -154,3 +154,19 @@ def nearest_station(queries: DataFrame, stations: DataFrame, *, eps: float = 1e-
     for p in parts[1:]:
         result = result.unionByName(p)
     return result
+
+
+def snap_position(stations: DataFrame, lon: float, lat: float, *, eps: float = 1e-3) -> tuple[float, float, str]:
+    """One position snapped to the dictionary: ``(lon, lat, station)``.
+
+    The query's own coordinates come back when a station lies within
+    ``eps`` (the first such in dictionary order), else the nearest
+    station's.  Runs ``nearest_station`` on a one-row frame; only the three
+    answer values reach the driver.
+    """
+    spark = stations.sparkSession
+    q = spark.createDataFrame([(0, float(lon), float(lat))], "qid long, lon double, lat double")
+    r = nearest_station(q, stations, eps=eps).first()
+    if r is None or r.station is None:
+        raise ValueError("the station dictionary is empty")
+    return r.lon, r.lat, r.station

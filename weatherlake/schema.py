@@ -76,10 +76,9 @@ def _spark_type(name: str) -> T.DataType:
 
 OBS_SCHEMA = T.StructType([T.StructField(c, _spark_type(c), True) for c in OBS_COLUMNS])
 
-# Raw CSV columns: everything as text, ``valid`` instead of the time parts,
-# plus the optional raw report text.
+# Raw CSV columns: everything as text, ``valid`` instead of the time parts.
+# A ``metar`` column (the raw report text) may also be present.
 RAW_COLUMNS = ("station", "valid") + tuple(c for c in OBS_COLUMNS if c not in ("station",) + TIME_PARTS)
-RAW_OPTIONAL = ("metar",)
 
 # Keys.  The by-position layout is keyed by position then time; the by-date
 # layout by time.  The date key without a position lets stations reporting in
@@ -92,10 +91,6 @@ assert len(OBS_COLUMNS) == 34
 assert len(set(NUMERIC_INDICATORS)) == 20 and len(set(SNAPSHOT_BATCH_INDICATORS)) == 26
 
 
-def field_type(name: str) -> T.DataType:
-    return _spark_type(name)
-
-
 def is_numeric_indicator(name: str) -> bool:
     return name in NUMERIC_INDICATORS
 

@@ -54,10 +54,6 @@ def _cell(raw: DataFrame, name: str) -> Column:
     return F.when(c.isin(*schema.NULL_TOKENS, ""), F.lit(None).cast("string")).otherwise(c)
 
 
-def _fail(message: str, value: Column) -> Column:
-    return F.raise_error(F.concat(F.lit(message), F.coalesce(value, F.lit("NULL"))))
-
-
 def _valid_prefix() -> Column:
     """The matched ``Y-M-D h:m`` prefix of ``valid``; empty when it does not
     match, NULL when ``valid`` is NULL.  One regex evaluation per row."""
