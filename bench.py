@@ -25,7 +25,7 @@ from weatherlake.operators import climate, snapshot  # noqa: E402
 from weatherlake.plans import REGISTRY  # noqa: E402
 from weatherlake.session import local_session  # noqa: E402
 from weatherlake.sources import fixtures as fx  # noqa: E402
-from weatherlake.sources.layouts import read_layout, write_by_date, write_by_position  # noqa: E402
+from weatherlake.sources.layouts import read_layout, write_layouts  # noqa: E402
 from weatherlake.sources.metar_csv import read_metar  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -65,9 +65,7 @@ def main() -> None:
         pos_dir, date_dir = os.path.join(scratch, "by_position"), os.path.join(scratch, "by_date")
 
         def ingest():
-            obs = read_metar(spark, csv_dir, strict=True)
-            write_by_position(obs, pos_dir)
-            write_by_date(read_metar(spark, csv_dir, strict=True), date_dir)
+            write_layouts(read_metar(spark, csv_dir, strict=True), pos_dir, date_dir)
 
         times["ingest_csv_to_layouts"] = round(timed(ingest, 1), 3)
         by_pos, by_date = read_layout(spark, pos_dir), read_layout(spark, date_dir)

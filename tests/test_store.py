@@ -92,3 +92,17 @@ def test_by_date_scan_prunes_partitions(spark, tmp_path):
     plan = at_minute(read_layout(spark, str(tmp_path / "d")), 2012, 10, 2)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters" in plan and "isnotnull(year" in plan and "(month" in plan
+
+
+def test_write_layouts_one_pass(spark, tmp_path):
+    from weatherlake.sources.layouts import write_layouts
+    df = _frame(spark)
+    rp, rd = write_layouts(df, str(tmp_path / "p"), str(tmp_path / "d"), "seq")
+    assert (rp.rows_sent, rp.rows_kept) == (5, 4) and (rd.rows_sent, rd.rows_kept) == (4, 4)
+    pos, date = read_layout(spark, str(tmp_path / "p")), read_layout(spark, str(tmp_path / "d"))
+    assert sorted(tuple(r) for r in pos.collect()) == sorted(tuple(r) for r in date.collect())
+    # the bare time key collapses same-minute stations, last write winning
+    _, bare = write_layouts(df, str(tmp_path / "p2"), str(tmp_path / "d2"), "seq", date_key=schema.KEY_DATE_BARE)
+    assert bare.rows_kept == 3
+    kept = read_layout(spark, str(tmp_path / "d2")).filter("year = 2011").collect()
+    assert [r.seq for r in kept] == [3]

@@ -80,3 +80,25 @@ def read_layout(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
     known = [c for c in schema.OBS_COLUMNS if c in df.columns]
     return df.select(*known, *[c for c in df.columns if c not in known])
+
+
+def write_layouts(obs: DataFrame, position_path: str, date_path: str,
+                  order: Sequence[str | Column] | str | Column | None = "_seq", *,
+                  date_key: Sequence[str] = schema.KEY_DATE, partitions: int | None = None,
+                  max_records_per_file: int | None = None) -> tuple[WriteReport, WriteReport]:
+    """Create or replace both layouts from one pass over the input.
+
+    The input is upserted once, into the by-position table; the by-date table
+    is then written from that Parquet output rather than from the input again.
+    With the default date key (time and position, the same columns as the
+    position key) no second upsert is needed; with the bare time key the
+    stored rows are upserted again on it, using the same order columns, which
+    the by-position table keeps.
+    """
+    rep_pos = write_by_position(obs, position_path, order, partitions=partitions,
+                                max_records_per_file=max_records_per_file)
+    stored = obs.sparkSession.read.parquet(position_path)
+    same_key = set(date_key) == set(schema.KEY_POSITION)
+    rep_date = write_by_date(stored, date_path, None if same_key else order, key=date_key,
+                             partitions=partitions, max_records_per_file=max_records_per_file)
+    return rep_pos, rep_date
