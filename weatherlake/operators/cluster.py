@@ -69,8 +69,13 @@ def feature_zscore(features: DataFrame, cols: Sequence[str] = schema.KMEANS_FEAT
     Columns: lat, lon, z_<f>...
     """
     stats = feature_stats(features, cols)
-    s = stats.select(F.struct(*stats.columns).alias("s")).scalar()
-    return features.select("lat", "lon", *[zscore(c, s[f"{c}_mean"], s[f"{c}_std"]).alias(f"z_{c}") for c in cols])
+    # Project the subquery once, then read its fields: each field access on
+    # the subquery expression itself would plan a subquery of its own.
+    with_stats = features.select("lat", "lon", *cols,
+                                 stats.select(F.struct(*stats.columns)).scalar().alias("_s"))
+    s = F.col("_s")
+    return with_stats.select("lat", "lon",
+                             *[zscore(c, s[f"{c}_mean"], s[f"{c}_std"]).alias(f"z_{c}") for c in cols])
 
 
 @dataclass
