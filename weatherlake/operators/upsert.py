@@ -33,6 +33,15 @@ def _check_key(df: DataFrame, key: Sequence[str]) -> None:
         raise ValueError(f"key columns not in input: {missing}")
 
 
+def _group(df: DataFrame, key: Sequence[str]):
+    """Group by a 64-bit hash of the key ahead of the key itself.  The groups
+    are the same (the key columns still decide them), but the sort-based
+    aggregate that ``max_by`` of a whole row needs then compares a
+    near-unique 8-byte prefix instead of falling back to full comparisons of
+    a composite key whose first column has few distinct values."""
+    return df.groupBy(F.xxhash64(*[F.col(k) for k in key]).alias("_key_hash"), *key)
+
+
 def upsert_last(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | str | Column,
                 *, count_as: str | None = None) -> DataFrame:
     """One row per key: the row that is greatest in ``order`` (written last),
@@ -45,7 +54,7 @@ def upsert_last(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]
     n = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     if not payload:
         return df.groupBy(*key).agg(*n) if n else df.select(*key).distinct()
-    agg = df.groupBy(*key).agg(F.max_by(F.struct(*payload), _order(order)).alias("_last"), *n)
+    agg = _group(df, key).agg(F.max_by(F.struct(*payload), _order(order)).alias("_last"), *n)
     return agg.select(*[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in df.columns],
                       *([count_as] if count_as else []))
 
@@ -56,7 +65,7 @@ def upsert_partial(df: DataFrame, key: Sequence[str], order: Sequence[str | Colu
     _check_key(df, key)
     o = _order(order)
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o)).alias(c) for c in df.columns if c not in key]
-    out = df.groupBy(*key).agg(*aggs)
+    out = _group(df, key).agg(*aggs)
     return out.select(*df.columns)
 
 
