@@ -74,4 +74,4 @@ def rows_sent_vs_kept(df: DataFrame, key: Sequence[str]) -> DataFrame:
     pass: ``rows_sent``, ``rows_kept``."""
     _check_key(df, key)
     per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.sum("_n").cast("long").alias("rows_sent"), F.count(F.lit(1)).alias("rows_kept"))
+    return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows_sent"), F.count(F.lit(1)).alias("rows_kept"))
