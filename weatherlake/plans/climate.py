@@ -149,3 +149,41 @@ GROUP BY month"""))
 def q_year_vs_seasonal_series(spark, sf_dir):
     obs = fx.observations(spark, sf_dir)
     return climate.year_vs_seasonal_series(obs, "tmpf", YEAR, LAT, LON).select("month", "series", r6("value"))
+
+
+# The flagship flow end to end: snap a position to the station dictionary
+# built from the observations, then compare one year with the others there.
+SNAP_LON, SNAP_LAT, SNAP_EPS = 34.4, -11.9, 1e-3
+
+
+@register("year_vs_seasonal_snapped", with_o(f"""
+, d AS (
+  SELECT station, round_even(CAST(lat AS DOUBLE), 4) AS lat, round_even(CAST(lon AS DOUBLE), 4) AS lon
+  FROM (SELECT *, row_number() OVER (PARTITION BY lat, lon ORDER BY year, month, day, hour, minute, station) AS rn
+        FROM O WHERE lat IS NOT NULL AND lon IS NOT NULL) t
+  WHERE rn = 1)
+, c AS (SELECT station, lat, lon, sqrt(pow({SNAP_LON} - lon, 2) + pow({SNAP_LAT} - lat, 2)) AS dist FROM d)
+, s AS (SELECT * FROM c
+        ORDER BY CASE WHEN dist < {SNAP_EPS} THEN 0 ELSE 1 END, CASE WHEN dist < {SNAP_EPS} THEN 0.0 ELSE dist END,
+                 lat, lon
+        LIMIT 1)
+, p AS (SELECT station,
+               CASE WHEN dist < {SNAP_EPS} THEN {SNAP_LAT} ELSE lat END AS plat,
+               CASE WHEN dist < {SNAP_EPS} THEN {SNAP_LON} ELSE lon END AS plon
+        FROM s)
+SELECT p.station AS station, month,
+       count(CASE WHEN year <> {YEAR} THEN 1 END) AS others_n,
+       round(avg(CASE WHEN year <> {YEAR} THEN CAST(tmpf AS DOUBLE) END), 6) AS others_mean,
+       count(CASE WHEN year = {YEAR} THEN 1 END) AS year_n,
+       round(avg(CASE WHEN year = {YEAR} THEN CAST(tmpf AS DOUBLE) END), 6) AS year_mean
+FROM O JOIN p ON O.lat = CAST(p.plat AS FLOAT) AND O.lon = CAST(p.plon AS FLOAT)
+WHERE tmpf IS NOT NULL
+GROUP BY p.station, month"""))
+def q_year_vs_seasonal_snapped(spark, sf_dir):
+    from weatherlake.operators import stations
+    obs = fx.observations(spark, sf_dir)
+    dictionary = stations.station_dictionary(obs).withColumn("ord", F.struct("lat", "lon"))
+    lon, lat, station = stations.snap_position(dictionary, SNAP_LON, SNAP_LAT, eps=SNAP_EPS)
+    return (climate.year_vs_seasonal(obs, "tmpf", YEAR, lat, lon)
+            .select(F.lit(station).alias("station"), "month", "others_n", r6("others_mean"), "year_n",
+                    r6("year_mean")))
