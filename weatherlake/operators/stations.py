@@ -16,7 +16,9 @@ so a candidate closer than ``s`` is the exact answer, and with ``s >= eps``
 the nine cells hold every station within ``eps``.  Queries whose best
 candidate is not provably nearest move on to a grid of twice the cell side
 (only those queries, and each level keeps nine probes per query), until all
-are resolved.  The station side is broadcast only after its row count is
+are resolved.  The first pass probes two grids in one join: cells of side
+``eps`` for the within-``eps`` rule and cells near the typical station
+spacing for the nearest rule, so most queries resolve in a single pass.  The station side is broadcast only after its row count is
 checked; otherwise the join shuffles on the cell key, where adaptive skew
 handling splits a crowded cell.
 """
@@ -70,10 +72,6 @@ def station_dictionary(obs: DataFrame, *, digits: int = 4) -> DataFrame:
     return per_pos.select("station", half_even("lat", digits).alias("lat"), half_even("lon", digits).alias("lon"))
 
 
-def _cells(x, y, size: float):
-    return F.floor(x / F.lit(size)).cast("long"), F.floor(y / F.lit(size)).cast("long")
-
-
 def nearest_station(queries: DataFrame, stations: DataFrame, *, eps: float = 1e-3, qid: str = "qid",
                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Snap query positions to stations (see the module notes for the rules).
@@ -111,45 +109,58 @@ def nearest_station(queries: DataFrame, stations: DataFrame, *, eps: float = 1e-
     spacing = math.sqrt(area / n_st)
     jump = max(1, math.ceil(math.log2(max(spacing / base, 1.0))))
 
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                        for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    parts: list[DataFrame] = []
-    parts.append(unanswered)
+    def grid_pass(pending: DataFrame, levels: list[int], with_eps: bool) -> DataFrame:
+        """One join for several grid levels at once: probes and station cells
+        are tagged with their level and joined on (level, cell)."""
+        sizes = {lv: base * (2.0 ** lv) for lv in levels}
+        probe_arr = F.array(*[F.struct(F.lit(lv).alias("lv"), F.lit(sz).alias("sz"), F.lit(dx).alias("dx"),
+                                       F.lit(dy).alias("dy"))
+                              for lv, sz in sizes.items() for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+        probes = (pending.select("qid", "q_lon", "q_lat", F.explode(probe_arr).alias("_o"))
+                  .select("qid", "q_lon", "q_lat", F.col("_o.lv").alias("lv"),
+                          (F.floor(F.col("q_lon") / F.col("_o.sz")).cast("long") + F.col("_o.dx")).alias("cx"),
+                          (F.floor(F.col("q_lat") / F.col("_o.sz")).cast("long") + F.col("_o.dy")).alias("cy")))
+        level_arr = F.array(*[F.struct(F.lit(lv).alias("lv"), F.lit(sz).alias("sz")) for lv, sz in sizes.items()])
+        cells = (st.select("*", F.explode(level_arr).alias("_l"))
+                 .select("station", "s_lon", "s_lat", "s_ord", F.col("_l.lv").alias("lv"),
+                         F.floor(F.col("s_lon") / F.col("_l.sz")).cast("long").alias("cx"),
+                         F.floor(F.col("s_lat") / F.col("_l.sz")).cast("long").alias("cy")))
+        cand = probes.join(cells, ["lv", "cx", "cy"], "left").withColumn(
+            "d", planar_distance(F.col("q_lon"), F.col("q_lat"), F.col("s_lon"), F.col("s_lat")))
+        top = max(levels)
+        pick = F.struct(F.col("station"), F.col("s_lon"), F.col("s_lat"), F.col("d"))
+        # nearest: the coarsest level's nine cells hold every station closer
+        # than its cell side; lowest order among equal distances
+        aggs = [F.min_by(pick, F.when((F.col("lv") == top) & F.col("d").isNotNull(),
+                                      F.struct(F.col("d"), F.col("s_ord")))).alias("near")]
+        if with_eps:
+            # within eps: level 0's nine cells hold every such station; the
+            # first in dictionary order wins, not the nearest
+            aggs.append(F.min_by(pick, F.when((F.col("lv") == 0) & (F.col("d") < F.lit(eps)),
+                                              F.col("s_ord"))).alias("hit"))
+        best = cand.groupBy("qid", "q_lon", "q_lat").agg(*aggs)
+        if not with_eps:
+            best = best.withColumn("hit", F.lit(None).cast(best.schema["near"].dataType))
+        near_ok = F.coalesce(F.col("near.d") < F.lit(sizes[top] * (1.0 - _SLACK)), F.lit(False))
+        return materialize(best.withColumn("_ok", F.col("hit").isNotNull() | near_ok))
+
+    parts: list[DataFrame] = [unanswered]
     pending = q.filter(usable)
-    level = 0
+    levels, with_eps = [0, jump], True
     while True:
-        size = base * (2.0 ** level)
-        qx, qy = _cells(F.col("q_lon"), F.col("q_lat"), size)
-        probes = (pending.withColumn("_cx", qx).withColumn("_cy", qy)
-                  .select("qid", "q_lon", "q_lat", F.explode(offsets).alias("_o"), "_cx", "_cy")
-                  .select("qid", "q_lon", "q_lat", (F.col("_cx") + F.col("_o.dx")).alias("cx"),
-                          (F.col("_cy") + F.col("_o.dy")).alias("cy")))
-        sx, sy = _cells(F.col("s_lon"), F.col("s_lat"), size)
-        cells = st.select("*", sx.alias("cx"), sy.alias("cy"))
-        cand = probes.join(cells, ["cx", "cy"], "left")
-        d = planar_distance(F.col("q_lon"), F.col("q_lat"), F.col("s_lon"), F.col("s_lat"))
-        cand = cand.withColumn("d", d)
-        if level == 0:
-            inside = F.col("d") < F.lit(eps)
-            rank = F.struct(F.when(inside, 0).otherwise(1).alias("a"),
-                            F.when(inside, F.lit(0.0)).otherwise(F.col("d")).alias("b"), F.col("s_ord").alias("c"))
-        else:
-            inside = F.lit(False)
-            rank = F.struct(F.col("d").alias("b"), F.col("s_ord").alias("c"))
-        pick = F.struct(F.col("station"), F.col("s_lon"), F.col("s_lat"), F.col("d"), inside.alias("inside"))
-        best = (cand.groupBy("qid", "q_lon", "q_lat")
-                .agg(F.min_by(pick, F.when(F.col("d").isNotNull(), rank)).alias("p")))
-        ok = F.coalesce(F.col("p.inside") | (F.col("p.d") < F.lit(size * (1.0 - _SLACK))), F.lit(False))
-        best = materialize(best.withColumn("_ok", ok))
+        best = grid_pass(pending, levels, with_eps)
+        inside = F.col("hit").isNotNull()
         parts.append(best.filter("_ok").select(
-            "qid", F.col("p.station").alias("station"),
-            F.when(F.col("p.inside"), F.col("q_lon")).otherwise(F.col("p.s_lon")).alias("lon"),
-            F.when(F.col("p.inside"), F.col("q_lat")).otherwise(F.col("p.s_lat")).alias("lat"),
-            F.col("p.d").alias("distance"), F.col("p.inside").alias("within_eps")))
+            "qid",
+            F.when(inside, F.col("hit.station")).otherwise(F.col("near.station")).alias("station"),
+            F.when(inside, F.col("q_lon")).otherwise(F.col("near.s_lon")).alias("lon"),
+            F.when(inside, F.col("q_lat")).otherwise(F.col("near.s_lat")).alias("lat"),
+            F.when(inside, F.col("hit.d")).otherwise(F.col("near.d")).alias("distance"),
+            inside.alias("within_eps")))
         pending = best.filter(~F.col("_ok")).select("qid", "q_lon", "q_lat")
         if pending.isEmpty():
             break
-        level = jump if level == 0 else level + 1
+        levels, with_eps = [max(levels) + 1], False
     result = parts[0]
     for p in parts[1:]:
         result = result.unionByName(p)
