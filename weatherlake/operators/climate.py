@@ -13,6 +13,8 @@ which also decides which groups exist.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weatherlake import schema
@@ -65,18 +67,20 @@ def monthly_mean(obs: DataFrame, indicator: str = "tmpf", lat: float | None = No
 
 
 def historical_stats(obs: DataFrame, indicator: str = "tmpf", lat: float | None = None, lon: float | None = None,
-                     *, limit: int | None = None) -> DataFrame:
+                     *, limit: int | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
     """Count, mean and population standard deviation per (year, month).
 
     ``limit`` keeps only the first ``limit`` rows of each position in time
-    order (ties by station) before NULLs are dropped.  With one position this
+    order (ties by station, then by ``tie_break`` columns) before NULLs are
+    dropped.  With one position this
     is a distributed top-k; with all positions a ``row_number`` filter, which
     Spark limits per map partition before the shuffle.
     Columns: [lat, lon,] year, month, n_obs, mean, std.
     """
     df, keys = _scope(obs, indicator, lat, lon)
     if limit is not None:
-        order = [F.col(c) for c in schema.TIME_PARTS] + [F.col("station").asc_nulls_last()]
+        order = ([F.col(c) for c in schema.TIME_PARTS] + [F.col("station").asc_nulls_last()]
+                 + [F.col(c).asc_nulls_last() for c in tie_break])
         if lat is not None and lon is not None:
             df = df.orderBy(*order).limit(limit)
         else:

@@ -187,3 +187,25 @@ def q_year_vs_seasonal_snapped(spark, sf_dir):
     return (climate.year_vs_seasonal(obs, "tmpf", YEAR, lat, lon)
             .select(F.lit(station).alias("station"), "month", "others_n", r6("others_mean"), "year_n",
                     r6("year_mean")))
+
+
+# The history cut of the original: the first 100 rows of each position in
+# time order (the limit is the feature), over all positions at once.
+HISTORY_ROWS = 100
+TIE_BREAK = ("l_orderkey", "l_partkey", "l_linenumber", "seq")
+
+
+@register("historical_stats_first100", with_o(f"""
+SELECT lat, lon, year, month, count(*) AS n_obs,
+       round(avg(CAST(tmpf AS DOUBLE)), 6) AS mean,
+       round(stddev_pop(CAST(tmpf AS DOUBLE)), 6) AS std
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY lat, lon
+        ORDER BY year, month, day, hour, minute, station, {", ".join(TIE_BREAK)}) AS rn
+      FROM O) t
+WHERE rn <= {HISTORY_ROWS} AND tmpf IS NOT NULL
+GROUP BY lat, lon, year, month"""))
+def q_historical_stats_first100(spark, sf_dir):
+    obs = fx.observations(spark, sf_dir)
+    return (climate.historical_stats(obs, "tmpf", limit=HISTORY_ROWS, tie_break=TIE_BREAK)
+            .select("lat", "lon", "year", "month", "n_obs", r6("mean"), r6("std")))
