@@ -139,3 +139,12 @@ def test_plot_order_is_numeric(spark):
     rows = [("S", y, m, 1, 0, 0, 1.0, 2.0, 50.0, 1.0) for y, m in ((2011, 10), (2010, 2), (2011, 9), (2010, 11))]
     got = climate.plot_order(climate.monthly_mean(obs_frame(spark, rows), "tmpf", 1.0, 2.0)).collect()
     assert [(r.year, r.month) for r in got] == [(2010, 2), (2010, 11), (2011, 9), (2011, 10)]
+
+
+def test_history_limit_tie_break(spark):
+    from pyspark.sql import types as T
+    # three rows tie on time and station; only the tie-break decides the cut
+    rows = [("S", 2011, 1, 1, 0, 0, 1.0, 2.0, float(v), 1.0, k) for k, v in ((3, 30), (1, 10), (2, 20))]
+    df = obs_frame(spark, rows, [("k", T.IntegerType())])
+    got = climate.historical_stats(df, "tmpf", limit=2, tie_break=["k"]).first()
+    assert got.n_obs == 2 and got.mean == pytest.approx(15.0)
