@@ -106,3 +106,20 @@ def test_write_layouts_one_pass(spark, tmp_path):
     assert bare.rows_kept == 3
     kept = read_layout(spark, str(tmp_path / "d2")).filter("year = 2011").collect()
     assert [r.seq for r in kept] == [3]
+
+
+def test_hot_position_is_split_across_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+    # one position holds 90% of the rows: the range layout on (position, time)
+    # spreads it over several files instead of one task
+    hot = spark.range(0, 900).select(
+        F.lit("H").alias("station"), F.lit(2011).alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month"),
+        (F.col("id") % 28 + 1).cast("int").alias("day"), (F.col("id") % 24).cast("int").alias("hour"),
+        (F.col("id") % 60).cast("int").alias("minute"), F.lit(1.5).cast("float").alias("lat"),
+        F.lit(2.5).cast("float").alias("lon"), F.lit(50.0).cast("float").alias("tmpf"),
+        F.lit(80.0).cast("float").alias("relh"), F.col("id").cast("int").alias("seq"))
+    cold = hot.limit(100).withColumn("station", F.lit("C")).withColumn("lat", F.lit(3.5).cast("float"))
+    write_by_position(hot.unionByName(cold), str(tmp_path / "p"), "seq", partitions=4)
+    files = (read_layout(spark, str(tmp_path / "p")).filter("station = 'H'")
+             .select(F.input_file_name().alias("f")).distinct().count())
+    assert files >= 3
