@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import near_dups
+from weatherlake.llm import language, near_dups, quality
 
 QUERIES = {
+    "op4_language": language.op4_language,
+    "op6_quality": quality.op6_quality,
     "op7_near_dups": near_dups.op7_near_dups,
 }
 

@@ -6,7 +6,7 @@ import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def extended(schema: T.StructType, more: str) -> T.StructType:
+    """A schema with further columns (as DDL) at its end."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])
+
+
 FILTER_BITS = 1 << 22
 
 
