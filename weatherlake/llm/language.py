@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weatherlake.llm import textarrays as ta
-from weatherlake.llm.shared import extended, table
+from weatherlake.llm.shared import extended, modest_batches, table
 
 BUCKETS = 1 << 14
 BATCH_ROWS = 64
@@ -187,6 +187,7 @@ def is_held_out(id: str = "doc_id", modulus: int = 4, remainder: int = 2) -> Col
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    modest_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", is_held_out())
     model = fit_language_model(docs.filter(~F.col("held_out")))
     return identify_language(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")

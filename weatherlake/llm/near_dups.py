@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.components import connected_components
-from weatherlake.llm.shared import cut, id_filter, table
+from weatherlake.llm.shared import cut, id_filter, modest_batches, table
 from weatherlake.llm.textarrays import U
 
 TABLES, WIDTH = 12, 3
@@ -239,6 +239,7 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
 
 
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    modest_batches(spark)
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 

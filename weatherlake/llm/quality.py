@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.language import is_held_out
-from weatherlake.llm.shared import extended, table
+from weatherlake.llm.shared import extended, modest_batches, table
 
 # byte classes: what stands in a text besides lower-case letters
 _CLASSES = ["other", "lower", "upper", "digit", "blank", "point", "exclaim", "bar", "sign", "quote", "high"]
@@ -265,6 +265,7 @@ def score_quality(docs: DataFrame, model: QualityModel, *, text: str = "text", t
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    modest_batches(spark)
     held_out = is_held_out("doc_id", 5, 0)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")

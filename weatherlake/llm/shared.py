@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -29,30 +30,53 @@ def extended(schema: T.StructType, more: str) -> T.StructType:
     return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Texts are long: smaller Arrow batches than the default keep the memory
+    of executors and their Python workers low.  Lower settings are kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= 1000:
+        spark.conf.set(key, "1000")
+
+
 FILTER_BITS = 1 << 22
 
 
-def id_filter(ids: DataFrame, column: str, bits: int = FILTER_BITS):
-    """A Bloom-type filter of a long column as a function Column -> Column.
+def bloom_bits(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A two-hash Bloom filter of a long column, as 32-bit words.
 
-    One bit per hashed id, OR-ed per 32-bit word on the executors; at most
-    ``bits / 32`` words (131,072 at the default) reach the driver, whatever
-    the number of ids.  A full filter passes everything: it only saves
-    shuffling rows that an exact join drops afterwards.
+    Bits are OR-ed per word on the executors; at most ``bits / 32`` words
+    (131,072 at the default) reach the driver, whatever the number of keys.  A
+    full filter passes everything: it only saves shuffling rows that an exact
+    join drops afterwards.
     """
-    slot = F.pmod(F.xxhash64(column), F.lit(bits))
-    rows = (ids.select(slot.alias("slot")).groupBy((F.col("slot") / 32).cast("int").alias("word"))
+    slots = F.explode(F.array(F.expr(f"pmod({column}, {bits}L)"), F.expr(f"pmod(shiftright({column}, 32), {bits}L)")))
+    rows = (keys.select(slots.alias("slot")).groupBy(F.expr("cast(slot div 32 as int)").alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).collect())
     packed = np.zeros(bits // 32, np.uint32)
     for r in rows:
         packed[r.word] = r.bits
+    return packed
+
+
+def in_bloom(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the int64 keys the filter lets pass."""
+    bits = len(packed) * 32
+
+    def hit(slot: np.ndarray) -> np.ndarray:
+        return (packed[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+    out = hit(keys & (bits - 1))
+    some = np.flatnonzero(out)
+    out[some] = hit((keys[some] >> 32) & (bits - 1))
+    return out
+
+
+def id_filter(ids: DataFrame, column: str) -> Callable[[str], Column]:
+    """A Bloom filter of an id column, as a condition on a column of another frame."""
+    packed = bloom_bits(ids.select(F.xxhash64(column).alias("h")), "h")
 
     @F.pandas_udf("boolean")
     def passes(s: pd.Series) -> pd.Series:
-        v = s.to_numpy(dtype=np.int64)
-        return pd.Series((packed[v >> 5] >> (v & 31).astype(np.uint32)) & 1 == 1)
-
-    def keep(c: str) -> Column:
-        return passes(F.pmod(F.xxhash64(c), F.lit(bits)))
+        return pd.Series(in_bloom(packed, s.to_numpy(dtype=np.int64)))
 
-    return keep
+    return lambda c: passes(F.xxhash64(c))

@@ -16,7 +16,7 @@ import pyarrow as pa
 U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
 _PRIME = 0x5851F42D4C957F2D  # 5 modulo 8: its powers have the longest period
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
