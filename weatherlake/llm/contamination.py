@@ -36,11 +36,17 @@ LEAST_TOKENS = 5
 _DIGITS = np.isin(np.arange(256), list(b"0123456789"))
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of all rows one after another, and the row ranges."""
+def folded_tokens(data: np.ndarray) -> np.ndarray:
+    """Bytes with letters in lower case, digits, and blanks for the rest of ASCII."""
     low = folded(data)
     digits = _DIGITS[data]
     low[digits] = data[digits]
+    return low
+
+
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all rows one after another, and the row ranges."""
+    low = folded_tokens(data)
     starts, ends, ranges = ta.spans(low != 0x20, offsets)
     return ta.hashes(low, starts, ends), ranges
 

@@ -32,12 +32,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
-from weatherlake.llm.components import connected_components
+from weatherlake.llm.links import hub_first, in_units, linked_groups
 from weatherlake.llm.shared import cut, id_filter, modest_batches, table
 from weatherlake.llm.textarrays import U
 
 TABLES, WIDTH = 12, 3
-UNIT = 64  # documents confirmed against one hub at a time
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,21 +151,11 @@ def _confirmer(size: int, share: int) -> Callable:
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
-    """The pairs (src, dst: class ids) whose full sets are similar enough.
-
-    Members of one hub (``dst``) are dealt into units of about ``UNIT``; the
-    hub's text goes once to each unit, so no text is copied per pair and a
-    hub with many members spreads over many tasks."""
-    units = pairs.groupBy("dst").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("parts"))
-    dealt = pairs.join(units, "dst").select(
-        F.col("dst").alias("hub"), F.pmod(F.xxhash64("src"), "parts").alias("part"), F.col("src").alias("cid"))
-    wanted = dealt.unionByName(dealt.select("hub", "part", F.col("hub").alias("cid")).distinct())
-    wanted = cut(wanted.join(classes.select("cid", F.col("id").alias("doc")), "cid"))
-    keep = id_filter(wanted, "doc")
-    texts = docs.filter(keep("id")).select(F.col("id").alias("doc"), "text")
-    rows = (wanted.join(texts, "doc").select("hub", "part", "cid", "text", (F.col("cid") != F.col("hub")).alias("later"))
-            .repartition("hub", "part").sortWithinPartitions("hub", "part", "later").drop("later"))
-    return cut(rows.mapInArrow(_confirmer(size, share), "src long, dst long"))
+    """The pairs (src, dst: class ids) whose full sets are similar enough."""
+    wanted = in_units(pairs).join(classes.select(F.col("cid").alias("node"), F.col("id").alias("doc")), "node")
+    texts = docs.filter(id_filter(wanted, "doc")("id")).select(F.col("id").alias("doc"), "text")
+    rows = hub_first(wanted.join(texts, "doc").select("hub", "part", "node", "text"))
+    return rows.mapInArrow(_confirmer(size, share), "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 5,
@@ -195,39 +184,14 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     sketch = [c for c in classes.columns if c.startswith("s")]
 
     keys = (classes.select("cid", F.explode("a").alias("x"), "b").select("cid", "x", F.explode("b").alias("y"))
-            .select("cid", F.xxhash64("x", "y").alias("key")))
-    hubs = cut(keys.groupBy("key").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-               .select("key", "hub"))
-    shared = cut(keys.join(hubs.hint("shuffle_hash"), "key").select("key", "cid", "hub"))
-    full = classes.select("cid", "n_shingles", F.struct(*sketch).alias("sk"))
-
-    def plausible(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and sketches allow the similarity asked for."""
-        p = (pairs.join(full.select(F.col("cid").alias("src"), F.col("n_shingles").alias("m"), F.col("sk").alias("p")), "src")
-             .join(full.select(F.col("cid").alias("dst"), F.col("n_shingles").alias("n"), F.col("sk").alias("q")), "dst"))
-        return p.filter((F.least("m", "n") * 100 >= F.greatest("m", "n") * share)
-                        & (_agreeing("p", "q") >= TABLES * WIDTH)).select("src", "dst")
-
-    first = plausible(shared.filter("cid <> hub").select(F.col("cid").alias("src"), F.col("hub").alias("dst")).distinct())
-    links = _confirmed(first, classes, docs, size, share)
-    groups = connected_components(links)
-
-    # keys whose members ended in more than one component: pairs across them
-    member = shared.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "key", "cid", "hub", F.coalesce("component", "cid").alias("component"))
-    mixed = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    member = cut(member.join(mixed.select("key"), "key")
-                 .join(full, "cid").select("key", "cid", "hub", "component", "n_shingles", *[F.col(f"sk.{c}") for c in sketch]))
-    p, q = member.alias("p"), member.alias("q")
-    across = (p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.component") > F.col("q.component"))
-                     & (F.least("p.n_shingles", "q.n_shingles") * 100 >= F.greatest("p.n_shingles", "q.n_shingles") * share)
-                     & (F.col("p.cid") != F.col("p.hub")) & (F.col("q.cid") != F.col("q.hub"))
-                     & (_agreeing("p", "q") >= TABLES * WIDTH))
-              .select(F.col("p.cid").alias("src"), F.col("q.cid").alias("dst")).distinct())
-    more = _confirmed(cut(across), classes, docs, size, share)
-    if not more.isEmpty():
-        groups = connected_components(links.unionByName(more))
+            .select(F.xxhash64("x", "y").alias("key"), F.col("cid").alias("node")))
 
+    def plausible(p: str, q: str) -> Column:
+        m, n = F.col(f"{p}.n_shingles"), F.col(f"{q}.n_shingles")
+        return (F.least(m, n) * 100 >= F.greatest(m, n) * share) & (_agreeing(p, q) >= TABLES * WIDTH)
+
+    groups = linked_groups(keys, classes.select(F.col("cid").alias("node"), "n_shingles", *sketch), plausible,
+                           lambda pairs: _confirmed(pairs, classes, docs, size, share))
     named = classes.select("cid", "id").join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
         "cid", "id", F.coalesce("component", "cid").alias("component"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import contamination, language, near_dups, quality
+from weatherlake.llm import contamination, language, lines, near_dups, quality
 
 QUERIES = {
     "op2_contamination": contamination.op2_contamination,
+    "op3_line_dedup": lines.op3_line_dedup,
     "op4_language": language.op4_language,
     "op6_quality": quality.op6_quality,
     "op7_near_dups": near_dups.op7_near_dups,
