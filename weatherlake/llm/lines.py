@@ -23,9 +23,9 @@ from weatherlake.llm.links import hub_first, in_units, linked_groups
 from weatherlake.llm.shared import bloom_bits, cut, in_bloom, modest_batches, table
 from weatherlake.llm.textarrays import U
 
-BLOCKS, BLOCK_BITS = 9, 28  # 252 of 256 bits; wide blocks keep chance meetings rare in very many lines
+BLOCKS, BLOCK_BITS = 10, 32  # wide blocks keep chance meetings rare in very many lines
 SIMILARITY = 0.9
-MOST_BITS = 64  # pairs that differ in more bits are not verified (unrelated lines differ in 126 on average)
+MOST_BITS = 110  # pairs that differ in more bits are not verified (unrelated lines differ in about 160 of 320)
 
 
 def normalised_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -49,27 +49,55 @@ def normalised_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return low, starts, ends, h, at, line_hash, row[full], number[full]
 
 
-def simhash(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """256-bit SimHash (lines x 32 bytes) of the word hashes of every line.
+def _nibbles() -> np.ndarray:
+    """Four bits spread to four 16-bit counters of one 64-bit word."""
+    return np.array([sum(((b >> k) & 1) << (16 * k) for k in range(4)) for b in range(16)], U)
 
-    Bytes are spread to eight counters in one 64-bit word (255 words at a
-    time), so sums run over 32 words per hash and not over 256 bits."""
-    lut = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], U)
-    wide = np.stack([ta.mix(h + c) for c in ta.constants(31, 4)], 1).view(np.uint8).reshape(len(h), 32)
-    counts = np.diff(at)
-    pieces = np.maximum(-(-counts // 255), 1)
-    cut_at = np.concatenate([np.arange(a, a + 255 * p, 255) for a, p in zip(at[:-1], pieces, strict=True)]) if (pieces > 1).any() else at[:-1]
-    of = np.repeat(np.arange(len(counts)), pieces)
-    out = np.zeros((len(counts), 32), np.uint8)
-    for byte in range(32):
-        sums = np.add.reduceat(lut[wide[:, byte]], cut_at).view(np.uint8).reshape(-1, 8).astype(np.int32)
-        if len(of) != len(counts):
-            sums = np.add.reduceat(sums, np.searchsorted(of, np.arange(len(counts))), axis=0)
-        out[:, byte] = np.packbits(2 * sums > counts[:, None], axis=1).ravel()
-    return out
 
+_NIBBLES = _nibbles()
+_PIECE = 63  # words summed at a time: 63 weights of at most 1024 fit a 16-bit counter
 
-OCCURRENCES = "id long, version long, number int, node long, h0 long, h1 long, h2 long, h3 long"
+
+def simhash(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """SimHash blocks (BLOCKS x lines, int32) of words with hashes ``h`` and
+    byte lengths; words ``at[i]:at[i + 1]`` are line i.
+
+    Long words weigh more, and each half block of 16 bits raises some words
+    further (by a hash of word and half), so that half depends mostly on a few
+    long words: an edit elsewhere leaves it as it was, other halves depend on
+    other words, and two halves together keep unrelated lines apart.
+    """
+    counts = np.diff(at)
+    pieces = np.maximum(-(-counts // _PIECE), 1)
+    of = np.repeat(np.arange(len(counts)), pieces)
+    start = np.repeat(at[:-1], pieces) + _PIECE * (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    first = np.searchsorted(of, np.arange(len(counts))) if len(of) != len(counts) else None
+    _, one_of, kind = np.unique(h, return_index=True, return_inverse=True)
+    words, length = h[one_of], length[one_of]
+    base = np.maximum(1, np.minimum(length, 12) // 3).astype(U) ** U(2)
+    raised = length > 3
+    halves = np.zeros((2 * BLOCKS, len(counts)), np.uint16)
+    for k, salt in enumerate(ta.constants(31, 2 * BLOCKS)):
+        x = ta.mix(words ^ salt)
+        luck = (x >> U(56)).astype(np.uint8)
+        shift = np.zeros(len(x), U)
+        for level in range(1, 7):
+            shift += luck < (256 >> level)
+        weight = base << np.where(raised, shift, U(0))
+        total = np.add.reduceat(weight[kind], start).astype(np.int64)
+        if first is not None:
+            total = np.add.reduceat(total, first)
+        for nibble in range(4):
+            sums = np.add.reduceat((_NIBBLES[(x >> U(4 * nibble)) & U(15)] * weight)[kind], start)
+            for bit in range(4):
+                one = ((sums >> U(16 * bit)) & U(0xFFFF)).astype(np.int64)
+                if first is not None:
+                    one = np.add.reduceat(one, first)
+                halves[k] |= (2 * one > total).astype(np.uint16) << np.uint16(4 * nibble + bit)
+    return ((halves[0::2].astype(np.uint32) << np.uint32(16)) | halves[1::2]).view(np.int32)
+
+
+OCCURRENCES = "id long, version long, number int, node long, " + ", ".join(f"h{k} int" for k in range(BLOCKS))
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,27 +105,17 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = ta.buffers(batch.column(2))
         for i, j in ta.slices(offsets):
-            _, _, _, h, at, line_hash, row, number = normalised_lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            _, starts, ends, h, at, line_hash, row, number = normalised_lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             if len(line_hash) == 0:
                 continue
-            words = np.ascontiguousarray(simhash(h, at)).view(np.int64)
+            blocks = simhash(h, ends - starts, at)
             take = pa.array(row + i)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(number.astype(np.int32)), ta.longs(line_hash),
-                 *[pa.array(np.ascontiguousarray(words[:, k])) for k in range(4)]],
+                 *[pa.array(b) for b in blocks]],
                 names=[f.split()[0] for f in OCCURRENCES.split(", ")])
 
 
-def _block(k: int) -> Column:
-    """The k-th block of BLOCK_BITS bits, with its number above it."""
-    bit, mask = k * BLOCK_BITS, (1 << BLOCK_BITS) - 1
-    word, offset = divmod(bit, 64)
-    v = F.shiftrightunsigned(F.col(f"h{word}"), offset)
-    if offset + BLOCK_BITS > 64:
-        v = v.bitwiseOR(F.shiftleft(F.col(f"h{word + 1}"), 64 - offset))
-    return v.bitwiseAND(F.lit(mask)).bitwiseOR(F.lit(k << BLOCK_BITS))
-
-
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance of two strings, or more than ``most``: common ends
     are cut off, the rest is compared bit-parallel."""
@@ -194,9 +212,10 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     """``docs``: id, version, text.  Lines that a group's first occurrence
     makes superfluous: id, version, numbers (array of line numbers)."""
     found = cut(docs.mapInArrow(_occurrences, OCCURRENCES))
-    bits = [f"h{k}" for k in range(4)]
+    bits = [f"h{k}" for k in range(BLOCKS)]
     lines = cut(found.select(F.col("node"), *bits).dropDuplicates(["node"]))
-    keys = lines.select("node", F.explode(F.array(*[_block(k) for k in range(BLOCKS)])).alias("key")).select("key", "node")
+    keys = lines.select("node", F.explode(F.array(
+        *[F.col(b).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(k << BLOCK_BITS)) for k, b in enumerate(bits)])).alias("key")).select("key", "node")
 
     def plausible(p: str, q: str) -> Column:
         differing = sum((F.bit_count(F.col(f"{p}.{b}").bitwiseXOR(F.col(f"{q}.{b}"))) for b in bits), F.lit(0))
