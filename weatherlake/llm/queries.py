@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import contamination, language, lines, near_dups, quality
+from weatherlake.llm import contamination, language, lines, near_dups, neighbours, quality
 
 QUERIES = {
     "op2_contamination": contamination.op2_contamination,
@@ -10,8 +10,10 @@ QUERIES = {
     "op4_language": language.op4_language,
     "op6_quality": quality.op6_quality,
     "op7_near_dups": near_dups.op7_near_dups,
+    "op8_neighbours": neighbours.op8_neighbours,
 }
 
 SQL = {
     "op7_near_dups": near_dups.SQL,
+    "op8_neighbours": neighbours.SQL,
 }
