@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import contamination, language, lines, near_dups, neighbours, quality
+from weatherlake.llm import contamination, language, lines, near_dups, neighbours, quality, sharding
 
 QUERIES = {
     "op2_contamination": contamination.op2_contamination,
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_language": language.op4_language,
+    "op5_sharding": sharding.op5_sharding,
     "op6_quality": quality.op6_quality,
     "op7_near_dups": near_dups.op7_near_dups,
     "op8_neighbours": neighbours.op8_neighbours,
