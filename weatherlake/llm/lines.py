@@ -214,13 +214,19 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     found = cut(docs.mapInArrow(_occurrences, OCCURRENCES))
     bits = [f"h{k}" for k in range(BLOCKS)]
     lines = cut(found.select(F.col("node"), *bits).dropDuplicates(["node"]))
-    keys = lines.select("node", F.explode(F.array(
-        *[F.col(b).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(k << BLOCK_BITS)) for k, b in enumerate(bits)])).alias("key")).select("key", "node")
+    keys = lines.select("node", F.posexplode(F.array(
+        *[F.col(b).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(k << BLOCK_BITS)) for k, b in enumerate(bits)])).alias("place", "key")).select("key", "place", "node")
 
     def plausible(p: str, q: str) -> Column:
         differing = sum((F.bit_count(F.col(f"{p}.{b}").bitwiseXOR(F.col(f"{q}.{b}"))) for b in bits), F.lit(0))
         return differing <= MOST_BITS
 
+    def first_meeting(p: str, q: str, place: str) -> Column:
+        earlier = F.lit(False)
+        for k, b in enumerate(bits[:-1]):
+            earlier = earlier | ((F.col(place) > k) & (F.col(f"{p}.{b}") == F.col(f"{q}.{b}")))
+        return ~earlier
+
     def confirm(pairs: DataFrame) -> DataFrame:
         rows = in_units(pairs)
         texts = (docs.select("text").mapInArrow(_texts_of(_wanted_bits(rows.select("node"))), "node long, line string")
@@ -228,7 +234,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         return hub_first(rows.join(texts, "node").select("hub", "part", "node", "line")).mapInArrow(
             _verifier(similarity), "src long, dst long")
 
-    groups = linked_groups(keys, lines, plausible, confirm)
+    groups = linked_groups(keys, lines, plausible, first_meeting, confirm)
     member = (found.join(groups, "node", "left")
               .select("id", "version", "number", F.coalesce("component", "node").alias("line_group")))
     first = member.groupBy("line_group").agg(F.min(F.struct("id", "version", "number")).alias("first"), F.count(F.lit(1)).alias("n"))

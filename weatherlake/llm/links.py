@@ -4,15 +4,20 @@ Nodes (classes of equal texts, distinct lines) carry keys; two nodes may be
 linked only if they share one.  ``linked_groups`` finds the connected groups
 of confirmed links:
 
-1. The smallest node of every key is its hub, a keyed minimum that is combined
-   before the shuffle.  Members are paired with hubs only, so g nodes under
-   one key give g pairs and not g * g, and the join back to the hubs is one
-   that adaptive execution splits where a key is hot.
-2. Pairs that pass a cheap test on carried columns are confirmed.
-3. Keys whose members then still belong to several components are taken again:
-   pairs across components, same cheap test, same confirmation.  No link is
-   lost that could change the groups: after it, every two nodes under a key
-   are in one component, have failed the cheap test, or have been compared.
+1. In a few rounds, every key gets a hub and members are paired with hubs
+   only, so g nodes under one key give g pairs and not g * g.  The hub is the
+   smallest node after an exclusive-or with a constant that differs by round
+   and by key parity: a keyed minimum, combined before the shuffle, that
+   picks other nodes each time.  The join back to the hubs is one that
+   adaptive execution splits where a key is hot.
+2. Pairs that pass a cheap test on carried columns are confirmed; components
+   of the links decide which keys go on to the next round: those whose
+   members still belong to several.
+3. What is left is compared exhaustively: pairs across components under a
+   common key, each pair once (at the first key both share), same test, same
+   confirmation.  No link is lost that could change the groups: in the end
+   every two nodes under a key are in one component, have failed the cheap
+   test, or have been compared.
 """
 
 from __future__ import annotations
@@ -21,36 +26,57 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weatherlake.llm import textarrays as ta
 from weatherlake.llm.components import connected_components
 from weatherlake.llm.shared import cut
 
 UNIT = 64  # members confirmed against one hub at a time
+ROUNDS = 2
+
+
+def _turned(node: str, turn: int) -> Column:
+    """The node with some bits flipped; applied twice it is the node again."""
+    even, odd = ta.constants(71 + turn, 2).astype("int64").tolist()
+    return F.col(node).bitwiseXOR(F.when(F.pmod("key", F.lit(2)) == 0, F.lit(even)).otherwise(F.lit(odd)))
 
 
 def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, str], Column],
-                  confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``keys``: key, node (longs).  ``info``: node and what ``plausible``
-    reads; it gets the names of two struct columns holding an info row each.
+                  first_meeting: Callable[[str, str, str], Column], confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``keys``: key, place (of the key among a node's keys), node.  ``info``:
+    node and what the tests read.  ``plausible`` gets the names of two struct
+    columns with an info row each, ``first_meeting`` the name of the place
+    column as well: whether the two nodes share no key at an earlier place.
     ``confirm`` maps pairs (src, dst) to the pairs that are links.  Returns
     ``node``, ``component`` for nodes with a link."""
-    hubs = cut(keys.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "hub"))
-    shared = cut(keys.join(hubs.hint("shuffle_hash"), "key").select("key", "node", "hub"))
+    several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    live = cut(keys.join(several.hint("shuffle_hash"), "key").select("key", "place", "node"))
     known = info.select("node", F.struct(*[c for c in info.columns if c != "node"]).alias("info"))
+    links = groups = None
+    for turn in range(ROUNDS):
+        hubs = live.groupBy("key").agg(F.min(_turned("node", turn)).alias("least")).select("key", _turned("least", turn).alias("hub"))
+        pairs = (live.join(hubs.hint("shuffle_hash"), "key").filter("node <> hub")
+                 .select(F.greatest("node", "hub").alias("src"), F.least("node", "hub").alias("dst")).distinct())
+        if groups is not None:
+            of = groups.select(F.col("node").alias("src"), F.col("component").alias("c"))
+            to = groups.select(F.col("node").alias("dst"), F.col("component").alias("d"))
+            pairs = (pairs.join(of, "src", "left").join(to, "dst", "left")
+                     .filter(F.coalesce("c", "src") != F.coalesce("d", "dst")).select("src", "dst"))
+        near = (pairs.join(known.select(F.col("node").alias("src"), F.col("info").alias("p")), "src")
+                .join(known.select(F.col("node").alias("dst"), F.col("info").alias("q")), "dst")
+                .filter(plausible("p", "q")).select("src", "dst"))
+        found = cut(confirm(cut(near)))
+        links = found if links is None else links.unionByName(found)
+        groups = connected_components(links)
+        member = live.join(groups, "node", "left").select("key", "place", "node", F.coalesce("component", "node").alias("component"))
+        mixed = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+        member = cut(member.join(mixed.select("key").hint("shuffle_hash"), "key"))
+        live = member.select("key", "place", "node")
 
-    pairs = shared.filter("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
-    first = (pairs.join(known.select(F.col("node").alias("src"), F.col("info").alias("p")), "src")
-             .join(known.select(F.col("node").alias("dst"), F.col("info").alias("q")), "dst")
-             .filter(plausible("p", "q")).select("src", "dst"))
-    links = cut(confirm(first))
-    groups = connected_components(links)
-
-    member = shared.join(groups, "node", "left").select("key", "node", "hub", F.coalesce("component", "node").alias("component"))
-    mixed = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    member = cut(member.filter("node <> hub").join(mixed.select("key").hint("shuffle_hash"), "key").join(known, "node")
-                 .select("key", "node", "component", "info"))
-    left = member.select("key", F.col("node").alias("src"), F.col("component").alias("c"), F.col("info").alias("p"))
+    member = cut(member.join(known, "node"))
+    left = member.select("key", "place", F.col("node").alias("src"), F.col("component").alias("c"), F.col("info").alias("p"))
     right = member.select(F.col("key").alias("k"), F.col("node").alias("dst"), F.col("component").alias("d"), F.col("info").alias("q"))
-    across = left.join(right, (F.col("key") == F.col("k")) & (F.col("c") > F.col("d")) & plausible("p", "q")).select("src", "dst")
+    across = left.join(right, (F.col("key") == F.col("k")) & (F.col("c") > F.col("d")) & plausible("p", "q")
+                       & first_meeting("p", "q", "place")).select("src", "dst")
     more = cut(confirm(cut(across.distinct())))
     return groups if more.isEmpty() else connected_components(links.unionByName(more))
 

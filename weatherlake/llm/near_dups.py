@@ -12,15 +12,13 @@ The flow, in which every hot key is combined before it is shuffled:
 1. one pass over the texts gives every document its set size, a 64-bit
    fingerprint of its shingle set, the half keys and a 72-byte sketch;
 2. documents with equal sets become one class (a keyed minimum);
-3. the smallest class of every table key is its hub; members pair with hubs
-   only, so a group of g copies gives g pairs and not g * g;
-4. pairs whose sketches agree in fewer than half of the minhashes are passed
-   over (at similarity 0.8 that has probability below 1e-9), the others are
-   confirmed on the full shingle sets of both texts;
-5. table keys that still hold several components are taken again: pairs
-   across components, with the same sketch test, are confirmed as well, so a
-   link between two members that both differ from their hub is not lost;
-6. components of the confirmed links, by distributed star contraction.
+3. classes that share a table key are compared through hubs, and across
+   components that are left, as ``links`` describes: no pair is made twice and
+   a group of g copies does not give g * g pairs;
+4. pairs whose sizes or sketches (fewer than 42 of 72 minhashes agree) rule
+   the similarity out are passed over, all others are confirmed on the full
+   shingle sets of both texts;
+5. components of the confirmed links, by distributed star contraction.
 """
 
 from __future__ import annotations
@@ -37,6 +35,7 @@ from weatherlake.llm.shared import cut, id_filter, modest_batches, table
 from weatherlake.llm.textarrays import U
 
 TABLES, WIDTH = 12, 3
+LEAST_AGREEING = 42  # of 72 minhashes; at similarity 0.8 fewer agree once in 100,000 pairs
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,15 +182,22 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
                   .dropDuplicates(["cid"]))
     sketch = [c for c in classes.columns if c.startswith("s")]
 
-    keys = (classes.select("cid", F.explode("a").alias("x"), "b").select("cid", "x", F.explode("b").alias("y"))
-            .select(F.xxhash64("x", "y").alias("key"), F.col("cid").alias("node")))
+    keys = (classes.select("cid", F.posexplode("a").alias("i", "x"), "b").select("cid", "i", "x", F.posexplode("b").alias("j", "y"))
+            .select(F.xxhash64("x", "y").alias("key"), (F.col("i") * TABLES + F.col("j")).alias("place"), F.col("cid").alias("node")))
 
     def plausible(p: str, q: str) -> Column:
         m, n = F.col(f"{p}.n_shingles"), F.col(f"{q}.n_shingles")
-        return (F.least(m, n) * 100 >= F.greatest(m, n) * share) & (_agreeing(p, q) >= TABLES * WIDTH)
+        return (F.least(m, n) * 100 >= F.greatest(m, n) * share) & (_agreeing(p, q) >= LEAST_AGREEING)
 
-    groups = linked_groups(keys, classes.select(F.col("cid").alias("node"), "n_shingles", *sketch), plausible,
-                           lambda pairs: _confirmed(pairs, classes, docs, size, share))
+    def first_meeting(p: str, q: str, place: str) -> Column:
+        earlier = F.lit(False)
+        for half, at in (("a", F.floor(F.col(place) / TABLES)), ("b", F.col(place) % TABLES)):
+            for t in range(TABLES - 1):
+                earlier = earlier | ((at > t) & (F.col(f"{p}.{half}")[t] == F.col(f"{q}.{half}")[t]))
+        return ~earlier
+
+    groups = linked_groups(keys, classes.select(F.col("cid").alias("node"), "n_shingles", "a", "b", *sketch), plausible,
+                           first_meeting, lambda pairs: _confirmed(pairs, classes, docs, size, share))
     named = classes.select("cid", "id").join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
         "cid", "id", F.coalesce("component", "cid").alias("component"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
