@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import contamination, language, lines, near_dups, neighbours, quality, sharding
+from weatherlake.llm import contamination, language, lines, near_dups, neighbours, pieces, quality, sharding
 
 QUERIES = {
     "op2_contamination": contamination.op2_contamination,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_quality": quality.op6_quality,
     "op7_near_dups": near_dups.op7_near_dups,
     "op8_neighbours": neighbours.op8_neighbours,
+    "op9_pieces": pieces.op9_pieces,
 }
 
 SQL = {
