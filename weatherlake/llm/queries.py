@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import contamination, language, lines, near_dups, neighbours, pieces, quality, sharding
+from weatherlake.llm import contamination, extraction, language, lines, near_dups, neighbours, pieces, quality, sharding
 
 QUERIES = {
+    "op1_main_text": extraction.op1_main_text,
     "op2_contamination": contamination.op2_contamination,
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_language": language.op4_language,
