@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import contamination, extraction, language, lines, near_dups, neighbours, pieces, quality, sharding
+from weatherlake.llm import contamination, extraction, language, licences, lines, near_dups, neighbours, pieces, quality, sharding
 
 QUERIES = {
     "op1_main_text": extraction.op1_main_text,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_near_dups": near_dups.op7_near_dups,
     "op8_neighbours": neighbours.op8_neighbours,
     "op9_pieces": pieces.op9_pieces,
+    "op10_licences": licences.op10_licences,
 }
 
 SQL = {
