@@ -1,0 +1,5 @@
+import os
+
+HERE = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+# Python workers find the library where the session is started without an installation
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, os.environ.get("PYTHONPATH", "")]))

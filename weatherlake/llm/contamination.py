@@ -10,9 +10,8 @@ against a document, on which the whole overlap is then checked token by token.
 
 A document is contaminated by an item if, on one diagonal, a run of tokens
 that scores highest with +1 for an equal and -4 for a different token (so at
-least four fifths are equal) covers ``MIN_TOKENS`` tokens, or the whole item
-if that is shorter.  Items of fewer than ``MIN_TOKENS`` tokens are looked up
-by all of their tokens; below ``LEAST_TOKENS`` they are too common to tell a
+least four fifths are equal) covers ``MIN_TOKENS`` tokens.  Items of fewer
+tokens are looked up by all of their tokens, which must be equal; below ``LEAST_TOKENS`` they are too common to tell a
 leak and are not searched.
 """
 
@@ -119,7 +118,8 @@ def _verifier(min_tokens: int) -> Callable:
                         if b <= a:
                             continue
                         start, end, equal = best_run(item[a:b] == doc[a + shift:b + shift])
-                        if end - start >= min(min_tokens, len(item)) and (equal, end - start) > best.get(hit["item"], ((0, 0),))[0]:
+                        enough = end - start >= min_tokens if len(item) >= min_tokens else equal == len(item)
+                        if enough and (equal, end - start) > best.get(hit["item"], ((0, 0),))[0]:
                             best[hit["item"]] = ((equal, end - start), (ids[r], hit["item"], a + start + shift, a + end + shift,
                                                                         a + start, end - start, equal, len(item)))
                     out += [v for _, v in best.values()]
