@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.language import folded
-from weatherlake.llm.shared import bloom_bits, cut, id_filter, in_bloom, modest_batches, table
+from weatherlake.llm.shared import Bloom, cut, modest_batches, table
 from weatherlake.llm.textarrays import U
 
 # positions that count (1) or are ignored (0) in a window of tokens
@@ -65,8 +65,10 @@ def seed_hashes(h: np.ndarray, ranges: np.ndarray, mask: str) -> tuple[np.ndarra
     return ta.mix(total[at]), at
 
 
-def _seeder(masks: Sequence[str], bloom: np.ndarray | None) -> Callable:
+def _seeder(masks: Sequence[str], bloom: Bloom | None) -> Callable:
     """(id, text) -> (key, id, position) of the seeds that the filter lets pass."""
+    passes = bloom.test() if bloom else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = ta.buffers(batch.column(1))
@@ -75,8 +77,8 @@ def _seeder(masks: Sequence[str], bloom: np.ndarray | None) -> Callable:
                 row = np.repeat(np.arange(j - i), np.diff(ranges))
                 for mask in masks:
                     key, at = seed_hashes(h, ranges, mask)
-                    if bloom is not None and len(key):
-                        some = in_bloom(bloom, key.view(np.int64))
+                    if passes is not None and len(key):
+                        some = passes(key.view(np.int64))
                         key, at = key[some], at[some]
                     if len(key):
                         yield pa.RecordBatch.from_arrays(
@@ -155,12 +157,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_
     seeds = cut(seeds.select("key", F.col("id").alias("item"), F.col("position").alias("item_position")))
     masks = [*MASKS, *["1" * n for n in sorted(lengths)]]
 
-    bloom = bloom_bits(seeds.select("key"), "key", 1 << 23)
+    bloom = Bloom(seeds.select("key"), "key")
     hits = docs.mapInArrow(_seeder(masks, bloom), "key long, id long, position long")
     diagonals = cut(hits.join(seeds, "key").select("id", "item", (F.col("position") - F.col("item_position")).alias("shift")).distinct())
     per_doc = (diagonals.join(items.select(F.col("id").alias("item"), F.col("text").alias("item_text")), "item")
                .groupBy("id").agg(F.collect_list(F.struct("item", "item_text", "shift")).alias("hits")))
-    texts = docs.filter(id_filter(diagonals, "id")("id"))
+    texts = docs.filter(Bloom(diagonals.select(F.xxhash64("id").alias("h")), "h").condition(F.xxhash64("id")))
     return texts.join(per_doc, "id").select("id", "text", "hits").mapInArrow(_verifier(min_tokens), OVERLAPS).distinct()
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.contamination import folded_tokens
 from weatherlake.llm.links import hub_first, in_units, linked_groups
-from weatherlake.llm.shared import bloom_bits, cut, in_bloom, modest_batches, table
+from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table
 from weatherlake.llm.textarrays import U
 
 BLOCKS, BLOCK_BITS = 10, 32  # wide blocks keep chance meetings rare in very many lines
@@ -165,8 +165,10 @@ def similar(a: str, b: str, similarity: float) -> bool:
     return longer == 0 or edit_distance(a, b, most) <= most
 
 
-def _texts_of(bloom: np.ndarray) -> Callable:
+def _texts_of(bloom: Bloom) -> Callable:
     """(text) -> (node, line) of lines that the filter lets pass, once per batch."""
+    passes = bloom.test()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = ta.buffers(batch.column(0))
@@ -175,7 +177,7 @@ def _texts_of(bloom: np.ndarray) -> Callable:
                 low, starts, ends, _, at, line_hash, _, _ = normalised_lines(
                     data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 node = line_hash.view(np.int64)
-                for k in np.flatnonzero(in_bloom(bloom, ta.mix(line_hash).view(np.int64))):
+                for k in np.flatnonzero(passes(node)):
                     if int(node[k]) not in found:
                         raw = low[starts[at[k]]:ends[at[k + 1] - 1]].tobytes()
                         found[int(node[k])] = b" ".join(raw.split()).decode("utf-8", "replace")
@@ -199,21 +201,12 @@ def _verifier(similarity: float) -> Callable:
     return run
 
 
-def _wanted_bits(nodes: DataFrame) -> np.ndarray:
-    return bloom_bits(nodes.mapInArrow(_mixed, "h long"), "h", 1 << 23)
-
-
-def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([ta.longs(ta.mix(batch.column(0).to_numpy().view(U)))], names=["h"])
-
-
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs``: id, version, text.  Lines that a group's first occurrence
     makes superfluous: id, version, numbers (array of line numbers)."""
-    found = cut(docs.mapInArrow(_occurrences, OCCURRENCES))
+    found = stored(docs.mapInArrow(_occurrences, OCCURRENCES))
     bits = [f"h{k}" for k in range(BLOCKS)]
-    lines = cut(found.select(F.col("node"), *bits).dropDuplicates(["node"]))
+    lines = stored(found.select("node", *bits).dropDuplicates(["node"]))
     keys = lines.select("node", F.posexplode(F.array(
         *[F.col(b).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(k << BLOCK_BITS)) for k, b in enumerate(bits)])).alias("place", "key")).select("key", "place", "node")
 
@@ -228,8 +221,8 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         return ~earlier
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        rows = in_units(pairs)
-        texts = (docs.select("text").mapInArrow(_texts_of(_wanted_bits(rows.select("node"))), "node long, line string")
+        rows = cut(in_units(pairs))
+        texts = (docs.select("text").mapInArrow(_texts_of(Bloom(rows.select("node"), "node")), "node long, line string")
                  .dropDuplicates(["node"]))
         return hub_first(rows.join(texts, "node").select("hub", "part", "node", "line")).mapInArrow(
             _verifier(similarity), "src long, dst long")
@@ -276,8 +269,12 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", simi
     gone = repeated_lines(rows.filter(F.col(text).isNotNull()).select(
         F.col("_id").alias("id"), F.col("_version").alias("version"), F.col(text).cast("string").alias("text")), similarity)
     gone = gone.select(F.col("id").alias("_gid"), F.col("version").alias("_gversion"), F.col("numbers").alias("_numbers"))
-    joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_version") == F.col("_gversion")), "left").select(
-        *docs.columns, "_numbers")
+    gone = cut(gone)
+    # only rows that may lose lines are shuffled to the numbers of those lines
+    losing = F.coalesce(Bloom(gone.select(F.xxhash64("_gid", "_gversion").alias("h")), "h").condition(F.xxhash64("_id", "_version")), F.lit(False))
+    rows = rows.withColumn("_losing", losing)
+    joined = rows.filter("_losing").join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_version") == F.col("_gversion")), "left").select(
+        *docs.columns, "_numbers").unionByName(rows.filter("not _losing").select(*docs.columns, F.lit(None).cast("array<int>").alias("_numbers")))
     names = [*docs.columns, "lines_removed"]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], "lines_removed int"])
     return joined.mapInArrow(_without(docs.columns.index(text), len(docs.columns), names), schema)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.components import connected_components
-from weatherlake.llm.shared import cut
+from weatherlake.llm.shared import Bloom, cut
 
 UNIT = 64  # members confirmed against one hub at a time
 ROUNDS = 2
@@ -42,14 +42,15 @@ def _turned(node: str, turn: int) -> Column:
 
 def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, str], Column],
                   first_meeting: Callable[[str, str, str], Column], confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``keys``: key, place (of the key among a node's keys), node.  ``info``:
+    """``keys``: key (a hash), place (of the key among a node's keys), node.  ``info``:
     node and what the tests read.  ``plausible`` gets the names of two struct
     columns with an info row each, ``first_meeting`` the name of the place
     column as well: whether the two nodes share no key at an earlier place.
     ``confirm`` maps pairs (src, dst) to the pairs that are links.  Returns
     ``node``, ``component`` for nodes with a link."""
-    several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    live = cut(keys.join(several.hint("shuffle_hash"), "key").select("key", "place", "node"))
+    several = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"))
+    likely = keys.filter(Bloom(several, "key").condition(F.col("key")))
+    live = cut(likely.join(several.hint("shuffle_hash"), "key").select("key", "place", "node"))
     known = info.select("node", F.struct(*[c for c in info.columns if c != "node"]).alias("info"))
     links = groups = None
     for turn in range(ROUNDS):
@@ -89,7 +90,7 @@ def in_units(pairs: DataFrame) -> DataFrame:
     units = pairs.groupBy("dst").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("parts"))
     dealt = pairs.join(units, "dst").select(
         F.col("dst").alias("hub"), F.pmod(F.xxhash64("src"), "parts").alias("part"), F.col("src").alias("node"))
-    return cut(dealt.unionByName(dealt.select("hub", "part", F.col("hub").alias("node")).distinct()))
+    return dealt.unionByName(dealt.select("hub", "part", F.col("hub").alias("node")).distinct())
 
 
 def hub_first(rows: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.links import hub_first, in_units, linked_groups
-from weatherlake.llm.shared import cut, id_filter, modest_batches, table
+from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table
 from weatherlake.llm.textarrays import U
 
 TABLES, WIDTH = 12, 3
@@ -160,8 +160,8 @@ def _confirmer(size: int, share: int) -> Callable:
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
     """The pairs (src, dst: class ids) whose full sets are similar enough."""
-    wanted = in_units(pairs).join(classes.select(F.col("cid").alias("node"), F.col("id").alias("doc")), "node")
-    texts = docs.filter(id_filter(wanted, "doc")("id")).select(F.col("id").alias("doc"), "text")
+    wanted = cut(in_units(pairs).join(classes.select(F.col("cid").alias("node"), F.col("id").alias("doc")), "node"))
+    texts = docs.filter(Bloom(wanted.select(F.xxhash64("doc").alias("h")), "h").condition(F.xxhash64("id"))).select(F.col("id").alias("doc"), "text")
     rows = hub_first(wanted.join(texts, "doc").select("hub", "part", "node", "text"))
     return rows.mapInArrow(_confirmer(size, share), "src long, dst long")
 
@@ -184,8 +184,8 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     columns are ignored.
     """
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    rows = cut(docs.mapInArrow(_sketcher(size), SKETCHED))
-    classes = cut(rows.filter("n_shingles > 0 and id is not null")
+    rows = stored(docs.mapInArrow(_sketcher(size), SKETCHED))
+    classes = stored(rows.filter("n_shingles > 0 and id is not null")
                   .select(*[c for c in rows.columns if c not in ("id", "cid")], "cid", "id")
                   .join(rows.filter("n_shingles > 0").groupBy("cid").agg(F.min("id").alias("id")), ["cid", "id"])
                   .dropDuplicates(["cid"]))

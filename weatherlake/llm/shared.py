@@ -3,24 +3,39 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder that
-    the cluster names in ``spark.checkpoint.dir``; a folder of our own is set
-    only where neither the session nor the configuration has one (tests)."""
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session; a folder of our own is set only
+    where neither the session nor the configuration has one (tests)."""
     if not spark.sparkContext.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-", dir="/tmp"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a large frame: a Parquet table in the shared folder,
+    smaller than a checkpoint and read by column.  It stays there until the
+    folder is cleared."""
+    path = f"{_shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,45 +53,76 @@ def modest_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "1000")
 
 
-FILTER_BITS = 1 << 22
+MOST_BITS = 1 << 27
+_RANGES = 64
 
 
-def bloom_bits(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A two-hash Bloom filter of a long column, as 32-bit words.
+class Bloom:
+    """A two-hash Bloom filter of a long column of hashes.
 
-    Bits are OR-ed per word on the executors; at most ``bits / 32`` words
-    (131,072 at the default) reach the driver, whatever the number of keys.  A
-    full filter passes everything: it only saves shuffling rows that an exact
-    join drops afterwards.
+    About sixteen bits per key, at most ``MOST_BITS`` (16 MB).  The bits are
+    set on the executors, one task per range of them; the driver gets the
+    ranges, so a bounded number of bytes whatever the number of keys.  A full
+    filter passes everything: it only saves shuffling rows that an exact join
+    drops afterwards.
     """
-    slots = F.explode(F.array(F.expr(f"pmod({column}, {bits}L)"), F.expr(f"pmod(shiftright({column}, 32), {bits}L)")))
-    rows = (keys.select(slots.alias("slot")).groupBy(F.expr("cast(slot div 32 as int)").alias("word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).collect())
-    packed = np.zeros(bits // 32, np.uint32)
-    for r in rows:
-        packed[r.word] = r.bits
-    return packed
-
-
-def in_bloom(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which of the int64 keys the filter lets pass."""
-    bits = len(packed) * 32
-
-    def hit(slot: np.ndarray) -> np.ndarray:
-        return (packed[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1) == 1
-
-    out = hit(keys & (bits - 1))
-    some = np.flatnonzero(out)
-    out[some] = hit((keys[some] >> 32) & (bits - 1))
-    return out
-
-
-def id_filter(ids: DataFrame, column: str) -> Callable[[str], Column]:
-    """A Bloom filter of an id column, as a condition on a column of another frame."""
-    packed = bloom_bits(ids.select(F.xxhash64(column).alias("h")), "h")
-
-    @F.pandas_udf("boolean")
-    def passes(s: pd.Series) -> pd.Series:
-        return pd.Series(in_bloom(packed, s.to_numpy(dtype=np.int64)))
 
-    return lambda c: passes(F.xxhash64(c))
+    def __init__(self, keys: DataFrame, column: str):
+        n = max(keys.count(), 1)
+        self.bits = min(max(1 << (16 * n - 1).bit_length(), 1 << 16), MOST_BITS)
+        width = self.bits // _RANGES
+        slots = F.explode(F.array(F.expr(f"pmod({column}, {self.bits}L)"), F.expr(f"pmod(shiftright({column}, 32), {self.bits}L)")))
+        parts = (keys.select(slots.alias("slot")).select(F.expr(f"cast(slot div {width} as int)").alias("at"), F.expr(f"slot % {width}").alias("slot"))
+                 .repartition("at").sortWithinPartitions("at").mapInArrow(_bit_range(width), "at int, bits binary").collect())
+        packed = np.zeros(self.bits // 8, np.uint8)
+        for r in parts:
+            packed[r["at"] * (width // 8):(r["at"] + 1) * (width // 8)] |= np.frombuffer(bytes(r["bits"]), np.uint8)
+        self.packed = keys.sparkSession.sparkContext.broadcast(packed)
+
+    def test(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function of int64 hashes: which of them may be among the keys."""
+        packed, mask = self.packed, self.bits - 1
+
+        def passes(keys: np.ndarray) -> np.ndarray:
+            bits = packed.value
+
+            def hit(slot: np.ndarray) -> np.ndarray:
+                return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+            out = hit(keys & mask)
+            some = np.flatnonzero(out)
+            out[some] = hit((keys[some] >> 32) & mask)
+            return out
+
+        return passes
+
+    def condition(self, column: str | Column) -> Column:
+        """The test as a condition on a long column."""
+        test = self.test()
+
+        @F.pandas_udf("boolean")
+        def passes(s: pd.Series) -> pd.Series:
+            return pd.Series(test(s.to_numpy(dtype=np.int64)))
+
+        return passes(column)
+
+
+def _bit_range(width: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, bits = None, np.zeros(0, bool)
+
+        def out() -> pa.RecordBatch:
+            packed = np.packbits(bits, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([packed], pa.binary())], names=["at", "bits"])
+
+        for batch in batches:
+            where, slot = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for a in np.unique(where).tolist():
+                if a != at:
+                    if at is not None:
+                        yield out()
+                    at, bits = a, np.zeros(width, bool)
+                bits[slot[where == a]] = True
+        if at is not None:
+            yield out()
+    return run
