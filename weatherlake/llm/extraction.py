@@ -39,7 +39,8 @@ _MARKS = frozenset("ad ads advert advertisement adverts advertising adsense bann
 _ROLES = frozenset("navigation banner contentinfo complementary search alert dialog alertdialog menu menubar form toolbar".split())
 _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _REGIONS = frozenset(("article", "main"))
-_TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dd dt figcaption".split())
+# within the main text these are text even where all pages share them
+_TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tr td th pre blockquote figure figcaption".split())
 
 
 def _names(node: Node) -> set[str]:

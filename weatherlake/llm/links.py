@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.components import connected_components
-from weatherlake.llm.shared import Bloom, cut
+from weatherlake.llm.shared import Bloom, cut, stored
 
 UNIT = 64  # members confirmed against one hub at a time
 ROUNDS = 2
@@ -50,7 +50,7 @@ def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, st
     ``node``, ``component`` for nodes with a link."""
     several = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"))
     likely = keys.filter(Bloom(several, "key").condition(F.col("key")))
-    live = cut(likely.join(several.hint("shuffle_hash"), "key").select("key", "place", "node"))
+    live = stored(likely.join(several.hint("shuffle_hash"), "key").select("key", "place", "node"))
     known = info.select("node", F.struct(*[c for c in info.columns if c != "node"]).alias("info"))
     links = groups = None
     for turn in range(ROUNDS):
@@ -73,7 +73,7 @@ def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, st
         member = cut(member.join(mixed.select("key").hint("shuffle_hash"), "key"))
         live = member.select("key", "place", "node")
 
-    member = cut(member.join(known, "node"))
+    member = stored(member.join(known, "node"))
     left = member.select("key", "place", F.col("node").alias("src"), F.col("component").alias("c"), F.col("info").alias("p"))
     right = member.select(F.col("key").alias("k"), F.col("node").alias("dst"), F.col("component").alias("d"), F.col("info").alias("q"))
     across = left.join(right, (F.col("key") == F.col("k")) & (F.col("c") > F.col("d")) & plausible("p", "q")

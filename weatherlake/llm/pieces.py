@@ -182,10 +182,14 @@ class Lattices:
         order = np.argsort(src - 0.999 * np.exp(log_p), kind="stable")
         self.to, self.piece, self.log_p = dst[order].astype(np.int32), piece[order], log_p[order]
         self.first = np.searchsorted(src[order], np.arange(n + 1)).astype(np.int64)
-        p = np.exp(self.log_p)
-        run = np.cumsum(p)
-        base = np.concatenate(([0.0], run))[self.first[:-1]]
-        self.cum = run - np.repeat(base, np.diff(self.first))
+        self.cum = np.exp(self.log_p)
+        degree, depth = np.diff(self.first), 1
+        while True:  # edge by edge: the sums of a node do not depend on its neighbours
+            here = self.first[:-1][degree > depth] + depth
+            if not len(here):
+                break
+            self.cum[here] += self.cum[here - 1]
+            depth += 1
         last = self.first[1:][np.diff(self.first) > 0] - 1
         self.cum[last] = 2.0  # rounding never runs past the last edge
         self.end = ~inner
@@ -375,22 +379,16 @@ class Sampler:
             salt = ta.mix(key[row[entry]] ^ U(j + 1))
             log_p, count, pieces = lattice.descend(kind[entry], lambda live, step, s=salt, p=place[entry]: _uniform(s[live], p[live], step))
             piece_at = np.concatenate(([0], np.cumsum(count)))
-            entry_at = np.searchsorted(entry, ranges) if j == 0 else None
             start = 0
-            sums = np.concatenate(([0.0], np.cumsum(log_p)))
             u = _uniform(salt, place[entry], 1 << 20)
             rest = np.log(np.maximum(-np.expm1(np.minimum(log_p, 0.0)), 1e-300))
             rest[log_p > -1e-13] = -np.inf  # the only path there is
-            if j == 0:
-                before = sums[:-1] - sums[entry_at[row[entry]]]
-                bound = _below(value[row[entry]], before + rest, u)
             for r in active:
                 n = int(ranges[r + 1] - ranges[r] - cut[r] - 1)
                 a, b = start, start + n
                 start = b
                 if j == 0:
-                    words = log_p[a:b]
-                    bounds = bound[a:b]
+                    words, head_log = log_p[a:b], 0.0
                     path = (piece_at[a:b + 1] - piece_at[a], words)
                 else:
                     parent, w, alternative, alt_log = base[r]
@@ -400,8 +398,9 @@ class Sampler:
                     head_log = float(words[:w + 1].sum())
                     head = np.append(p_at[:w + 1], p_at[w] + len(alternative))
                     path = (np.concatenate((head[:-1], head[-1] + piece_at[a:b + 1] - piece_at[a])), words)
-                    bounds = _below(np.full(n, value[r]), head_log + (sums[a:b] - sums[a]) + rest[a:b], u[a:b])
                 ids = np.concatenate((head_ids, pieces[piece_at[a]:piece_at[b]])) if j else pieces[piece_at[a]:piece_at[b]]
+                before = head_log + np.concatenate(([0.0], np.cumsum(log_p[a:b])[:-1])) if n else np.zeros(0)
+                bounds = _below(np.full(n, value[r]), before + rest[a:b], u[a:b])
                 this = {"ids": ids, "path": path, "value": float(value[r]), "log": float(words.sum())}
                 out[r].append(this)
                 if n:

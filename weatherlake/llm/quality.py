@@ -47,7 +47,11 @@ _CLASS = _class_table()
 def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of every non-blank line (lines x features, with those of the
     two neighbours), their lengths in bytes and the line ranges of the rows."""
-    starts, ends, ranges = ta.spans(data != 10, offsets)
+    starts, ends, _ = ta.spans(data != 10, offsets)
+    ws, we, wh, _ = ta.words(data, offsets)
+    full = np.searchsorted(ws, ends) > np.searchsorted(ws, starts)
+    starts, ends = starts[full], ends[full]
+    ranges = np.searchsorted(starts, offsets)
     if len(starts) == 0:
         return np.zeros((0, 0), np.float32), np.zeros(0), ranges
     length = ends - starts
@@ -55,10 +59,8 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     at = np.arange(len(line)) + np.repeat(starts - np.concatenate(([0], np.cumsum(length)[:-1])), length)
     k = len(_CLASSES)
     counts = np.bincount(line * k + _CLASS[data[at]], minlength=len(starts) * k).reshape(-1, k).astype(np.float32)
-    ws, we, wh, _ = ta.words(data, offsets)
     first = np.searchsorted(ws, np.append(starts, len(data)))
     n_words = np.diff(first)
-    blank = n_words == 0
     shares = np.delete(counts, 4, axis=1) / np.maximum(counts.sum(1, keepdims=True) - counts[:, 4:5], 1)
     of_line = np.repeat(np.arange(len(starts)), n_words)
     keyed = np.sort((of_line.astype(np.uint64) << np.uint64(40)) | (wh >> np.uint64(24)))
@@ -77,7 +79,6 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     own = np.column_stack([shares, np.log1p(length) / 8, np.log1p(n_words) / 6, np.minimum(word_len, 30) / 10, short,
                            (copies[which] > 1), distinct / np.maximum(n_words, 1), tail, head]).astype(np.float32)
     bent = np.column_stack([own, *[own[:, 1:k - 1] > s for s in _STEPS], (own[:, k - 1 + 5:k - 1 + 6] < 0.5)]).astype(np.float32)
-    bent[blank] = 0
     before, after = np.zeros_like(bent), np.zeros_like(bent)
     before[1:], after[:-1] = bent[:-1], bent[1:]
     before[head], after[tail] = 0, 0
