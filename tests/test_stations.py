@@ -95,3 +95,53 @@ def test_snap_position(spark):
     s = spark.createDataFrame([("FAR", 0.0, 0.9, 1), ("NEAR", 0.0, 0.1, 2)], "station string, lon double, lat double, ord long")
     assert snap_position(s, 0.0, 0.0, eps=1.0) == (0.0, 0.0, "FAR")
     assert snap_position(s, 0.0, 0.0, eps=1e-4) == (0.0, 0.1, "NEAR")
+    assert snap_position(s, 0.0, 0.0, eps=1.0, stored=True) == (0.0, 0.9, "FAR")
+    with pytest.raises(ValueError):
+        snap_position(s.limit(0), 0.0, 0.0)
+
+
+def test_far_queries_do_not_meet_all_stations(spark):
+    import random
+
+    from weatherlake.operators import stations as m
+    r = random.Random(0)
+    near = [(f"S{i}", r.gauss(0, 0.01), r.gauss(0, 0.01), i) for i in range(2000)]
+    queries = [(i, r.uniform(-1e4, 1e4), r.uniform(-1e4, 1e4)) for i in range(200)]
+    q = spark.createDataFrame(queries, "qid long, q_lon double, q_lat double")
+    st = spark.createDataFrame(near, "station string, s_lon double, s_lat double, s_ord long")
+    box = (min(x[1] for x in near), max(x[1] for x in near), min(x[2] for x in near), max(x[2] for x in near))
+    assert m._candidates(q, st, box, 1e-3).count() <= 200 * 40  # all pairs would be 400,000
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("far", "far queries")
+    try:
+        got = run(spark, queries, near, 1e-3)
+        assert len(tracker.getJobIdsForGroup("far")) < 60
+    finally:
+        spark.sparkContext.setJobGroup("other", "other")
+    want = brute(queries, near, 1e-3)
+    assert all(got[i][0] == want[i][0] for i, _, _ in queries)
+
+
+def test_positions_that_are_not_finite(spark):
+    inf, nan = float("inf"), float("nan")
+    stations = [("A", 0.0, 0.0, 1), ("I", inf, 0.0, 0), ("N", nan, 1.0, 2), ("B", 1.0, 1.0, 3)]
+    got = run(spark, [(1, inf, 0.0), (2, 0.9, 0.9), (3, nan, nan), (4, 1e300, -1e300)], stations, 1e-3)
+    assert got[1][0] is None and got[3][0] is None and got[2][0] == "B" and got[4][0] in ("A", "B")
+
+
+def test_dense_circle_takes_the_first_in_order(spark):
+    stations = [(f"S{i}", (i * 37 % 100) / 1000, (i * 61 % 100) / 1000, 1000 - i) for i in range(1000)]
+    got = run(spark, [(1, 0.05, 0.05), (2, 0.3, 0.0)], stations, 0.02)
+    want = brute([(1, 0.05, 0.05), (2, 0.3, 0.0)], stations, 0.02)
+    assert got[1][0] == want[1][0] and got[2][0] == want[2][0]
+
+
+def test_dictionary_keeps_its_order_when_written(spark, tmp_path):
+    st_df = spark.createDataFrame([("Z", 2.0, 0.0, 1), ("A", -2.0, 0.0, 2), ("quote \"q\", \\", 9.0, 9.0, 3)],
+                                  "station string, lon double, lat double, ord long")
+    for k in range(2):
+        write_stations(st_df.repartition(3), str(tmp_path / str(k)))
+        back = load_stations(spark, str(tmp_path / str(k)))
+        q = spark.createDataFrame([(1, 0.0, 0.0)], "qid long, lon double, lat double")
+        assert nearest_station(q, back).first().station == "Z"
+        assert {r.station for r in back.collect()} == {"Z", "A", "quote \"q\", \\"}

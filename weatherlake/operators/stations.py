@@ -9,32 +9,28 @@ a query position.
 2. otherwise the nearest station is taken (lowest ``ord`` among equal
    distances), with the station's coordinates.
 
-It is an equi-join on a grid, never a cross join.  Stations are bucketed in
-square cells; each query probes its own cell and the eight around it.  With a
-cell side ``s``, any station outside those nine cells is farther than ``s``,
-so a candidate closer than ``s`` is the exact answer, and with ``s >= eps``
-the nine cells hold every station within ``eps``.  Queries whose best
-candidate is not provably nearest move on to a grid of twice the cell side
-(only those queries, and each level keeps nine probes per query), until all
-are resolved.  The first pass probes two grids in one join: cells of side
-``eps`` for the within-``eps`` rule and cells near the typical station
-spacing for the nearest rule, so most queries resolve in a single pass.  The station side is broadcast only after its row count is
-checked; otherwise the join shuffles on the cell key, where adaptive skew
-handling splits a crowded cell.
+It searches downwards through nested grids over the stations' bounding box,
+eight times finer at each level, with one row per occupied cell: the bounding
+box of its stations and their lowest ``ord``.  At each level a query keeps the
+cells that can still hold its answer (their box is not farther than the best
+distance some other box guarantees, or meets the circle of ``eps`` and has a
+low enough ``ord``) and goes on to their occupied children by an equi-join.
+The number of levels is fixed by how the stations lie (at most ``MAX_DEPTH``),
+not by how far the queries are, and only the children of kept cells become
+candidates.  No side is broadcast by hint; Spark decides by size.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weatherlake import schema
 from weatherlake.functions.exprs import half_even, planar_distance
 from weatherlake.session import materialize
 
-BROADCAST_MAX_ROWS = 2_000_000
-_SLACK = 1e-9
+FACTOR = 8  # cells per axis within a cell of the level above
+MAX_DEPTH = 7  # 8^7 cells per axis: finer than the four digits of a position on a whole globe
+LEAF = 16  # positions in a cell that need no finer level
 
 
 def load_stations(spark: SparkSession, path: str, *, swapped: bool = True) -> DataFrame:
@@ -44,7 +40,8 @@ def load_stations(spark: SparkSession, path: str, *, swapped: bool = True) -> Da
     ``lon``; ``swapped=True`` puts them right.  ``ord`` keeps the file order
     (path, split, row) without a sort.  Columns: station, lat, lon, ord.
     """
-    raw = spark.read.option("header", True).schema("station string, lat double, lon double").csv(path)
+    raw = (spark.read.option("header", True).option("escape", '"')
+           .schema("station string, lat double, lon double").csv(path))
     lat, lon = ("lon", "lat") if swapped else ("lat", "lon")
     return raw.select(
         "station", F.col(lat).alias("lat"), F.col(lon).alias("lon"),
@@ -53,11 +50,18 @@ def load_stations(spark: SparkSession, path: str, *, swapped: bool = True) -> Da
 
 
 def write_stations(stations: DataFrame, path: str, *, swapped: bool = True, mode: str = "overwrite") -> None:
-    """Write a dictionary as CSV with the ``station,lat,lon`` header, in the
-    shipped column convention when ``swapped``."""
+    """Write a dictionary as one CSV file with the ``station,lat,lon`` header,
+    in the shipped column convention when ``swapped``.
+
+    Rows are in the order of ``ord`` if the frame has it, else of (lat, lon,
+    station), so a dictionary that is written and read again keeps its order
+    and with it the answers of ``nearest_station``.  One file: the order of a
+    dictionary is its row order, and it holds one row per station.
+    """
+    order = ["ord"] if "ord" in stations.columns else ["lat", "lon", "station"]
     lat, lon = ("lon", "lat") if swapped else ("lat", "lon")
-    (stations.select("station", F.col(lat).alias("lat"), F.col(lon).alias("lon"))
-     .write.mode(mode).option("header", True).csv(path))
+    (stations.orderBy(*order).select("station", F.col(lat).alias("lat"), F.col(lon).alias("lon"))
+     .coalesce(1).write.mode(mode).option("header", True).option("escape", '"').csv(path))
 
 
 def station_dictionary(obs: DataFrame, *, digits: int = 4) -> DataFrame:
@@ -72,112 +76,135 @@ def station_dictionary(obs: DataFrame, *, digits: int = 4) -> DataFrame:
     return per_pos.select("station", half_even("lat", digits).alias("lat"), half_even("lon", digits).alias("lon"))
 
 
-def nearest_station(queries: DataFrame, stations: DataFrame, *, eps: float = 1e-3, qid: str = "qid",
-                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def _finite(*cols: str) -> Column:
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    return F.coalesce(ok, F.lit(False))
+
+
+def _gap(q: str, lo: str, hi: str) -> Column:
+    """Distance along one axis from the query to an interval."""
+    return F.greatest(F.col(lo) - F.col(q), F.col(q) - F.col(hi), F.lit(0.0))
+
+
+def _bounds(c: str) -> tuple[Column, Column, Column]:
+    """For a query and a box: no station in it is closer than the first, some
+    station is at most at the second, all are at most at the third.  Each face
+    of a bounding box touches a station, which gives the second."""
+    def far(q: str, axis: str) -> Column:
+        return F.greatest(F.abs(F.col(q) - F.col(f"{c}.{axis}0")), F.abs(F.col(q) - F.col(f"{c}.{axis}1")))
+
+    def near_face(q: str, axis: str) -> Column:
+        return F.least(F.abs(F.col(q) - F.col(f"{c}.{axis}0")), F.abs(F.col(q) - F.col(f"{c}.{axis}1")))
+
+    least = F.hypot(_gap("q_lon", f"{c}.x0", f"{c}.x1"), _gap("q_lat", f"{c}.y0", f"{c}.y1"))
+    some = F.least(F.hypot(near_face("q_lon", "x"), far("q_lat", "y")), F.hypot(near_face("q_lat", "y"), far("q_lon", "x")))
+    return least, some, F.hypot(far("q_lon", "x"), far("q_lat", "y"))
+
+
+def _candidates(q: DataFrame, st: DataFrame, box: tuple[float, float, float, float], eps: float) -> DataFrame:
+    """The pairs of query and station whose distance is computed: for every
+    query the stations of the finest cells it kept."""
+    x0, x1, y0, y1 = box
+    side = max(x1 - x0, y1 - y0) or 1.0
+
+    def index(axis: str, low: float, depth: int) -> Column:
+        cells = FACTOR ** depth
+        return F.least(F.floor((F.col(axis) - low) / side * cells), F.lit(cells - 1)).cast("long")
+
+    def with_cells(df: DataFrame, depth: int) -> DataFrame:
+        return df.withColumn("cx", index("s_lon", x0, depth)).withColumn("cy", index("s_lat", y0, depth))
+
+    depth = 1
+    # one small job per level over the positions; the answer is one number
+    while depth < MAX_DEPTH and with_cells(st, depth).groupBy("cx", "cy").count().agg(F.max("count")).first()[0] > LEAF:
+        depth += 1
+
+    def cells(d: int) -> DataFrame:
+        return (with_cells(st, d).groupBy("cx", "cy")
+                .agg(F.min("s_lon").alias("x0"), F.max("s_lon").alias("x1"), F.min("s_lat").alias("y0"), F.max("s_lat").alias("y1"),
+                     F.min("s_ord").alias("ord"))
+                .select((F.col("cx") / FACTOR).cast("long").alias("px"), (F.col("cy") / FACTOR).cast("long").alias("py"),
+                        F.struct("cx", "cy", "x0", "x1", "y0", "y1", "ord").alias("c")))
+
+    # at most FACTOR * FACTOR cells on the first level, as one array
+    top = cells(1).agg(F.collect_list("c").alias("cs"))
+    live = q.select("*", F.explode(top.scalar()).alias("c"))
+    per_query = Window.partitionBy("qid", "q_lon", "q_lat")
+    for d in range(1, depth + 1):
+        least, some, all_ = _bounds("c")
+        ranked = (live.withColumn("lo", least).withColumn("some", some).withColumn("all", all_)
+                  .withColumn("best", F.min("some").over(per_query))
+                  .withColumn("hit", F.min(F.when(F.col("all") < eps * (1 - 1e-12), F.col("c.ord"))).over(per_query)))
+        may_hit = (F.col("lo") < eps * (1 + 1e-12)) & (F.col("hit").isNull() | (F.col("c.ord") <= F.col("hit")))
+        may_be_nearest = F.col("hit").isNull() & (F.col("lo") <= F.col("best") * (1 + 1e-12))
+        kept = ranked.filter(may_hit | may_be_nearest).select("qid", "q_lon", "q_lat", "c")
+        if d < depth:
+            live = (kept.select("qid", "q_lon", "q_lat", F.col("c.cx").alias("px"), F.col("c.cy").alias("py"))
+                    .join(cells(d + 1), ["px", "py"]).select("qid", "q_lon", "q_lat", "c"))
+    return (kept.select("qid", "q_lon", "q_lat", F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy"))
+             .join(with_cells(st, depth), ["cx", "cy"])
+             .withColumn("d", planar_distance(F.col("q_lon"), F.col("q_lat"), F.col("s_lon"), F.col("s_lat"))))
+
+
+def nearest_station(queries: DataFrame, stations: DataFrame, *, eps: float = 1e-3, qid: str = "qid") -> DataFrame:
     """Snap query positions to stations (see the module notes for the rules).
 
     ``queries``: ``qid`` (unique), lon, lat.  ``stations``: station, lon, lat,
     ord (any orderable dictionary order).  Pass distinct query positions and
     join the answer back when many rows share a position.
-    Columns: qid, station, lon, lat, distance, within_eps.  A query gets NULLs
-    only when there is no station at all.
+    Columns: qid, station, lon, lat, distance, within_eps.  Stations whose
+    position is null, NaN or infinite are ignored; a query at such a position,
+    or without any station, gets NULLs.
     """
     if eps <= 0:
         raise ValueError("eps must be positive")
     st = stations.select("station", F.col("lon").cast("double").alias("s_lon"),
                          F.col("lat").cast("double").alias("s_lat"), F.col("ord").alias("s_ord"))
-    st = materialize(st.filter(F.col("s_lon").isNotNull() & F.col("s_lat").isNotNull()
-                               & ~F.isnan("s_lon") & ~F.isnan("s_lat")))
-    ext = st.agg(F.count(F.lit(1)), F.min("s_lon"), F.max("s_lon"), F.min("s_lat"), F.max("s_lat")).first()
-    n_st = int(ext[0])
-    if n_st <= broadcast_max_rows:
-        st = F.broadcast(st)
+    # one row per position: the first in order answers for all of them
+    st = materialize(st.filter(_finite("s_lon", "s_lat")).groupBy("s_lon", "s_lat")
+                     .agg(F.min(F.struct("s_ord", "station")).alias("s")).select("s_lon", "s_lat", "s.s_ord", "s.station"))
+    n, x0, x1, y0, y1 = st.agg(F.count(F.lit(1)), F.min("s_lon"), F.max("s_lon"), F.min("s_lat"), F.max("s_lat")).first()
     q = queries.select(F.col(qid).alias("qid"), F.col("lon").cast("double").alias("q_lon"),
                        F.col("lat").cast("double").alias("q_lat"))
-    usable = (F.col("q_lon").isNotNull() & F.col("q_lat").isNotNull() & ~F.isnan("q_lon") & ~F.isnan("q_lat"))
-    unanswered = q.filter(~usable) if n_st else q
-    unanswered = unanswered.select(
+    usable = _finite("q_lon", "q_lat")
+    unanswered = (q.filter(~usable) if n else q).select(
         "qid", F.lit(None).cast("string").alias("station"), F.lit(None).cast("double").alias("lon"),
         F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("distance"),
         F.lit(None).cast("boolean").alias("within_eps"))
-    if n_st == 0:
+    if not n:
         return unanswered
 
-    base = eps * (1.0 + _SLACK)
-    # Start the nearest search at a cell side near the typical station spacing.
-    area = max((ext[2] - ext[1]) * (ext[4] - ext[3]), base * base)
-    spacing = math.sqrt(area / n_st)
-    jump = max(1, math.ceil(math.log2(max(spacing / base, 1.0))))
-
-    def grid_pass(pending: DataFrame, levels: list[int], with_eps: bool) -> DataFrame:
-        """One join for several grid levels at once: probes and station cells
-        are tagged with their level and joined on (level, cell)."""
-        sizes = {lv: base * (2.0 ** lv) for lv in levels}
-        probe_arr = F.array(*[F.struct(F.lit(lv).alias("lv"), F.lit(sz).alias("sz"), F.lit(dx).alias("dx"),
-                                       F.lit(dy).alias("dy"))
-                              for lv, sz in sizes.items() for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-        probes = (pending.select("qid", "q_lon", "q_lat", F.explode(probe_arr).alias("_o"))
-                  .select("qid", "q_lon", "q_lat", F.col("_o.lv").alias("lv"),
-                          (F.floor(F.col("q_lon") / F.col("_o.sz")).cast("long") + F.col("_o.dx")).alias("cx"),
-                          (F.floor(F.col("q_lat") / F.col("_o.sz")).cast("long") + F.col("_o.dy")).alias("cy")))
-        level_arr = F.array(*[F.struct(F.lit(lv).alias("lv"), F.lit(sz).alias("sz")) for lv, sz in sizes.items()])
-        cells = (st.select("*", F.explode(level_arr).alias("_l"))
-                 .select("station", "s_lon", "s_lat", "s_ord", F.col("_l.lv").alias("lv"),
-                         F.floor(F.col("s_lon") / F.col("_l.sz")).cast("long").alias("cx"),
-                         F.floor(F.col("s_lat") / F.col("_l.sz")).cast("long").alias("cy")))
-        cand = probes.join(cells, ["lv", "cx", "cy"], "left").withColumn(
-            "d", planar_distance(F.col("q_lon"), F.col("q_lat"), F.col("s_lon"), F.col("s_lat")))
-        top = max(levels)
-        pick = F.struct(F.col("station"), F.col("s_lon"), F.col("s_lat"), F.col("d"))
-        # nearest: the coarsest level's nine cells hold every station closer
-        # than its cell side; lowest order among equal distances
-        aggs = [F.min_by(pick, F.when((F.col("lv") == top) & F.col("d").isNotNull(),
-                                      F.struct(F.col("d"), F.col("s_ord")))).alias("near")]
-        if with_eps:
-            # within eps: level 0's nine cells hold every such station; the
-            # first in dictionary order wins, not the nearest
-            aggs.append(F.min_by(pick, F.when((F.col("lv") == 0) & (F.col("d") < F.lit(eps)),
-                                              F.col("s_ord"))).alias("hit"))
-        best = cand.groupBy("qid", "q_lon", "q_lat").agg(*aggs)
-        if not with_eps:
-            best = best.withColumn("hit", F.lit(None).cast(best.schema["near"].dataType))
-        near_ok = F.coalesce(F.col("near.d") < F.lit(sizes[top] * (1.0 - _SLACK)), F.lit(False))
-        return materialize(best.withColumn("_ok", F.col("hit").isNotNull() | near_ok))
-
-    parts: list[DataFrame] = [unanswered]
-    pending = q.filter(usable)
-    levels, with_eps = [0, jump], True
-    while True:
-        best = grid_pass(pending, levels, with_eps)
-        inside = F.col("hit").isNotNull()
-        parts.append(best.filter("_ok").select(
-            "qid",
-            F.when(inside, F.col("hit.station")).otherwise(F.col("near.station")).alias("station"),
-            F.when(inside, F.col("q_lon")).otherwise(F.col("near.s_lon")).alias("lon"),
-            F.when(inside, F.col("q_lat")).otherwise(F.col("near.s_lat")).alias("lat"),
-            F.when(inside, F.col("hit.d")).otherwise(F.col("near.d")).alias("distance"),
-            inside.alias("within_eps")))
-        pending = best.filter(~F.col("_ok")).select("qid", "q_lon", "q_lat")
-        if pending.isEmpty():
-            break
-        levels, with_eps = [max(levels) + 1], False
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
-
-
-def snap_position(stations: DataFrame, lon: float, lat: float, *, eps: float = 1e-3) -> tuple[float, float, str]:
+    found = _candidates(q.filter(usable), st, (x0, x1, y0, y1), eps)
+    pick = F.struct("station", "s_lon", "s_lat", "d")
+    best = found.groupBy("qid", "q_lon", "q_lat").agg(
+        F.min_by(pick, F.struct("d", "s_ord")).alias("near"),
+        F.min_by(pick, F.when(F.col("d") < eps, F.col("s_ord"))).alias("hit"))
+    inside = F.col("hit").isNotNull()
+    return best.select(
+        "qid", F.when(inside, F.col("hit.station")).otherwise(F.col("near.station")).alias("station"),
+        F.when(inside, F.col("q_lon")).otherwise(F.col("near.s_lon")).alias("lon"),
+        F.when(inside, F.col("q_lat")).otherwise(F.col("near.s_lat")).alias("lat"),
+        F.when(inside, F.col("hit.d")).otherwise(F.col("near.d")).alias("distance"),
+        inside.alias("within_eps")).unionByName(unanswered)
+
+
+def snap_position(stations: DataFrame, lon: float, lat: float, *, eps: float = 1e-3,
+                  stored: bool = False) -> tuple[float, float, str]:
     """One position snapped to the dictionary: ``(lon, lat, station)``.
 
-    The query's own coordinates come back when a station lies within
-    ``eps`` (the first such in dictionary order), else the nearest
-    station's.  Runs ``nearest_station`` on a one-row frame; only the three
-    answer values reach the driver.
+    One aggregate over the stations, no join.  The query's own coordinates
+    come back when a station lies within ``eps`` (the first such in dictionary
+    order), else the nearest station's.  ``stored`` gives the station's
+    position in both cases: the one to look up observations with.
     """
-    spark = stations.sparkSession
-    q = spark.createDataFrame([(0, float(lon), float(lat))], "qid long, lon double, lat double")
-    r = nearest_station(q, stations, eps=eps).first()
-    if r is None or r.station is None:
+    d = planar_distance(F.lit(float(lon)), F.lit(float(lat)), F.col("lon").cast("double"), F.col("lat").cast("double"))
+    rows = stations.filter(_finite("lon", "lat")).select("station", "lon", "lat", "ord", d.alias("d"), (d < eps).alias("hit"))
+    r = rows.agg(F.min_by(F.struct("station", "lon", "lat", "hit"),
+                          F.struct(~F.col("hit"), F.when(F.col("hit"), 0.0).otherwise(F.col("d")), "ord")).alias("r")).first().r
+    if r is None:
         raise ValueError("the station dictionary is empty")
-    return r.lon, r.lat, r.station
+    if r.hit and not stored:
+        return float(lon), float(lat), r.station
+    return float(r.lon), float(r.lat), r.station

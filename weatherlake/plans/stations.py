@@ -20,10 +20,10 @@ def q_station_dictionary(spark, sf_dir):
     return stations.station_dictionary(fx.observations(spark, sf_dir))
 
 
-def nearest_sql(eps: float) -> str:
+def nearest_sql(eps: float, queries=fx.QUERY_ADAPTER, stations=fx.STATION_ADAPTER, table: str = "nation") -> str:
     return f"""
-WITH q AS (SELECT {", ".join(fx.QUERY_ADAPTER)} FROM supplier),
-s AS (SELECT {", ".join(fx.STATION_ADAPTER)} FROM nation),
+WITH q AS (SELECT {", ".join(queries)} FROM supplier),
+s AS (SELECT {", ".join(stations)} FROM {table}),
 c AS (SELECT q.qid, q.lon AS q_lon, q.lat AS q_lat, s.station, s.lon AS s_lon, s.lat AS s_lat, s.ord,
              sqrt(pow(q.lon - s.lon, 2) + pow(q.lat - s.lat, 2)) AS d
       FROM q CROSS JOIN s),
@@ -49,3 +49,9 @@ def q_nearest_station_small_eps(spark, sf_dir):
     out = stations.nearest_station(fx.query_positions(spark, sf_dir), fx.reference_stations(spark, sf_dir),
                                    eps=0.05)
     return out.select("qid", "station", "lon", "lat", r6("distance"), "within_eps")
+
+
+@register("nearest_station_far", nearest_sql(0.001, fx.FAR_QUERY_ADAPTER, fx.CLUSTER_ADAPTER, "customer"))
+def q_nearest_station_far(spark, sf_dir):
+    out = stations.nearest_station(fx.far_positions(spark, sf_dir), fx.clustered_stations(spark, sf_dir), eps=0.001)
+    return out.select("qid", "station", "lon", "lat", r6("distance"), "within_eps")

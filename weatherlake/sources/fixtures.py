@@ -62,6 +62,20 @@ STATION_ADAPTER = (
     "n_nationkey as ord",
 )
 
+# Positions far from all stations, and stations in one dense cluster with an
+# outlier.
+FAR_QUERY_ADAPTER = (
+    "s_suppkey as qid",
+    "s_acctbal * 10.0 + 200.0 as lon",
+    "cast(s_suppkey % 50 as double) * 40.0 - 500.0 as lat",
+)
+CLUSTER_ADAPTER = (
+    "concat('C', c_custkey) as station",
+    "case when c_custkey = 1 then 500.0 else cast(c_custkey % 40 as double) * 0.01 end as lon",
+    "case when c_custkey = 1 then 500.0 else cast(c_custkey % 1000 as double) * 0.0004 end as lat",
+    "c_custkey as ord",
+)
+
 # Test parameters used by the registered queries.
 PROBE_LAT, PROBE_LON = -12.0, 34.5
 PROBE_YEAR = 1998
@@ -91,6 +105,14 @@ def reference_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").selectExpr(*STATION_ADAPTER)
 
 
+def far_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").selectExpr(*FAR_QUERY_ADAPTER)
+
+
+def clustered_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(*CLUSTER_ADAPTER)
+
+
 def sql_cte() -> str:
     """The adapter as a DuckDB/ANSI ``WITH`` clause defining ``O``."""
     return "O AS (SELECT " + ",\n  ".join(OBS_ADAPTER) + " FROM lineitem)"
