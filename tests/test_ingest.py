@@ -112,3 +112,59 @@ def test_column_order_free(spark, tmp_path):
     (d / "x.csv").write_text("tmpf,lon,valid,lat,station\n5,2,2011-09-01 01:00,1,A\n")
     r = read_metar(spark, str(d)).first()
     assert (r.station, r.lat, r.lon, r.tmpf) == ("A", 1.0, 2.0, 5.0)
+
+
+def _write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_strict_holds_under_column_pruning(spark, tmp_path):
+    f = _write(tmp_path / "a.csv", "station,valid,lat,lon,tmpf,relh\nS1,2011-01-01 00:00,,2,M,5\nS2,2011-01-01 00:01,1,2,3,5\n")
+    df = read_metar(spark, f, strict=True)
+    for columns in (["tmpf"], ["year", "month"], ["lat"], ["minute"], df.columns):
+        with pytest.raises(Exception, match="unparsable METAR row"):
+            df.select(*columns).collect()
+    from weatherlake.operators import climate
+    with pytest.raises(Exception, match="unparsable METAR row"):
+        climate.seasonal_mean(df, "relh").collect()
+    assert [r.relh for r in df.select("relh").collect()] == [5.0, 5.0]  # this column's own cells are fine
+    assert df.count() == 2  # reads no column
+
+
+def test_columns_by_name_across_files(spark, tmp_path):
+    a = _write(tmp_path / "a.csv", "station,valid,lat,lon,tmpf,relh\nA,2011-01-01 00:00,1,2,50,99\n")
+    b = _write(tmp_path / "b.csv", "station,valid,lat,lon,relh,tmpf\nB,2011-01-01 00:00,1,2,99,50\n")
+    c = _write(tmp_path / "c.csv", "station,valid,lat,lon,tmpf\nC,2011-01-01 00:00,1,2,50\n")
+    got = {r.station: (r.tmpf, r.relh) for r in read_metar(spark, [a, b, c]).collect()}
+    assert got == {"A": (50.0, 99.0), "B": (50.0, 99.0), "C": (50.0, None)}
+    with pytest.raises(Exception):
+        read_metar(spark, str(tmp_path)).collect()  # one folder, differing headers
+
+
+def test_quoting(spark, tmp_path):
+    f = _write(tmp_path / "a.csv", 'station,valid,lat,lon,wxcodes,tmpf\n"a ""b"", c",2011-01-01 00:00,1,2,"x\\",7\n')
+    r = read_metar(spark, f).first()
+    assert (r.station, r.wxcodes, r.tmpf) == ('a "b", c', "x\\", 7.0)
+
+
+def test_later_path_wins(spark, tmp_path):
+    from weatherlake import schema
+    from weatherlake.operators.upsert import upsert_last
+    z = _write(tmp_path / "z.csv", "station,valid,lat,lon,tmpf\nA,2011-01-01 00:00,1,2,10\n")
+    a = _write(tmp_path / "a.csv", "station,valid,lat,lon,tmpf\nA,2011-01-01 00:00,1,2,20\n")
+    assert upsert_last(read_metar(spark, [z, a]), schema.KEY_POSITION, "_seq").first().tmpf == 20.0
+    assert upsert_last(read_metar(spark, [a, z]), schema.KEY_POSITION, "_seq").first().tmpf == 10.0
+    assert [r.tmpf for r in read_metar(spark, [z, a], limit=1).collect()] == [10.0]
+
+
+def test_lenient_rejects_what_has_no_value(spark, tmp_path):
+    f = _write(tmp_path / "a.csv", "station,valid,lat,lon,tmpf\nA,99999999999-01-01 00:00,1,2,1\nB,2011-01-01 00:00,1,null,1\n"
+               "C,bad,1,2,1\nD,2011-01-01 00:00,1,2,1.5d\nE,2011-01-01 00:00,1,2,inf\nF,2011-01-01 00:00,1,2, 2.5 \n")
+    raw = read_raw(spark, f)
+    got = {r.station: r.tmpf for r in parse_metar(raw, strict=False).collect()}
+    assert got == {"D": None, "E": float("inf"), "F": 2.5}
+    reasons = {r.station: r.reject_reason for r in metar_rejects(raw, strict=False).collect()}
+    assert reasons == {"A": "bad timestamp", "B": "null position", "C": "bad timestamp"}
+    with pytest.raises(Exception, match="unparsable METAR row"):
+        parse_metar(raw, strict=True).select("day").collect()

@@ -98,7 +98,7 @@ def test_write_layouts_one_pass(spark, tmp_path):
     from weatherlake.sources.layouts import write_layouts
     df = _frame(spark)
     rp, rd = write_layouts(df, str(tmp_path / "p"), str(tmp_path / "d"), "seq")
-    assert (rp.rows_sent, rp.rows_kept) == (5, 4) and (rd.rows_sent, rd.rows_kept) == (4, 4)
+    assert (rp.rows_sent, rp.rows_kept) == (5, 4) and (rd.rows_sent, rd.rows_kept) == (5, 4)
     pos, date = read_layout(spark, str(tmp_path / "p")), read_layout(spark, str(tmp_path / "d"))
     assert sorted(tuple(r) for r in pos.collect()) == sorted(tuple(r) for r in date.collect())
     # the bare time key collapses same-minute stations, last write winning
@@ -108,6 +108,37 @@ def test_write_layouts_one_pass(spark, tmp_path):
     assert [r.seq for r in kept] == [3]
 
 
+def test_merge_into_stored_rows(spark, tmp_path):
+    old, new = _rows()[:2] + _rows()[3:], [_rows()[2], ("C", 2013, 1, 1, 0, 0, 5.5, 6.5, 1.0, 1.0, 1)]
+    for k, (write, suffix) in enumerate([(write_by_position, "p"), (write_by_date, "d")]):
+        a, b = str(tmp_path / f"{suffix}a"), str(tmp_path / f"{suffix}b")
+        write(_frame(spark, old), a, "seq")
+        rep = write(_frame(spark, new), b, "seq", existing=read_layout(spark, a))
+        assert (rep.rows_sent, rep.rows_kept) == (2, 5)
+        got = read_layout(spark, b)
+        assert got.groupBy(*schema.KEY_POSITION).count().filter("count > 1").count() == 0
+        assert sorted(r.seq for r in got.collect()) == [1, 2, 3, 4, 5]  # the later row replaced the first
+        assert got.filter("station = 'A' and year = 2011").first().tmpf is None
+    with pytest.raises(ValueError):
+        write_by_position(_frame(spark), str(tmp_path / "x"), None, existing=read_layout(spark, a))
+
+
+def test_one_exchange_per_write_and_34_columns(spark, tmp_path):
+    from weatherlake.sources.metar_csv import read_metar
+    f = tmp_path / "a.csv"
+    header = ",".join(schema.RAW_COLUMNS)
+    f.write_text(header + "\n" + "\n".join(
+        ",".join(["S1", f"2011-01-01 00:0{k}", "1.0", "2.0"] + ["1"] * (len(schema.RAW_COLUMNS) - 4)) for k in range(5)) + "\n")
+    obs = read_metar(spark, str(f), strict=False)
+    write_by_position(obs, str(tmp_path / "p"), partitions=2)
+    assert spark.read.parquet(str(tmp_path / "p")).columns == list(schema.OBS_COLUMNS)
+    layout = list(schema.KEY_POSITION)
+    from pyspark.sql import Window, functions as F
+    plan = (obs.repartitionByRange(2, *layout).withColumn("n", F.lead(F.lit(1)).over(Window.partitionBy(*layout).orderBy("_seq")))
+            ._jdf.queryExecution().executedPlan().toString())
+    assert plan.count("Exchange ") == 1
+
+
 def test_hot_position_is_split_across_files(spark, tmp_path):
     from pyspark.sql import functions as F
     # one position holds 90% of the rows: the range layout on (position, time)

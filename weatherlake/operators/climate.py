@@ -160,6 +160,20 @@ def year_vs_seasonal_series(obs: DataFrame, indicator: str, year: int, lat: floa
             .filter(F.col("value").isNotNull()))
 
 
+def yearly_vs_seasonal_series(obs: DataFrame, indicator: str = "tmpf", lat: float | None = None, lon: float | None = None,
+                              *, pre_round: int | None = 1, to_celsius: bool = False) -> DataFrame:
+    """Each year against the seasonal mean, in long, plot-ready form: the
+    seasonal line and one line per year on the same month axis, labelled as
+    the figure's legend.  One scan: both means are grouping sets of one
+    aggregation.  Columns: [lat, lon,] month, series, value."""
+    df, keys = _scope(obs, indicator, lat, lon)
+    value = _finish(F.avg(_value(indicator, pre_round)), to_celsius, indicator)
+    grouped = df.filter(F.col(indicator).isNotNull()).select(*keys, "month", "year", indicator).groupingSets(
+        [[*keys, "month", "year"], [*keys, "month"]], *keys, "month", "year").agg(value.alias("value"), F.grouping("year").alias("_all"))
+    series = F.when(F.col("_all") == 1, F.lit(SEASONAL_LABEL)).otherwise(F.concat(F.col("year").cast("string"), F.lit(YEAR_LABEL.format(year=""))))
+    return grouped.select(*keys, "month", series.alias("series"), "value")
+
+
 def plot_order(df: DataFrame) -> DataFrame:
     """Sort a climatology result the way its figure reads: by position, then
     year and month numerically, then series.  Results are unordered by

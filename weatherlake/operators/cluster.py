@@ -18,9 +18,9 @@ Rules fixed for determinism:
   cluster index;
 - centroids are updated as the mean of the members in raw units; an empty
   cluster keeps its centroid;
-- at most ``n_iter`` iterations; once an update leaves every centroid exactly
-  unchanged, later iterations would repeat it, so the loop stops there with
-  the same result;
+- at most ``n_iter`` iterations; once an assignment leaves every cluster its
+  members (their count and a hash of their positions), later iterations would
+  repeat it, so the loop stops there with the same result;
 - inertia is the sum of the (unsquared) distances of the final assignment.
 """
 
@@ -138,18 +138,21 @@ def kmeans_stations(features: DataFrame, k: int, n_iter: int = 100, *,
         if len(centroids) != k or any(len(r) != len(cols) for r in centroids):
             raise ValueError("init must hold k rows of one value per feature")
 
-    iterations, converged = 0, False
+    iterations, converged, members = 0, False, None
     for _ in range(n_iter):
         assigned = _assign(points, centroids, means, stds)
-        rows = assigned.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in cols]).collect()
-        new = [list(c) for c in centroids]
-        for r in rows:
-            new[r["cluster"]] = [float(r[c]) for c in cols]
+        rows = assigned.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n"),
+                                               F.bit_xor(F.xxhash64("lat", "lon")).alias("_members")).collect()
         iterations += 1
-        if new == centroids:
+        # the order of a distributed sum may change a mean's last digit, but not who is a member
+        now = {r["cluster"]: (r["_n"], r["_members"]) for r in rows}
+        if now == members:
             converged = True
             break
-        centroids = new
+        members = now
+        centroids = [list(c) for c in centroids]
+        for r in rows:
+            centroids[r["cluster"]] = [float(r[c]) for c in cols]
 
     final = _assign(points, centroids, means, stds).select(
         "lat", "lon", "cluster", F.concat(F.lit("cluster_"), (F.col("cluster") + 1).cast("string")).alias("label"),

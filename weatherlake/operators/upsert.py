@@ -6,16 +6,18 @@ values of those cells (``upsert_partial``).
 
 "In order" needs an explicit total order: distributed input has no row
 number, so callers pass ordering columns (``_seq`` from the CSV scan, or any
-unique combination).  Both upserts are one keyed aggregation with a partial
-aggregate before the shuffle: each map task collapses its own copies of a key
-first, so a key holding a third of all rows ships one row per task.
+unique combination).  ``upsert_last`` is one keyed aggregation with a partial
+aggregate before the shuffle: where keys have many copies, each map task
+collapses its own first, so a key holding a third of all rows ships one row per
+task (on a nearly unique key the partial step saves nothing).
+``upsert_partial`` needs the rows of a key in order and shuffles each once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _order(order: Sequence[str | Column] | str | Column) -> Column:
@@ -61,11 +63,18 @@ def upsert_last(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]
 
 def upsert_partial(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | str | Column) -> DataFrame:
     """One row per key where each cell is the latest non-NULL value written
-    to it (NULL means "unset"); a cell never set stays NULL."""
+    to it (NULL means "unset"); a cell never set stays NULL.
+
+    Each row is shuffled once and carries its order once.  The rows of a key
+    are sorted in place and read as a stream, so a key with many writes costs
+    no memory.
+    """
     _check_key(df, key)
-    o = _order(order)
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o)).alias(c) for c in df.columns if c not in key]
-    out = _group(df, key).agg(*aggs)
+    written = df.withColumn("_order", _order(order))
+    so_far = Window.partitionBy(*key).orderBy("_order")
+    cells = [F.last(c, ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(c)
+             for c in df.columns if c not in key]
+    out = written.select(*key, *cells, F.lead(F.lit(1)).over(so_far).alias("_next")).filter(F.col("_next").isNull())
     return out.select(*df.columns)
 
 

@@ -209,3 +209,13 @@ def q_historical_stats_first100(spark, sf_dir):
     obs = fx.observations(spark, sf_dir)
     return (climate.historical_stats(obs, "tmpf", limit=HISTORY_ROWS, tie_break=TIE_BREAK)
             .select("lat", "lon", "year", "month", "n_obs", r6("mean"), r6("std")))
+
+
+@register("yearly_vs_seasonal_series", with_o(f"""
+, v AS (SELECT year, month, round_even(CAST(tmpf AS DOUBLE), 1) AS x FROM O WHERE {POS} AND tmpf IS NOT NULL)
+SELECT month, '{climate.SEASONAL_LABEL}' AS series, round({F2C.format(x='avg(x)')}, 6) AS value FROM v GROUP BY month
+UNION ALL
+SELECT month, concat(year, ' values') AS series, round({F2C.format(x='avg(x)')}, 6) AS value FROM v GROUP BY year, month"""))
+def q_yearly_vs_seasonal_series(spark, sf_dir):
+    obs = fx.observations(spark, sf_dir)
+    return climate.yearly_vs_seasonal_series(obs, "tmpf", LAT, LON, to_celsius=True).select("month", "series", r6("value"))

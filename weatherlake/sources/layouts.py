@@ -9,10 +9,16 @@
   range-partitioned and sorted on the full time key, so a day or minute
   filter skips row groups inside a month.
 
-Both writes first apply the table's key with last-write-wins semantics
-(``upsert_last``), which is what inserting the rows in order into a keyed
-table leaves behind.  Both return the number of rows sent and kept, measured
-with observed metrics on the write job itself (no extra pass).
+Both writes apply the table's key with last-write-wins semantics, which is what
+inserting the rows in order into a keyed table leaves behind.  Each write is
+one full-row exchange: rows are range-partitioned on the whole key, which
+already brings the rows of a key together, and the last one of each key is
+taken in place.  Both return the number of rows sent and kept, measured with
+observed metrics on the write job itself (no extra pass).
+
+The stored tables have the 34 columns of ``schema.OBS_COLUMNS`` (those that
+the input has) and, where the input has them, further columns of the caller;
+the scan's ``_seq`` is not stored.
 """
 
 from __future__ import annotations
@@ -20,10 +26,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from weatherlake import schema
-from weatherlake.operators.upsert import upsert_last
+from weatherlake.sources.metar_csv import SEQ
 
 
 @dataclass(frozen=True)
@@ -33,45 +39,64 @@ class WriteReport:
 
 
 def _write(obs: DataFrame, path: str, key: Sequence[str], order: Sequence[str | Column] | str | Column | None,
-           layout: Sequence[str], partition_by: Sequence[str], mode: str, partitions: int | None,
+           layout: Sequence[str], partition_by: Sequence[str], existing: DataFrame | None, partitions: int | None,
            max_records_per_file: int | None) -> WriteReport:
     # Counts are observed after the range exchange: the sampling job that
     # computes the range bounds runs the plan below it a second time.
-    report = Observation("write_report")
-    df = upsert_last(obs, key, order, count_as="_n") if order is not None else obs.withColumn("_n", F.lit(1))
-    df = (df.repartitionByRange(partitions, *layout) if partitions else df.repartitionByRange(*layout))
-    df = df.observe(report, F.sum("_n").alias("sent"), F.count(F.lit(1)).alias("kept")).drop("_n")
-    df = df.sortWithinPartitions(*layout)
-    w = df.write.mode(mode)
+    sent, kept = Observation("rows_sent"), Observation("rows_kept")
+    rank = [F.col(o) if isinstance(o, str) else o for o in ([order] if isinstance(order, (str, Column)) else order or [])]
+    if order is not None and not rank:
+        raise ValueError("an explicit order is required to decide which write is last")
+    df = obs.select("*", F.struct(F.lit(1).alias("new"), *rank).alias("_order"))
+    if existing is not None:
+        if order is None:
+            raise ValueError("merging with stored rows needs the order of the new ones")
+        kind = df.schema["_order"].dataType
+        old = existing.select("*", F.struct(F.lit(0).alias("new"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields[1:]])
+                              .alias("_order"))
+        df = old.unionByName(df, allowMissingColumns=True)
+    df = df.repartitionByRange(partitions, *layout) if partitions else df.repartitionByRange(*layout)
+    df = df.observe(sent, F.coalesce(F.sum(F.col("_order.new").cast("long")), F.lit(0)).alias("n"))
+    if order is not None:
+        # the rows of a key are together and this window sorts them as the files are sorted
+        last = Window.partitionBy(*[c for c in layout if c in key]).orderBy("_order")
+        df = df.withColumn("_next", F.lead(F.lit(1)).over(last)).filter(F.col("_next").isNull()).drop("_next")
+    df = df.observe(kept, F.count(F.lit(1)).alias("n")).drop("_order", SEQ)
+    w = df.sortWithinPartitions(*layout).write.mode("overwrite")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    got = report.get
-    return WriteReport(int(got["sent"] or 0), int(got["kept"]))
+    return WriteReport(int(sent.get["n"] or 0), int(kept.get["n"]))
 
 
 def write_by_position(obs: DataFrame, path: str, order: Sequence[str | Column] | str | Column | None = "_seq",
-                      *, key: Sequence[str] = schema.KEY_POSITION, mode: str = "overwrite",
+                      *, key: Sequence[str] = schema.KEY_POSITION, existing: DataFrame | None = None,
                       partitions: int | None = None, max_records_per_file: int | None = None) -> WriteReport:
     """Create or replace the by-position table.  ``order=None`` declares the
-    key already unique and skips the upsert."""
+    key already unique and skips the upsert.
+
+    ``existing`` holds the rows of a table that is already there: the new rows
+    are inserted into them (on an equal key the new row wins, and only new
+    rows count as sent).  ``path`` must then be another one than the table's:
+    a Parquet table cannot be replaced while it is read."""
     layout = list(key) + [c for c in schema.TIME_PARTS if c not in key]
-    return _write(obs, path, key, order, layout, (), mode, partitions, max_records_per_file)
+    return _write(obs, path, key, order, layout, (), existing, partitions, max_records_per_file)
 
 
 def write_by_date(obs: DataFrame, path: str, order: Sequence[str | Column] | str | Column | None = "_seq",
-                  *, key: Sequence[str] = schema.KEY_DATE, mode: str = "overwrite",
+                  *, key: Sequence[str] = schema.KEY_DATE, existing: DataFrame | None = None,
                   partitions: int | None = None, max_records_per_file: int | None = None) -> WriteReport:
     """Create or replace the by-date table, partitioned by year and month.
 
     The default key includes the position, so stations reporting in the same
     minute do not overwrite each other; pass ``schema.KEY_DATE_BARE`` for the
-    time-only key where the last station in the minute wins.
+    time-only key where the last station in the minute wins.  ``existing`` as
+    in ``write_by_position``.
     """
     layout = list(schema.TIME_PARTS) + [c for c in key if c not in schema.TIME_PARTS]
-    return _write(obs, path, key, order, layout, ("year", "month"), mode, partitions, max_records_per_file)
+    return _write(obs, path, key, order, layout, ("year", "month"), existing, partitions, max_records_per_file)
 
 
 def read_layout(spark: SparkSession, path: str) -> DataFrame:
@@ -86,19 +111,18 @@ def write_layouts(obs: DataFrame, position_path: str, date_path: str,
                   order: Sequence[str | Column] | str | Column | None = "_seq", *,
                   date_key: Sequence[str] = schema.KEY_DATE, partitions: int | None = None,
                   max_records_per_file: int | None = None) -> tuple[WriteReport, WriteReport]:
-    """Create or replace both layouts from one pass over the input.
+    """Create or replace both layouts.
 
-    The input is upserted once, into the by-position table; the by-date table
-    is then written from that Parquet output rather than from the input again.
     With the default date key (time and position, the same columns as the
-    position key) no second upsert is needed; with the bare time key the
-    stored rows are upserted again on it, using the same order columns, which
-    the by-position table keeps.
+    position key) the by-date table is written from the stored by-position
+    rows, which are unique on it already.  With the bare time key it is
+    written from the input: which row is last depends on the input order.
+    Both reports count the rows of the input as sent.
     """
     rep_pos = write_by_position(obs, position_path, order, partitions=partitions,
                                 max_records_per_file=max_records_per_file)
-    stored = obs.sparkSession.read.parquet(position_path)
     same_key = set(date_key) == set(schema.KEY_POSITION)
-    rep_date = write_by_date(stored, date_path, None if same_key else order, key=date_key,
+    source = obs.sparkSession.read.parquet(position_path) if same_key else obs
+    rep_date = write_by_date(source, date_path, None if same_key else order, key=date_key,
                              partitions=partitions, max_records_per_file=max_records_per_file)
-    return rep_pos, rep_date
+    return rep_pos, WriteReport(rep_pos.rows_sent, rep_date.rows_kept)

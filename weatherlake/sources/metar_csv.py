@@ -1,19 +1,27 @@
 """METAR CSV ingest: raw text cells to typed observations, plus the rejects.
 
-``read_raw`` is one distributed CSV scan that keeps every cell as text and
-adds ``_seq``, the row's position in the input (file path, split start, row
-id within the split).  ``_seq`` orders rows in file order without a sort, so
-"last written wins" can be decided later by any key.
+``read_raw`` is a distributed CSV scan that keeps every cell as text and adds
+``_seq``, the row's position in the input: the rank of its path in the caller's
+list, then (for a path that holds several files) the file name, the split
+start and the row id within the split.  ``_seq`` orders rows in input order
+without a sort, so "last written wins" can be decided later by any key.
 
 ``parse_metar`` turns text into the typed observation schema:
 
 - ``valid`` must start with ``Y-M-D h:m`` (trailing seconds are accepted);
   other rows are dropped here and returned by ``metar_rejects``;
 - the tokens ``null`` and TAB, and empty cells, become NULL;
-- numbers are parsed as 32-bit floats.  ``strict=True`` raises on text that is
-  not a number (as the original load aborts), ``strict=False`` makes it NULL;
-- a NULL position cannot be stored under a position key: ``strict`` raises,
-  lenient mode sends the row to the rejects.
+- numbers are parsed as 32-bit floats, as Python's ``float`` reads them.
+  ``strict=True`` raises on text that is not a number (as the original load
+  aborts), ``strict=False`` makes it NULL;
+- a NULL position cannot be stored under a position key, and a time part that
+  does not fit an int has no value: ``strict`` raises, lenient mode sends the
+  row to the rejects.
+
+The strict checks stand in the columns themselves, so they hold whichever
+columns a query reads: each number checks its own cell, and the time parts,
+``lat`` and ``lon`` check that the row is usable.  ``count()`` reads no column
+and counts the rows whose timestamp matches, without parsing them.
 """
 
 from __future__ import annotations
@@ -30,18 +38,50 @@ SEQ = "_seq"
 def read_raw(spark: SparkSession, path: str | Sequence[str], *, limit: int | None = None) -> DataFrame:
     """Scan METAR CSV files with a header; every column as text, by name.
 
-    ``limit`` keeps the first ``limit`` rows in file order (a distributed
-    top-k on ``_seq``).
+    Each path (a file or a folder) is read by its own header; paths may order
+    their columns differently, and a column that some lack is NULL there.
+    Quoted cells may hold commas, and quotes as two quotes.  ``limit`` keeps
+    the first ``limit`` rows in input order.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("mode", "PERMISSIVE").csv(paths))
-    raw = raw.select("*", F.struct(
-        F.col("_metadata.file_path").alias("file"),
+    if not paths:
+        raise ValueError("no path given")
+    scans = [_scan(spark, p, rank) for rank, p in enumerate(paths)]
+    if limit is not None:
+        return _first_rows(scans, limit)
+    raw = scans[0]
+    for more in scans[1:]:
+        raw = raw.unionByName(more, allowMissingColumns=True)
+    return raw
+
+
+def _scan(spark: SparkSession, path: str, rank: int) -> DataFrame:
+    """One path of the caller's list: columns by its own header, which all of
+    its files must share (a differing one raises)."""
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    one_file = len(raw.inputFiles()) <= 1
+    return raw.select("*", F.struct(
+        F.lit(rank).alias("path"),
+        (F.lit(None).cast("string") if one_file else F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("offset"),
         F.monotonically_increasing_id().alias("row")).alias(SEQ))
-    if limit is not None:
-        raw = raw.orderBy(SEQ).limit(limit)
+
+
+def _first_rows(scans: Sequence[DataFrame], limit: int) -> DataFrame:
+    """The first rows in input order, path by path: later paths are read only
+    while rows are missing."""
+    parts, missing = [], limit
+    for scan in scans:
+        part = scan.orderBy(SEQ).limit(missing)
+        parts.append(part)
+        if scan is not scans[-1]:
+            missing -= part.count()
+            if missing <= 0:
+                break
+    raw = parts[0]
+    for more in parts[1:]:
+        raw = raw.unionByName(more, allowMissingColumns=True)
     return raw
 
 
@@ -74,7 +114,14 @@ def _typed(name: str, text: Column) -> Column:
         ts = F.make_timestamp(F.year(local), F.month(local), F.dayofmonth(local), F.hour(local),
                               F.minute(local), F.second(local).cast("decimal(8,6)"), F.lit("UTC"))
         return F.when(local.isNotNull(), ts)
-    return text.try_cast("float")
+    return _number(text)
+
+
+def _number(text: Column) -> Column:
+    """A cell as ``float`` reads it: Java's type suffixes (1.5d) are no numbers."""
+    last = F.lower(F.right(text, F.lit(1)))
+    suffix = (last == "d") | ((last == "f") & (F.lower(F.right(text, F.lit(3))) != "inf"))
+    return F.when(~suffix, text.try_cast("float"))
 
 
 def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = False,
@@ -86,11 +133,10 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     ``keep`` names extra columns passed through unchanged (``_seq`` always is).
 
     One filter and one projection.  Each output column is a self-contained
-    expression on the raw cells; the strict check is a single flag over the
-    same expressions, which subexpression elimination evaluates once.  (A
-    chain of projections carrying text and typed copies of every column
-    compiles to one method too large for the JIT; a filter for the check
-    would be pushed below the parse and evaluate it twice.)
+    expression on the raw cells, its strict check included, so no check is
+    lost when a query reads only some columns.  (A chain of projections
+    carrying text and typed copies of every column compiles to one method too
+    large for the JIT.)
     """
     if "valid" not in raw.columns:
         raise ValueError("input has no 'valid' column")
@@ -107,54 +153,53 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     # as the tokens do not parse and become NULL anyway.
     typed = {c: (_cell(raw, c) if is_text(c) else _typed(c, present[c])) for c in text_cols}
 
-    station = typed["station"]
+    def given(c: str) -> Column:
+        return present[c].isNotNull() & ~present[c].isin(*schema.NULL_TOKENS, "")
+
+    # A short message keeps the generated code small: station and time locate the row.
+    failure = F.raise_error(F.concat(F.lit("unparsable METAR row (NULL position or bad number) at station "),
+                                     F.coalesce(F.col("station"), F.lit("NULL")), F.lit(", valid "), F.col("valid")))
+
+    unusable = typed["lat"].isNull() | typed["lon"].isNull()
+    for n in schema.TIME_PARTS:
+        unusable = unusable | times[n].isNull()
     if strict:
-        fails = [part_text[n].isNotNull() & times[n].isNull() for n in schema.TIME_PARTS]
-        def given(c: str) -> Column:
-            return present[c].isNotNull() & ~present[c].isin(*schema.NULL_TOKENS, "")
-
-        fails += [given(c) & typed[c].isNull() for c in text_cols if not is_text(c) and c in raw.columns]
-        bad = ~given("lat") | ~given("lon")
-        for f in fails:
-            bad = bad | f
-        # A short message keeps the generated code small: station and time
-        # locate the row.
-        message = F.concat(F.lit("unparsable METAR row (NULL position or bad number) at station "),
-                           F.coalesce(F.col("station"), F.lit("NULL")), F.lit(", valid "), F.col("valid"))
-        station = F.when(bad, F.raise_error(message)).otherwise(station)
+        times = {n: F.when(unusable, failure).otherwise(t) for n, t in times.items()}
+        for c in text_cols:
+            if c in ("lat", "lon"):
+                typed[c] = F.when(unusable, failure).otherwise(typed[c])
+            elif not is_text(c) and c in raw.columns:
+                typed[c] = F.when(given(c) & typed[c].isNull(), failure).otherwise(typed[c])
 
     cols: list[Column] = []
     for name in schema.OBS_COLUMNS:
-        if name == "station":
-            cols.append(station.alias("station"))
-        elif name == "year":
+        if name == "year":
             tcols = [times[n].alias(n) for n in schema.TIME_PARTS]
             cols.extend([F.struct(*tcols).alias("valid")] if valid_struct else tcols)
         elif name not in schema.TIME_PARTS:
             cols.append(typed[name].alias(name))
     if valid_struct:
         cols.append(typed["metar"].alias("metar"))
-    out = raw.filter(F.col("valid").rlike(schema.VALID_PATTERN)).select(*cols, *passthrough)
-    if not strict:
-        out = out.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    return out
+    usable = F.col("valid").rlike(schema.VALID_PATTERN)
+    return raw.filter(usable if strict else usable & ~unusable).select(*cols, *passthrough)
 
 
 def metar_rejects(raw: DataFrame, *, strict: bool = True) -> DataFrame:
     """The raw rows that ``parse_metar`` drops, with a ``reject_reason``.
 
     A row is rejected for a timestamp that does not match; in lenient mode
-    also for a missing position (strict mode raises on it instead).
+    also for a time part that does not fit an int, or a missing position
+    (strict mode raises on both instead).
     """
     bad_time = ~valid_ok(raw)
-    reason = F.when(bad_time, F.lit("bad timestamp"))
-    cond = bad_time
+    no_pos = F.lit(False)
     if not strict:
-        lat, lon = _cell(raw, "lat"), _cell(raw, "lon")
-        no_pos = lat.try_cast("float").isNull() | lon.try_cast("float").isNull()
-        reason = reason.when(no_pos, F.lit("null position"))
-        cond = cond | no_pos
-    return raw.filter(cond).withColumn("reject_reason", reason)
+        parts = F.split(_valid_prefix(), "[-: ]")
+        for i in range(len(schema.TIME_PARTS)):
+            bad_time = bad_time | F.get(parts, F.lit(i)).try_cast("int").isNull()
+        no_pos = _number(_cell(raw, "lat")).isNull() | _number(_cell(raw, "lon")).isNull()
+    reason = F.when(bad_time, F.lit("bad timestamp")).when(no_pos, F.lit("null position"))
+    return raw.filter(bad_time | no_pos).withColumn("reject_reason", reason)
 
 
 def read_metar(spark: SparkSession, path: str | Sequence[str], *, strict: bool = True,
