@@ -20,7 +20,7 @@ import json
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from weatherlake.llm.shared import table
+from weatherlake.llm.shared import smallest_by_hash, table
 
 UNKNOWN = "unknown"
 SAMPLE = 2000  # paragraphs of the documents used as examples of unknown text
@@ -175,8 +175,9 @@ def scan_licences(docs: DataFrame, *, id: str = "doc_id", text: str = "text", le
     """
     spark = docs.sparkSession
     paragraphs = _paragraphs(docs, id, text)
-    background = [r.line for r in paragraphs.filter(~F.lower("line").rlike("licen[cs]|copyright|warrant|redistribut|public domain|spdx|gpl"))
-                  .select(F.substring("line", 1, 2000).alias("line")).orderBy(F.xxhash64("line"), "line").limit(SAMPLE).collect()]
+    others = paragraphs.select("line").filter(~F.lower("line").rlike("licen[cs]|copyright|warrant|redistribut|public domain|spdx|gpl"))
+    background = [r.line for r in smallest_by_hash(others, F.xxhash64("line"), SAMPLE, "line").select(F.substring("line", 1, 2000).alias("line"))
+                  .collect()]
     model = fit_licence_model(background)
     classes = model["classes"]
     weights = _inline(spark, [{"gram": g, "w": [round(float(v), 6) for v in row]}

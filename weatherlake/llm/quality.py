@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.language import is_held_out
-from weatherlake.llm.shared import extended, modest_batches, table
+from weatherlake.llm.shared import extended, modest_batches, smallest_by_hash, table
 
 # byte classes: what stands in a text besides lower-case letters
 _CLASSES = ["other", "lower", "upper", "digit", "blank", "point", "exclaim", "bar", "sign", "quote", "high"]
@@ -212,8 +212,9 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id",
     """Fit on the labelled documents (label 0 or 1; others, null ids and null
     texts are left out), at most ``train_docs`` of them.  Without both labels
     the score is constant: the share of label 1, or one half without any."""
-    chosen = (labels.filter(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(F.col(id).alias("id"))
-              .agg(F.min(label).cast("int").alias("label")).orderBy(F.xxhash64("id"), "id").limit(train_docs))
+    known = (labels.filter(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(F.col(id).alias("id"))
+             .agg(F.min(label).cast("int").alias("label")))
+    chosen = smallest_by_hash(known, F.xxhash64("id"), train_docs, "id")
     # bounded by train_docs rows, whatever the size of the tables
     sample = (docs.select(F.col(id).alias("id"), F.col(text).alias("text")).filter("text is not null")
               .join(F.broadcast(chosen), "id").select("label", "text").mapInArrow(_extract, "label int, x binary, n binary").collect())
