@@ -16,12 +16,29 @@ ORDER_ROW = "(" + ", ".join(fx.OBS_ORDER) + ")"
 ALL_O = ", ".join(OBS_COLS + ("l_orderkey", "l_partkey", "l_linenumber", "seq"))
 
 
+# every stored column; the timestamp as text, which both engines write alike
+FULL = tuple(c for c in schema.OBS_COLUMNS if c != "peak_wind_time")
+FULL_SQL = ", ".join(FULL) + ", strftime(peak_wind_time, '%Y-%m-%d %H:%M:%S') AS peak_wind_time"
+
+
+def _full(df, *more):
+    return df.select(*FULL, F.date_format("peak_wind_time", "yyyy-MM-dd HH:mm:ss").alias("peak_wind_time"), *more)
+
+
 @register("parse_metar", with_o(f"""
-SELECT {", ".join(OBS_COLS)}, l_orderkey
+SELECT {FULL_SQL}, l_orderkey
 FROM O WHERE l_orderkey % 17 <> 0"""))
 def q_parse_metar(spark, sf_dir):
     raw = fx.raw_observations(spark, sf_dir)
-    return parse_metar(raw, strict=True, keep=("l_orderkey",)).select(*OBS_COLS, "l_orderkey")
+    return _full(parse_metar(raw, strict=True, keep=("l_orderkey",)), "l_orderkey")
+
+
+@register("parse_metar_lenient", with_o(f"""
+SELECT {FULL_SQL.replace("tmpf,", "CASE WHEN l_orderkey % 7 > 1 THEN tmpf END AS tmpf,")}, l_orderkey
+FROM O WHERE l_orderkey % 17 <> 0 AND l_orderkey % 13 <> 0 AND l_orderkey % 19 <> 0"""))
+def q_parse_metar_lenient(spark, sf_dir):
+    raw = fx.lenient_observations(spark, sf_dir)
+    return _full(parse_metar(raw, strict=False, keep=("l_orderkey",)), "l_orderkey")
 
 
 @register("parse_rejects", with_o("""
@@ -32,13 +49,22 @@ def q_parse_rejects(spark, sf_dir):
     return metar_rejects(raw).select("station", "valid", "reject_reason", "l_orderkey")
 
 
-@register("valid_struct", with_o("""
-SELECT station, year, month, day, hour, minute, tmpf, l_orderkey
+@register("parse_rejects_lenient", with_o("""
+SELECT station, CASE WHEN l_orderkey % 17 = 0 OR l_orderkey % 19 = 0 THEN 'bad timestamp' ELSE 'null position' END AS reject_reason,
+       l_orderkey
+FROM O WHERE l_orderkey % 17 = 0 OR l_orderkey % 13 = 0 OR l_orderkey % 19 = 0"""))
+def q_parse_rejects_lenient(spark, sf_dir):
+    raw = fx.lenient_observations(spark, sf_dir)
+    return metar_rejects(raw, strict=False).select("station", "reject_reason", "l_orderkey")
+
+
+@register("valid_struct", with_o(f"""
+SELECT {FULL_SQL}, metar, l_orderkey
 FROM O WHERE l_orderkey % 17 <> 0"""))
 def q_valid_struct(spark, sf_dir):
     raw = fx.raw_observations(spark, sf_dir)
     p = parse_metar(raw, strict=True, valid_struct=True, keep=("l_orderkey",))
-    return p.select("station", *[F.col("valid")[c].alias(c) for c in schema.TIME_PARTS], "tmpf", "l_orderkey")
+    return _full(p.select("*", "valid.*"), "metar", "l_orderkey")
 
 
 @register("upsert_by_date", with_o(f"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weatherlake.operators import snapshot
+from weatherlake import schema
 from weatherlake.plans.catalog import register, with_o
 from weatherlake.sources import fixtures as fx
 from weatherlake.sources import scan
@@ -30,11 +31,18 @@ def q_snapshot_minute(spark, sf_dir):
 @register("snapshot_all", with_o("\nUNION ALL\n".join(
     f"SELECT {IDS}, '{c}' AS indicator, round_even(CAST({c} AS DOUBLE), 2) AS value "
     f"FROM O WHERE year = {Y} AND month = {M} AND day = {D} AND {c} IS NOT NULL"
-    for c in ("alti", "tmpf", "relh", "sknt"))))
+    for c in schema.NUMERIC_INDICATORS)))
 def q_snapshot_all(spark, sf_dir):
     return snapshot.snapshot_all(fx.observations(spark, sf_dir), Y, M, D)
 
 
+@register("snapshot_all_text", with_o("\nUNION ALL\n".join(
+    f"SELECT {IDS}, '{c}' AS indicator, {c} AS value FROM O WHERE year = {Y} AND month = {M} AND day = {D} AND {c} IS NOT NULL"
+    for c in schema.TEXT_INDICATORS)))
+def q_snapshot_all_text(spark, sf_dir):
+    return snapshot.snapshot_all_text(fx.observations(spark, sf_dir), Y, M, D)
+
+
 @register("by_day_range", with_o("""
 SELECT station, year, month, day, hour, minute, lat, lon, tmpf, alti, relh, sknt
 FROM O WHERE year = 1998 AND month = 9 AND day >= 1 AND day <= 15"""))

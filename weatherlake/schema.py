@@ -25,14 +25,16 @@ VALID_PATTERN = r"^(\d+)-(\d+)-(\d+) (\d+):(\d+)"
 
 TIME_PARTS = ("year", "month", "day", "hour", "minute")
 
-NUMERIC_INDICATORS = (
+# Column order of the stored tables.
+OBS_COLUMNS = (
+    "station", "year", "month", "day", "hour", "minute", "lon", "lat",
     "tmpf", "dwpf", "relh", "drct", "sknt", "p01i", "alti", "mslp", "vsby", "gust",
-    "skyl1", "skyl2", "skyl3", "skyl4",
-    "ice_accretion_1hr", "ice_accretion_3hr", "ice_accretion_6hr",
-    "peak_wind_gust", "peak_wind_drct",
-    "feel",
+    "skyc1", "skyc2", "skyc3", "skyc4", "skyl1", "skyl2", "skyl3", "skyl4",
+    "wxcodes", "ice_accretion_1hr", "ice_accretion_3hr", "ice_accretion_6hr",
+    "peak_wind_gust", "peak_wind_drct", "peak_wind_time", "feel",
 )
 
+# The indicators that are text.
 TEXT_INDICATORS = ("skyc1", "skyc2", "skyc3", "skyc4", "wxcodes")
 
 # Indicators drawn by the batch snapshot, in the order of the original batch
@@ -54,14 +56,8 @@ FAHRENHEIT_INDICATORS = ("tmpf", "dwpf", "feel")
 # Derived schema
 # ---------------------------------------------------------------------------
 
-# Column order of the stored tables.
-OBS_COLUMNS = (
-    ("station",) + TIME_PARTS + ("lon", "lat")
-    + ("tmpf", "dwpf", "relh", "drct", "sknt", "p01i", "alti", "mslp", "vsby", "gust")
-    + TEXT_INDICATORS[:4] + ("skyl1", "skyl2", "skyl3", "skyl4")
-    + ("wxcodes", "ice_accretion_1hr", "ice_accretion_3hr", "ice_accretion_6hr")
-    + ("peak_wind_gust", "peak_wind_drct", "peak_wind_time", "feel")
-)
+NUMERIC_INDICATORS = tuple(c for c in OBS_COLUMNS
+                           if c not in ("station", "lon", "lat", "peak_wind_time") + TIME_PARTS + TEXT_INDICATORS)
 
 
 def _spark_type(name: str) -> T.DataType:

@@ -27,7 +27,33 @@ OBS_ADAPTER = (
     "case when l_tax = 0.03 then null else cast(l_extendedprice / 1050.0 as float) end as relh",
     "cast(l_quantity * 0.5 + l_suppkey % 10 as float) as sknt",
     "l_extendedprice as seq",
+    "case when l_discount = 0.02 then null else cast(l_quantity - 5.25 as float) end as dwpf",
+    "case when l_partkey % 11 = 0 then null else cast(l_partkey % 36 * 10 as float) end as drct",
+    "case when l_discount = 0.01 then null else cast(l_tax * 2.0 as float) end as p01i",
+    "case when l_suppkey % 5 = 0 then null else cast(1000.0 + l_quantity * 0.37 as float) end as mslp",
+    "case when l_quantity = 10.0 then null else cast(l_linenumber * 1.5 as float) end as vsby",
+    "case when l_linenumber > 1 then null else cast(l_quantity * 1.7 as float) end as gust",
+    "case when l_partkey % 3 = 0 then null else cast(l_partkey % 50 * 100.0 as float) end as skyl1",
+    "case when l_partkey % 4 = 0 then null else cast(l_partkey % 50 * 200.0 as float) end as skyl2",
+    "case when l_partkey % 5 = 0 then null else cast(l_partkey % 50 * 300.0 as float) end as skyl3",
+    "case when l_partkey % 6 = 0 then null else cast(l_partkey % 50 * 400.0 as float) end as skyl4",
+    "case when l_linenumber % 2 = 0 then null else cast(l_tax * 1.1 as float) end as ice_accretion_1hr",
+    "case when l_linenumber % 3 = 0 then null else cast(l_tax * 3.3 as float) end as ice_accretion_3hr",
+    "case when l_linenumber % 4 = 0 then null else cast(l_tax * 6.6 as float) end as ice_accretion_6hr",
+    "case when l_suppkey % 7 = 0 then null else cast(l_quantity * 2.1 as float) end as peak_wind_gust",
+    "case when l_suppkey % 8 = 0 then null else cast(l_suppkey % 36 * 10 as float) end as peak_wind_drct",
+    "case when l_tax = 0.04 then null else cast(l_quantity * 1.3 + 28.5 as float) end as feel",
+    "case l_linenumber % 5 when 0 then null when 1 then 'FEW' when 2 then 'SCT' else 'BKN' end as skyc1",
+    "case l_linenumber % 4 when 0 then null when 1 then 'OVC' else 'CLR' end as skyc2",
+    "case when l_partkey % 9 = 0 then 'VV' end as skyc3",
+    "case when l_partkey % 10 = 0 then 'NSC' end as skyc4",
+    "case when l_quantity > 25.0 then concat('-RA BR ', l_linenumber) end as wxcodes",
+    "case when l_suppkey % 6 = 0 then null else cast(l_shipdate as timestamp) end as peak_wind_time",
+    "case when l_suppkey % 9 = 0 then null else concat('LE', l_suppkey, ' AUTO \"Q, ', l_returnflag) end as metar",
 )
+EXTRA = ("dwpf", "drct", "p01i", "mslp", "vsby", "gust", "skyl1", "skyl2", "skyl3", "skyl4", "ice_accretion_1hr",
+         "ice_accretion_3hr", "ice_accretion_6hr", "peak_wind_gust", "peak_wind_drct", "feel", "skyc1", "skyc2", "skyc3", "skyc4",
+         "wxcodes", "metar")
 
 # Total order for "last written": all descending, no ties at any scale.
 OBS_ORDER = ("l_orderkey", "l_partkey", "l_linenumber", "seq", "station")
@@ -47,6 +73,17 @@ RAW_ADAPTER = (
     "cast(relh as string) as relh",
     "cast(sknt as string) as sknt",
     "l_orderkey", "l_partkey", "l_linenumber", "seq",
+    *(f"case when {c} is not null then cast({c} as string) when l_orderkey % 3 = 0 then 'null' else '' end as {c}" for c in EXTRA),
+    "case when peak_wind_time is not null then date_format(peak_wind_time, 'yyyy-MM-dd HH:mm:ss') else 'null' end as peak_wind_time",
+)
+
+# The raw adapter with what only a lenient parse accepts: missing positions,
+# text that is no number, and a year that does not fit an int.
+LENIENT_ADAPTER = (
+    "* except (lat, tmpf, valid)",
+    "case when l_orderkey % 13 = 0 then 'null' else lat end as lat",
+    "case when l_orderkey % 7 = 0 then '1.5d' when l_orderkey % 7 = 1 then 'M' else tmpf end as tmpf",
+    "case when l_orderkey % 19 = 0 then '99999999999-01-01 00:00' else valid end as valid",
 )
 
 # Query positions and reference stations for the nearest-station join.
@@ -97,6 +134,10 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(spark, sf_dir).selectExpr(*RAW_ADAPTER)
 
 
+def lenient_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_observations(spark, sf_dir).selectExpr(*LENIENT_ADAPTER)
+
+
 def query_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").selectExpr(*QUERY_ADAPTER)
 
