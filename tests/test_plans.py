@@ -27,6 +27,14 @@ def test_per_position_limit_is_cut_before_the_shuffle(spark):
     assert p.count("WindowGroupLimit") == 2
 
 
+def test_first_rows_are_cut_by_counted_months(spark):
+    p = plan(climate.historical_stats(fx.observations(spark, SF), "sknt", limit=100))
+    assert "LeftSemi" in p and "partial_count" in p
+    q = plan(stations.station_dictionary(fx.observations(spark, SF)))
+    assert q.index("SortAggregate") < q.rindex("HashAggregate")  # only the small rest is sorted
+    assert "partial_min" in q[q.rindex("HashAggregate"):]
+
+
 def test_climatology_is_one_partial_final_aggregate(spark):
     p = plan(climate.year_vs_seasonal(fx.observations(spark, SF), "tmpf", 1998))
     assert len(re.findall(r"Exchange", p)) == 1

@@ -72,20 +72,20 @@ def historical_stats(obs: DataFrame, indicator: str = "tmpf", lat: float | None
 
     ``limit`` keeps only the first ``limit`` rows of each position in time
     order (ties by station, then by ``tie_break`` columns) before NULLs are
-    dropped.  With one position this
-    is a distributed top-k; with all positions a ``row_number`` filter, which
-    Spark limits per map partition before the shuffle.
+    dropped.  Rows per (year, month) are counted first, by hash; only the
+    months that hold a position's first rows are then ranked, so a long history
+    is neither sorted nor brought to one task.
     Columns: [lat, lon,] year, month, n_obs, mean, std.
     """
     df, keys = _scope(obs, indicator, lat, lon)
     if limit is not None:
         order = ([F.col(c) for c in schema.TIME_PARTS] + [F.col("station").asc_nulls_last()]
                  + [F.col(c).asc_nulls_last() for c in tie_break])
-        if lat is not None and lon is not None:
+        df = _first_months(df, keys, limit)
+        if not keys:
             df = df.orderBy(*order).limit(limit)
         else:
-            part = keys or ["lat", "lon"]
-            w = Window.partitionBy(*part).orderBy(*order)
+            w = Window.partitionBy(*keys).orderBy(*order)
             df = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit).drop("_rn")
     x = as_double(indicator)
     return (df.filter(F.col(indicator).isNotNull())
@@ -93,6 +93,19 @@ def historical_stats(obs: DataFrame, indicator: str = "tmpf", lat: float | None
             .agg(F.count(F.lit(1)).alias("n_obs"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")))
 
 
+def _first_months(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """The rows of the months that hold the first ``limit`` rows per key."""
+    groups = [*keys, "year", "month"]
+    n = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("year", "month").rowsBetween(Window.unboundedPreceding, -1)
+    needed = n.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).filter(F.col("_before") < limit)
+    needed = needed.select(*[F.col(c).alias(f"_{c}") for c in groups])
+    same = F.lit(True)
+    for c in groups:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return df.join(needed, same, "left_semi")
+
+
 def yearly_series(obs: DataFrame, indicator: str = "tmpf", lat: float | None = None, lon: float | None = None,
                   *, pre_round: int | None = 1, to_celsius: bool = False) -> DataFrame:
     """Monthly means gathered into one month-ordered list per year.

@@ -67,13 +67,21 @@ def write_stations(stations: DataFrame, path: str, *, swapped: bool = True, mode
 def station_dictionary(obs: DataFrame, *, digits: int = 4) -> DataFrame:
     """One station per distinct stored position: the station of the earliest
     report there (ties by station name), coordinates rounded half-even to
-    ``digits``.  A keyed ``min_by`` with partial aggregation, no lookups.
-    Columns: station, lat, lon.
+    ``digits``.  Columns: station, lat, lon.
+
+    The earliest time of every position and station is a hash aggregate of one
+    packed long; only that small result is compared as structs.  Time parts
+    beyond the packed range (1,022 for month, day and hour, 510 for minute) count as
+    equal to it; a missing part comes first.
     """
-    first = F.min_by(F.col("station"), F.struct(*[F.col(c) for c in schema.TIME_PARTS], F.col("station")))
-    per_pos = obs.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy("lat", "lon").agg(
-        first.alias("station"))
-    return per_pos.select("station", half_even("lat", digits).alias("lat"), half_even("lon", digits).alias("lon"))
+    packed = F.lit(0).cast("long")
+    for part, bits in zip(schema.TIME_PARTS, (24, 10, 10, 10, 9)):
+        value = F.least(F.greatest(F.coalesce(F.col(part) + 1, F.lit(0)), F.lit(0)), F.lit((1 << bits) - 1)).cast("long")
+        packed = F.shiftleft(packed, bits).bitwiseOR(value)
+    first = (obs.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+             .groupBy("lat", "lon", "station").agg(F.min(packed).alias("t")))
+    per_pos = first.groupBy("lat", "lon").agg(F.min(F.struct("t", "station")).alias("f"))
+    return per_pos.select(F.col("f.station").alias("station"), half_even("lat", digits).alias("lat"), half_even("lon", digits).alias("lon"))
 
 
 def _finite(*cols: str) -> Column:

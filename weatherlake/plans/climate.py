@@ -219,3 +219,15 @@ SELECT month, concat(year, ' values') AS series, round({F2C.format(x='avg(x)')},
 def q_yearly_vs_seasonal_series(spark, sf_dir):
     obs = fx.observations(spark, sf_dir)
     return climate.yearly_vs_seasonal_series(obs, "tmpf", LAT, LON, to_celsius=True).select("month", "series", r6("value"))
+
+
+@register("historical_stats_first100_position", with_o(f"""
+SELECT year, month, count(*) AS n_obs, round(avg(CAST(tmpf AS DOUBLE)), 6) AS mean,
+       round(stddev_pop(CAST(tmpf AS DOUBLE)), 6) AS std
+FROM (SELECT * FROM O WHERE {POS}
+      ORDER BY year, month, day, hour, minute, station, {", ".join(TIE_BREAK)} LIMIT {HISTORY_ROWS}) t
+WHERE tmpf IS NOT NULL GROUP BY year, month"""))
+def q_historical_stats_first100_position(spark, sf_dir):
+    obs = fx.observations(spark, sf_dir)
+    return (climate.historical_stats(obs, "tmpf", LAT, LON, limit=HISTORY_ROWS, tie_break=TIE_BREAK)
+            .select("year", "month", "n_obs", r6("mean"), r6("std")))
