@@ -55,6 +55,7 @@ def _nibbles() -> np.ndarray:
 
 
 _NIBBLES = _nibbles()
+_SHIFT = np.array([sum(luck < (256 >> level) for level in range(1, 7)) for luck in range(256)], U)
 _PIECE = 63  # words summed at a time: 63 weights of at most 1024 fit a 16-bit counter
 
 
@@ -62,7 +63,7 @@ def simhash(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> np.ndarray:
     """SimHash blocks (BLOCKS x lines, int32) of words with hashes ``h`` and
     byte lengths; words ``at[i]:at[i + 1]`` are line i.
 
-    Long words weigh more, and each half block of 16 bits raises some words
+    Longer words weigh more, and each half block of 16 bits raises some words
     further (by a hash of word and half), so that half depends mostly on a few
     long words: an edit elsewhere leaves it as it was, other halves depend on
     other words, and two halves together keep unrelated lines apart.
@@ -75,28 +76,29 @@ def simhash(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> np.ndarray:
     _, one_of, kind = np.unique(h, return_index=True, return_inverse=True)
     words, length = h[one_of], length[one_of]
     base = np.maximum(1, np.minimum(length, 12) // 3).astype(U) ** U(2)
-    raised = length > 3
+    most = np.where(length > 3, U(6), U(0))
     halves = np.zeros((2 * BLOCKS, len(counts)), np.uint16)
     for k, salt in enumerate(ta.constants(31, 2 * BLOCKS)):
         x = ta.mix(words ^ salt)
-        luck = (x >> U(56)).astype(np.uint8)
-        shift = np.zeros(len(x), U)
-        for level in range(1, 7):
-            shift += luck < (256 >> level)
-        weight = base << np.where(raised, shift, U(0))
+        weight = base << np.minimum(_SHIFT[x >> U(56)], most)
+        low = x.astype(np.uint16)
+        counters = [np.add.reduceat((_NIBBLES[(low >> np.uint16(4 * n)) & np.uint16(15)] * weight)[kind], start) for n in range(4)]
+        sums = np.stack(counters, 1).view(np.uint16).astype(np.int64)
         total = np.add.reduceat(weight[kind], start).astype(np.int64)
         if first is not None:
-            total = np.add.reduceat(total, first)
-        for nibble in range(4):
-            sums = np.add.reduceat((_NIBBLES[(x >> U(4 * nibble)) & U(15)] * weight)[kind], start)
-            for bit in range(4):
-                one = ((sums >> U(16 * bit)) & U(0xFFFF)).astype(np.int64)
-                if first is not None:
-                    one = np.add.reduceat(one, first)
-                halves[k] |= (2 * one > total).astype(np.uint16) << np.uint16(4 * nibble + bit)
+            sums, total = np.add.reduceat(sums, first, axis=0), np.add.reduceat(total, first)
+        halves[k] = np.packbits(2 * sums > total[:, None], axis=1, bitorder="little").view(np.uint16)[:, 0]
     return ((halves[0::2].astype(np.uint32) << np.uint32(16)) | halves[1::2]).view(np.int32)
 
 
+def _long_words(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of more than three bytes of each line, or all of a line that has none."""
+    keep = length > 3
+    line = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    keep |= (np.add.reduceat(keep.astype(np.int64), at[:-1]) == 0)[line]
+    return h[keep], length[keep], np.searchsorted(line[keep], np.arange(len(at)))
+
+
 OCCURRENCES = "id long, version long, number int, node long, " + ", ".join(f"h{k} int" for k in range(BLOCKS))
 
 
@@ -108,7 +110,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, starts, ends, h, at, line_hash, row, number = normalised_lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             if len(line_hash) == 0:
                 continue
-            blocks = simhash(h, ends - starts, at)
+            blocks = simhash(*_long_words(h, ends - starts, at))
             take = pa.array(row + i)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(number.astype(np.int32)), ta.longs(line_hash),
@@ -162,7 +164,13 @@ def similar(a: str, b: str, similarity: float) -> bool:
     """Whether 1 - distance / longer length reaches ``similarity``."""
     longer = max(len(a), len(b))
     most = int((1 - similarity) * longer + 1e-9)
-    return longer == 0 or edit_distance(a, b, most) <= most
+    if a == b or abs(len(a) - len(b)) > most:
+        return a == b
+    x, y = a.split(" "), b.split(" ")
+    # words replaced in place bound the distance from above
+    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y, strict=True) if v != w) <= most:
+        return True
+    return edit_distance(a, b, most) <= most
 
 
 def _texts_of(bloom: Bloom) -> Callable:
@@ -220,14 +228,16 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
             earlier = earlier | ((F.col(place) > k) & (F.col(f"{p}.{b}") == F.col(f"{q}.{b}")))
         return ~earlier
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        rows = cut(in_units(pairs))
-        texts = (docs.select("text").mapInArrow(_texts_of(Bloom(rows.select("node"), "node")), "node long, line string")
-                 .dropDuplicates(["node"]))
-        return hub_first(rows.join(texts, "node").select("hub", "part", "node", "line")).mapInArrow(
-            _verifier(similarity), "src long, dst long")
+    def texts(nodes: DataFrame) -> DataFrame:
+        """The normalised text of candidate lines, once each."""
+        found = docs.select("text").mapInArrow(_texts_of(Bloom(nodes, "node")), "node long, line string")
+        return stored(found.dropDuplicates(["node"]))
+
+    def confirm(pairs: DataFrame, line: DataFrame) -> DataFrame:
+        rows = in_units(pairs).join(line, "node").select("hub", "part", "node", "line")
+        return hub_first(rows).mapInArrow(_verifier(similarity), "src long, dst long")
 
-    groups = linked_groups(keys, lines, plausible, first_meeting, confirm)
+    groups = linked_groups(keys, lines, plausible, first_meeting, confirm, texts)
     member = (found.join(groups, "node", "left")
               .select("id", "version", "number", F.coalesce("component", "node").alias("line_group")))
     first = member.groupBy("line_group").agg(F.min(F.struct("id", "version", "number")).alias("first"), F.count(F.lit(1)).alias("n"))

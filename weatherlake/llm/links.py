@@ -41,17 +41,20 @@ def _turned(node: str, turn: int) -> Column:
 
 
 def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, str], Column],
-                  first_meeting: Callable[[str, str, str], Column], confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+                  first_meeting: Callable[[str, str, str], Column], confirm: Callable[[DataFrame, DataFrame], DataFrame],
+                  texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``keys``: key (a hash), place (of the key among a node's keys), node.  ``info``:
     node and what the tests read.  ``plausible`` gets the names of two struct
     columns with an info row each, ``first_meeting`` the name of the place
     column as well: whether the two nodes share no key at an earlier place.
-    ``confirm`` maps pairs (src, dst) to the pairs that are links.  Returns
-    ``node``, ``component`` for nodes with a link."""
+    ``texts`` gets the nodes that share a key and prepares what ``confirm``
+    reads, once; ``confirm`` maps pairs (src, dst) to those that are links.
+    Returns ``node``, ``component`` for nodes with a link."""
     several = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"))
     likely = keys.filter(Bloom(several, "key").condition(F.col("key")))
     live = stored(likely.join(several.hint("shuffle_hash"), "key").select("key", "place", "node"))
     known = info.select("node", F.struct(*[c for c in info.columns if c != "node"]).alias("info"))
+    material = texts(live.select("node").distinct())
     links = groups = None
     for turn in range(ROUNDS):
         hubs = live.groupBy("key").agg(F.min(_turned("node", turn)).alias("least")).select("key", _turned("least", turn).alias("hub"))
@@ -65,7 +68,7 @@ def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, st
         near = (pairs.join(known.select(F.col("node").alias("src"), F.col("info").alias("p")), "src")
                 .join(known.select(F.col("node").alias("dst"), F.col("info").alias("q")), "dst")
                 .filter(plausible("p", "q")).select("src", "dst"))
-        found = cut(confirm(cut(near)))
+        found = cut(confirm(cut(near), material))
         links = found if links is None else links.unionByName(found)
         groups = connected_components(links)
         member = live.join(groups, "node", "left").select("key", "place", "node", F.coalesce("component", "node").alias("component"))
@@ -78,7 +81,7 @@ def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, st
     right = member.select(F.col("key").alias("k"), F.col("node").alias("dst"), F.col("component").alias("d"), F.col("info").alias("q"))
     across = left.join(right, (F.col("key") == F.col("k")) & (F.col("c") > F.col("d")) & plausible("p", "q")
                        & first_meeting("p", "q", "place")).select("src", "dst")
-    more = cut(confirm(cut(across.distinct())))
+    more = cut(confirm(cut(across.distinct()), material))
     return groups if more.isEmpty() else connected_components(links.unionByName(more))
 
 

@@ -158,11 +158,9 @@ def _confirmer(size: int, share: int) -> Callable:
     return run
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
     """The pairs (src, dst: class ids) whose full sets are similar enough."""
-    wanted = cut(in_units(pairs).join(classes.select(F.col("cid").alias("node"), F.col("id").alias("doc")), "node"))
-    texts = docs.filter(Bloom(wanted.select(F.xxhash64("doc").alias("h")), "h").condition(F.xxhash64("id"))).select(F.col("id").alias("doc"), "text")
-    rows = hub_first(wanted.join(texts, "doc").select("hub", "part", "node", "text"))
+    rows = hub_first(in_units(pairs).join(texts, "node").select("hub", "part", "node", "text"))
     return rows.mapInArrow(_confirmer(size, share), "src long, dst long")
 
 
@@ -205,8 +203,14 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
                 earlier = earlier | ((at > t) & _same_half(p, q, half + t))
         return ~earlier
 
+    def texts(nodes: DataFrame) -> DataFrame:
+        """One text of every class that shares a key."""
+        wanted = cut(nodes.join(classes.select(F.col("cid").alias("node"), F.col("id").alias("doc")), "node"))
+        some = docs.filter(Bloom(wanted.select(F.xxhash64("doc").alias("h")), "h").condition(F.xxhash64("id")))
+        return wanted.join(some.select(F.col("id").alias("doc"), "text"), "doc").select("node", "text")
+
     groups = linked_groups(keys, classes.select(F.col("cid").alias("node"), "n_shingles", *sketch), plausible,
-                           first_meeting, lambda pairs: _confirmed(pairs, classes, docs, size, share))
+                           first_meeting, lambda pairs, material: _confirmed(pairs, material, size, share), texts)
     named = classes.select("cid", "id").join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
         "cid", "id", F.coalesce("component", "cid").alias("component"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
