@@ -183,7 +183,7 @@ def q_year_vs_seasonal_snapped(spark, sf_dir):
     from weatherlake.operators import stations
     obs = fx.observations(spark, sf_dir)
     dictionary = stations.station_dictionary(obs).withColumn("ord", F.struct("lat", "lon"))
-    lon, lat, station = stations.snap_position(dictionary, SNAP_LON, SNAP_LAT, eps=SNAP_EPS)
+    lon, lat, station = stations.snap_position(dictionary, SNAP_LON, SNAP_LAT, eps=SNAP_EPS, stored=True)
     return (climate.year_vs_seasonal(obs, "tmpf", YEAR, lat, lon)
             .select(F.lit(station).alias("station"), "month", "others_n", r6("others_mean"), "year_n",
                     r6("year_mean")))
