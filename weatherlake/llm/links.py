@@ -14,8 +14,8 @@ of confirmed links:
    of the links decide which keys go on to the next round: those whose
    members still belong to several.
 3. What is left is compared exhaustively: pairs across components under a
-   common key, each pair once (at the first key both share), same test, same
-   confirmation.  No link is lost that could change the groups: in the end
+   common key (the members outside its largest component with all others),
+   each pair once (at the first key both share), same test, same confirmation.  No link is lost that could change the groups: in the end
    every two nodes under a key are in one component, have failed the cheap
    test, or have been compared.
 """
@@ -76,11 +76,15 @@ def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, st
         member = cut(member.join(mixed.select("key").hint("shuffle_hash"), "key"))
         live = member.select("key", "place", "node")
 
-    member = stored(member.join(known, "node"))
-    left = member.select("key", "place", F.col("node").alias("src"), F.col("component").alias("c"), F.col("info").alias("p"))
-    right = member.select(F.col("key").alias("k"), F.col("node").alias("dst"), F.col("component").alias("d"), F.col("info").alias("q"))
-    across = left.join(right, (F.col("key") == F.col("k")) & (F.col("c") > F.col("d")) & plausible("p", "q")
-                       & first_meeting("p", "q", "place")).select("src", "dst")
+    # the largest component of a key is paired with the others only, not with itself
+    sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m")).select("key", F.col("m.component").alias("main"))
+    member = stored(member.join(main, "key").join(known, "node"))
+    left = member.filter("component <> main").select(
+        "key", "place", F.col("node").alias("src"), F.col("component").alias("c"), F.col("info").alias("p"))
+    right = member.select(F.col("key").alias("k"), F.col("node").alias("dst"), F.col("component").alias("d"), "main", F.col("info").alias("q"))
+    across = left.join(right, (F.col("key") == F.col("k")) & (F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("c") > F.col("d")))
+                       & plausible("p", "q") & first_meeting("p", "q", "place")).select("src", "dst")
     more = cut(confirm(cut(across.distinct()), material))
     return groups if more.isEmpty() else connected_components(links.unionByName(more))
 

@@ -10,14 +10,15 @@ at similarity 0.8 shares no table with probability 2 * (1 - 0.8^3)^12 = 4e-4.
 The flow, in which every hot key is combined before it is shuffled:
 
 1. one pass over the texts gives every document its set size, a 64-bit
-   fingerprint of its shingle set, the half keys and a 72-byte sketch;
+   fingerprint of its shingle set, the half keys and two sketches;
 2. documents with equal sets become one class (a keyed minimum);
 3. classes that share a table key are compared through hubs, and across
    components that are left, as ``links`` describes: no pair is made twice and
    a group of g copies does not give g * g pairs;
-4. pairs whose sizes or sketches (fewer than 42 of 72 minhashes agree) rule
-   the similarity out are passed over, all others are confirmed on the full
-   shingle sets of both texts;
+4. pairs whose sizes or sketches rule the similarity out are passed over: a
+   parity sketch bounds the shingles that differ (exactly: no link is lost),
+   and fewer than 42 of 72 equal minhashes make it next to impossible; all
+   others are confirmed on the full shingle sets of both texts;
 5. components of the confirmed links, by distributed star contraction.
 """
 
@@ -35,6 +36,7 @@ from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table
 from weatherlake.llm.textarrays import U
 
 TABLES, WIDTH = 12, 3
+PARITIES = 1024  # buckets of the parity sketch, see _parities
 LEAST_AGREEING = 42  # of 72 minhashes (and 9 of the first 24); at similarity 0.8 fewer agree once in 100,000 pairs
 
 
@@ -74,7 +76,18 @@ def _fingerprints(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 SKETCHED = ("id long, n_shingles long, cid long, a array<long>, b array<long>, "
-            + ", ".join(f"s{i} long" for i in range(2 * TABLES * WIDTH // 8)))
+            + ", ".join(f"s{i} long" for i in range(2 * TABLES * WIDTH // 8)) + ", "
+            + ", ".join(f"p{i} long" for i in range(PARITIES // 64)))
+
+
+def _parities(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each row a bit per bucket of shingles: whether it holds an odd
+    number of them.  Each shingle that only one of two sets has turns one bit,
+    so the bits that differ are never more than the shingles that differ."""
+    rows = len(at) - 1
+    bucket = np.repeat(np.arange(rows), np.diff(at)) * PARITIES + (ta.mix(sets ^ U(0x77)) >> U(54)).astype(np.int64)
+    odd = (np.bincount(bucket, minlength=rows * PARITIES) & 1).astype(np.uint8).reshape(rows, PARITIES)
+    return np.ascontiguousarray(np.packbits(odd, axis=1)).view(np.int64)
 
 
 def _sketcher(size: int) -> Callable:
@@ -100,7 +113,8 @@ def _sketcher(size: int) -> Callable:
                          for o in (0, TABLES)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(count), ta.longs(_fingerprints(sets, at)), *lists,
-                     *[pa.array(np.ascontiguousarray(sketch[:, c])) for c in range(sketch.shape[1])]],
+                     *[pa.array(np.ascontiguousarray(c)) for c in sketch.T],
+                     *[pa.array(np.ascontiguousarray(c)) for c in _parities(sets, at).T]],
                     names=[f.split()[0] for f in SKETCHED.split(", ")])
 
     return run
@@ -187,14 +201,17 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
                   .select(*[c for c in rows.columns if c not in ("id", "cid")], "cid", "id")
                   .join(rows.filter("n_shingles > 0").groupBy("cid").agg(F.min("id").alias("id")), ["cid", "id"])
                   .dropDuplicates(["cid"]))
-    sketch = [c for c in classes.columns if c.startswith("s")]
+    sketch = [c for c in classes.columns if c[0] in "sp" and c[1:].isdigit()]
 
     keys = (classes.select("cid", F.posexplode("a").alias("i", "x"), "b").select("cid", "i", "x", F.posexplode("b").alias("j", "y"))
             .select(F.xxhash64("x", "y").alias("key"), (F.col("i") * TABLES + F.col("j")).alias("place"), F.col("cid").alias("node")))
 
     def plausible(p: str, q: str) -> Column:
         m, n = F.col(f"{p}.n_shingles"), F.col(f"{q}.n_shingles")
-        return (F.least(m, n) * 100 >= F.greatest(m, n) * share) & (_agreeing(p, q, range(3)) >= 9) & (_agreeing(p, q, range(9)) >= LEAST_AGREEING)
+        odd = sum((F.bit_count(F.col(f"{p}.p{i}").bitwiseXOR(F.col(f"{q}.p{i}"))) for i in range(PARITIES // 64)), F.lit(0))
+        # at least so similar: at most (m + n) * (100 - share) / (100 + share) shingles differ
+        few = odd * (100 + share) <= (m + n) * (100 - share)
+        return (F.least(m, n) * 100 >= F.greatest(m, n) * share) & few & (_agreeing(p, q, range(3)) >= 9) & (_agreeing(p, q, range(9)) >= LEAST_AGREEING)
 
     def first_meeting(p: str, q: str, place: str) -> Column:
         earlier = F.lit(False)
