@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from helpers import documents, rng, words
-from weatherlake.llm.lines import dedup_lines, edit_distance, similar
+from weatherlake.llm.lines import _similar, dedup_lines, edit_distance, similar
 
 
 def plain_distance(a, b):
@@ -81,6 +81,19 @@ def test_hot_line(spark):
     assert got[0] == 0 and all(got[k] == 1 for k in range(1, 300))
 
 
+def test_similarity_of_columns(spark):
+    r = rng(7)
+    pairs = []
+    for _ in range(200):
+        a = "".join(r.choice("abc é") for _ in range(r.randint(1, 60)))
+        b = list(a)
+        for _ in range(r.randint(0, 6)):
+            b.insert(r.randrange(len(b) + 1), r.choice("abc")) if r.random() < 0.5 else b and b.pop(r.randrange(len(b)))
+        pairs.append((a, "".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert all(x.s == similar(x.a, x.b, 0.9) for x in df.select("a", "b", _similar("a", "b", 0.9).alias("s")).collect())
+
+
 def test_similar_bounds():
     assert similar("", "", 0.9) and not similar("a", "", 0.9)
     assert similar("a" * 10, "a" * 9 + "b", 0.9) and not similar("a" * 9, "a" * 8 + "b", 0.9)

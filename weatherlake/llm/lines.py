@@ -19,12 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.contamination import folded_tokens
-from weatherlake.llm.links import hub_first, in_units, linked_groups
+from weatherlake.llm.links import linked_groups
 from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table
 from weatherlake.llm.textarrays import U
 
 BLOCKS, BLOCK_BITS = 10, 32  # wide blocks keep chance meetings rare in very many lines
 SIMILARITY = 0.9
+LONG = 1500  # code points; longer lines are compared by another algorithm, with the same result
 MOST_BITS = 110  # pairs that differ in more bits are not verified (unrelated lines differ in about 160 of 320)
 
 
@@ -118,6 +119,27 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=[f.split()[0] for f in OCCURRENCES.split(", ")])
 
 
+def _texts_of(bloom: Bloom) -> Callable:
+    """(text) -> (node, line) of lines that the filter lets pass, once per batch."""
+    passes = bloom.test()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = ta.buffers(batch.column(0))
+            found: dict[int, str] = {}
+            for i, j in ta.slices(offsets):
+                low, starts, ends, _, at, line_hash, _, _ = normalised_lines(
+                    data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                node = line_hash.view(np.int64)
+                for k in np.flatnonzero(passes(node)):
+                    if int(node[k]) not in found:
+                        raw = low[starts[at[k]]:ends[at[k + 1] - 1]].tobytes()
+                        found[int(node[k])] = b" ".join(raw.split()).decode("utf-8", "replace")
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())],
+                                             names=["node", "line"])
+    return run
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance of two strings, or more than ``most``: common ends
     are cut off, the rest is compared bit-parallel."""
@@ -173,39 +195,21 @@ def similar(a: str, b: str, similarity: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _texts_of(bloom: Bloom) -> Callable:
-    """(text) -> (node, line) of lines that the filter lets pass, once per batch."""
-    passes = bloom.test()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = ta.buffers(batch.column(0))
-            found: dict[int, str] = {}
-            for i, j in ta.slices(offsets):
-                low, starts, ends, _, at, line_hash, _, _ = normalised_lines(
-                    data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                node = line_hash.view(np.int64)
-                for k in np.flatnonzero(passes(node)):
-                    if int(node[k]) not in found:
-                        raw = low[starts[at[k]]:ends[at[k + 1] - 1]].tobytes()
-                        found[int(node[k])] = b" ".join(raw.split()).decode("utf-8", "replace")
-            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())],
-                                             names=["node", "line"])
-    return run
+def _similar(a: str, b: str, similarity: float) -> Column:
+    """``similar`` of two columns; the distance is computed within its bound only."""
+    longer = F.greatest(F.length(a), F.length(b))
+    most = F.floor((1 - similarity) * longer + 1e-9).cast("int")
+    near = F.call_function("levenshtein", F.col(a), F.col(b), most) >= 0
+    return (longer - F.least(F.length(a), F.length(b)) <= most) & near
 
 
-def _verifier(similarity: float) -> Callable:
-    """Rows (hub, part, node, line) by unit, the hub first -> links."""
+def _similar_long(similarity: float) -> Callable:
+    """``similar`` for long lines, where cutting off common ends and comparing
+    bit-parallel saves most of the work: rows (src, dst, lines) -> links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, line = None, ""
         for batch in batches:
-            links = []
-            for hub, part, node, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if node == hub:
-                    unit, line = (hub, part), text
-                elif (hub, part) == unit and similar(line, text, similarity):
-                    links.append((node, hub))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["src", "dst"])
+            keep = [similar(a, b, similarity) for a, b in zip(batch.column("src_line").to_pylist(), batch.column("dst_line").to_pylist(), strict=True)]
+            yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
@@ -214,7 +218,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     makes superfluous: id, version, numbers (array of line numbers)."""
     found = stored(docs.mapInArrow(_occurrences, OCCURRENCES))
     bits = [f"h{k}" for k in range(BLOCKS)]
-    lines = stored(found.select("node", *bits).dropDuplicates(["node"]))
+    lines = found.select("node", *bits)
     keys = lines.select("node", F.posexplode(F.array(
         *[F.col(b).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(k << BLOCK_BITS)) for k, b in enumerate(bits)])).alias("place", "key")).select("key", "place", "node")
 
@@ -234,8 +238,10 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         return stored(found.dropDuplicates(["node"]))
 
     def confirm(pairs: DataFrame, line: DataFrame) -> DataFrame:
-        rows = in_units(pairs).join(line, "node").select("hub", "part", "node", "line")
-        return hub_first(rows).mapInArrow(_verifier(similarity), "src long, dst long")
+        a, b = (line.select(F.col("node").alias(end), F.col("line").alias(f"{end}_line")) for end in ("src", "dst"))
+        both = pairs.join(a, "src").join(b, "dst").withColumn("long", F.greatest(F.length("src_line"), F.length("dst_line")) > LONG)
+        short = both.filter(~F.col("long")).filter(_similar("src_line", "dst_line", similarity)).select("src", "dst")
+        return short.unionByName(both.filter("long").drop("long").mapInArrow(_similar_long(similarity), "src long, dst long"))
 
     groups = linked_groups(keys, lines, plausible, first_meeting, confirm, texts)
     member = (found.join(groups, "node", "left")

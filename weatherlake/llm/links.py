@@ -44,17 +44,19 @@ def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, st
                   first_meeting: Callable[[str, str, str], Column], confirm: Callable[[DataFrame, DataFrame], DataFrame],
                   texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``keys``: key (a hash), place (of the key among a node's keys), node.  ``info``:
-    node and what the tests read.  ``plausible`` gets the names of two struct
+    node and what the tests read.  Both may hold a node more than once.  ``plausible`` gets the names of two struct
     columns with an info row each, ``first_meeting`` the name of the place
     column as well: whether the two nodes share no key at an earlier place.
     ``texts`` gets the nodes that share a key and prepares what ``confirm``
     reads, once; ``confirm`` maps pairs (src, dst) to those that are links.
     Returns ``node``, ``component`` for nodes with a link."""
-    several = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"))
+    several = cut(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key"))
     likely = keys.filter(Bloom(several, "key").condition(F.col("key")))
-    live = stored(likely.join(several.hint("shuffle_hash"), "key").select("key", "place", "node"))
-    known = info.select("node", F.struct(*[c for c in info.columns if c != "node"]).alias("info"))
-    material = texts(live.select("node").distinct())
+    live = stored(likely.join(several.hint("shuffle_hash"), "key").select("key", "place", "node").distinct())
+    nodes = cut(live.select("node").distinct())
+    known = info.join(nodes.hint("shuffle_hash"), "node", "left_semi").dropDuplicates(["node"])
+    known = stored(known.select("node", F.struct(*[c for c in info.columns if c != "node"]).alias("info")))
+    material = texts(nodes)
     links = groups = None
     for turn in range(ROUNDS):
         hubs = live.groupBy("key").agg(F.min(_turned("node", turn)).alias("least")).select("key", _turned("least", turn).alias("hub"))
