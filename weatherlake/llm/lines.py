@@ -290,10 +290,11 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", simi
     losing = F.coalesce(Bloom(gone.select(F.xxhash64("_gid", "_gversion").alias("h")), "h").condition(F.xxhash64("_id", "_version")), F.lit(False))
     rows = rows.withColumn("_losing", losing)
     joined = rows.filter("_losing").join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_version") == F.col("_gversion")), "left").select(
-        *docs.columns, "_numbers").unionByName(rows.filter("not _losing").select(*docs.columns, F.lit(None).cast("array<int>").alias("_numbers")))
+        *docs.columns, "_numbers")
     names = [*docs.columns, "lines_removed"]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], "lines_removed int"])
-    return joined.mapInArrow(_without(docs.columns.index(text), len(docs.columns), names), schema)
+    kept = rows.filter("not _losing").select(*docs.columns, F.lit(0).alias("lines_removed"))
+    return joined.mapInArrow(_without(docs.columns.index(text), len(docs.columns), names), schema).unionByName(kept)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
