@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -204,12 +205,11 @@ def _similar(a: str, b: str, similarity: float) -> Column:
 
 
 def _similar_long(similarity: float) -> Callable:
-    """``similar`` for long lines, where cutting off common ends and comparing
-    bit-parallel saves most of the work: rows (src, dst, lines) -> links."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [similar(a, b, similarity) for a, b in zip(batch.column("src_line").to_pylist(), batch.column("dst_line").to_pylist(), strict=True)]
-            yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
+    """``similar`` of pairs with a long line, where cutting off common ends and
+    comparing bit-parallel saves most of the work; false for other pairs."""
+    @F.pandas_udf("boolean")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([max(len(x), len(y)) > LONG and similar(x, y, similarity) for x, y in zip(a, b, strict=True)])
     return run
 
 
@@ -239,9 +239,10 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
     def confirm(pairs: DataFrame, line: DataFrame) -> DataFrame:
         a, b = (line.select(F.col("node").alias(end), F.col("line").alias(f"{end}_line")) for end in ("src", "dst"))
-        both = pairs.join(a, "src").join(b, "dst").withColumn("long", F.greatest(F.length("src_line"), F.length("dst_line")) > LONG)
-        short = both.filter(~F.col("long")).filter(_similar("src_line", "dst_line", similarity)).select("src", "dst")
-        return short.unionByName(both.filter("long").drop("long").mapInArrow(_similar_long(similarity), "src long, dst long"))
+        both = pairs.join(a, "src").join(b, "dst")
+        is_long = F.greatest(F.length("src_line"), F.length("dst_line")) > LONG
+        usual = F.when(is_long, F.lit(False)).otherwise(_similar("src_line", "dst_line", similarity))
+        return both.filter(usual | _similar_long(similarity)("src_line", "dst_line")).select("src", "dst")
 
     groups = linked_groups(keys, lines, plausible, first_meeting, confirm, texts)
     member = (found.join(groups, "node", "left")
