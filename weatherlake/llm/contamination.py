@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.language import folded
-from weatherlake.llm.shared import Bloom, cut, modest_batches, table
+from weatherlake.llm.shared import Bloom, cut, modest_batches, table, tidy
 from weatherlake.llm.textarrays import U
 
 # positions that count (1) or are ignored (0) in a window of tokens
@@ -148,22 +148,22 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).dropna().distinct()
 
     # items too short for the masks get one seed that holds all of their tokens
-    count = items.mapInArrow(_count_tokens, "id long, text string, n long")
+    count = items.mapInArrow(tidy(_count_tokens), "id long, text string, n long")
     lengths = [r.n for r in count.filter((F.col("n") >= LEAST_TOKENS) & (F.col("n") < min_tokens)).select("n").distinct().collect()]
-    seeds = items.mapInArrow(_seeder(MASKS, None), "key long, id long, position long")
+    seeds = items.mapInArrow(tidy(_seeder(MASKS, None)), "key long, id long, position long")
     for n in sorted(lengths):
         seeds = seeds.unionByName(count.filter(F.col("n") == n).select("id", "text")
-                                  .mapInArrow(_seeder(["1" * n], None), "key long, id long, position long"))
+                                  .mapInArrow(tidy(_seeder(["1" * n], None)), "key long, id long, position long"))
     seeds = cut(seeds.select("key", F.col("id").alias("item"), F.col("position").alias("item_position")))
     masks = [*MASKS, *["1" * n for n in sorted(lengths)]]
 
     bloom = Bloom(seeds.select("key"), "key")
-    hits = docs.mapInArrow(_seeder(masks, bloom), "key long, id long, position long")
+    hits = docs.mapInArrow(tidy(_seeder(masks, bloom)), "key long, id long, position long")
     diagonals = cut(hits.join(seeds, "key").select("id", "item", (F.col("position") - F.col("item_position")).alias("shift")).distinct())
     per_doc = (diagonals.join(items.select(F.col("id").alias("item"), F.col("text").alias("item_text")), "item")
                .groupBy("id").agg(F.collect_list(F.struct("item", "item_text", "shift")).alias("hits")))
     texts = docs.filter(Bloom(diagonals.select(F.xxhash64("id").alias("h")), "h").condition(F.xxhash64("id")))
-    return texts.join(per_doc, "id").select("id", "text", "hits").mapInArrow(_verifier(min_tokens), OVERLAPS).distinct()
+    return texts.join(per_doc, "id").select("id", "text", "hits").mapInArrow(tidy(_verifier(min_tokens)), OVERLAPS).distinct()
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

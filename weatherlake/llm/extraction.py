@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.llm.dom import INLINE, RAW, Node, blocks, fingerprint, parse
-from weatherlake.llm.shared import cut, modest_batches, table
+from weatherlake.llm.shared import cut, modest_batches, table, tidy
 
 SALTS = 64
 SURE = 3  # different pages that must agree before constant text counts as template
@@ -317,10 +317,10 @@ def _combine(summarise: bool) -> Callable:
 def induce_wrappers(pages: DataFrame) -> DataFrame:
     """``pages``: host, html.  One row per host: host, wrapper (a summary as JSON)."""
     schema = "host string, wrapper string"
-    parts = pages.filter("html is not null").select("host", "html").mapInArrow(_induce, schema)
+    parts = pages.filter("html is not null").select("host", "html").mapInArrow(tidy(_induce), schema)
     salted = (parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).repartition("host", "salt")
-              .sortWithinPartitions("host", "salt").select("host", "wrapper").mapInArrow(_combine(False), schema))
-    return salted.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(_combine(True), schema)
+              .sortWithinPartitions("host", "salt").select("host", "wrapper").mapInArrow(tidy(_combine(False)), schema))
+    return salted.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(tidy(_combine(True)), schema)
 
 
 def _extract(html_at: int, wrapper_at: int, names: list[str]) -> Callable:
@@ -368,7 +368,7 @@ def extract_main_text(pages: DataFrame, *, url: str = "url", html: str = "html",
     kept = [f for f in pages.schema.fields if f.name != html]
     rows = named.join(side, "_host", "left").select(*[f.name for f in kept], html, "_wrapper")
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "text string, n_chars long"])
-    return rows.mapInArrow(_extract(len(kept), len(kept) + 1, [*[f.name for f in kept], "text", "n_chars"]), schema)
+    return rows.mapInArrow(tidy(_extract(len(kept), len(kept) + 1, [*[f.name for f in kept], "text", "n_chars"])), schema)
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weatherlake.llm import textarrays as ta
-from weatherlake.llm.shared import extended, modest_batches, table
+from weatherlake.llm.shared import extended, modest_batches, table, tidy
 
 BUCKETS = 1 << 14
 BATCH_ROWS = 64
@@ -121,7 +121,7 @@ def fit_language_model(training: DataFrame, *, id: str = "doc_id", text: str = "
               .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).select("id").distinct())
     # bounded by per_language rows of each language, whatever the size of the table
     sample = (rows.filter("lang is not null and text is not null").join(F.broadcast(chosen), "id").select("lang", "text")
-              .mapInArrow(_bits, "lang string, bits binary").collect())
+              .mapInArrow(tidy(_bits), "lang string, bits binary").collect())
     sample.sort(key=lambda r: (r.lang, bytes(r.bits)))
     languages = tuple(sorted({r.lang for r in sample}))
     if not languages:
@@ -158,7 +158,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, *, text: str = "tex
     """
     docs = docs.drop("lang_pred", "score")
     schema = extended(docs.schema, "lang_pred string, score double")
-    return docs.mapInArrow(_predictor(model, docs.columns.index(text)), schema)
+    return docs.mapInArrow(tidy(_predictor(model, docs.columns.index(text))), schema)
 
 
 def _predictor(model: LanguageModel, column: int) -> Callable:

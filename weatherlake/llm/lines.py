@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.contamination import folded_tokens
 from weatherlake.llm.links import linked_groups
-from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table
+from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table, tidy
 from weatherlake.llm.textarrays import U
 
 BLOCKS, BLOCK_BITS = 10, 32  # wide blocks keep chance meetings rare in very many lines
@@ -216,7 +216,7 @@ def _similar_long(similarity: float) -> Callable:
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs``: id, version, text.  Lines that a group's first occurrence
     makes superfluous: id, version, numbers (array of line numbers)."""
-    found = stored(docs.mapInArrow(_occurrences, OCCURRENCES))
+    found = stored(docs.mapInArrow(tidy(_occurrences), OCCURRENCES))
     bits = [f"h{k}" for k in range(BLOCKS)]
     lines = found.select("node", *bits)
     keys = lines.select("node", F.posexplode(F.array(
@@ -234,7 +234,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
     def texts(nodes: DataFrame) -> DataFrame:
         """The normalised text of candidate lines, once each."""
-        found = docs.select("text").mapInArrow(_texts_of(Bloom(nodes, "node")), "node long, line string")
+        found = docs.select("text").mapInArrow(tidy(_texts_of(Bloom(nodes, "node"))), "node long, line string")
         return stored(found.dropDuplicates(["node"]))
 
     def confirm(pairs: DataFrame, line: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", simi
     names = [*docs.columns, "lines_removed"]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], "lines_removed int"])
     kept = rows.filter("not _losing").select(*docs.columns, F.lit(0).alias("lines_removed"))
-    return joined.mapInArrow(_without(docs.columns.index(text), len(docs.columns), names), schema).unionByName(kept)
+    return joined.mapInArrow(tidy(_without(docs.columns.index(text), len(docs.columns), names)), schema).unionByName(kept)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

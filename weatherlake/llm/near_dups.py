@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.links import hub_first, in_units, linked_groups
-from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table
+from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table, tidy
 from weatherlake.llm.textarrays import U
 
 TABLES, WIDTH = 12, 3
@@ -175,7 +175,7 @@ def _confirmer(size: int, share: int) -> Callable:
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
     """The pairs (src, dst: class ids) whose full sets are similar enough."""
     rows = hub_first(in_units(pairs).join(texts, "node").select("hub", "part", "node", "text"))
-    return rows.mapInArrow(_confirmer(size, share), "src long, dst long")
+    return rows.mapInArrow(tidy(_confirmer(size, share)), "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 5,
@@ -196,7 +196,7 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     columns are ignored.
     """
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    rows = stored(docs.mapInArrow(_sketcher(size), SKETCHED))
+    rows = stored(docs.mapInArrow(tidy(_sketcher(size)), SKETCHED))
     classes = stored(rows.filter("n_shingles > 0 and id is not null")
                   .select(*[c for c in rows.columns if c not in ("id", "cid")], "cid", "id")
                   .join(rows.filter("n_shingles > 0").groupBy("cid").agg(F.min("id").alias("id")), ["cid", "id"])

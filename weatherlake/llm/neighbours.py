@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weatherlake.llm.shared import modest_batches, table
+from weatherlake.llm.shared import modest_batches, table, tidy
 
 GROUP, CHUNK = 1 << 16, 1 << 15  # candidates and queries of a tile, at most about so many
 BLOCK = 4096  # candidates multiplied at a time
@@ -175,9 +175,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: str, k: int = 20, *, id: st
                                         F.lit(1).alias("kind"), "vec_id", "embedding")
     tiles = (held.unionByName(asking).repartition(groups * chunks, "dim", "g", "r")
              .sortWithinPartitions("dim", "g", "r", "kind"))
-    found = tiles.mapInArrow(_searcher(k), "query_id long, vec_id long, score double")
+    found = tiles.mapInArrow(tidy(_searcher(k)), "query_id long, vec_id long, score double")
     return (found.repartition("query_id").sortWithinPartitions("query_id")
-            .mapInArrow(_merger(k), "query_id long, rank int, vec_id long, score double"))
+            .mapInArrow(tidy(_merger(k)), "query_id long, rank int, vec_id long, score double"))
 
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
-from weatherlake.llm.shared import extended, modest_batches, table
+from weatherlake.llm.shared import extended, modest_batches, table, tidy
 from weatherlake.llm.textarrays import U
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -479,7 +479,7 @@ def sample_segmentations(docs: DataFrame, *, id: str = "doc_id", text: str = "te
                 yield pa.RecordBatch.from_arrays([*part.columns, *_sampled(sampler, part.column(where[0]), part.column(where[1]))],
                                                  names=[*part.schema.names, "samples", "round_trip"])
 
-    return docs.mapInArrow(run, extended(docs.schema, SAMPLES))
+    return docs.mapInArrow(tidy(run), extended(docs.schema, SAMPLES))
 
 
 def _sampled(sampler: Sampler, texts: pa.Array, ids: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -516,7 +516,7 @@ def decode_pieces(docs: DataFrame, ids: str = "ids", *, model: str = MODEL) -> D
                      for x in batch.column(column).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
-    return docs.mapInArrow(run, extended(docs.schema, "decoded string"))
+    return docs.mapInArrow(tidy(run), extended(docs.schema, "decoded string"))
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
 from weatherlake.llm.language import is_held_out
-from weatherlake.llm.shared import extended, modest_batches, smallest_by_hash, table
+from weatherlake.llm.shared import extended, modest_batches, smallest_by_hash, table, tidy
 
 # byte classes: what stands in a text besides lower-case letters
 _CLASSES = ["other", "lower", "upper", "digit", "blank", "point", "exclaim", "bar", "sign", "quote", "high"]
@@ -217,7 +217,7 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id",
     chosen = smallest_by_hash(known, F.xxhash64("id"), train_docs, "id")
     # bounded by train_docs rows, whatever the size of the tables
     sample = (docs.select(F.col(id).alias("id"), F.col(text).alias("text")).filter("text is not null")
-              .join(F.broadcast(chosen), "id").select("label", "text").mapInArrow(_extract, "label int, x binary, n binary").collect())
+              .join(F.broadcast(chosen), "id").select("label", "text").mapInArrow(tidy(_extract), "label int, x binary, n binary").collect())
     sample.sort(key=lambda r: (r.label, bytes(r.x)))
     y = np.array([r.label for r in sample], float)
     prior = float(y.mean()) if len(y) else 0.5
@@ -263,7 +263,7 @@ def score_quality(docs: DataFrame, model: QualityModel, *, text: str = "text", t
                     [*batch.slice(i, j - i).columns, pa.array(p), pa.array((p >= threshold).astype(np.int32)), lines],
                     names=[*batch.schema.names, "score", "predicted", "line_good"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

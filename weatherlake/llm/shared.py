@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -45,6 +47,19 @@ def extended(schema: T.StructType, more: str) -> T.StructType:
     return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])
 
 
+def tidy(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that gives unused memory back when its
+    task ends: Python workers stay for later tasks."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only the C library of Linux has it
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
 def smallest_by_hash(df: DataFrame, hashed: Column, n: int, *order: str) -> DataFrame:
     """About the ``n`` rows of smallest hash: a bounded sample, the same
     whenever the rows are the same.  Rows whose hash falls into a share of the
@@ -84,7 +99,7 @@ class Bloom:
         width = self.bits // _RANGES
         slots = F.explode(F.array(F.expr(f"pmod({column}, {self.bits}L)"), F.expr(f"pmod(shiftright({column}, 32), {self.bits}L)")))
         parts = (keys.select(slots.alias("slot")).select(F.expr(f"cast(slot div {width} as int)").alias("at"), F.expr(f"slot % {width}").alias("slot"))
-                 .repartition("at").sortWithinPartitions("at").mapInArrow(_bit_range(width), "at int, bits binary").collect())
+                 .repartition("at").sortWithinPartitions("at").mapInArrow(tidy(_bit_range(width)), "at int, bits binary").collect())
         packed = np.zeros(self.bits // 8, np.uint8)
         for r in parts:
             packed[r["at"] * (width // 8):(r["at"] + 1) * (width // 8)] |= np.frombuffer(bytes(r["bits"]), np.uint8)
