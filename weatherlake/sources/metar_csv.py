@@ -119,9 +119,10 @@ def _typed(name: str, text: Column) -> Column:
 
 def _number(text: Column) -> Column:
     """A cell as ``float`` reads it: Java's type suffixes (1.5d) are no numbers."""
-    last = F.lower(F.right(text, F.lit(1)))
-    suffix = (last == "d") | ((last == "f") & (F.lower(F.right(text, F.lit(3))) != "inf"))
-    return F.when(~suffix, text.try_cast("float"))
+    last = F.substring(text, -1, 1)
+    suffix = last.isin("d", "D", "f", "F") & (F.lower(F.substring(text, -3, 3)) != "inf")
+    # a failed cast costs an exception, so the null tokens are looked at first
+    return F.when(~(text.isin(*schema.NULL_TOKENS, "") | suffix), text.try_cast("float"))
 
 
 def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = False,
