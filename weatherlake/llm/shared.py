@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -23,10 +25,25 @@ def _shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_last_sweep = [0.0]
+
+
+def _sweep(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps.  It does so when
+    the driver collects its garbage, which a driver with little to do hardly
+    ever does by itself; asked for every few seconds at most."""
+    if time.monotonic() - _last_sweep[0] > 4:
+        gc.collect()
+        spark.sparkContext._jvm.java.lang.System.gc()
+        _last_sweep[0] = time.monotonic()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     _shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    _sweep(df.sparkSession)
+    return out
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -35,6 +52,7 @@ def stored(df: DataFrame) -> DataFrame:
     folder is cleared."""
     path = f"{_shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _sweep(df.sparkSession)
     return df.sparkSession.read.parquet(path)
 
 
