@@ -34,9 +34,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Null ends and self-loops are ignored; no edges give an empty frame."""
     e = cut(edges.filter("src <> dst")
             .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
-    while not _only_stars(e):
+    while True:
         e = cut(_small_star(_large_star(e).distinct()).distinct())
-    return e.select(F.col("src").alias("node"), F.col("dst").alias("component"))
+        if _only_stars(e):
+            return e.select(F.col("src").alias("node"), F.col("dst").alias("component"))
 
 
 def _only_stars(edges: DataFrame) -> bool:

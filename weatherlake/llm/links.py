@@ -4,11 +4,11 @@ Nodes (classes of equal texts, distinct lines) carry keys; two nodes may be
 linked only if they share one.  ``linked_groups`` finds the connected groups
 of confirmed links:
 
-1. In a few rounds, every key gets a hub and members are paired with hubs
+1. In ``ROUNDS`` rounds, every key gets a hub and members are paired with hubs
    only, so g nodes under one key give g pairs and not g * g.  The hub is the
    smallest node after an exclusive-or with a constant that differs by round
-   and by key parity: a keyed minimum, combined before the shuffle, that
-   picks other nodes each time.  The join back to the hubs is one that
+   and between four kinds of keys: a keyed minimum, combined before the
+   shuffle, that picks several nodes of a group.  The join back to the hubs is one that
    adaptive execution splits where a key is hot.
 2. Pairs that pass a cheap test on carried columns are confirmed; components
    of the links decide which keys go on to the next round: those whose
@@ -31,13 +31,14 @@ from weatherlake.llm.components import connected_components
 from weatherlake.llm.shared import Bloom, cut, stored
 
 UNIT = 64  # members confirmed against one hub at a time
-ROUNDS = 2
+ROUNDS = 1
+HUBS = 4  # per group of nodes and round
 
 
 def _turned(node: str, turn: int) -> Column:
     """The node with some bits flipped; applied twice it is the node again."""
-    even, odd = ta.constants(71 + turn, 2).astype("int64").tolist()
-    return F.col(node).bitwiseXOR(F.when(F.pmod("key", F.lit(2)) == 0, F.lit(even)).otherwise(F.lit(odd)))
+    flips = ta.constants(71 + turn, HUBS).astype("int64").tolist()
+    return F.col(node).bitwiseXOR(F.array(*[F.lit(f) for f in flips])[F.pmod("key", F.lit(HUBS)).cast("int")])
 
 
 def linked_groups(keys: DataFrame, info: DataFrame, plausible: Callable[[str, str], Column],
