@@ -2,8 +2,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from helpers import documents, rng, words
-from weatherlake.llm.near_dups import near_duplicates
+from weatherlake.llm.near_dups import SKETCHED, TABLES, _sketcher, first_meeting, near_duplicates
 
 
 def brute(rows, size, share=80):
@@ -68,3 +70,19 @@ def test_components_of_chains_and_hubs(spark):
     got = {tuple(x) for x in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert got == {(k, 0) for k in range(1, 61)} | {(k, 200) for k in range(1000, 1100)}
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_every_pair_that_shares_tables_meets_at_one(spark):
+    r = rng(11)
+    rows = []
+    for k in range(1500):
+        base = words(r, 60)
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(edited(r, base, 3)))]
+    made = documents(spark, rows).mapInArrow(_sketcher(2), SKETCHED)
+    side = made.select(F.floor(F.col("id") / 2).alias("pair"), (F.col("id") % 2).alias("second"), F.struct(*[c for c in made.columns if c != "id"]).alias("info"))
+    pairs = side.filter("second = 0").select("pair", F.col("info").alias("p")).join(side.filter("second = 1").select("pair", F.col("info").alias("q")), "pair")
+    places = [F.when((F.col("p.a")[i] == F.col("q.a")[i]) & (F.col("p.b")[j] == F.col("q.b")[j]), i * TABLES + j) for i in range(TABLES) for j in range(TABLES)]
+    shared = pairs.select("pair", "p", "q", F.explode(F.array_compact(F.array(*places))).alias("place")).cache()
+    assert shared.select("pair").distinct().count() > 1400
+    met = shared.filter(first_meeting("p", "q", "place")).groupBy("pair").count().collect()
+    assert len(met) == shared.select("pair").distinct().count() and {x["count"] for x in met} == {1}

@@ -131,13 +131,16 @@ def _agreeing(left: str, right: str, words: range) -> Column:
     return F.lit(8 * len(words)) - differing
 
 
-def _same_half(left: str, right: str, t: int) -> Column:
-    """Whether half key ``t`` (0 to 2 * TABLES - 1) agrees, by its sketch bytes."""
-    same = F.lit(True)
-    for k in range(t * WIDTH, (t + 1) * WIDTH):
-        x = F.col(f"{left}.s{k // 8}").bitwiseXOR(F.col(f"{right}.s{k // 8}"))
-        same = same & (F.shiftrightunsigned(x, 8 * (k % 8)).bitwiseAND(F.lit(255)) == 0)
-    return same
+def first_meeting(left: str, right: str, place: str) -> Column:
+    """Whether two documents that share the table at ``place`` share no
+    earlier half key on either side, so that they meet there only.  It reads
+    the half keys that make the table keys: a test that could take unequal
+    ones for equal would pass the pair over at every table."""
+    earlier = F.lit(False)
+    for half, at in (("a", F.floor(F.col(place) / TABLES)), ("b", F.col(place) % TABLES)):
+        for t in range(TABLES - 1):
+            earlier = earlier | ((at > t) & (F.col(f"{left}.{half}")[t] == F.col(f"{right}.{half}")[t]))
+    return ~earlier
 
 
 def _confirmer(size: int, share: int) -> Callable:
@@ -213,20 +216,13 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
         few = odd * (100 + share) <= (m + n) * (100 - share)
         return (F.least(m, n) * 100 >= F.greatest(m, n) * share) & few & (_agreeing(p, q, range(3)) >= 9) & (_agreeing(p, q, range(9)) >= LEAST_AGREEING)
 
-    def first_meeting(p: str, q: str, place: str) -> Column:
-        earlier = F.lit(False)
-        for half, at in ((0, F.floor(F.col(place) / TABLES)), (TABLES, F.col(place) % TABLES)):
-            for t in range(TABLES - 1):
-                earlier = earlier | ((at > t) & _same_half(p, q, half + t))
-        return ~earlier
-
     def texts(nodes: DataFrame) -> DataFrame:
         """One text of every class that shares a key."""
         wanted = cut(nodes.join(classes.select(F.col("cid").alias("node"), F.col("id").alias("doc")), "node"))
         some = docs.filter(Bloom(wanted.select(F.xxhash64("doc").alias("h")), "h").condition(F.xxhash64("id")))
         return wanted.join(some.select(F.col("id").alias("doc"), "text"), "doc").select("node", "text")
 
-    groups = linked_groups(keys, classes.select(F.col("cid").alias("node"), "n_shingles", *sketch), plausible,
+    groups = linked_groups(keys, classes.select(F.col("cid").alias("node"), "n_shingles", "a", "b", *sketch), plausible,
                            first_meeting, lambda pairs, material: _confirmed(pairs, material, size, share), texts)
     named = classes.select("cid", "id").join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
         "cid", "id", F.coalesce("component", "cid").alias("component"))
