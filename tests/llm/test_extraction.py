@@ -77,3 +77,14 @@ def test_tree_matching_and_merging():
 
 def test_blocks_of_nested_lists():
     assert blocks(parse("<ul><li>a<ul><li>b</ul><li>c</ul><dl><dt>d<dd>e</dl>f"), lambda n: False) == list("abcdef")
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    made = {}
+    for k, own in enumerate(("gallery", "recipe", "answer", "poem")):
+        body, text = plain(k)
+        made[k] = body.replace("<div class=text>", f"<div class=text><div class={own}>The only {own}</div>"), f"The only {own}\n{text}"
+    rows = [(k, f"http://host.example/{k}", made[k % 4][0]) for k in range(16)]
+    for parts in (1, 7):
+        got = {x.page_id: x.text for x in extract_main_text(pages(spark, rows).repartition(parts)).collect()}
+        assert got == {k: made[k % 4][1] for k in range(16)}

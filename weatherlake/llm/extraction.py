@@ -8,9 +8,10 @@ the host's pages is: in the region (article, main, or else the container of
 most of the varying text) and there in everything that is neither template nor
 marked as menu, header, footer, sidebar, notice, advert, form or comment.
 
-Wrappers are merged per partition first, then per host and salt, then per
-host, so a host with a third of all pages sends one wrapper per partition and
-its pages are never brought together.
+Copies of a page are dropped first, by host and fingerprint, so the wrapper
+counts different pages only.  Wrappers are then merged per partition, per host
+and salt, and per host, so a host with a third of all pages sends one wrapper
+per partition and its pages are never brought together.
 """
 
 from __future__ import annotations
@@ -150,35 +151,30 @@ def merge(a: list, b: list, pages: int = 0) -> list:
 
 
 class Wrapper:
-    """What a host's pages have in common: a wrapper tree and up to SURE
-    fingerprints of different pages."""
+    """What a host's different pages have in common, as a wrapper tree."""
 
-    def __init__(self, tree: list, prints: list[int]):
-        self.tree, self.prints = tree, prints
+    def __init__(self, tree: list):
+        self.tree = tree
 
     @staticmethod
     def of(page: Node) -> Wrapper:
-        return Wrapper(shape(page), [page.print])
+        return Wrapper(shape(page))
 
     def add(self, other: Wrapper) -> None:
-        # copies of a page say nothing about what varies
-        if len(other.prints) == 1 and other.prints[0] in self.prints:
-            return
         self.tree = merge(self.tree, other.tree)
-        self.prints = sorted({*self.prints, *other.prints})[:SURE]
 
     def dumps(self) -> str:
-        return json.dumps([self.tree, self.prints], separators=(",", ":"))
+        return json.dumps(self.tree, separators=(",", ":"))
 
     @staticmethod
     def loads(text: str) -> Wrapper:
-        return Wrapper(*json.loads(text))
+        return Wrapper(json.loads(text))
 
     def summary(self) -> str:
         """What extraction needs: fingerprints of template nodes, and the path
         of keys to the container of most of the varying text."""
         template: list[int] = []
-        if len(self.prints) >= SURE:
+        if self.tree[2] >= SURE:
             _collect(self.tree, template)
         path, node = [], self.tree
         while True:
@@ -266,27 +262,42 @@ def host_of(url: str) -> Column:
     return F.coalesce(F.regexp_extract(F.lower(F.col(url)), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
-def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, html) -> one wrapper per host and partition, or several where a partition has many hosts."""
-    found: dict[str, Wrapper] = {}
-
-    def out() -> pa.RecordBatch:
-        rows = [(h, w.dumps()) for h, w in found.items()]
-        found.clear()
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["host", "wrapper"])
-
+def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, html) -> host, page print and wrapper of every page; copies
+    within a task go here already, so a hot one is one row per task."""
+    seen: set[tuple] = set()
     for batch in batches:
+        rows = []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             root = parse(page)
             fingerprint(root)
-            own = Wrapper.of(root)
-            if host in found:
-                found[host].add(own)
-            else:
-                found[host] = own
-        if len(found) > 2000:
-            yield out()
-    yield out()
+            wrapper = Wrapper.of(root).dumps()
+            copy = (host, root.print, hash(wrapper))
+            if copy not in seen:
+                if len(seen) > 100_000:  # later ones go after the shuffle
+                    seen.clear()
+                seen.add(copy)
+                rows.append((host, root.print, wrapper))
+        kinds = (("host", pa.string()), ("print", pa.int64()), ("wrapper", pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(kinds)], names=[n for n, _ in kinds])
+
+
+def _different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by host and print -> the first of each as host, wrapper."""
+    last = None
+    for batch in batches:
+        keep = []
+        for k, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            if key != last:
+                keep.append(k)
+            last = key
+        take = pa.array(keep, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take)], names=["host", "wrapper"])
+
+
+def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by host and print -> one wrapper per host and partition."""
+    yield from _combine(False)(_different(batches))
 
 
 def _combine(summarise: bool) -> Callable:
@@ -317,7 +328,8 @@ def _combine(summarise: bool) -> Callable:
 def induce_wrappers(pages: DataFrame) -> DataFrame:
     """``pages``: host, html.  One row per host: host, wrapper (a summary as JSON)."""
     schema = "host string, wrapper string"
-    parts = pages.filter("html is not null").select("host", "html").mapInArrow(tidy(_induce), schema)
+    shapes = pages.filter("html is not null").select("host", "html").mapInArrow(tidy(_shapes), "host string, print long, wrapper string")
+    parts = shapes.repartition("host", "print").sortWithinPartitions("host", "print", "wrapper").mapInArrow(tidy(_induce), schema)
     salted = (parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).repartition("host", "salt")
               .sortWithinPartitions("host", "salt").select("host", "wrapper").mapInArrow(tidy(_combine(False)), schema))
     return salted.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(tidy(_combine(True)), schema)
