@@ -2,7 +2,7 @@ import pytest
 
 from helpers import rng, words
 from weatherlake.llm.dom import blocks, fingerprint, parse
-from weatherlake.llm.extraction import Wrapper, extract_main_text, matching, shape
+from weatherlake.llm.extraction import Wrapper, extract_main_text, matching, merge, shape
 
 
 def pages(spark, rows):
@@ -88,3 +88,26 @@ def test_copies_of_a_page_are_one_page(spark):
     for parts in (1, 7):
         got = {x.page_id: x.text for x in extract_main_text(pages(spark, rows).repartition(parts)).collect()}
         assert got == {k: made[k % 4][1] for k in range(16)}
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_a_late_or_rare_notice_is_template(order):
+    def wrapper(k):
+        page = parse(f"<body><div class=top>The site</div>{'<div class=box>Moved house</div>' if k >= 396 else ''}<div class=text>{k} {prose(k, 1)[0]}</div></body>")
+        fingerprint(page)
+        return page, Wrapper.of(page)
+    page, whole = wrapper(0 if order > 0 else 399)
+    for k in list(range(400))[::order][1:]:
+        whole.add(wrapper(k)[1])
+    last, _ = wrapper(399)
+    box = last.elements()[0].elements()[1]
+    assert whole.tree[2] == 400 and f"{box.print}" in whole.summary()
+
+
+def test_merging_leaves_out_no_node_and_aligns_shared_ones():
+    def kids(keys):
+        return [[k, 1, 1, 0, []] for k in keys]
+    a, b = (["div", 1, 1, 0, kids(x)] for x in ("apbqc", "ubvc"))
+    got = [(k[0], k[2]) for k in merge(a, b)[4]]
+    assert sorted(got) == [("a", 1), ("b", 2), ("c", 2), ("p", 1), ("q", 1), ("u", 1), ("v", 1)]
+    assert [k for k, n in got if n == 2] == ["b", "c"] and matching(a, b) == 3

@@ -106,7 +106,15 @@ def matching(a: list, b: list) -> int:
         return 0
     if not a[4] or not b[4]:
         return 1
-    return 1 + _table(a[4], b[4])[-1][-1]
+    i, j = _shared(a[4], b[4])
+    return 1 + _table([a[4][k] for k in i], [b[4][k] for k in j])[-1][-1]
+
+
+def _shared(xs: list, ys: list) -> tuple[list[int], list[int]]:
+    """Places of the nodes whose key the other list has; all others match
+    nothing, so they need no place in the table."""
+    both = {x[0] for x in xs} & {y[0] for y in ys}
+    return [k for k, x in enumerate(xs) if x[0] in both], [k for k, y in enumerate(ys) if y[0] in both]
 
 
 def _table(xs: list, ys: list) -> list[list[int]]:
@@ -124,30 +132,29 @@ def _align(xs: list, ys: list, pages: int = 0) -> list:
     """Children of two nodes as one list: matched ones merged, others kept in order."""
     if [x[0] for x in xs] == [y[0] for y in ys]:
         return [merge(x, y, pages) for x, y in zip(xs, ys, strict=True)]
-    m, out = _table(xs, ys), []
-    i, j = len(xs), len(ys)
+    xi, yj = _shared(xs, ys)
+    m, pairs = _table([xs[k] for k in xi], [ys[k] for k in yj]), []
+    i, j = len(xi), len(yj)
     while i or j:
-        w = matching(xs[i - 1], ys[j - 1]) if i and j else 0
+        w = matching(xs[xi[i - 1]], ys[yj[j - 1]]) if i and j else 0
         if w and m[i][j] == m[i - 1][j - 1] + w:
-            out.append(merge(xs[i - 1], ys[j - 1], pages))
+            pairs.append((xi[i - 1], yj[j - 1]))
             i, j = i - 1, j - 1
         elif i and (not j or m[i][j] == m[i - 1][j]):
-            out.append(xs[i - 1])
             i -= 1
         else:
-            out.append(ys[j - 1])
             j -= 1
-    return out[::-1]
+    out, i, j = [], 0, 0
+    for x, y in reversed(pairs):
+        out += [*ys[j:y], *xs[i:x], merge(xs[x], ys[y], pages)]
+        i, j = x + 1, y + 1
+    return [*out, *ys[j:], *xs[i:]]
 
 
 def merge(a: list, b: list, pages: int = 0) -> list:
-    """The wrapper of two wrappers.  Nodes that fewer than one page in a
-    hundred has go once there are hundreds of pages: they are no template."""
-    n = pages or a[2] + b[2]
-    kids = _align(a[4], b[4], pages)
-    if n > 300:
-        kids = [k for k in kids if k[2] * 100 >= n]
-    return [a[0], a[1] if a[1] == b[1] else 0, n, a[3] + b[3], kids]
+    """The wrapper of two wrappers.  Rare nodes stay: one that few pages had
+    so far may be template, at every number of pages by the same rule."""
+    return [a[0], a[1] if a[1] == b[1] else 0, pages or a[2] + b[2], a[3] + b[3], _align(a[4], b[4], pages)]
 
 
 class Wrapper:
