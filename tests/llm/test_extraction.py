@@ -1,8 +1,10 @@
+import json
+
 import pytest
 
 from helpers import rng, words
 from weatherlake.llm.dom import blocks, fingerprint, parse
-from weatherlake.llm.extraction import Wrapper, extract_main_text, matching, merge, shape
+from weatherlake.llm.extraction import Wrapper, extract_main_text, main_text, matching, merge, shape
 
 
 def pages(spark, rows):
@@ -111,3 +113,19 @@ def test_merging_leaves_out_no_node_and_aligns_shared_ones():
     got = [(k[0], k[2]) for k in merge(a, b)[4]]
     assert sorted(got) == [("a", 1), ("b", 2), ("c", 2), ("p", 1), ("q", 1), ("u", 1), ("v", 1)]
     assert [k for k, n in got if n == 2] == ["b", "c"] and matching(a, b) == 3
+
+
+@pytest.mark.parametrize("name", ["layout with-sidebar", "content no-comments", "long-form", "side-by-side", "post share-enabled"])
+@pytest.mark.parametrize("tag", ["main", "article", "div"])
+def test_a_marked_container_of_the_text(name, tag):
+    made = []
+    for k in range(4):
+        p = prose(200 + k)
+        page = parse(f"<body><div id=top>Site name</div><div class='{name}'><{tag}><p>{p[0]}<p>{p[1]}</{tag}></div><div class=comments>Nice {k}</div></body>")
+        fingerprint(page)
+        made.append((page, f"{p[0]}\n{p[1]}"))
+    whole = Wrapper.of(made[0][0])
+    for page, _ in made[1:]:
+        whole.add(Wrapper.of(page))
+    template, path = json.loads(whole.summary())
+    assert [main_text(page, frozenset(template), path) for page, _ in made] == [t for _, t in made]

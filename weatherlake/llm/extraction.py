@@ -50,9 +50,10 @@ def _names(node: Node) -> set[str]:
     return {w.lower() for w in _TOKENS.findall(text)} if text.strip() else set()
 
 
-def marked(node: Node, inside: bool) -> bool:
-    """Whether tag, role, class or id set the subtree apart from the main
-    text.  ``inside`` the region a header belongs to the article."""
+def marked(node: Node, inside: bool, names: bool = True) -> bool:
+    """Whether tag, role, class or id (these two only with ``names``) set the
+    subtree apart from the main text.  ``inside`` the region a header belongs
+    to the article."""
     if node.tag in _NEVER:
         return True
     if node.tag == "header":
@@ -62,8 +63,10 @@ def marked(node: Node, inside: bool) -> bool:
         return False
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role") in _ROLES or "display:none" in a.get("style", "").replace(" ", ""):
         return True
-    names = _names(node)
-    return bool(names & _MARKS) or not inside and "header" in names
+    if not names:
+        return False
+    found = _names(node)
+    return bool(found & _MARKS) or not inside and "header" in found
 
 
 def _key(node: Node) -> str:
@@ -184,10 +187,12 @@ class Wrapper:
         if self.tree[2] >= SURE:
             _collect(self.tree, template)
         path, node = [], self.tree
+        # names that take out nearly all that varies do not mean what they say
+        names = 10 * _varying(node) >= _varying(node, False)
         while True:
-            total = _varying(node)
-            best = max(node[4], key=_varying, default=None)
-            if best is None or not total or _varying(best) < 0.6 * total or best[0].split(".")[0] in _TEXTUAL:
+            total = _varying(node, names)
+            best = max(node[4], key=lambda k: _varying(k, names), default=None)
+            if best is None or not total or _varying(best, names) < 0.6 * total or best[0].split(".")[0] in _TEXTUAL:
                 return json.dumps([sorted(set(template)), path], separators=(",", ":"))
             path.append(best[0])
             node = best
@@ -202,11 +207,11 @@ def _collect(node: list, out: list[int]) -> None:
             _collect(k, out)
 
 
-def _varying(node: list) -> int:
+def _varying(node: list, marks: bool = True) -> int:
     tag, *names = node[0].removesuffix("@main").split(".")
-    if node[1] and node[2] >= SURE or tag in _NEVER or tag == "header" or set(names) & _MARKS:
+    if node[1] and node[2] >= SURE or tag in _NEVER or tag == "header" or marks and set(names) & _MARKS:
         return 0
-    return sum(_varying(k) for k in node[4]) if node[4] else node[3]
+    return sum(_varying(k, marks) for k in node[4]) if node[4] else node[3]
 
 
 def _descendants(node: Node) -> Iterator[Node]:
@@ -216,14 +221,14 @@ def _descendants(node: Node) -> Iterator[Node]:
             yield from _descendants(c)
 
 
-def _regions(node: Node) -> Iterator[Node]:
+def _regions(node: Node, names: bool = True) -> Iterator[Node]:
     """Articles and mains that are not within a marked part."""
     for c in node.elements():
-        if c.tag in RAW or (c.tag not in ("html", "body") and marked(c, False)):
+        if c.tag in RAW or (c.tag not in ("html", "body") and marked(c, False, names)):
             continue
         if c.tag in _REGIONS or c.attrs.get("role") == "main":
             yield c
-        yield from _regions(c)
+        yield from _regions(c, names)
 
 
 def _length(node: Node) -> int:
@@ -233,6 +238,10 @@ def _length(node: Node) -> int:
 def region(page: Node, path: list[str]) -> Node:
     """The part of a page that holds its main text."""
     found = list(_regions(page))
+    if not found:  # within containers that class or id marks: a main, or an article with most of the text
+        loose = [r for r in _regions(page, False) if not marked(r, True)]
+        half = sum(len(b) for b in blocks(page, lambda c: marked(c, True, False))) / 2 if loose else 0
+        found = [r for r in loose if r.tag != "article" or _length(r) > half]
     articles = [r for r in found if r.tag == "article"]
     mains = [r for r in found if r.tag != "article"]
     if len(articles) == 1:
@@ -256,12 +265,13 @@ def main_text(page: Node, template: frozenset[int], path: list[str]) -> str:
     part = region(page, path)
     inside = part.tag in _REGIONS or part.attrs.get("role") == "main"
 
-    def dropped(c: Node) -> bool:
+    def dropped(c: Node, names: bool = True) -> bool:
         if c.tag in ("html", "body"):
             return False
-        return marked(c, inside) or c.print in template and c.tag not in _TEXTUAL and c.tag not in _REGIONS
+        return marked(c, inside, names) or c.print in template and c.tag not in _TEXTUAL and c.tag not in _REGIONS
 
-    return "\n".join(blocks(part, dropped))
+    # a page that class and id names would leave without any text is taken without them
+    return "\n".join(blocks(part, dropped) or blocks(part, lambda c: dropped(c, False)))
 
 
 def host_of(url: str) -> Column:
