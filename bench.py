@@ -60,7 +60,7 @@ def main() -> None:
         # Set-up (not timed): the observations as METAR CSV text files.
         csv_dir = os.path.join(scratch, "csv")
         raw = fx.raw_observations(spark, SF_DIR).drop("l_orderkey", "l_partkey", "l_linenumber", "seq")
-        raw.write.option("header", True).csv(csv_dir)
+        raw.write.option("header", True).option("escape", '"').csv(csv_dir)
 
         pos_dir, date_dir = os.path.join(scratch, "by_position"), os.path.join(scratch, "by_date")
 

@@ -4,7 +4,10 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, HERE)
+# Python workers find the library where the session is started without an installation
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, os.environ.get("PYTHONPATH", "")]))
 
 
 @pytest.fixture(scope="session")
@@ -15,16 +18,3 @@ def spark():
                       scratch=tempfile.mkdtemp(prefix="weatherlake-test-ckpt-", dir="/tmp"))
     yield s
     s.stop()
-
-
-def obs_frame(spark, rows, extra_cols=()):
-    """A typed observation frame from tuples of
-    (station, year, month, day, hour, minute, lat, lon, tmpf, relh, *extra)."""
-    from pyspark.sql import types as T
-
-    fields = [T.StructField("station", T.StringType()),
-              *[T.StructField(c, T.IntegerType()) for c in ("year", "month", "day", "hour", "minute")],
-              T.StructField("lat", T.FloatType()), T.StructField("lon", T.FloatType()),
-              T.StructField("tmpf", T.FloatType()), T.StructField("relh", T.FloatType())]
-    fields += [T.StructField(n, t) for n, t in extra_cols]
-    return spark.createDataFrame(rows, T.StructType(fields))

@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from weatherlake.functions.exprs import f_to_c, half_even, position_eq
 from weatherlake.operators import climate
 
-from conftest import obs_frame
+from obsrows import obs_frame
 
 LAT, LON = -3.7894, 37.1897
 

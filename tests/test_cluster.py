@@ -3,7 +3,7 @@ import pytest
 
 from weatherlake.operators.cluster import feature_zscore, kmeans_stations, station_features
 
-from conftest import obs_frame
+from obsrows import obs_frame
 
 FEATS = ["tmpf", "alti", "relh", "sknt"]
 

@@ -6,7 +6,7 @@ import pytest
 from weatherlake import schema
 from weatherlake.operators import climate, cluster, snapshot, stations, upsert
 
-from conftest import obs_frame
+from obsrows import obs_frame
 
 
 def test_empty_inputs(spark):

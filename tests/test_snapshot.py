@@ -2,7 +2,7 @@ import pytest
 
 from weatherlake.operators.snapshot import snapshot, snapshot_all, snapshot_all_text
 
-from conftest import obs_frame
+from obsrows import obs_frame
 
 
 def _df(spark):

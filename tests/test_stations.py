@@ -5,7 +5,7 @@ from hypothesis import given, settings, strategies as st
 
 from weatherlake.operators.stations import load_stations, nearest_station, station_dictionary, write_stations
 
-from conftest import obs_frame
+from obsrows import obs_frame
 
 
 def brute(queries, stations, eps):

@@ -6,7 +6,7 @@ from weatherlake.operators import climate
 from weatherlake.operators.upsert import rows_sent_vs_kept, upsert_last, upsert_partial
 from weatherlake.sources.layouts import read_layout, write_by_date, write_by_position
 
-from conftest import obs_frame
+from obsrows import obs_frame
 
 
 def _rows():
