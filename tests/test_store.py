@@ -4,7 +4,8 @@ from hypothesis import given, settings, strategies as st
 from weatherlake import schema
 from weatherlake.operators import climate
 from weatherlake.operators.upsert import rows_sent_vs_kept, upsert_last, upsert_partial
-from weatherlake.sources.layouts import read_layout, write_by_date, write_by_position
+from weatherlake.sources.layouts import (_with_order, insert_by_date, insert_by_position, laid_out, read_layout, write_by_date,
+                                        write_by_position)
 
 from obsrows import obs_frame
 
@@ -132,11 +133,68 @@ def test_one_exchange_per_write_and_34_columns(spark, tmp_path):
     obs = read_metar(spark, str(f), strict=False)
     write_by_position(obs, str(tmp_path / "p"), partitions=2)
     assert spark.read.parquet(str(tmp_path / "p")).columns == list(schema.OBS_COLUMNS)
-    layout = list(schema.KEY_POSITION)
-    from pyspark.sql import Window, functions as F
-    plan = (obs.repartitionByRange(2, *layout).withColumn("n", F.lead(F.lit(1)).over(Window.partitionBy(*layout).orderBy("_seq")))
-            ._jdf.queryExecution().executedPlan().toString())
-    assert plan.count("Exchange ") == 1
+    for key, layout, directories in ((schema.KEY_POSITION, schema.KEY_POSITION, ()), (schema.KEY_DATE, schema.KEY_DATE, ("year", "month"))):
+        out = laid_out(_with_order(obs, "_seq", None), key, layout, directories, unique=False, partitions=2)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1 and plan.count("Exchange rangepartitioning") == 1
+
+
+def test_files_hold_disjoint_bands(spark, tmp_path):
+    from pyspark.sql import functions as F
+    obs = spark.range(0, 6000).select(
+        F.concat(F.lit("S"), F.col("id") % 70).alias("station"), F.lit(2011).alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month"),
+        (F.col("id") % 28 + 1).cast("int").alias("day"), (F.col("id") % 24).cast("int").alias("hour"), (F.col("id") % 60).cast("int").alias("minute"),
+        (F.col("id") % 10 - 5.00000003).cast("float").alias("lat"), (F.col("id") % 7 + 0.5).cast("float").alias("lon"),
+        F.lit(1.0).cast("float").alias("tmpf"), F.col("id").alias("seq"))
+    write_by_position(obs, str(tmp_path / "p"), "seq", partitions=8)
+    bands = (spark.read.parquet(str(tmp_path / "p")).groupBy(F.input_file_name().alias("f"))
+             .agg(F.min(F.struct(*schema.KEY_POSITION)).alias("lo"), F.max(F.struct(*schema.KEY_POSITION)).alias("hi"),
+                  F.count_distinct("lat", "lon").alias("n")).orderBy("lo").collect())
+    assert len(bands) == 8 and all(a.hi < b.lo for a, b in zip(bands, bands[1:])) and max(b.n for b in bands) < 20
+
+
+def test_close_positions_are_told_apart(spark, tmp_path):
+    # all of these share a fixed-point value, two share the position; NaN and infinite ones are kept too
+    rows = [(f"S{k}", 2011, 1, 1, 0, 0, lat, 0.0, float(k), None, k)
+            for k, lat in enumerate([1e-9, 2e-9, 2e-9, 0.0, -0.0, float("nan"), float("inf"), 1e30])]
+    rep = write_by_position(_frame(spark, rows), str(tmp_path / "p"), "seq", partitions=2)
+    assert (rep.rows_sent, rep.rows_kept) == (8, 6)
+    assert sorted(r.seq for r in read_layout(spark, str(tmp_path / "p")).collect()) == [0, 2, 4, 5, 6, 7]
+
+
+def _files(folder):
+    import os
+    return {os.path.relpath(os.path.join(d, f), folder): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(folder) for f in names if f.startswith("part-")}
+
+
+@pytest.mark.parametrize("kind", ["date", "position"])
+def test_insert_rewrites_only_what_it_touches(spark, tmp_path, kind):
+    path = str(tmp_path / kind)
+    rows = [(s, y, m, 1, 0, 0, lat, 2.5, 50.0, 80.0, k) for k, (s, y, m, lat) in enumerate(
+        (s, y, m, lat) for s, lat in (("A", 1.5), ("B", -3.5)) for y in (2010, 2011) for m in (1, 2))]
+    if kind == "date":
+        write_by_date(_frame(spark, rows), path, "seq")
+        insert, touched = insert_by_date, "year=2011/month=2/"
+    else:
+        write_by_position(_frame(spark, rows), path, "seq", directories=True)
+        insert, touched = insert_by_position, "stripe=1/year=2011/"
+    before = _files(path)
+    # one row replaces (A, 2011, 2), with a NULL cell; one is new; the first has an older copy beside it
+    new = [("A", 2011, 2, 1, 0, 0, 1.5, 2.5, 1.0, 1.0, 100), ("A", 2011, 2, 1, 0, 0, 1.5, 2.5, None, 81.0, 101),
+           ("C", 2011, 2, 9, 0, 0, 1.25, 7.0, 60.0, None, 102)]
+    rep = insert(_frame(spark, new), path, "seq")
+    assert rep.rows_sent == 3
+    after = _files(path)
+    assert {f: t for f, t in before.items() if not f.startswith(touched)} == {f: t for f, t in after.items() if not f.startswith(touched)}
+    assert not {f for f in before if f.startswith(touched)} & set(after)
+    got = {(r.station, r.year, r.month, r.day): (r.tmpf, r.relh) for r in read_layout(spark, path).collect()}
+    want = {(r[0], r[1], r[2], r[3]): (r[8], r[9]) for r in rows} | {("A", 2011, 2, 1): (None, 81.0), ("C", 2011, 2, 9): (60.0, None)}
+    assert got == want and read_layout(spark, path).count() == len(want)
+    insert(_frame(spark, new).limit(0), path, "seq")
+    assert _files(path) == after
+    with pytest.raises(ValueError):
+        insert(_frame(spark, new), path, None)
 
 
 def test_hot_position_is_split_across_files(spark, tmp_path):
