@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import contamination, extraction, language, licences, lines, near_dups, neighbours, pieces, quality, sharding
+from weatherlake.llm import contamination, extraction, language, licences, lines, near_dups, neighbours, pieces, quality, sharding, spelling
 
 QUERIES = {
     "op1_main_text": extraction.op1_main_text,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_neighbours": neighbours.op8_neighbours,
     "op9_pieces": pieces.op9_pieces,
     "op10_licences": licences.op10_licences,
+    "op13_variants": spelling.op13_variants,
 }
 
 SQL = {
