@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherlake.llm import contamination, extraction, language, licences, lines, near_dups, neighbours, pieces, quality, sharding, spelling
+from weatherlake.llm import contamination, extraction, language, licences, lines, near_dups, neighbours, pieces, quality, reputation, sharding, spelling, whitening
 
 QUERIES = {
     "op1_main_text": extraction.op1_main_text,
@@ -15,10 +15,13 @@ QUERIES = {
     "op8_neighbours": neighbours.op8_neighbours,
     "op9_pieces": pieces.op9_pieces,
     "op10_licences": licences.op10_licences,
+    "op11_reputation": reputation.op11_reputation,
+    "op12_whitening": whitening.op12_whitening,
     "op13_variants": spelling.op13_variants,
 }
 
 SQL = {
     "op7_near_dups": near_dups.SQL,
     "op8_neighbours": neighbours.SQL,
+    "op11_reputation": reputation.SQL,
 }
