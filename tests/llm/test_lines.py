@@ -2,7 +2,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from helpers import documents, rng, words
-from weatherlake.llm.lines import _similar, dedup_lines, edit_distance, similar
+from weatherlake.llm import lines as module
+from weatherlake.llm.lines import dedup_lines, edit_distance, similar
 
 
 def plain_distance(a, b):
@@ -81,19 +82,90 @@ def test_hot_line(spark):
     assert got[0] == 0 and all(got[k] == 1 for k in range(1, 300))
 
 
-def test_similarity_of_columns(spark):
-    r = rng(7)
-    pairs = []
-    for _ in range(200):
-        a = "".join(r.choice("abc é") for _ in range(r.randint(1, 60)))
-        b = list(a)
-        for _ in range(r.randint(0, 6)):
-            b.insert(r.randrange(len(b) + 1), r.choice("abc")) if r.random() < 0.5 else b and b.pop(r.randrange(len(b)))
-        pairs.append((a, "".join(b)))
-    df = spark.createDataFrame(pairs, "a string, b string")
-    assert all(x.s == similar(x.a, x.b, 0.9) for x in df.select("a", "b", _similar("a", "b", 0.9).alias("s")).collect())
+def one_letter(r, line):
+    at = r.choice([k for k, c in enumerate(line) if c != " "])
+    return line[:at] + r.choice("xyz") + line[at + 1:]
 
 
+@pytest.mark.parametrize("least, most, recall", [(1, 1, 1.0), (2, 2, 1.0), (3, 5, 1.0), (6, 10, 1.0), (11, 20, 0.9), (21, 60, 0.95)])
+def test_recall_by_length(spark, least, most, recall):
+    """One letter changed, similarity still 0.9 or more."""
+    r = rng(1000 + least)
+    rows = []
+    while len(rows) < 400:
+        line = " ".join(words(r, r.randint(least, most)))
+        other = one_letter(r, line)
+        if similar(line, other, 0.9) and line != other:
+            rows += [(len(rows), line), (len(rows) + 1, other)]
+    kept = dedup_lines(documents(spark, rows)).filter("lines_removed = 0").count()
+    assert kept <= 200 + 200 * (1 - recall)
+
+
+def test_one_word_inserted_deleted_or_replaced_in_short_lines(spark):
+    r = rng(55)
+    rows = []
+    for _ in range(80):
+        line = ["".join(words(r, 3)) for _ in range(r.randint(4, 9))]
+        other, at = list(line), r.randrange(len(line))
+        kind = r.choice("idr")
+        if kind == "d":
+            other.insert(at, "x")
+        else:
+            other[at] = other[at][:-1] + "x"
+        pair = (" ".join(line), " ".join(other))
+        if similar(*pair, 0.9):
+            rows += [(len(rows) + k, t) for k, t in enumerate(pair if r.random() < 0.5 else pair[::-1])]
+    assert len(rows) > 100
+    assert dedup_lines(documents(spark, rows)).filter("lines_removed = 0").count() == len(rows) // 2
+
+
+def brute_groups(lines, similarity=0.9):
+    group = {}
+    for a in lines:
+        group[a] = a
+    for a in lines:
+        for b in lines:
+            if a < b and group[a] != group[b] and similar(a, b, similarity):
+                x, y = group[a], group[b]
+                for k in group:
+                    if group[k] == y:
+                        group[k] = x
+    return len(set(group.values()))
+
+
+@pytest.mark.parametrize("tile, small", [(4096, 64), (4096, 2), (16, 4)])
+def test_a_large_key_in_tiles(spark, monkeypatch, tile, small):
+    # one beginning and end, and a word of each line's own: near ones, far ones and chains
+    monkeypatch.setattr(module, "TILE", tile)
+    monkeypatch.setattr(module, "SMALL", small)
+    r = rng(66)
+    lines = {f"the same long beginning of the line {w} and the same end of it" for w in words(r, 60)}
+    lines |= {f"the same long beginning of the line {''.join(words(r, 6))} and the same end of it" for _ in range(60)}
+    rows = [(k, t) for k, t in enumerate(sorted(lines))]
+    r.shuffle(rows)
+    kept = dedup_lines(documents(spark, rows).repartition(3)).filter("lines_removed = 0").count()
+    assert kept == brute_groups(sorted(lines))
+
+
+def test_clashing_names(spark):
+    df = documents(spark, [(1, "the first line of all"), (2, "the first line of all")]).selectExpr(
+        "*", "1 as _id", "2 as _version", "3 as _losing", "4 as _numbers", "5 as _gid")
+    got = dedup_lines(df)
+    assert got.columns == [*df.columns, "lines_removed"]
+    assert sorted((x.doc_id, x.text, x._id, x._version, x._losing, x._numbers, x._gid) for x in got.collect()) == [
+        (1, "the first line of all", 1, 2, 3, 4, 5), (2, "", 1, 2, 3, 4, 5)]
+
+
+def test_keys_of_pieces():
+    import numpy as np
+    from weatherlake.llm.lines import _Sequence
+    from weatherlake.llm.textarrays import U
+    a, b, c = [1, 2, 3, 4], [1, 2, 4], [7]
+    m = np.array([*a, *b, *c], U) * U(0x9E3779B97F4A7C15)
+    out, start = _Sequence(m, np.array([0, 4, 7, 8])).lacking_one(U(5))
+    keys = [set(out[i:j].tolist()) for i, j in zip(start[:-1], start[1:])]
+    assert [len(k) for k in keys] == [5, 4, 2]
+    assert out[start[1]] in keys[0] and len(keys[0] & keys[1]) == 1  # a without 3 is b
 def test_similar_bounds():
     assert similar("", "", 0.9) and not similar("a", "", 0.9)
     assert similar("a" * 10, "a" * 9 + "b", 0.9) and not similar("a" * 9, "a" * 8 + "b", 0.9)

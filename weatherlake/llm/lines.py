@@ -1,11 +1,28 @@
 """Fuzzy line deduplication.
 
 Lines are normalised (letters in lower case, runs of anything but letters and
-digits as one blank) and summarised by a SimHash of their words.  Two lines
-that agree on a whole block of the SimHash are candidates: by the pigeonhole
-principle every pair that differs in fewer bits than there are blocks shares a
-block, and most pairs that differ in more bits do.  Candidates are verified by
-edit similarity; connected lines form a group, and one occurrence per group,
+digits as one blank).  Lines that may be similar meet under keys:
+
+- **SimHash blocks.**  Lines of three words and 20 code points or more have a
+  SimHash of their words; two lines that agree on a whole block of it are
+  candidates.  By the pigeonhole principle every pair that differs in fewer
+  bits than there are blocks shares a block, and most pairs that differ in
+  more bits do.
+- **Deletion neighbourhoods** for short lines, whose few words leave a SimHash
+  little to agree on.  Up to ``FEW`` words: the line without each one of its
+  words, and the whole line, so lines that differ in one word (changed, inserted or
+  deleted) always meet.  Up to two words, or under 20 code points: the same with code
+  points, which is exact for every line under 20 (there one edit is allowed), or the
+  first and last 16 where the line has more than 40.  Lines under ten code points
+  are similar to equal ones only.
+
+Lines under a key are compared in one place: those whose letter counts alone
+rule out the edit distance are passed over (every edit changes at most two
+counts by one, so nothing is lost), the others are verified by edit
+similarity, and pairs that are connected already are not.  What goes on is a
+forest of links, not all pairs.  A key with more than ``TILE`` lines is dealt
+into parts; lines that are not connected after that meet all lines of
+the other parts.  Connected lines form a group, and one occurrence per group,
 the first by document id and line number, is kept.
 """
 
@@ -14,19 +31,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weatherlake.llm import textarrays as ta
+from weatherlake.llm.components import connected_components
 from weatherlake.llm.contamination import folded_tokens
-from weatherlake.llm.links import linked_groups
-from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table, tidy
+from weatherlake.llm.shared import Bloom, cut, extended, fresh, modest_batches, stored, table, tidy, whole_groups
 from weatherlake.llm.textarrays import U
 
-BLOCKS, BLOCK_BITS = 10, 32  # wide blocks keep chance meetings rare in very many lines
+BLOCKS, BLOCK_BITS = 8, 32  # wide blocks keep chance meetings rare in very many lines
 SIMILARITY = 0.9
-MOST_BITS = 110  # pairs that differ in more bits are not verified (unrelated lines differ in about 160 of 320)
+FEW = 16  # words of a line that has deletion keys
+SHORT, LONG, END = 20, 40, 16  # code points: lines with keys by code point, and how they get them
+TILE = 4096  # lines of a key compared in one place
+SMALL = 64  # groups up to this size are compared all at once
+BUCKETS = 32  # letter counts
 
 
 def normalised_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -61,82 +81,237 @@ _PIECE = 63  # words summed at a time: 63 weights of at most 1024 fit a 16-bit c
 
 
 def simhash(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """SimHash blocks (BLOCKS x lines, int32) of words with hashes ``h`` and
+    """SimHash blocks (BLOCKS x lines, uint32) of words with hashes ``h`` and
     byte lengths; words ``at[i]:at[i + 1]`` are line i.
 
     Longer words weigh more, and each half block of 16 bits raises some words
     further (by a hash of word and half), so that half depends mostly on a few
     long words: an edit elsewhere leaves it as it was, other halves depend on
-    other words, and two halves together keep unrelated lines apart.
+    other words, and two halves together keep unrelated lines apart.  In lines
+    of many words a half reads those it raises most only.
     """
     counts = np.diff(at)
-    pieces = np.maximum(-(-counts // _PIECE), 1)
-    of = np.repeat(np.arange(len(counts)), pieces)
-    start = np.repeat(at[:-1], pieces) + _PIECE * (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-    first = np.searchsorted(of, np.arange(len(counts))) if len(of) != len(counts) else None
+    line = np.repeat(np.arange(len(counts)), counts)
     _, one_of, kind = np.unique(h, return_index=True, return_inverse=True)
     words, length = h[one_of], length[one_of]
     base = np.maximum(1, np.minimum(length, 12) // 3).astype(U) ** U(2)
     most = np.where(length > 3, U(6), U(0))
+    read = np.select([counts <= 24, counts <= 96], [256, 64], 16).astype(np.uint16)[line]
     halves = np.zeros((2 * BLOCKS, len(counts)), np.uint16)
     for k, salt in enumerate(ta.constants(31, 2 * BLOCKS)):
         x = ta.mix(words ^ salt)
-        weight = base << np.minimum(_SHIFT[x >> U(56)], most)
+        luck = (x >> U(56)).astype(np.uint16)
+        at_work = np.flatnonzero(luck[kind] < read)
+        if not len(at_work):
+            continue
+        of, word = line[at_work], kind[at_work]
+        here = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        size = np.diff(np.append(here, len(of)))
+        whole = int(size.max()) <= _PIECE
+        start = here if whole else np.flatnonzero((np.arange(len(of)) - np.repeat(here, size)) % _PIECE == 0)
+        weight = base << np.minimum(_SHIFT[luck], most)
         low = x.astype(np.uint16)
-        counters = [np.add.reduceat((_NIBBLES[(low >> np.uint16(4 * n)) & np.uint16(15)] * weight)[kind], start) for n in range(4)]
+        counters = [np.add.reduceat((_NIBBLES[(low >> np.uint16(4 * n)) & np.uint16(15)] * weight)[word], start) for n in range(4)]
         sums = np.stack(counters, 1).view(np.uint16).astype(np.int64)
-        total = np.add.reduceat(weight[kind], start).astype(np.int64)
-        if first is not None:
-            sums, total = np.add.reduceat(sums, first, axis=0), np.add.reduceat(total, first)
-        halves[k] = np.packbits(2 * sums > total[:, None], axis=1, bitorder="little").view(np.uint16)[:, 0]
-    return ((halves[0::2].astype(np.uint32) << np.uint32(16)) | halves[1::2]).view(np.int32)
+        total = np.add.reduceat(weight[word], start).astype(np.int64)
+        if not whole:
+            piece = np.searchsorted(start, here)
+            sums, total = np.add.reduceat(sums, piece, axis=0), np.add.reduceat(total, piece)
+        halves[k, of[here]] = np.packbits(2 * sums > total[:, None], axis=1, bitorder="little").view(np.uint16)[:, 0]
+    return (halves[0::2].astype(np.uint32) << np.uint32(16)) | halves[1::2]
 
 
 def _long_words(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of more than three bytes of each line, or all of a line that has none."""
+    """The words of more than three bytes of each line, or all of a line that
+    has none: what the SimHash reads."""
     keep = length > 3
     line = np.repeat(np.arange(len(at) - 1), np.diff(at))
     keep |= (np.add.reduceat(keep.astype(np.int64), at[:-1]) == 0)[line]
     return h[keep], length[keep], np.searchsorted(line[keep], np.arange(len(at)))
 
 
-OCCURRENCES = "id long, version long, number int, node long, " + ", ".join(f"h{k} int" for k in range(BLOCKS))
+_ODD = 0xD1342543DE82EF95
+_KINDS = ta.constants(41, 4)
+
+
+class _Sequence:
+    """Hashes of pieces of sequences: ``m`` are hashed tokens, of which
+    ``at[i]:at[i + 1]`` are sequence i."""
+
+    def __init__(self, m: np.ndarray, at: np.ndarray):
+        self.at, self.count = at, np.diff(at)
+        place = np.arange(len(m)) - np.repeat(at[:-1], self.count)
+        n = int(self.count.max()) + 2 if len(self.count) else 2
+        powers, back = np.full(n, _ODD, U), np.full(n, pow(_ODD, -1, 2**64), U)
+        powers[0] = back[0] = 1
+        self.powers, self.back = np.cumprod(powers), np.cumprod(back)
+        self.sums = np.concatenate([np.zeros(1, U), np.cumsum(m * self.powers[place], dtype=U)])
+
+    def lacking_one(self, salt: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        """Every sequence without each one of its tokens, and as a whole:
+        hashes, and where those of each sequence start."""
+        a, b = self.at[:-1], self.at[1:]
+        whole = ta.mix((self.sums[b] - self.sums[a]) + self.count.astype(U) * salt)
+        one = np.arange(self.at[0], self.at[-1])
+        of = np.repeat(np.arange(len(self.count)), self.count)
+        rest = (self.sums[one] - self.sums[a][of]) + (self.sums[b][of] - self.sums[one + 1]) * self.back[1]
+        lacking = ta.mix(rest + (self.count[of] - 1).astype(U) * salt)
+        start = np.concatenate([[0], np.cumsum(self.count + 1)])
+        out = np.zeros(start[-1], U)
+        out[start[:-1]] = whole
+        out[np.arange(len(one)) + of + 1] = lacking
+        return out, start
+
+    def ends(self, n: int, salt: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last ``n`` tokens (of sequences that have them)."""
+        a, b = self.at[:-1], self.at[1:]
+        first = ta.mix(self.sums[a + n] - self.sums[a] + salt)
+        last = ta.mix((self.sums[b] - self.sums[b - n]) * self.back[self.count - n] + salt * U(3))
+        return np.stack([first, last], 1).ravel(), 2 * np.arange(len(a) + 1)
+
+
+def _merge(n: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of some of ``n`` lines, as (lines, values, starts) each, behind
+    one another: values and starts of all lines."""
+    count = np.zeros(n, np.int64)
+    for lines, _, start in parts:
+        count[lines] += np.diff(start)
+    where = np.concatenate([[0], np.cumsum(count)])
+    out, done = np.zeros(where[-1], U), where[:-1].copy()
+    for lines, values, start in parts:
+        size = np.diff(start)
+        out[np.repeat(done[lines] - start[:-1], size) + np.arange(len(values))] = values
+        done[lines] += size
+    return out, where
+
+
+class Lines:
+    """The lines with a word of some texts, and what is known of them."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.low, self.starts, self.ends, self.h, self.at, self.hash, self.row, self.number = normalised_lines(data, offsets)
+        lead = np.concatenate([[0], np.cumsum((self.low & 0xC0) != 0x80)])
+        self.words = np.diff(self.at)
+        points = np.concatenate([[0], np.cumsum(lead[self.ends] - lead[self.starts])])
+        self.length = np.diff(points[self.at]) + self.words - 1 if len(self.words) else np.zeros(0, np.int64)
+
+    def text(self, k: int) -> bytes:
+        return b" ".join(self.low[self.starts[self.at[k]]:self.ends[self.at[k + 1] - 1]].tobytes().split())
+
+    def _part(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of some lines, and where those of each start."""
+        size = self.words[lines]
+        at = np.concatenate([[0], np.cumsum(size)])
+        return np.repeat(self.at[lines] - at[:-1], size) + np.arange(at[-1]), at
+
+    def blocks(self, lines: np.ndarray) -> np.ndarray:
+        """The SimHash keys (lines x BLOCKS) of some lines."""
+        if not len(lines):
+            return np.zeros((0, BLOCKS), U)
+        word, at = self._part(lines)
+        b = simhash(*_long_words(self.h[word], (self.ends - self.starts)[word], at))
+        return ta.mix(b.T.astype(U) | (np.arange(1, BLOCKS + 1, dtype=U) << U(BLOCK_BITS)))
+
+    def has_blocks(self) -> np.ndarray:
+        return (self.words >= 3) & (self.length >= SHORT)
+
+    def keys(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All keys of the wanted lines, those of the SimHash first: values, and where those of each line start."""
+        hashed = self.has_blocks()
+        by_point = wanted & ~hashed & (self.length >= 10)
+        parts = []
+        if len(some := np.flatnonzero(wanted & hashed)):
+            parts.append((some, self.blocks(some).ravel(), BLOCKS * np.arange(len(some) + 1)))
+        if len(some := np.flatnonzero(wanted & hashed & (self.words <= FEW))):
+            word, at = self._part(some)
+            parts.append((some, *_Sequence(ta.mix(self.h[word]), at).lacking_one(_KINDS[0])))
+        for few, some in ((True, np.flatnonzero(by_point & (self.length <= LONG))), (False, np.flatnonzero(by_point & (self.length > LONG)))):
+            if len(some):
+                texts = [self.text(k).decode("utf-8", "replace") for k in some.tolist()]
+                points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U)
+                seq = _Sequence(ta.mix(points + _KINDS[1]), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+                parts.append((some, *(seq.lacking_one(_KINDS[2]) if few else seq.ends(END, _KINDS[3]))))
+        return _merge(len(self.hash), parts)
+
+    def letters(self, k: int) -> bytes:
+        """Counts of the line's code points by bucket (of their first byte)."""
+        b = np.frombuffer(self.text(k), np.uint8)
+        return np.minimum(np.bincount(_BUCKET[b[(b & 0xC0) != 0x80]], minlength=BUCKETS), 65535).astype(np.uint16).tobytes()
+
+
+def _buckets() -> np.ndarray:
+    """Letters a to z have a bucket each, blanks one, all other first bytes the last five."""
+    t = (np.arange(256) % 5 + BUCKETS - 5).astype(np.int64)
+    t[ord("a"):ord("z") + 1] = np.arange(26)
+    t[0x20] = 26
+    return t
+
+
+_BUCKET = _buckets()
+OCCURRENCES = "id long, version long, number int, node long, hashed boolean, keys array<long>"
+
+
+def _lists(values: np.ndarray, start: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(start, pa.int32()), ta.longs(values))
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, version, text) -> every line with a word and its SimHash."""
+    """(id, version, text) -> every line with a word; the first of equal ones with its keys."""
     for batch in batches:
         data, offsets = ta.buffers(batch.column(2))
         for i, j in ta.slices(offsets):
-            _, starts, ends, h, at, line_hash, row, number = normalised_lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            if len(line_hash) == 0:
+            x = Lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            if len(x.hash) == 0:
                 continue
-            blocks = simhash(*_long_words(h, ends - starts, at))
-            take = pa.array(row + i)
+            new = np.zeros(len(x.hash), bool)
+            new[np.unique(x.hash, return_index=True)[1]] = True
+            take = pa.array(x.row + i)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(number.astype(np.int32)), ta.longs(line_hash),
-                 *[pa.array(b) for b in blocks]],
-                names=[f.split()[0] for f in OCCURRENCES.split(", ")])
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(x.number.astype(np.int32)), ta.longs(x.hash),
+                 pa.array(x.has_blocks()), _lists(*x.keys(new))], names=[f.split()[0] for f in OCCURRENCES.split(", ")])
 
 
-def _texts_of(bloom: Bloom) -> Callable:
-    """(text) -> (node, line) of lines that the filter lets pass, once per batch."""
+def _likely(bloom: Bloom) -> Callable:
+    """(node, hashed, keys) -> (key, place, node) of keys that the filter lets
+    pass.  ``place``: which block of the SimHash, or BLOCKS for other keys."""
+    passes = bloom.test()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            key = lists.flatten().to_numpy(zero_copy_only=False)
+            size = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(len(size)), size)
+            at = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
+            place = np.where(batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[row], np.minimum(at, BLOCKS), BLOCKS)
+            ok = passes(key)
+            yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(place[ok].astype(np.int32)), batch.column(0).take(pa.array(row[ok]))],
+                                             names=["key", "place", "node"])
+    return run
+
+
+INFO = "node long, line string, letters binary, blocks binary"
+
+
+def _info(bloom: Bloom) -> Callable:
+    """(text) -> what a comparison reads of lines that the filter lets pass, once per slice."""
     passes = bloom.test()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = ta.buffers(batch.column(0))
-            found: dict[int, str] = {}
             for i, j in ta.slices(offsets):
-                low, starts, ends, _, at, line_hash, _, _ = normalised_lines(
-                    data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                node = line_hash.view(np.int64)
-                for k in np.flatnonzero(passes(node)):
-                    if int(node[k]) not in found:
-                        raw = low[starts[at[k]]:ends[at[k + 1] - 1]].tobytes()
-                        found[int(node[k])] = b" ".join(raw.split()).decode("utf-8", "replace")
-            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())],
-                                             names=["node", "line"])
+                x = Lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                node, one_of = np.unique(x.hash.view(np.int64), return_index=True)
+                some = one_of[passes(node)]
+                hashed = np.flatnonzero(x.has_blocks()[some])
+                blocks: list[bytes | None] = [None] * len(some)
+                for k, b in zip(hashed.tolist(), x.blocks(some[hashed]), strict=True):
+                    blocks[k] = b.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [ta.longs(x.hash[some]), pa.array([x.text(k).decode("utf-8", "replace") for k in some.tolist()], pa.string()),
+                     pa.array([x.letters(k) for k in some.tolist()], pa.binary()), pa.array(blocks, pa.binary())],
+                    names=[f.split()[0] for f in INFO.split(", ")])
     return run
 
 
@@ -195,45 +370,142 @@ def similar(a: str, b: str, similarity: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _similar(a: str, b: str, similarity: float) -> Column:
-    """``similar`` of two columns.  (Spark's own ``levenshtein`` with a bound
-    took two to three times the CPU time here: it neither cuts off common ends
-    nor compares bit-parallel.)"""
-    @F.pandas_udf("boolean")
-    def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([similar(v, w, similarity) for v, w in zip(x, y, strict=True)], dtype=bool)
-    return run(a, b)
+class _Groups:
+    """Union and find over numbers 0 to n - 1, with a label of each."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+        self.members: dict[int, list[int]] = {}
+
+    def join(self, a: int, b: int) -> None:
+        x, y = int(self.label[a]), int(self.label[b])
+        mine, other = self.members.get(x) or [x], self.members.get(y) or [y]
+        if len(mine) < len(other):
+            x, y, mine, other = y, x, other, mine
+        self.label[other] = x
+        self.members[x] = mine + other
+        self.members.pop(y, None)
+
+
+class _Comparison:
+    """Some whole groups of lines under a key: which of them are links."""
+
+    def __init__(self, t: pa.Table, group: np.ndarray, similarity: float):
+        self.group, self.similarity = group, similarity
+        self.node, self.place = t.column("node").to_numpy(), t.column("place").to_numpy()
+        self.side = t.column("side").to_numpy()
+        self.line = t.column("line").to_pylist()
+        self.length = np.array([len(x) for x in self.line])
+        self.letters = np.frombuffer(b"".join(t.column("letters").to_pylist()), np.uint16).reshape(-1, BUCKETS).astype(np.int32)
+        blocks = t.column("blocks").to_pylist()
+        self.hashed = np.array([b is not None for b in blocks])
+        self.blocks = np.frombuffer(b"".join(b or bytes(8 * BLOCKS) for b in blocks), np.int64).reshape(-1, BLOCKS)
+        _, self.of = np.unique(t.column("component").to_numpy(), return_inverse=True)
+        self.groups = _Groups(int(self.of.max()) + 1)
+        self.links: list[tuple[int, int]] = []
+
+    def possible(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Pairs that meet here first and that letter counts do not rule out."""
+        longer = np.maximum(self.length[i], self.length[j])
+        most = ((1 - self.similarity) * longer + 1e-9).astype(np.int64)
+        ok = (self.node[i] != self.node[j]) & (2 * longer - self.length[i] - self.length[j] <= most) & ((self.side[i] == 0) | (self.side[i] != self.side[j]))
+        ok &= self.groups.label[self.of[i]] != self.groups.label[self.of[j]]
+        at = np.flatnonzero(ok)
+        a, b = i[at], j[at]
+        met = np.zeros(len(at), bool)
+        for p in range(BLOCKS - 1):
+            met |= (self.place[a] > p) & (self.blocks[a, p] == self.blocks[b, p]) & self.hashed[a] & self.hashed[b]
+        at, a, b = at[~met], a[~met], b[~met]
+        return at[np.abs(self.letters[a] - self.letters[b]).sum(1) <= 2 * most[at]]
+
+    def compare(self, i: np.ndarray, j: np.ndarray) -> None:
+        for part in np.array_split(np.arange(len(i)), len(i) // 50_000 + 1):
+            a, b = i[part], j[part]
+            ok = self.possible(a, b)
+            a, b = a[ok], b[ok]
+            x, y = self.of[a].tolist(), self.of[b].tolist()
+            label = self.groups.label
+            for k, (p, q) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+                if label[x[k]] != label[y[k]] and similar(self.line[p], self.line[q], self.similarity):
+                    self.groups.join(x[k], y[k])
+                    self.links.append((p, q))
+
+    def run(self) -> None:
+        start = np.flatnonzero(np.r_[True, self.group[1:] != self.group[:-1]])
+        size = np.diff(np.r_[start, len(self.group)])
+        few = np.repeat(size <= SMALL, size)
+        for d in range(1, int(size[size <= SMALL].max(initial=1))):
+            i = np.flatnonzero(few[:-d] & (self.group[d:] == self.group[:-d]))
+            self.compare(i, i + d)
+        for s, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+            order = s + np.argsort(self.length[s:s + n], kind="stable")
+            length = self.length[order]
+            # a line can only be similar to lines that are not much longer
+            until = np.searchsorted(length, length / self.similarity + 1e-6, "right")
+            for lo in range(0, n, 64):
+                hi = min(lo + 64, n)
+                i, j = np.meshgrid(np.arange(lo, hi), np.arange(lo + 1, int(until[hi - 1])), indexing="ij")
+                ok = j > i
+                self.compare(order[i[ok]], order[j[ok]])
+
+
+def _linker(similarity: float, keys: tuple[str, ...]) -> Callable:
+    """Rows sorted by key and part -> links, at most one fewer than there are lines."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, keys, 2048):
+            k = np.stack([t.column(c).to_numpy() for c in keys], 1)
+            x = _Comparison(t, np.cumsum(np.r_[False, (k[1:] != k[:-1]).any(1)]), similarity)
+            x.run()
+            a, b = (x.node[[p[e] for p in x.links]] if x.links else np.zeros(0, np.int64) for e in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["src", "dst"])
+    return run
+
+
+def _linked(live: DataFrame, info: DataFrame, similarity: float) -> DataFrame:
+    """``live``: key, place, node; ``info`` of every node.  Connected lines:
+    node, component."""
+    large = cut(live.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > TILE))
+    parts = F.coalesce(F.ceil(F.col("size") / TILE), F.lit(1))
+    dealt = live.join(large, "key", "left").select("key", F.pmod(F.xxhash64("node"), parts).alias("part"), "place", "node",
+                                                   F.lit(0).alias("side"), F.col("node").alias("component"))
+    links = _links_of(dealt, info, similarity, ("key", "part"))
+    groups = connected_components(links)
+    if large.isEmpty():
+        return groups
+
+    # lines outside the largest component of a large key meet all lines of the key
+    member = live.join(large, "key").join(groups, "node", "left").select("key", "place", "node", "size", F.coalesce("component", "node").alias("component"))
+    main = (member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+            .groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.first("size").alias("size"))
+            .select("key", F.col("m.component").alias("main"), (F.col("size") - F.col("m.n")).alias("outside")).filter("outside > 0"))
+    member = cut(member.join(main, "key"))
+    tiles = lambda n: F.ceil(F.col(n) / TILE)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), tiles(n) - 1))
+    left = member.filter("component <> main").select("key", F.pmod(F.xxhash64("node"), tiles("outside")).alias("lt"), every("size").alias("rt"),
+                                                     "place", "node", F.lit(1).alias("side"), "component")
+    right = member.select("key", every("outside").alias("lt"), F.pmod(F.xxhash64("node"), tiles("size")).alias("rt"),
+                          "place", "node", F.lit(2).alias("side"), "component")
+    more = _links_of(left.unionByName(right), info, similarity, ("key", "lt", "rt"))
+    return groups if more.isEmpty() else connected_components(links.unionByName(more))
+
+
+def _links_of(dealt: DataFrame, info: DataFrame, similarity: float, keys: tuple[str, ...]) -> DataFrame:
+    rows = dealt.join(info, "node").repartition(*keys).sortWithinPartitions(*keys)
+    return cut(rows.mapInArrow(tidy(_linker(similarity, keys)), "src long, dst long").distinct())
 
 
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs``: id, version, text.  Lines that a group's first occurrence
     makes superfluous: id, version, numbers (array of line numbers)."""
     found = stored(docs.mapInArrow(tidy(_occurrences), OCCURRENCES))
-    bits = [f"h{k}" for k in range(BLOCKS)]
-    lines = found.select("node", *bits)
-    keys = lines.select("node", F.posexplode(F.array(
-        *[F.col(b).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(k << BLOCK_BITS)) for k, b in enumerate(bits)])).alias("place", "key")).select("key", "place", "node")
-
-    def plausible(p: str, q: str) -> Column:
-        differing = sum((F.bit_count(F.col(f"{p}.{b}").bitwiseXOR(F.col(f"{q}.{b}"))) for b in bits), F.lit(0))
-        return differing <= MOST_BITS
-
-    def first_meeting(p: str, q: str, place: str) -> Column:
-        earlier = F.lit(False)
-        for k, b in enumerate(bits[:-1]):
-            earlier = earlier | ((F.col(place) > k) & (F.col(f"{p}.{b}") == F.col(f"{q}.{b}")))
-        return ~earlier
-
-    def texts(nodes: DataFrame) -> DataFrame:
-        """The normalised text of candidate lines, once each."""
-        found = docs.select("text").mapInArrow(tidy(_texts_of(Bloom(nodes, "node"))), "node long, line string")
-        return stored(found.dropDuplicates(["node"]))
-
-    def confirm(pairs: DataFrame, line: DataFrame) -> DataFrame:
-        a, b = (line.select(F.col("node").alias(end), F.col("line").alias(f"{end}_line")) for end in ("src", "dst"))
-        return pairs.join(a, "src").join(b, "dst").filter(_similar("src_line", "dst_line", similarity)).select("src", "dst")
-
-    groups = linked_groups(keys, lines, plausible, first_meeting, confirm, texts)
+    several = cut(found.select("node", F.explode("keys").alias("key")).groupBy("key")
+                  .agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key"))
+    likely = found.select("node", "hashed", "keys").filter(F.size("keys") > 0).mapInArrow(tidy(_likely(Bloom(several, "key"))), "key long, place int, node long")
+    live = stored(likely.join(several.hint("shuffle_hash"), "key").select("key", "place", "node").distinct())
+    nodes = cut(live.select("node").distinct())
+    info = stored(docs.select("text").mapInArrow(tidy(_info(Bloom(nodes, "node"))), INFO).dropDuplicates(["node"]))
+    groups = _linked(live, info, similarity)
+
     member = (found.join(groups, "node", "left")
               .select("id", "version", "number", F.coalesce("component", "node").alias("line_group")))
     first = member.groupBy("line_group").agg(F.min(F.struct("id", "version", "number")).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -271,19 +543,20 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", simi
     ``lines_removed`` is replaced.
     """
     docs = docs.drop("lines_removed")
-    rows = docs.withColumn("_version", F.xxhash64(text)).withColumn("_id", F.col(id).cast("long"))
+    own_id, version, losing, numbers = fresh(docs, "_id", "_version", "_losing", "_numbers")
+    rows = docs.withColumn(version, F.xxhash64(text)).withColumn(own_id, F.col(id).cast("long"))
     gone = repeated_lines(rows.filter(F.col(text).isNotNull()).select(
-        F.col("_id").alias("id"), F.col("_version").alias("version"), F.col(text).cast("string").alias("text")), similarity)
-    gone = gone.select(F.col("id").alias("_gid"), F.col("version").alias("_gversion"), F.col("numbers").alias("_numbers"))
-    gone = cut(gone)
+        F.col(own_id).alias("id"), F.col(version).alias("version"), F.col(text).cast("string").alias("text")), similarity)
+    other_id, other_version = fresh(rows, "_gid", "_gversion")
+    gone = cut(gone.select(F.col("id").alias(other_id), F.col("version").alias(other_version), F.col("numbers").alias(numbers)))
     # only rows that may lose lines are shuffled to the numbers of those lines
-    losing = F.coalesce(Bloom(gone.select(F.xxhash64("_gid", "_gversion").alias("h")), "h").condition(F.xxhash64("_id", "_version")), F.lit(False))
-    rows = rows.withColumn("_losing", losing)
-    joined = rows.filter("_losing").join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_version") == F.col("_gversion")), "left").select(
-        *docs.columns, "_numbers")
+    may = Bloom(gone.select(F.xxhash64(other_id, other_version).alias("h")), "h").condition(F.xxhash64(own_id, version))
+    rows = rows.withColumn(losing, F.coalesce(may, F.lit(False)))
+    joined = rows.filter(F.col(losing)).join(gone, F.col(own_id).eqNullSafe(F.col(other_id)) & (F.col(version) == F.col(other_version)), "left").select(
+        *docs.columns, numbers)
     names = [*docs.columns, "lines_removed"]
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], "lines_removed int"])
-    kept = rows.filter("not _losing").select(*docs.columns, F.lit(0).alias("lines_removed"))
+    schema = extended(docs.schema, "lines_removed int")
+    kept = rows.filter(~F.col(losing)).select(*docs.columns, F.lit(0).alias("lines_removed"))
     return joined.mapInArrow(tidy(_without(docs.columns.index(text), len(docs.columns), names)), schema).unionByName(kept)
 
 

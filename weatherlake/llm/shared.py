@@ -89,6 +89,38 @@ def smallest_by_hash(df: DataFrame, hashed: Column, n: int, *order: str) -> Data
     return few.orderBy("_hash", *order).limit(n).drop("_hash")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has."""
+    out = []
+    for name in names:
+        while name in df.columns or name in out:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], least: int) -> Iterator[pa.Table]:
+    """Batches sorted by ``keys`` -> tables of whole groups, with about
+    ``least`` rows or more each (the last may have fewer)."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(c).to_numpy() for c in keys], 1)
+        differs = np.flatnonzero((k != k[-1]).any(1))
+        at = int(differs[-1]) + 1 if len(differs) else 0  # where the last group of the batch starts
+        goes_on = at == 0 and held and all(held[-1].column(c)[-1] == batch.column(c)[0] for c in keys)
+        if not goes_on and rows + at >= least:
+            yield pa.Table.from_batches(held + ([batch.slice(0, at)] if at else []))
+            held, rows = [], 0
+            batch = batch.slice(at)
+        held.append(batch)
+        rows += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def modest_batches(spark: SparkSession) -> None:
     """Texts are long: smaller Arrow batches than the default keep the memory
     of executors and their Python workers low.  Lower settings are kept."""
