@@ -1,5 +1,8 @@
 from helpers import documents, rng, words
-from weatherlake.llm.contamination import MIN_TOKENS, best_run, find_contamination
+import pytest
+
+from weatherlake.llm import contamination
+from weatherlake.llm.contamination import MASKS, MIN_TOKENS, best_run, find_contamination, short_masks
 
 import numpy as np
 
@@ -23,7 +26,8 @@ def brute(docs, bench, least=5):
                 a, e = max(0, -shift), min(len(y), len(x) - shift)
                 equal = np.array([y[k] == x[k + shift] for k in range(a, e)])
                 s, f, _ = best_run(equal)
-                if f - s >= min(MIN_TOKENS, len(y)) and (len(y) >= MIN_TOKENS or equal[s:f].all()):
+                # a long run, or the whole item, with four fifths equal
+                if f - s >= MIN_TOKENS or len(equal) == len(y) and equal.mean() >= 0.8:
                     out.add((d, i))
     return out
 
@@ -73,3 +77,40 @@ def test_best_run():
     assert best_run(np.array([True] * 5 + [False] + [True] * 6)) == (0, 12, 11)
     assert best_run(np.array([False, True, False, False])) == (1, 2, 1)
     assert best_run(np.zeros(3, bool))[2] == 0
+
+
+def test_every_position_is_ignored_by_a_mask():
+    for masks in (MASKS, *(short_masks(n) for n in range(5, 9))):
+        assert all(any(m[k] == "0" for m in masks) for k in range(len(masks[0])))
+
+
+@pytest.mark.parametrize("n", range(5, 19))
+def test_one_replaced_word_at_any_position(spark, n):
+    r = rng(100 + n)
+    item = words(r, n)
+    docs = []
+    for k in range(n):
+        passage = list(item)
+        passage[k] = "zzz"
+        docs.append((k, " ".join([*words(r, 12), *passage, *words(r, 12)])))
+    docs.append((n, " ".join([*words(r, 20), *item])))
+    found = {x.doc_id: x for x in find_contamination(documents(spark, docs), items(spark, [(1, " ".join(item))])).collect()}
+    assert set(found) == set(range(n + 1))
+    assert found[n].equal_tokens == found[n].overlap_tokens == n
+
+
+def test_items_below_the_least_length(spark):
+    docs = documents(spark, [(1, "some words before a b c and after"), (2, "nothing here")])
+    bench = items(spark, [(1, "A B c"), (2, "")])
+    assert find_contamination(docs, bench).count() == 0
+    assert [x.doc_id for x in find_contamination(docs, bench, least_tokens=3).collect()] == [1]
+
+
+def test_a_document_with_most_of_the_benchmark(spark, monkeypatch):
+    monkeypatch.setattr(contamination, "UNIT", 8)
+    r = rng(8)
+    bench = [(k, " ".join(words(r, 20))) for k in range(60)]
+    whole = " ".join(t for _, t in bench)
+    found = find_contamination(documents(spark, [(1, f"{whole} {whole}"), (2, bench[3][1])]), items(spark, bench)).collect()
+    assert {(x.doc_id, x.item_id) for x in found} == {(1, k) for k in range(60)} | {(2, 3)} and len(found) == 61
+    assert all(x.doc_start == 20 * x.item_id for x in found if x.doc_id == 1)  # the first of two equal places

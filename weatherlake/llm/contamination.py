@@ -8,11 +8,19 @@ other's blind spots.  Hashes of the benchmark and of the documents are joined
 hashes on the executors).  Every hit fixes a diagonal, an offset of an item
 against a document, on which the whole overlap is then checked token by token.
 
-A document is contaminated by an item if, on one diagonal, a run of tokens
-that scores highest with +1 for an equal and -4 for a different token (so at
-least four fifths are equal) covers ``MIN_TOKENS`` tokens.  Items of fewer
-tokens are looked up by all of their tokens, which must be equal; below ``LEAST_TOKENS`` they are too common to tell a
-leak and are not searched.
+A document is contaminated by an item if, on one diagonal,
+
+- a run of tokens that scores highest with +1 for an equal and -4 for a
+  different token (so at least four fifths are equal) covers ``MIN_TOKENS``
+  tokens, or
+- the whole item lies on it and at least four fifths of its tokens are equal.
+
+The second covers short items, and items of a little over ``MIN_TOKENS`` with a
+changed word near an end.  Every position of a window is ignored by one of the
+masks, so one changed word anywhere leaves a seed of every window intact.
+Items that are shorter than the masks have masks of their own length, by the
+same rule.  Items of fewer than ``LEAST_TOKENS`` tokens are too common to tell
+a leak and are not searched (``least_tokens``).
 """
 
 from __future__ import annotations
@@ -29,9 +37,10 @@ from weatherlake.llm.shared import Bloom, cut, modest_batches, table, tidy
 from weatherlake.llm.textarrays import U
 
 # positions that count (1) or are ignored (0) in a window of tokens
-MASKS = ("111010011", "110110101", "101101101", "110001111")
+MASKS = ("011100111", "101011110", "110111001", "110001111")
 MIN_TOKENS = 13
 LEAST_TOKENS = 5
+UNIT = 256  # hits of a document verified at a time, about
 _DIGITS = np.isin(np.arange(256), list(b"0123456789"))
 
 
@@ -50,6 +59,11 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return ta.hashes(low, starts, ends), ranges
 
 
+def short_masks(n: int) -> list[str]:
+    """Masks for items of ``n`` tokens: each ignores every third position."""
+    return ["".join("0" if k % 3 == r else "1" for k in range(n)) for r in range(3)]
+
+
 def seed_hashes(h: np.ndarray, ranges: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every window that lies within its row, and its first token."""
     care = [k for k, c in enumerate(mask) if c == "1"]
@@ -98,6 +112,17 @@ def best_run(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(equal[start:end].sum())
 
 
+def overlap(equal: np.ndarray, item: int, min_tokens: int) -> tuple[int, int, int] | None:
+    """The overlap on a diagonal, of whose tokens ``equal`` says which agree:
+    start, end and equal tokens; None if it does not tell a leak."""
+    run = best_run(equal)
+    if run[1] - run[0] >= min_tokens:
+        return run
+    if len(equal) == item and 5 * int(equal.sum()) >= 4 * item:
+        return 0, item, int(equal.sum())
+    return None
+
+
 def _verifier(min_tokens: int) -> Callable:
     """(id, text, hits: array<struct<item, item_text, shift>>) -> confirmed overlaps."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,13 +142,15 @@ def _verifier(min_tokens: int) -> Callable:
                     for k, hit in enumerate(found):
                         item, shift = item_h[item_at[k]:item_at[k + 1]], hit["shift"]
                         a, b = max(0, -shift), min(len(item), len(doc) - shift)
-                        if b <= a:
+                        told = overlap(item[a:b] == doc[a + shift:b + shift], len(item), min_tokens) if b > a else None
+                        if told is None:
                             continue
-                        start, end, equal = best_run(item[a:b] == doc[a + shift:b + shift])
-                        enough = end - start >= min_tokens if len(item) >= min_tokens else equal == len(item)
-                        if enough and (equal, end - start) > best.get(hit["item"], ((0, 0),))[0]:
-                            best[hit["item"]] = ((equal, end - start), (ids[r], hit["item"], a + start + shift, a + end + shift,
-                                                                        a + start, end - start, equal, len(item)))
+                        start, end, equal = told
+                        # the earliest of equally good ones, whichever order they come in
+                        rank = (equal, end - start, -(a + start + shift), -(a + start))
+                        if hit["item"] not in best or rank > best[hit["item"]][0]:
+                            best[hit["item"]] = (rank, (ids[r], hit["item"], a + start + shift, a + end + shift,
+                                                        a + start, end - start, equal, len(item)))
                     out += [v for _, v in best.values()]
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(len(names))], names=names)
     return run
@@ -134,36 +161,45 @@ OVERLAPS = ("doc_id long, item_id long, doc_start long, doc_end long, item_start
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", text: str = "text",
-                       item_id: str = "item_id", item_text: str = "text", min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """Overlaps of documents with benchmark items, the best one per pair.
+                       item_id: str = "item_id", item_text: str = "text", min_tokens: int = MIN_TOKENS,
+                       least_tokens: int = LEAST_TOKENS) -> DataFrame:
+    """Overlaps of documents with benchmark items, the best one per pair of ids.
 
     Columns: ``doc_id``, ``item_id``, ``doc_start``, ``doc_end``,
     ``item_start`` (token positions), ``overlap_tokens``, ``equal_tokens``,
     ``item_tokens``.  Documents without overlap have no row.  Rows with a null
-    id or text have none either; of repeated rows with one id and text each
-    counts once; an empty table on either side gives no rows.  Other columns
-    of the inputs are ignored.
+    id or text have none either; repeated rows count once, and rows that share
+    an id are one document for this; an empty table on either side gives no
+    rows.  Other columns of the inputs are ignored.
     """
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).dropna()
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).dropna().distinct()
 
-    # items too short for the masks get one seed that holds all of their tokens
-    count = items.mapInArrow(tidy(_count_tokens), "id long, text string, n long")
-    lengths = [r.n for r in count.filter((F.col("n") >= LEAST_TOKENS) & (F.col("n") < min_tokens)).select("n").distinct().collect()]
-    seeds = items.mapInArrow(tidy(_seeder(MASKS, None)), "key long, id long, position long")
-    for n in sorted(lengths):
-        seeds = seeds.unionByName(count.filter(F.col("n") == n).select("id", "text")
-                                  .mapInArrow(tidy(_seeder(["1" * n], None)), "key long, id long, position long"))
+    # items too short for the masks get masks of their own length
+    width = len(MASKS[0])
+    count = items.mapInArrow(tidy(_count_tokens), "id long, text string, n long").filter(F.col("n") >= least_tokens)
+    lengths = sorted(r.n for r in count.filter(F.col("n") < width).select("n").distinct().collect())
+    kind = "key long, id long, position long"
+    seeds = count.filter(F.col("n") >= width).select("id", "text").mapInArrow(tidy(_seeder(MASKS, None)), kind)
+    for n in lengths:
+        seeds = seeds.unionByName(count.filter(F.col("n") == n).select("id", "text").mapInArrow(tidy(_seeder(short_masks(n), None)), kind))
     seeds = cut(seeds.select("key", F.col("id").alias("item"), F.col("position").alias("item_position")))
-    masks = [*MASKS, *["1" * n for n in sorted(lengths)]]
+    masks = [*MASKS, *[m for n in lengths for m in short_masks(n)]]
 
     bloom = Bloom(seeds.select("key"), "key")
-    hits = docs.mapInArrow(tidy(_seeder(masks, bloom)), "key long, id long, position long")
+    hits = docs.mapInArrow(tidy(_seeder(masks, bloom)), kind)
     diagonals = cut(hits.join(seeds, "key").select("id", "item", (F.col("position") - F.col("item_position")).alias("shift")).distinct())
-    per_doc = (diagonals.join(items.select(F.col("id").alias("item"), F.col("text").alias("item_text")), "item")
-               .groupBy("id").agg(F.collect_list(F.struct("item", "item_text", "shift")).alias("hits")))
+    # a document with many hits is verified in several units, each with its text
+    many = diagonals.groupBy("id").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("units")).filter("units > 1")
+    unit = F.pmod(F.xxhash64("item", "shift"), F.coalesce("units", F.lit(1))).alias("unit")
+    per_unit = (diagonals.join(many, "id", "left").select("id", unit, "item", "shift")
+                .join(items.select(F.col("id").alias("item"), F.col("text").alias("item_text")), "item")
+                .groupBy("id", "unit").agg(F.collect_list(F.struct("item", "item_text", "shift")).alias("hits")))
     texts = docs.filter(Bloom(diagonals.select(F.xxhash64("id").alias("h")), "h").condition(F.xxhash64("id")))
-    return texts.join(per_doc, "id").select("id", "text", "hits").mapInArrow(tidy(_verifier(min_tokens)), OVERLAPS).distinct()
+    found = texts.join(per_unit, "id").select("id", "text", "hits").mapInArrow(tidy(_verifier(min_tokens)), OVERLAPS)
+    columns = [c.split()[0] for c in OVERLAPS.split(", ")]
+    rank = F.struct("equal_tokens", "overlap_tokens", (-F.col("doc_start")).alias("s"), (-F.col("item_start")).alias("i"), *columns[2:])
+    return found.groupBy("doc_id", "item_id").agg(F.max(rank).alias("b")).select("doc_id", "item_id", *[F.col(f"b.{c}").alias(c) for c in columns[2:]])
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
