@@ -64,6 +64,31 @@ def test_shards(spark):
     assert sorted(map(str, again)) == sorted(map(str, shard_documents(documents(spark, rows), 8).collect()))
 
 
+def test_groups_that_fit_stay_whole(spark):
+    r = rng(3)
+    texts = [" ".join(words(r, r.randint(5, 40))) for _ in range(300)]
+    rows = [(k, texts[min(r.randrange(300), r.randrange(300))]) for k in range(1000)]
+    got = shard_documents(documents(spark, rows), 10).collect()
+    of = dict(rows)
+    shards = {}
+    for x in got:
+        shards.setdefault(of[x.doc_id], set()).add(x.shard)
+    assert all(len(s) == 1 for s in shards.values())
+    size = [sum(x.size for x in got if x.shard == s) for s in range(10)]
+    assert max(size) <= 1.05 * sum(size) / 10
+
+
+def test_placing_against_all_assignments():
+    import itertools
+    r = np.random.default_rng(5)
+    for _ in range(5):
+        v = np.round(r.uniform(1, 20, size=(7, 3)))
+        got = place(v, 2)
+        load = lambda s: (np.array([v[np.array(s) == k].sum(0) for k in range(2)]) / v.sum(0) * 2).max()
+        best = min(load(s) for s in itertools.product((0, 1), repeat=7))
+        assert load(got) <= best + 0.25
+
+
 def test_placing_prefers_the_largest_dot_product():
     v = np.array([[10.0, 1, 1], [1, 10, 1], [10, 1, 1], [1, 10, 1]])
     s = place(v, 2)

@@ -3,7 +3,8 @@
 Documents with equal texts form a group, and a group has a vector: its bytes,
 tokens and rows.  Groups are gathered into a fixed number of pieces by a hash
 of the text, some pieces taking a sixteenth of the hash range of others, so
-small pieces remain for the end.  A group that is too large for a piece is
+small pieces remain for the end.  A group of more than a 64th of a shard is a
+piece of its own, and one that does not fit into a shard, by any measure, is
 split into chunks by a hash of the document id; all of this is plain keyed
 aggregation.  Only the pieces, a bounded number whatever the number of rows,
 reach the driver.  There they are placed, largest first, each into the shard
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from weatherlake.llm.shared import cut, table
 
 COARSE, FINE = 8192, 8192  # pieces of 15/16 and of 1/16 of the hash range
-GRAIN = 64  # a group above one GRAIN-th of a shard, by any measure, is split
+GRAIN = 64  # a group above one GRAIN-th of a shard, by any measure, is a piece of its own
+CHUNKS = 16  # chunks per shard of a group that fits into none
 OVERHEAD = 16
 
 
@@ -74,8 +76,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, *, id: str = "doc_id", te
     Columns: ``doc_id``, ``size`` (UTF-8 bytes of the text plus 16),
     ``text_crc32`` (0 for a null text), ``tokens`` (runs of other than white
     space), ``piece``, ``shard`` (0 to shards - 1), ``slot`` (gapless from 0
-    in each shard).  Equal texts share a shard unless their group is larger
-    than a 64th of a shard: then it is split by id.  Null texts are equal to
+    in each shard).  Equal texts share a shard unless their group alone has more
+    bytes, tokens or rows than a shard: then it is split by id.  Null texts are equal to
     each other; repeated rows are separate rows of one group; an empty table
     gives no rows; other columns are ignored.
     """
@@ -90,17 +92,18 @@ def shard_documents(docs: DataFrame, shards: int = 40, *, id: str = "doc_id", te
     groups = rows.groupBy("group").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     total = rows.agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")).first()
     share = F.greatest(*[F.col(m) / F.lit(float(max(total[m] or 0, 1)) / (shards * GRAIN)) for m in measures])
+    parts = F.when(share > GRAIN, F.ceil(share * CHUNKS / GRAIN)).otherwise(F.lit(1))
     # at most 3 * shards * GRAIN groups can be this large
-    large = groups.select("group", F.ceil(share).alias("parts")).filter("parts > 1")
+    large = groups.filter(share > 1).select("group", parts.alias("parts"))
 
     spot = F.pmod("group", F.lit(16 * 65536))
-    piece = F.when(F.col("parts").isNotNull(), F.lit(COARSE + FINE) + F.pmod(F.xxhash64("group"), F.lit(1 << 40)) * 4096
+    piece = F.when(F.col("parts").isNotNull(), F.lit(COARSE + FINE) + F.pmod(F.xxhash64("group"), F.lit(1 << 40)) * (1 << 20)
                    + F.pmod(F.xxhash64("doc_id", F.lit(5)), "parts")
                    ).when(F.pmod(spot, F.lit(16)) == 0, F.lit(COARSE) + F.pmod(F.xxhash64("group", F.lit(3)), F.lit(FINE))
                           ).otherwise(F.pmod(F.xxhash64("group", F.lit(4)), F.lit(COARSE)))
     rows = rows.join(F.broadcast(large), "group", "left").select("doc_id", "size", "text_crc32", "tokens", piece.alias("piece"))
     found = (rows.groupBy("piece").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
-             .orderBy("piece").collect())  # at most COARSE + FINE + 6 * shards * GRAIN rows
+             .orderBy("piece").collect())  # at most COARSE + FINE + 3 * shards * (GRAIN + 2 * CHUNKS) rows
     shard = place(np.array([[r.size, r.tokens, r.rows] for r in found], float).reshape(-1, 3), shards)
     offset, used = [], [0] * shards
     for r, s in zip(found, shard.tolist(), strict=True):
