@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -118,3 +120,53 @@ def test_licences(spark):
         {(k, 2, f) for k, (_, f) in said.items()} | {(14, 1, "MIT"), (None, 0, "MIT")})
     assert len(got) == len({(x.doc_id, x.paragraph) for x in got}) and all(0.5 <= x.probability <= 1 for x in got)
     assert scan_licences(documents(spark, [])).count() == 0
+
+
+def test_repeated_ids_stay_within_the_sample(spark):
+    r = rng(12)
+    rows = [(7, in_language(r, "aa", 10) if k % 2 else "x", "aa") for k in range(20_000)] + [(k, in_language(r, "bb", 20), "bb") for k in range(100, 140)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language_model(df, per_language=30)
+    assert model.languages == ("aa", "bb")
+    assert [x.lang_pred for x in identify_language(documents(spark, [(1, in_language(r, "bb", 30))]), model).collect()] == ["bb"]
+    docs = documents(spark, [(7, f"line {k}.") for k in range(20_000)] + [(k, "b### a###") for k in range(100, 140)])
+    fitted = quality.fit_quality_model(docs, spark.createDataFrame([(7, 1)] + [(k, 0) for k in range(100, 140)], "doc_id long, quality int"), train_docs=10)
+    assert 0 <= fitted.prior <= 0.5
+
+
+def test_against_the_exact_kernel(spark, model):
+    """Nystroem scores against kernel ridge regression on all training texts."""
+    r = rng(21)
+    train = [(in_language(r, lang, 30), k) for k, lang in enumerate(ALPHABETS) for _ in range(40)]
+    test = [(in_language(r, lang, 20), k) for k, lang in enumerate(ALPHABETS) for _ in range(20)]
+
+    def kernel(a, b):
+        x, y = (presence(*buffers(pa.array([t for t, _ in s]))).astype(float) for s in (a, b))
+        return (x @ y.T) / np.sqrt(np.outer(x.sum(1), y.sum(1)))
+
+    target = np.where(np.array([k for _, k in train])[:, None] == np.arange(3), 1.0, -1.0)
+    exact = kernel(test, train) @ np.linalg.solve(kernel(train, train) + 1e-3 * np.eye(len(train)), target)
+    rows = [(k, t, list(ALPHABETS)[c]) for k, (t, c) in enumerate(train)]
+    fitted = fit_language_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = identify_language(documents(spark, [(k, t) for k, (t, _) in enumerate(test)]), fitted).orderBy("doc_id").collect()
+    assert np.mean([fitted.languages.index(g.lang_pred) == e for g, e in zip(got, exact.argmax(1))]) >= 0.97
+
+
+def test_document_quality_is_the_weighted_mean_of_its_lines(spark):
+    """The document's score from marginals by enumeration, on short documents."""
+    import itertools
+    r = rng(31)
+    rows = [(k, "\n".join(" ".join(words(r, r.randint(2, 9))) + (" ###" if (k + j) % 3 else ".") for j in range(r.randint(1, 4)))) for k in range(60)]
+    model = quality.fit_quality_model(documents(spark, rows), spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int"))
+    for (_, text), got in zip(rows[:15], quality.score_quality(documents(spark, rows[:15]), model).orderBy("doc_id").collect()):
+        data, offsets = buffers(pa.array([text]))
+        x, length, _ = quality.line_features(data, offsets)
+        gain = x @ model.weights
+        paths = {p: sum(gain[t] * p[t] for t in range(len(x))) + sum(model.pair[p[t], p[t + 1]] for t in range(len(x) - 1))
+                 for p in itertools.product((0, 1), repeat=len(x))}
+        norm = np.logaddexp.reduce(list(paths.values()))
+        marginal = [sum(np.exp(s - norm) for p, s in paths.items() if p[t]) for t in range(len(x))]
+        assert np.allclose(got.line_good, marginal, atol=2e-3)
+        raw = min(max(float(np.dot(marginal, length) / length.sum()), 1e-4), 1 - 1e-4)
+        logit = math.log(raw / (1 - raw))
+        assert abs(got.score - 1 / (1 + math.exp(-(model.slope * logit + model.shift)))) < 0.02

@@ -110,17 +110,19 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_language_model(training: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang",
                        per_language: int = 400, landmarks_per_language: int = 32, ridge: float = 1e-3) -> LanguageModel:
     """Fit on ``training``; rows with a null text, language or id are left
-    out.  At most ``per_language`` texts of each language are used."""
-    rows = training.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    ids = rows.filter("lang is not null and id is not null and text is not null").select("id", "lang", F.xxhash64("id").alias("h"))
-    # a share of each language that holds four times as many rows on average, so no task sorts
+    out.  At most ``per_language`` texts of each language are used, one of
+    each id (the smallest, where rows repeat an id)."""
+    rows = (training.select(F.col(lang).alias("lang"), F.xxhash64(id).alias("h"), F.col(text).alias("text"), F.col(id).alias("id"))
+            .filter("lang is not null and id is not null and text is not null").drop("id"))
+    order = Window.partitionBy("lang").orderBy("h")
+    ids = rows.select("lang", "h").distinct()
+    # a share of each language that holds four times as many ids on average, so no task sorts
     # more; the shares are one row per language
     shares = ids.groupBy("lang").agg(F.greatest(F.floor(F.count(F.lit(1)) / (4 * per_language)), F.lit(1)).alias("share"))
     chosen = (ids.join(F.broadcast(shares), "lang").filter(F.pmod(F.xxhash64("h"), F.col("share")) == 0)
-              .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).select("id").distinct())
-    # bounded by per_language rows of each language, whatever the size of the table
-    sample = (rows.filter("lang is not null and text is not null").join(F.broadcast(chosen), "id").select("lang", "text")
+              .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).select("lang", "h"))
+    # bounded by per_language rows of each language, whatever the size of the table and however often an id repeats
+    sample = (rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
               .mapInArrow(tidy(_bits), "lang string, bits binary").collect())
     sample.sort(key=lambda r: (r.lang, bytes(r.bits)))
     languages = tuple(sorted({r.lang for r in sample}))

@@ -210,14 +210,15 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_quality_model(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text",
                       label: str = "quality", train_docs: int = 3000, rounds: int = 120, decay: float = 1e-4) -> QualityModel:
     """Fit on the labelled documents (label 0 or 1; others, null ids and null
-    texts are left out), at most ``train_docs`` of them.  Without both labels
+    texts are left out), at most ``train_docs`` of them, one text of each id (the
+    smallest, where rows repeat an id).  Without both labels
     the score is constant: the share of label 1, or one half without any."""
     known = (labels.filter(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(F.col(id).alias("id"))
              .agg(F.min(label).cast("int").alias("label")))
     chosen = smallest_by_hash(known, F.xxhash64("id"), train_docs, "id")
-    # bounded by train_docs rows, whatever the size of the tables
+    # bounded by train_docs rows, whatever the size of the tables and however often an id repeats
     sample = (docs.select(F.col(id).alias("id"), F.col(text).alias("text")).filter("text is not null")
-              .join(F.broadcast(chosen), "id").select("label", "text").mapInArrow(tidy(_extract), "label int, x binary, n binary").collect())
+              .join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("label").alias("label"), F.min("text").alias("text")).select("label", "text").mapInArrow(tidy(_extract), "label int, x binary, n binary").collect())
     sample.sort(key=lambda r: (r.label, bytes(r.x)))
     y = np.array([r.label for r in sample], float)
     prior = float(y.mean()) if len(y) else 0.5
