@@ -5,8 +5,8 @@ presence of word unigrams and bigrams, into licence families or ``unknown``.
 The vocabulary holds n-grams of licence statements only, so paragraphs without
 any need no score: they are unknown.  The model is trained on statements made
 from the templates below, shortened copies of them, near misses, and a bounded
-sample of paragraphs of the documents; a temperature fitted on held-out
-examples calibrates its probabilities.  A prediction is then compared with the
+sample of paragraphs of the documents (whole ones); a temperature fitted on held-out
+frames, notices and paragraphs calibrates its probabilities.  A prediction is then compared with the
 templates of its family and confirmed if enough words agree.
 
 The scan itself uses DataFrame functions only: words are exploded, matched with
@@ -87,36 +87,45 @@ def templates() -> list[tuple[str, str]]:
     return out + [(f, t) for f, texts in NOTICES.items() for t in texts]
 
 
-def _examples() -> list[tuple[str, str]]:
-    """Templates and copies that lack every k-th word, and the halves of notices."""
-    out = templates()
-    for f, text in templates():
-        words = text.split()
-        if len(words) > 10:
-            for k in (3, 5, 7):
-                out.append((f, " ".join(w for i, w in enumerate(words) if i % k != k // 2)))
-            out += [(f, " ".join(words[:len(words) // 2])), (f, " ".join(words[len(words) // 2:]))]
-    for f, text in templates()[:: 7]:
-        out.append((f, text + " Thanks to everyone who helped."))
-    return out + [(UNKNOWN, t) for t in NEAR_MISSES for _ in range(3)]
+def _examples() -> list[tuple[str, str, bool]]:
+    """Templates and copies that lack every k-th word, and the halves of
+    notices: family, text, and whether calibration holds it out.  Whole frames
+    and whole notices with all that is made of them are held out together."""
+    out = []
+    for f, names in NAMES.items():
+        out += [(f, frame.format(n), k in (2, 7)) for n in names for k, frame in enumerate(FRAMES)]
+    out += [(f, text + " Thanks to everyone who helped.", held) for f, text, held in out[:: 7]]
+    for k, (f, text) in enumerate((f, t) for f, texts in NOTICES.items() for t in texts):
+        words, held = text.split(), k % 4 == 2
+        out.append((f, text, held))
+        out += [(f, " ".join(w for i, w in enumerate(words) if i % n != n // 2), held) for n in (3, 5, 7)]
+        out += [(f, " ".join(words[:len(words) // 2]), held), (f, " ".join(words[len(words) // 2:]), held)]
+    return out + [(UNKNOWN, t, k % 5 == 2) for k, t in enumerate(NEAR_MISSES) for _ in range(3)]
 
 
-def fit_licence_model(background: list[str], rounds: int = 300, decay: float = 2e-4) -> dict:
+def example_grams() -> list[str]:
+    """The n-grams of all examples: what the classifier can look at."""
+    return sorted({g for _, t, _ in _examples() for g in _grams(_words(t))})
+
+
+def fit_licence_model(background: list[list[str]], rounds: int = 300, decay: float = 2e-4) -> dict:
     """Weights per n-gram and class, biases and temperature.  ``background``:
-    paragraphs that are no licence statement."""
-    examples = _examples() + [(UNKNOWN, t) for t in background]
+    of paragraphs that are no licence statement, those n-grams that
+    ``example_grams`` has."""
+    examples = [(f, _grams(_words(t)), held) for f, t, held in _examples()]
+    examples += [(UNKNOWN, set(grams), k % 5 == 2) for k, grams in enumerate(background)]
     classes = [*sorted(NAMES), UNKNOWN]
-    common = {}
-    for t in background:
-        for g in _grams(_words(t)):
+    common: dict[str, int] = {}
+    for grams in background:
+        for g in set(grams):
             common[g] = common.get(g, 0) + 1
     often = {g for g, n in common.items() if n > 0.02 * max(len(background), 50)}
-    vocabulary = sorted({g for f, t in _examples() for g in _grams(_words(t))} - often)
+    vocabulary = sorted(set(example_grams()) - often)
     place = {g: i for i, g in enumerate(vocabulary)}
     x = np.zeros((len(examples), len(vocabulary)))
-    for r, (_, t) in enumerate(examples):
-        x[r, [place[g] for g in _grams(_words(t)) if g in place]] = 1
-    y = np.array([classes.index(f) for f, _ in examples])
+    for r, (_, grams, _) in enumerate(examples):
+        x[r, [place[g] for g in grams if g in place]] = 1
+    y = np.array([classes.index(f) for f, _, _ in examples])
     weight = 1.0 / np.bincount(y, minlength=len(classes))[y] * np.where(y == len(classes) - 1, 6.0, 1.0)
     weight /= weight.sum()
     target = np.eye(len(classes))[y]
@@ -132,7 +141,7 @@ def fit_licence_model(background: list[str], rounds: int = 300, decay: float = 2
             w, b = w + move[:-1], b + move[-1]
         return w, b
 
-    held = np.arange(len(examples)) % 5 == 2
+    held = np.array([h for _, _, h in examples])
     w, b = fit(np.flatnonzero(~held))
     z = x[held] @ w + b
     loss = {t: -(np.log(_softmax(z / t)[np.arange(held.sum()), y[held]] + 1e-12) * weight[held]).sum()
@@ -176,8 +185,12 @@ def scan_licences(docs: DataFrame, *, id: str = "doc_id", text: str = "text", le
     spark = docs.sparkSession
     paragraphs = _paragraphs(docs, id, text)
     others = paragraphs.select("line").filter(~F.lower("line").rlike("licen[cs]|copyright|warrant|redistribut|public domain|spdx|gpl"))
-    background = [r.line for r in smallest_by_hash(others, F.xxhash64("line"), SAMPLE, "line").select(F.substring("line", 1, 2000).alias("line"))
-                  .collect()]
+    # whole paragraphs, but only what the classifier can look at: bounded however long they are
+    seen = _inline(spark, [{"seen": example_grams()}], "seen array<string>").scalar()
+    words = _word_array("line")
+    both = F.transform(F.arrays_zip(words.alias("a"), F.slice(words, 2, 1 << 30).alias("b")), lambda p: F.concat_ws(" ", p["a"], p["b"]))
+    sample = smallest_by_hash(others, F.xxhash64("line"), SAMPLE, "line")
+    background = [r.grams for r in sample.select(F.array_intersect(F.concat(words, both), seen).alias("grams")).collect()]
     model = fit_licence_model(background)
     classes = model["classes"]
     weights = _inline(spark, [{"gram": g, "w": [round(float(v), 6) for v in row]}
