@@ -129,3 +129,62 @@ def test_a_marked_container_of_the_text(name, tag):
         whole.add(Wrapper.of(page))
     template, path = json.loads(whole.summary())
     assert [main_text(page, frozenset(template), path) for page, _ in made] == [t for _, t in made]
+
+
+def test_deep_and_unclosed_pages(spark):
+    deep = "<article><h1>Head</h1>" + "<div>" * 50_000 + "<p>inner</p>" + "</div>" * 50_000 + "<p>after</p></article>"
+    unclosed = "<article>" + "<font>" * 50_000 + "words <p>more</p></article>"
+    tags = "<article><p>text</p>" + "<a " * 200_000
+    quotes = "<article><p>text</p>" + "<a href=\"" * 100_000 + "><p>tail</p></article>"
+    rows = [(k, "http://deep.example/", h) for k, h in enumerate([deep, unclosed, tags, quotes])]
+    got = {x.page_id: x.text for x in extract_main_text(pages(spark, rows)).collect()}
+    assert got[0] == "Head\ninner\nafter" and got[1] == "words\nmore" and got[2].startswith("text") and got[3].startswith("text")
+
+
+def test_ids_of_their_own_do_not_grow_the_wrapper():
+    trees = []
+    for k in range(300):
+        page = parse("<body>" + "".join(f"<section id='slug-{chr(97 + k % 26)}{chr(97 + k // 26)}-{j}x'><p>{' '.join(words(rng(k * 9 + j), 5))}</p></section>"
+                                        for j in range(5)) + "</body>")
+        fingerprint(page)
+        trees.append(Wrapper.of(page))
+    sizes = []
+    for t in trees[1:]:
+        trees[0].add(t)
+        sizes.append(len(trees[0].dumps()))
+    assert sizes[-1] < sizes[0] + 200
+
+
+def test_names_that_clash(spark):
+    h, t = semantic(1)
+    frame = pages(spark, [(1, "http://a.example/1", h)]).selectExpr("*", "'h' as _host", "'w' as _wrapper")
+    assert [(x._host, x._wrapper, x.text) for x in extract_main_text(frame).collect()] == [("h", "w", t)]
+
+
+def plain_matching(a, b):
+    """The largest order-preserving matching of two trees, by trying all subsets of pairs."""
+    if a[0] != b[0]:
+        return 0
+
+    def best(i, j):
+        if i == len(a[4]) or j == len(b[4]):
+            return 0
+        w = plain_matching(a[4][i], b[4][j])
+        return max(best(i + 1, j), best(i, j + 1), w + best(i + 1, j + 1) if w else 0)
+    return 1 + best(0, 0)
+
+
+def test_matching_against_all_alignments():
+    r = rng(77)
+
+    def tree(depth):
+        return [r.choice("ab"), r.randint(0, 2), 1, 1, [tree(depth - 1) for _ in range(r.randint(0, 3))] if depth else []]
+
+    def size(t):
+        return 1 + sum(size(k) for k in t[4])
+    for _ in range(200):
+        a, b = tree(3), tree(3)
+        a[0] = b[0] = "r"
+        assert matching(a, b) == plain_matching(a, b)
+        # a merge holds every node of both, the matched ones once
+        assert size(merge(a, b)) == size(a) + size(b) - matching(a, b)

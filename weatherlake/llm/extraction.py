@@ -22,9 +22,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from weatherlake.llm.dom import INLINE, RAW, Node, blocks, fingerprint, parse
-from weatherlake.llm.shared import cut, modest_batches, table, tidy
+from weatherlake.llm.shared import cut, extended, fresh, modest_batches, table, tidy
 
 SALTS = 64
 SURE = 3  # different pages that must agree before constant text counts as template
@@ -70,7 +71,9 @@ def marked(node: Node, inside: bool, names: bool = True) -> bool:
 
 
 def _key(node: Node) -> str:
-    names = sorted(_names(node))
+    """Tag and class names.  Of the id only what ``marked`` reads counts: an
+    id may be a page's own, and nodes would then never be alike."""
+    names = sorted({w.lower() for w in _TOKENS.findall(node.attrs.get("class", ""))} | (_names(node) & (_MARKS | {"header"})) if node.attrs else ())
     return node.tag + ("." + ".".join(names) if names else "") + ("@main" if node.attrs.get("role") == "main" else "")
 
 
@@ -389,14 +392,15 @@ def extract_main_text(pages: DataFrame, *, url: str = "url", html: str = "html",
     have at most ``broadcast_bytes``, shuffled beyond that.
     """
     pages = pages.drop("text", "n_chars")
-    named = pages.withColumn("_host", host_of(url))
-    wrappers = cut(induce_wrappers(named.select(F.col("_host").alias("host"), F.col(html).alias("html"))))
+    own_host, own_wrapper = fresh(pages, "_host", "_wrapper")
+    named = pages.withColumn(own_host, host_of(url))
+    wrappers = cut(induce_wrappers(named.select(F.col(own_host).alias("host"), F.col(html).alias("html"))))
     small = wrappers.agg(F.sum(F.octet_length("wrapper") + F.octet_length("host"))).first()[0] or 0
-    side = wrappers.select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"))
+    side = wrappers.select(F.col("host").alias(own_host), F.col("wrapper").alias(own_wrapper))
     side = F.broadcast(side) if small <= broadcast_bytes else side
     kept = [f for f in pages.schema.fields if f.name != html]
-    rows = named.join(side, "_host", "left").select(*[f.name for f in kept], html, "_wrapper")
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "text string, n_chars long"])
+    rows = named.join(side, own_host, "left").select(*[f.name for f in kept], html, own_wrapper)
+    schema = extended(StructType(kept), "text string, n_chars long")
     return rows.mapInArrow(tidy(_extract(len(kept), len(kept) + 1, [*[f.name for f in kept], "text", "n_chars"])), schema)
 
 
