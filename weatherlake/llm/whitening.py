@@ -118,10 +118,6 @@ class _Passes:
         parts = [np.frombuffer(bytes(r[0]), np.float64) for r in self.blocks.select("rows").mapInArrow(tidy(run), "total binary").collect()]
         return np.sum(parts, 0) if parts else np.zeros(length)
 
-    def against(self, y: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """U^T (X v) for U = X y."""
-        return self.over(lambda x: (x @ y).T @ (x @ v), y.shape[1]) if y.shape[1] else np.zeros(0)
-
     def back(self, y: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """For w = X q: X^T w, U^T w and the squared length of w."""
         def work(x: np.ndarray) -> np.ndarray:
@@ -156,8 +152,9 @@ def bidiagonalise(passes: _Passes, seed: int = 0) -> tuple[np.ndarray, np.ndarra
     columns: list[int] = []  # the step whose u each column of y is
     largest = 0.0
     for k in range(dim):
-        # X v_k, less all earlier u: once in exact sums, and once more for what rounding left
-        along = passes.against(y, v[:, k])
+        # X v_k, less all earlier u: by what their passes returned (u_j^T X v = (X^T u_j)^T v), and
+        # once more inside the pass for what rounding left
+        along = back.T @ v[:, k]
         q = v[:, k] - y @ along
         z, again, square = passes.back(y, q)
         q, z = q - y @ again, z - back @ again
