@@ -198,8 +198,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_
     texts = docs.filter(Bloom(diagonals.select(F.xxhash64("id").alias("h")), "h").condition(F.xxhash64("id")))
     found = texts.join(per_unit, "id").select("id", "text", "hits").mapInArrow(tidy(_verifier(min_tokens)), OVERLAPS)
     columns = [c.split()[0] for c in OVERLAPS.split(", ")]
-    rank = F.struct("equal_tokens", "overlap_tokens", (-F.col("doc_start")).alias("s"), (-F.col("item_start")).alias("i"), *columns[2:])
-    return found.groupBy("doc_id", "item_id").agg(F.max(rank).alias("b")).select("doc_id", "item_id", *[F.col(f"b.{c}").alias(c) for c in columns[2:]])
+    rank = F.struct(F.col("equal_tokens").alias("e"), F.col("overlap_tokens").alias("o"), (-F.col("doc_start")).alias("s"),
+                    (-F.col("item_start")).alias("i"), F.struct(*columns[2:]).alias("row"))
+    return found.groupBy("doc_id", "item_id").agg(F.max(rank).alias("b")).select("doc_id", "item_id", *[F.col(f"b.row.{c}").alias(c) for c in columns[2:]])
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
