@@ -168,3 +168,76 @@ def test_lenient_rejects_what_has_no_value(spark, tmp_path):
     assert reasons == {"A": "bad timestamp", "B": "null position", "C": "bad timestamp"}
     with pytest.raises(Exception, match="unparsable METAR row"):
         parse_metar(raw, strict=True).select("day").collect()
+
+
+def _many(folder, n, rows=1):
+    """``n`` files in two column orders; file k reports k."""
+    folder.mkdir()
+    return [_write(folder / f"{'ab'[k % 2]} {k:04d}.csv",
+                   (f"station,valid,lat,lon,tmpf\nS,2011-01-01 00:00,1,2,{k}\n" if k % 2 else f"tmpf,lon,lat,valid,station\n{k},2,1,2011-01-01 00:00,S\n")
+                   + "".join(f"S,2011-01-01 00:{i:02d},1,2,{k}\n" if k % 2 else f"{k},2,1,2011-01-01 00:{i:02d},S\n" for i in range(1, rows)))
+            for k in range(n)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_scan_for_each_header(spark, tmp_path):
+    paths = _many(tmp_path / "many", 300)
+    raw = read_raw(spark, paths[::-1])
+    assert _plan(raw).count("FileScan csv") == 2
+    assert sorted(float(r.tmpf) for r in raw.collect()) == list(range(300))
+    # the last path in the caller's list wins, whatever the file names are
+    assert upsert_last(read_metar(spark, paths), schema.KEY_POSITION, "_seq").first().tmpf == 299
+    assert upsert_last(read_metar(spark, paths[::-1]), schema.KEY_POSITION, "_seq").first().tmpf == 0
+
+
+def test_paths_of_every_kind(spark, tmp_path):
+    one = _many(tmp_path / "one+a b%20", 4)
+    two = tmp_path / "two"
+    two.mkdir()
+    for k in range(3):
+        _write(two / f"{k}.csv", f"station,valid,lat,lon,tmpf\nS,2011-01-01 00:00,1,2,{100 + k}\n")
+    _write(two / "empty.csv", "")
+    got = read_metar(spark, [str(two), f"file://{one[1]}", one[0], one[2]])
+    assert sorted(r.tmpf for r in got.collect()) == [0, 1, 2, 100, 101, 102]
+    assert [r.tmpf for r in got.orderBy("_seq").collect()] == [100, 101, 102, 1, 0, 2]
+    assert sorted(r.tmpf for r in read_metar(spark, [str(two / "*.csv"), one[0]]).collect()) == [0, 100, 101, 102]
+    with pytest.raises(ValueError, match="different headers"):
+        read_raw(spark, [str(tmp_path / "one+a b%20"), str(two)])
+
+
+@pytest.mark.parametrize("limit", [1, 5, 25, 100])
+def test_a_limit_reads_the_first_files_only(spark, tmp_path, limit):
+    paths = _many(tmp_path / "many", 40, rows=10)
+    raw = read_raw(spark, paths, limit=limit)
+    assert [(float(r.tmpf), r.valid[-2:]) for r in raw.orderBy("_seq").collect()] == [(k // 10, f"{k % 10:02d}") for k in range(limit)]
+    folder = tmp_path / "same"
+    folder.mkdir()
+    for k in range(200):
+        _write(folder / f"{k:03d}.csv", "station,valid,lat,lon,tmpf\n" + f"S,2011-01-01 00:00,1,2,{k}\n" * 40)
+    spark.sparkContext.setJobGroup(f"limit {limit}", "first rows")
+    raw = read_raw(spark, str(folder), limit=limit)
+    assert sorted(float(r.tmpf) for r in raw.collect()) == [k // 40 for k in range(limit)]
+    # what is read is at most the files of the last step, not the folder
+    tracker, tasks = spark.sparkContext.statusTracker(), 0
+    for job in tracker.getJobIdsForGroup(f"limit {limit}"):
+        for stage in tracker.getJobInfo(job).stageIds:
+            info = tracker.getStageInfo(stage)
+            tasks += info.numTasks if info else 0
+    assert tasks < 40
+
+
+def test_a_limit_beyond_the_end(spark, tmp_path):
+    paths = _many(tmp_path / "many", 3)
+    assert read_raw(spark, paths, limit=50).count() == 3 and read_raw(spark, paths[:1], limit=0).count() == 0
+
+
+def test_the_strict_message_names_what_is_wrong(spark, tmp_path):
+    f = _write(tmp_path / "a.csv", "station,valid,lat,lon,tmpf\nA,99999999999-01-01 00:00,1,2,1\n")
+    with pytest.raises(PySparkException, match="bad timestamp. at station A"):
+        read_metar(spark, f).collect()
+    f = _write(tmp_path / "b.csv", "station,valid,lat,lon,tmpf\nA,2011-01-01 00:00,1,2,x\n")
+    with pytest.raises(PySparkException, match="bad value of tmpf. at station A"):
+        read_metar(spark, f).collect()

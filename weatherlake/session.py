@@ -1,14 +1,15 @@
 """Session helpers: a local session for tests and benches, and materialisation
 that survives executor loss.
 
-Library code never creates its own scratch folders.  It reads the checkpoint
-directory the cluster configured (``spark.checkpoint.dir``); only the local
-helpers below set one, and only when none is configured.
+Stored intermediates go to the checkpoint directory that the cluster
+configured (``spark.checkpoint.dir``).  A folder of our own is set only where
+none is configured, as in tests and local runs.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -65,3 +66,13 @@ def materialize(df: DataFrame) -> DataFrame:
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the session's checkpoint directory, which the
+    driver and all executors see."""
+    base = checkpoint_dir(spark)
+    if not base:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="weatherlake-ckpt-", dir="/tmp"))
+        base = spark.sparkContext.getCheckpointDir()
+    return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -26,60 +26,165 @@ and counts the rows whose timestamp matches, without parsing them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from weatherlake import schema
+from weatherlake.session import materialize
 
 SEQ = "_seq"
 
+#: How METAR CSV is written: a header, and quotes within quoted cells as two quotes.  Files whose
+#: header differs from the columns they are read by raise.
+CSV_OPTIONS = {"header": "true", "inferSchema": "false", "enforceSchema": "false", "escape": '"', "mode": "PERMISSIVE"}
+
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], *, limit: int | None = None) -> DataFrame:
     """Scan METAR CSV files with a header; every column as text, by name.
 
     Each path (a file or a folder) is read by its own header; paths may order
     their columns differently, and a column that some lack is NULL there.
-    Quoted cells may hold commas, and quotes as two quotes.  ``limit`` keeps
-    the first ``limit`` rows in input order.
+    Quoted cells may hold commas, and quotes as two quotes.  Several paths are
+    read by one scan per different header (``headers``), however many they are.
+
+    ``limit`` keeps the first ``limit`` rows in input order.  Files are then
+    read in order, a few at a time, until that many rows are in hand, so a
+    preview of a large folder reads its first files only.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if not paths:
         raise ValueError("no path given")
-    scans = [_scan(spark, p, rank) for rank, p in enumerate(paths)]
     if limit is not None:
-        return _first_rows(scans, limit)
+        return _first_rows(spark, paths, limit)
+    if len(paths) == 1:
+        return _scan(spark, paths, {})
+    return _scans(spark, paths)
+
+
+def _scans(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """All paths, one scan for each different header among them."""
+    found = headers(spark, paths)
+    ranks = _ranks([r["file"] for r in found], paths)
+    if ranks is None:  # patterns and the like, which no file name shows: a scan for each path
+        scans = [_scan(spark, [p], {}, rank) for rank, p in enumerate(paths)]
+    else:
+        by_path: dict[int, set[str]] = {}
+        groups: dict[str, dict[str, int]] = {}
+        for r in found:
+            by_path.setdefault(ranks[r["file"]], set()).add(r["header"])
+            groups.setdefault(r["header"], {})[r["file"]] = ranks[r["file"]]
+        mixed = sorted(paths[rank] for rank, hs in by_path.items() if len(hs) > 1)
+        if mixed:
+            raise ValueError(f"files of one path have different headers: {mixed[0]}")
+        scans = [_scan(spark, sorted(files), files) for _, files in sorted(groups.items())]
+        if not scans:  # empty files only
+            return _scan(spark, paths, {})
     raw = scans[0]
     for more in scans[1:]:
         raw = raw.unionByName(more, allowMissingColumns=True)
     return raw
 
 
-def _scan(spark: SparkSession, path: str, rank: int) -> DataFrame:
-    """One path of the caller's list: columns by its own header, which all of
-    its files must share (a differing one raises)."""
-    raw = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
-           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    one_file = len(raw.inputFiles()) <= 1
-    return raw.select("*", F.struct(
-        F.lit(rank).alias("path"),
-        (F.lit(None).cast("string") if one_file else F.col("_metadata.file_path")).alias("file"),
-        F.col("_metadata.file_block_start").alias("offset"),
-        F.monotonically_increasing_id().alias("row")).alias(SEQ))
-
-
-def _first_rows(scans: Sequence[DataFrame], limit: int) -> DataFrame:
-    """The first rows in input order, path by path: later paths are read only
-    while rows are missing."""
-    parts, missing = [], limit
-    for scan in scans:
-        part = scan.orderBy(SEQ).limit(missing)
-        parts.append(part)
-        if scan is not scans[-1]:
-            missing -= part.count()
-            if missing <= 0:
-                break
-    raw = parts[0]
+def _scan(spark: SparkSession, paths: Sequence[str], ranks: dict[str, int], rank: int = 0) -> DataFrame:
+    """One scan: columns by the header that all files share (a differing one
+    raises).  With ``ranks`` the paths are files as Spark lists them, encoded
+    as in URLs, and it gives the place of each in the caller's list."""
+    raw = spark.read.options(**CSV_OPTIONS).csv([unquote(p) for p in paths] if ranks else list(paths))
+    # a path that is one file needs no file name to keep its rows in order
+    one_file = len(set(ranks.values())) == len(ranks) if ranks else len(raw.inputFiles()) <= 1
+    file = F.col("_metadata.file_path")
+    position = [(F.lit(None).cast("string") if one_file else file).alias("file"), F.col("_metadata.file_block_start").alias("offset"),
+                F.monotonically_increasing_id().alias("row")]
+    if len(set(ranks.values())) <= 1:
+        return raw.select("*", F.struct(F.lit(next(iter(ranks.values()), rank)).alias("path"), *position).alias(SEQ))
+    # row numbers are taken below the join, which may shuffle
+    listed = spark.createDataFrame([(_plain(unquote(f)), k) for f, k in ranks.items()], "_listed string, _rank int")
+    placed = raw.select("*", _plain_column(file).alias("_file"), F.struct(*position).alias("_at"))
+    return placed.join(listed, F.col("_file") == F.col("_listed")).select(
+        *raw.columns, F.struct(F.col("_rank").alias("path"), "_at.file", "_at.offset", "_at.row").alias(SEQ))
+
+
+_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and authority, as files and callers name it alike."""
+    return re.sub("/+", "/", re.sub(_AUTHORITY, "", path)).rstrip("/")
+
+
+def _plain_column(file: Column) -> Column:
+    return F.regexp_replace(F.url_decode(F.regexp_replace(F.regexp_replace(file, _AUTHORITY, ""), "[+]", "%2B")), "/+", "/")
+
+
+def _ranks(files: Sequence[str], paths: Sequence[str]) -> dict[str, int] | None:
+    """The place of each file in the caller's list of paths (the first that is
+    the file or a folder above it); None where a file is under none of them."""
+    place: dict[str, int] = {}
+    for rank, p in enumerate(paths):
+        place.setdefault(_plain(p), rank)
+    out = {}
+    for f in files:
+        at = _plain(unquote(f))
+        while at and at not in place:
+            at = at.rpartition("/")[0]
+        if not at:
+            return None
+        out[f] = place[at]
+    return out
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> list[Row]:
+    """The header line of every file: ``file``, ``header``, in one distributed
+    pass over first lines.  Empty files have none.
+
+    Each file is one task that stops after its first lines (Spark's text source
+    has no limit per file, so this is an iterator over Arrow batches).  What
+    reaches the driver are the names that its file index holds already.
+    """
+    reader = spark.newSession()  # settings of its own: each file is one partition
+    whole = str(1 << 40)
+    reader.conf.set("spark.sql.files.maxPartitionBytes", whole)
+    reader.conf.set("spark.sql.files.openCostInBytes", whole)
+    reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    text = reader.read.text(list(paths))
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                        F.monotonically_increasing_id().alias("row"), F.col("value").alias("header"))
+    alone = text.rdd.getNumPartitions() >= len(text.inputFiles())
+    if alone:
+        lines = lines.mapInArrow(_first_batch, lines.schema)
+    return (lines.groupBy("file").agg(F.min_by("header", F.struct("start", "row")).alias("header")).orderBy("file").collect())
+
+
+def _first_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def _first_rows(spark: SparkSession, paths: Sequence[str], limit: int) -> DataFrame:
+    """The first rows in input order: files are read in order, twice as many
+    each time, and later ones only while rows are missing."""
+    parts, missing, step = [], limit, 1
+    for rank, path in enumerate(paths):
+        files = sorted(spark.read.text(path).inputFiles())
+        while files:
+            now, files = files[:step], files[step:]
+            step *= 2
+            last = not files and rank == len(paths) - 1
+            part = _scan(spark, now, dict.fromkeys(now, rank)).orderBy(SEQ).limit(missing)
+            parts.append(part if last else materialize(part))
+            if not last:
+                missing -= parts[-1].count()
+                if missing <= 0:
+                    break
+        if missing <= 0:
+            break
+    raw = parts[0] if parts else _scan(spark, paths[:1], {})
     for more in parts[1:]:
         raw = raw.unionByName(more, allowMissingColumns=True)
     return raw
@@ -157,20 +262,23 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     def given(c: str) -> Column:
         return present[c].isNotNull() & ~present[c].isin(*schema.NULL_TOKENS, "")
 
-    # A short message keeps the generated code small: station and time locate the row.
-    failure = F.raise_error(F.concat(F.lit("unparsable METAR row (NULL position or bad number) at station "),
-                                     F.coalesce(F.col("station"), F.lit("NULL")), F.lit(", valid "), F.col("valid")))
+    def failure(what: str) -> Column:
+        """A short message keeps the generated code small: station and time locate the row."""
+        return F.raise_error(F.concat(F.lit(f"unparsable METAR row ({what}) at station "), F.coalesce(F.col("station"), F.lit("NULL")),
+                                      F.lit(", valid "), F.col("valid")))
 
-    unusable = typed["lat"].isNull() | typed["lon"].isNull()
+    no_position = typed["lat"].isNull() | typed["lon"].isNull()
+    no_time = F.lit(False)
     for n in schema.TIME_PARTS:
-        unusable = unusable | times[n].isNull()
+        no_time = no_time | times[n].isNull()
     if strict:
-        times = {n: F.when(unusable, failure).otherwise(t) for n, t in times.items()}
+        bad_time, bad_position = failure("bad timestamp"), failure("NULL position or bad number")
+        times = {n: F.when(no_time, bad_time).when(no_position, bad_position).otherwise(t) for n, t in times.items()}
         for c in text_cols:
             if c in ("lat", "lon"):
-                typed[c] = F.when(unusable, failure).otherwise(typed[c])
+                typed[c] = F.when(no_position, bad_position).when(no_time, bad_time).otherwise(typed[c])
             elif not is_text(c) and c in raw.columns:
-                typed[c] = F.when(given(c) & typed[c].isNull(), failure).otherwise(typed[c])
+                typed[c] = F.when(given(c) & typed[c].isNull(), failure(f"bad value of {c}")).otherwise(typed[c])
 
     cols: list[Column] = []
     for name in schema.OBS_COLUMNS:
@@ -182,7 +290,7 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     if valid_struct:
         cols.append(typed["metar"].alias("metar"))
     usable = F.col("valid").rlike(schema.VALID_PATTERN)
-    return raw.filter(usable if strict else usable & ~unusable).select(*cols, *passthrough)
+    return raw.filter(usable if strict else usable & ~(no_time | no_position)).select(*cols, *passthrough)
 
 
 def metar_rejects(raw: DataFrame, *, strict: bool = True) -> DataFrame:

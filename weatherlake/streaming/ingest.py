@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weatherlake import schema
 from weatherlake.operators.upsert import upsert_last
-from weatherlake.sources.metar_csv import SEQ, parse_metar
+from weatherlake.sources.metar_csv import CSV_OPTIONS, SEQ, parse_metar
 
 BATCH = "_batch"
 
@@ -36,7 +36,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
     """Start the ingest.  ``columns`` is the header of the files (the order of
     their columns).  With ``available_now`` the query processes what is there
     and stops; otherwise it keeps polling the folder."""
-    reader = spark.readStream.schema(raw_schema(columns)).option("header", True)
+    reader = spark.readStream.schema(raw_schema(columns)).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(source_dir).select(
