@@ -71,3 +71,21 @@ def test_features_and_zscore(spark):
     z = {(r.lat, r.lon): r for r in feature_zscore(station_features(df, 2011, 9, 1, 15)).collect()}
     assert z[(1.0, 2.0)].z_tmpf == pytest.approx(-1.0) and z[(5.0, 6.0)].z_tmpf == pytest.approx(1.0)
     assert z[(1.0, 2.0)].z_alti == 0.0                                   # zero spread
+
+
+def test_many_centroids(spark):
+    from weatherlake.operators import cluster
+    rows = [(float(i % 90), float(i // 90), float(i % 7), float(i * 13 % 101), float(i % 11), float(i * 7 % 50)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "lat double, lon double, tmpf double, alti double, relh double, sknt double")
+    many = kmeans_stations(df, 500, n_iter=2)
+    assert many.assignments.select("cluster").distinct().count() <= 500 and len(many.centroids) == 500
+    plan = many.assignments._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 200_000
+    few = kmeans_stations(df, 20, n_iter=3)
+    try:
+        cluster.UNROLLED = 0
+        walked = kmeans_stations(df, 20, n_iter=3)
+    finally:
+        cluster.UNROLLED = 32
+    assert few.centroids == walked.centroids
+    assert sorted(few.assignments.collect()) == sorted(walked.assignments.collect())

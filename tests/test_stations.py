@@ -109,8 +109,9 @@ def test_far_queries_do_not_meet_all_stations(spark):
     queries = [(i, r.uniform(-1e4, 1e4), r.uniform(-1e4, 1e4)) for i in range(200)]
     q = spark.createDataFrame(queries, "qid long, q_lon double, q_lat double")
     st = spark.createDataFrame(near, "station string, s_lon double, s_lat double, s_ord long")
-    box = (min(x[1] for x in near), max(x[1] for x in near), min(x[2] for x in near), max(x[2] for x in near))
-    assert m._candidates(q, st, box, 1e-3).count() <= 200 * 40  # all pairs would be 400,000
+    assert m._candidates(q, st, 1e-3).count() <= 200 * 40  # all pairs would be 400,000
+    far_out = st.union(spark.createDataFrame([("OUT", 1e9, 1e9, 5000), ("WEST", -1e30, 0.0, 5001)], st.schema))
+    assert m._candidates(q, far_out, 1e-3).count() <= 200 * 40
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("far", "far queries")
     try:
@@ -145,3 +146,14 @@ def test_dictionary_keeps_its_order_when_written(spark, tmp_path):
         q = spark.createDataFrame([(1, 0.0, 0.0)], "qid long, lon double, lat double")
         assert nearest_station(q, back).first().station == "Z"
         assert {r.station for r in back.collect()} == {"Z", "A", "quote \"q\", \\"}
+
+
+def test_many_stations_on_one_line_and_an_outlier(spark):
+    import random
+    r = random.Random(1)
+    stations = [(f"S{i}", 5.0, i * 0.001, 3000 - i) for i in range(600)] + [("OUT", 1e9, -1e9, 0)]
+    stations += [(f"T{i}", r.uniform(-1, 1), r.uniform(-1, 1), 10_000 + i) for i in range(300)]
+    queries = [(k, r.uniform(-6, 6), r.uniform(-2, 2)) for k in range(60)] + [(100, 9e8, -9e8), (101, 5.0, 0.3)]
+    for eps in (1e-3, 0.05):
+        want = brute(queries, stations, eps)
+        assert all(got[0] == want[k][0] for k, got in run(spark, queries, stations, eps).items())

@@ -52,11 +52,6 @@ def position_eq(lat: float, lon: float | None = None,
     return cond
 
 
-def position_key(digits: int = 4, lat_col: str = "lat", lon_col: str = "lon") -> list[Column]:
-    """Position as a grouping key: each coordinate rounded to ``digits``."""
-    return [half_even(lat_col, digits).alias("lat"), half_even(lon_col, digits).alias("lon")]
-
-
 def position_label(lat: str | Column = "lat", lon: str | Column = "lon") -> Column:
     """Display form ``"lat,lon"`` of a rounded position."""
     return F.concat_ws(",", col(lat).cast("string"), col(lon).cast("string"))
@@ -89,9 +84,10 @@ def zscore(x: str | Column, mean: Column, std: Column) -> Column:
     return F.when(std == 0, F.lit(0.0)).otherwise((as_double(x) - mean) / std)
 
 
-def first_argmin(values: Sequence[Column]) -> Column:
-    """0-based index of the smallest value, the lowest index on ties."""
-    arr = F.array(*values)
+def first_argmin(values: Sequence[Column] | Column | str) -> Column:
+    """0-based index of the smallest value, the lowest index on ties.
+    ``values``: columns, or one array column."""
+    arr = col(values) if isinstance(values, (str, Column)) else F.array(*values)
     return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
 
 

@@ -4,7 +4,7 @@ distributed, deterministic Lloyd k-means.
 The observations are reduced once to one row per position
 (``station_features``); that small frame is materialised and every iteration
 is one job over it: assign each point to the nearest centroid (centroids are
-literals in the expression, so the plan does not grow), then average the
+constants in the expression, so the plan does not grow), then average the
 members per cluster.  Only K x F numbers come back to the driver per
 iteration.
 
@@ -26,6 +26,7 @@ Rules fixed for determinism:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -95,16 +96,26 @@ class KMeansResult:
         return self.assignments.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n_members"))
 
 
-def _z_lit(value: float, mean: float, std: float) -> Column:
-    return F.lit(0.0 if std == 0 else (value - mean) / std)
+UNROLLED = 32  # so many centroids are literals in the generated code; more are one array value
 
 
 def _assign(points: DataFrame, centroids: list[list[float]], means: list[float], stds: list[float]) -> DataFrame:
+    """Nearest centroid and distance for every point, the lowest number on ties.
+
+    Few centroids are unrolled.  Many would make the plan and its generated
+    code grow with their number, so they are one constant array that a
+    higher-order function walks; both compute the same sums in the same order.
+    """
     zs = [F.col(f"_z{i}") for i in range(len(means))]
-    dists = [euclid(zs, [_z_lit(v, m, s) for v, m, s in zip(c, means, stds)]) for c in centroids]
-    return points.withColumn("_dists", F.array(*dists)).select(
-        "*", first_argmin([F.col("_dists")[i] for i in range(len(centroids))]).alias("cluster")
-    ).withColumn("dist", F.col("_dists")[F.col("cluster")]).drop("_dists")
+    scaled = [[0.0 if s == 0 else (v - m) / s for v, m, s in zip(c, means, stds)] for c in centroids]
+    if len(scaled) <= UNROLLED:
+        dists = F.array(*[euclid(zs, [F.lit(v) for v in c]) for c in scaled])
+    else:
+        # Python writes floats so that they are read back exactly
+        constant = F.from_json(F.lit(json.dumps(scaled)), "array<array<double>>")
+        dists = F.transform(constant, lambda c: euclid(zs, [c[i] for i in range(len(zs))]))
+    return (points.withColumn("_dists", dists).withColumn("cluster", first_argmin("_dists"))
+            .withColumn("dist", F.array_min("_dists")).drop("_dists"))
 
 
 def kmeans_stations(features: DataFrame, k: int, n_iter: int = 100, *,

@@ -9,15 +9,18 @@ a query position.
 2. otherwise the nearest station is taken (lowest ``ord`` among equal
    distances), with the station's coordinates.
 
-It searches downwards through nested grids over the stations' bounding box,
-eight times finer at each level, with one row per occupied cell: the bounding
-box of its stations and their lowest ``ord``.  At each level a query keeps the
+It searches down a tree over the stations.  A level cuts every cell that holds
+more than ``LEAF`` positions at quantiles, into ``FACTOR`` strips by longitude
+and each of them into ``FACTOR`` by latitude, so the cells follow where the
+stations are: one station far out takes its place in a cell and leaves the
+others as they are.  There is one row per cell: the bounding box of its
+stations and their lowest ``ord``.  At each level a query keeps the
 cells that can still hold its answer (their box is not farther than the best
 distance some other box guarantees, or meets the circle of ``eps`` and has a
-low enough ``ord``) and goes on to their occupied children by an equi-join.
-The number of levels is fixed by how the stations lie (at most ``MAX_DEPTH``),
-not by how far the queries are, and only the children of kept cells become
-candidates.  No side is broadcast by hint; Spark decides by size.
+low enough ``ord``) and goes on to their children by an equi-join.  The number
+of levels grows with the logarithm of the number of positions, and only the
+children of kept cells become candidates.  No side is broadcast by hint; Spark
+decides by size.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from weatherlake import schema
 from weatherlake.functions.exprs import half_even, planar_distance
 from weatherlake.session import materialize
 
-FACTOR = 8  # cells per axis within a cell of the level above
-MAX_DEPTH = 7  # 8^7 cells per axis: finer than the four digits of a position on a whole globe
+FACTOR = 4  # strips per axis that a cell is cut into
+MAX_DEPTH = 15  # cell numbers have four bits per level; ten levels hold 10^13 positions
 LEAF = 16  # positions in a cell that need no finer level
 
 
@@ -111,49 +114,65 @@ def _bounds(c: str) -> tuple[Column, Column, Column]:
     return least, some, F.hypot(far("q_lon", "x"), far("q_lat", "y"))
 
 
-def _candidates(q: DataFrame, st: DataFrame, box: tuple[float, float, float, float], eps: float) -> DataFrame:
-    """The pairs of query and station whose distance is computed: for every
-    query the stations of the finest cells it kept."""
-    x0, x1, y0, y1 = box
-    side = max(x1 - x0, y1 - y0) or 1.0
+def _level(positions: DataFrame, cell: str, new: str) -> DataFrame:
+    """Every cell with more than ``LEAF`` positions cut at quantiles; column
+    ``new`` numbers the parts.  Quantiles combine before their shuffle, so the
+    first cell, which has all positions, is no task's alone."""
+    at = F.array(*[F.lit(k / FACTOR) for k in range(1, FACTOR)])
+
+    def strip(axis: str, cuts: str) -> Column:
+        return F.coalesce(F.size(F.filter(cuts, lambda x: x < F.col(axis))), F.lit(0))
 
-    def index(axis: str, low: float, depth: int) -> Column:
-        cells = FACTOR ** depth
-        return F.least(F.floor((F.col(axis) - low) / side * cells), F.lit(cells - 1)).cast("long")
+    by_lon = positions.groupBy(cell).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("s_lon", at, 1000).alias("_x"))
+    out = (positions.join(by_lon, cell)
+           .withColumn("_strip", F.when(F.col("_n") > LEAF, strip("s_lon", "_x")).otherwise(0)).drop("_x"))
+    by_lat = out.groupBy(cell, "_strip").agg(F.percentile_approx("s_lat", at, 1000).alias("_y"))
+    part = F.col("_strip") * FACTOR + F.when(F.col("_n") > LEAF, strip("s_lat", "_y")).otherwise(0)
+    return out.join(by_lat, [cell, "_strip"]).withColumn(new, F.col(cell) * (FACTOR * FACTOR) + part).drop("_n", "_strip", "_y")
 
-    def with_cells(df: DataFrame, depth: int) -> DataFrame:
-        return df.withColumn("cx", index("s_lon", x0, depth)).withColumn("cy", index("s_lat", y0, depth))
 
-    depth = 1
-    # one small job per level over the positions; the answer is one number
-    while depth < MAX_DEPTH and with_cells(st, depth).groupBy("cx", "cy").count().agg(F.max("count")).first()[0] > LEAF:
+def _tree(positions: DataFrame) -> tuple[DataFrame, int]:
+    """Positions with their cell at every level, ``c1`` to ``c<depth>``."""
+    depth, out = 0, positions.withColumn("c0", F.lit(0).cast("long"))
+    while depth < MAX_DEPTH:
         depth += 1
+        out = materialize(_level(out, f"c{depth - 1}", f"c{depth}"))
+        # one small job per level; the answer is one number
+        if out.groupBy(f"c{depth}").count().agg(F.max("count")).first()[0] <= LEAF:
+            break
+    return out, depth
+
+
+def _candidates(q: DataFrame, st: DataFrame, eps: float) -> DataFrame:
+    """The pairs of query and station whose distance is computed: for every
+    query the stations of the finest cells it kept."""
+    tree, depth = _tree(st)
 
     def cells(d: int) -> DataFrame:
-        return (with_cells(st, d).groupBy("cx", "cy")
+        return (tree.groupBy(f"c{d}", f"c{d - 1}")
                 .agg(F.min("s_lon").alias("x0"), F.max("s_lon").alias("x1"), F.min("s_lat").alias("y0"), F.max("s_lat").alias("y1"),
                      F.min("s_ord").alias("ord"))
-                .select((F.col("cx") / FACTOR).cast("long").alias("px"), (F.col("cy") / FACTOR).cast("long").alias("py"),
-                        F.struct("cx", "cy", "x0", "x1", "y0", "y1", "ord").alias("c")))
+                .select(F.col(f"c{d - 1}").alias("above"), F.struct(F.col(f"c{d}").alias("cell"), "x0", "x1", "y0", "y1", "ord").alias("c")))
 
-    # at most FACTOR * FACTOR cells on the first level, as one array
-    top = cells(1).agg(F.collect_list("c").alias("cs"))
-    live = q.select("*", F.explode(top.scalar()).alias("c"))
+    def can_hold(best: Column, hit: Column) -> Column:
+        """The cell may hold the answer, given the best guarantee of all cells
+        and the lowest ``ord`` of a cell that lies within eps as a whole."""
+        may_hit = (F.col("lo") < eps * (1 + 1e-12)) & (hit.isNull() | (F.col("c.ord") <= hit))
+        return may_hit | (hit.isNull() & (F.col("lo") <= best * (1 + 1e-12)))
+
+    least, some, all_ = _bounds("c")
+    inside = F.when(F.col("all") < eps * (1 - 1e-12), F.col("c.ord"))
     per_query = Window.partitionBy("qid", "q_lon", "q_lat")
+    # at most FACTOR * FACTOR cells on the first level, as one array
+    live = q.select("*", F.explode(cells(1).agg(F.collect_list("c").alias("cs")).scalar()).alias("c"))
     for d in range(1, depth + 1):
-        least, some, all_ = _bounds("c")
-        ranked = (live.withColumn("lo", least).withColumn("some", some).withColumn("all", all_)
-                  .withColumn("best", F.min("some").over(per_query))
-                  .withColumn("hit", F.min(F.when(F.col("all") < eps * (1 - 1e-12), F.col("c.ord"))).over(per_query)))
-        may_hit = (F.col("lo") < eps * (1 + 1e-12)) & (F.col("hit").isNull() | (F.col("c.ord") <= F.col("hit")))
-        may_be_nearest = F.col("hit").isNull() & (F.col("lo") <= F.col("best") * (1 + 1e-12))
-        kept = ranked.filter(may_hit | may_be_nearest).select("qid", "q_lon", "q_lat", "c")
+        bounded = live.withColumn("lo", least).withColumn("some", some).withColumn("all", all_)
+        kept = (bounded.withColumn("_best", F.min("some").over(per_query)).withColumn("_hit", F.min(inside).over(per_query))
+                .filter(can_hold(F.col("_best"), F.col("_hit"))).select("qid", "q_lon", "q_lat", F.col("c.cell").alias("above")))
         if d < depth:
-            live = (kept.select("qid", "q_lon", "q_lat", F.col("c.cx").alias("px"), F.col("c.cy").alias("py"))
-                    .join(cells(d + 1), ["px", "py"]).select("qid", "q_lon", "q_lat", "c"))
-    return (kept.select("qid", "q_lon", "q_lat", F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy"))
-             .join(with_cells(st, depth), ["cx", "cy"])
-             .withColumn("d", planar_distance(F.col("q_lon"), F.col("q_lat"), F.col("s_lon"), F.col("s_lat"))))
+            live = kept.join(cells(d + 1), "above").select("qid", "q_lon", "q_lat", "c")
+    return (kept.join(tree.withColumnRenamed(f"c{depth}", "above"), "above")
+            .withColumn("d", planar_distance(F.col("q_lon"), F.col("q_lat"), F.col("s_lon"), F.col("s_lat"))))
 
 
 def nearest_station(queries: DataFrame, stations: DataFrame, *, eps: float = 1e-3, qid: str = "qid") -> DataFrame:
@@ -173,7 +192,7 @@ def nearest_station(queries: DataFrame, stations: DataFrame, *, eps: float = 1e-
     # one row per position: the first in order answers for all of them
     st = materialize(st.filter(_finite("s_lon", "s_lat")).groupBy("s_lon", "s_lat")
                      .agg(F.min(F.struct("s_ord", "station")).alias("s")).select("s_lon", "s_lat", "s.s_ord", "s.station"))
-    n, x0, x1, y0, y1 = st.agg(F.count(F.lit(1)), F.min("s_lon"), F.max("s_lon"), F.min("s_lat"), F.max("s_lat")).first()
+    n = st.count()
     q = queries.select(F.col(qid).alias("qid"), F.col("lon").cast("double").alias("q_lon"),
                        F.col("lat").cast("double").alias("q_lat"))
     usable = _finite("q_lon", "q_lat")
@@ -184,7 +203,7 @@ def nearest_station(queries: DataFrame, stations: DataFrame, *, eps: float = 1e-
     if not n:
         return unanswered
 
-    found = _candidates(q.filter(usable), st, (x0, x1, y0, y1), eps)
+    found = _candidates(q.filter(usable), st, eps)
     pick = F.struct("station", "s_lon", "s_lat", "d")
     best = found.groupBy("qid", "q_lon", "q_lat").agg(
         F.min_by(pick, F.struct("d", "s_ord")).alias("near"),
