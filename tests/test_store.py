@@ -212,3 +212,21 @@ def test_hot_position_is_split_across_files(spark, tmp_path):
     files = (read_layout(spark, str(tmp_path / "p")).filter("station = 'H'")
              .select(F.input_file_name().alias("f")).distinct().count())
     assert files >= 3
+
+
+@pytest.mark.parametrize("hot_rows", [1, 20, 10_000])
+def test_partial_upsert_of_hot_keys(spark, hot_rows):
+    import random
+    r = random.Random(7)
+    value = lambda: r.choice([None, float(r.randint(0, 9))])
+    rows = [("H" if i % 3 else f"S{i % 40}", 2011, 9, 1, 1, 0 if i % 3 else i % 2, 1.5, None if i % 5 else 2.5, value(), value() if i < 50 else None, i)
+            for i in range(600)]
+    r.shuffle(rows)
+    out = upsert_partial(_frame(spark, rows).repartition(5), schema.KEY_POSITION, "seq", hot_rows=hot_rows)
+    want = {}
+    for row in sorted(rows, key=lambda x: x[-1]):
+        key = row[6:8] + row[1:6]
+        old = want.get(key, (None,) * len(row))
+        want[key] = tuple(o if n is None else n for o, n in zip(old, row))
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want.values()))
+    assert out.columns == _frame(spark, rows).columns

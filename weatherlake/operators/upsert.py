@@ -10,7 +10,8 @@ unique combination).  ``upsert_last`` is one keyed aggregation with a partial
 aggregate before the shuffle: where keys have many copies, each map task
 collapses its own first, so a key holding a third of all rows ships one row per
 task (on a nearly unique key the partial step saves nothing).
-``upsert_partial`` needs the rows of a key in order and shuffles each once.
+``upsert_partial`` needs the rows of a key in order and shuffles each once;
+keys with very many rows are folded in chunks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from weatherlake.session import materialize
+
 
 def _order(order: Sequence[str | Column] | str | Column) -> Column:
     if isinstance(order, (str, Column)):
@@ -61,21 +64,48 @@ def upsert_last(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]
                       *([count_as] if count_as else []))
 
 
-def upsert_partial(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | str | Column) -> DataFrame:
+def _last_set(df: DataFrame, key: Sequence[str], part: Sequence[str], order: Column) -> DataFrame:
+    """Per key and part, the latest set value of every cell; ``order`` and
+    further columns of the part are those of the last row."""
+    so_far = Window.partitionBy(*key, *part).orderBy(order)
+    kept = [c for c in df.columns if c not in key and c not in part]
+    cells = [F.last(c, ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(c) for c in kept]
+    out = df.select(*key, *part, *cells, F.lead(F.lit(1)).over(so_far).alias("_next"))
+    return out.filter(F.col("_next").isNull()).drop("_next")
+
+
+def upsert_partial(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | str | Column, *,
+                   hot_rows: int = 1_000_000) -> DataFrame:
     """One row per key where each cell is the latest non-NULL value written
     to it (NULL means "unset"); a cell never set stays NULL.
 
     Each row is shuffled once and carries its order once.  The rows of a key
     are sorted in place and read as a stream, so a key with many writes costs
-    no memory.
+    no memory.  "Latest set" is associative: rows of a key may be folded in
+    consecutive chunks first and the chunks in their order then.  Keys with
+    more than ``hot_rows`` rows are (their number is counted first, from the
+    key columns alone): their rows are dealt out by ranges of ``order``, each
+    chunk is folded by itself, and one row per chunk meets in the end.  The
+    result is the same for any ``hot_rows``; it only bounds what one task reads.
     """
     _check_key(df, key)
+    if hot_rows < 1:
+        raise ValueError("hot_rows must be positive")
     written = df.withColumn("_order", _order(order))
-    so_far = Window.partitionBy(*key).orderBy("_order")
-    cells = [F.last(c, ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(c)
-             for c in df.columns if c not in key]
-    out = written.select(*key, *cells, F.lead(F.lit(1)).over(so_far).alias("_next")).filter(F.col("_next").isNull())
-    return out.select(*df.columns)
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = materialize(counts.select(*[F.col(k).alias(f"_hot_{k}") for k in key]))
+    if hot.isEmpty():
+        return _last_set(written, key, [], F.col("_order")).select(*df.columns)
+
+    # few keys hold more than hot_rows rows each; null parts of a key are equal
+    is_hot = F.lit(True)
+    for k in key:
+        is_hot = is_hot & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
+    cold = _last_set(written.join(hot, is_hot, "left_anti"), key, [], F.col("_order"))
+    chunks = (written.join(hot, is_hot, "left_semi").repartitionByRange("_order")
+              .withColumn("_chunk", F.spark_partition_id()))
+    folded = _last_set(chunks, key, ["_chunk"], F.col("_order"))
+    return cold.select(*df.columns).unionByName(_last_set(folded, key, [], F.col("_chunk")).select(*df.columns))
 
 
 def rows_sent_vs_kept(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -4,6 +4,6 @@ Importing this package fills ``catalog.REGISTRY``.
 """
 
 from weatherlake.plans import catalog
-from weatherlake.plans import climate, cluster, ingest, maps, stations  # noqa: F401
+from weatherlake.plans import climate, cluster, ingest, maps, stations, stores  # noqa: F401
 
 REGISTRY = catalog.REGISTRY
