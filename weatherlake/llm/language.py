@@ -3,8 +3,8 @@
 The kernel is the blended spectrum kernel on presence: two texts share a
 feature for every byte n-gram (n = 1 to 3) that both contain, and the count is
 divided by the geometric mean of their own counts.  Letters are folded to
-lower case and everything else is a blank, so numbers, markup and punctuation
-do not count.  N-grams are hashed to ``BUCKETS`` buckets.
+lower case (those of ASCII and Latin-1; others count as they are) and all else of
+ASCII is a blank, so numbers, markup and punctuation do not count.  N-grams are hashed to ``BUCKETS`` buckets.
 
 A Nyström approximation keeps the kernel matrix small: every text is compared
 with a fixed set of landmark texts only, in batches, as one matrix product.

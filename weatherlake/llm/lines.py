@@ -237,10 +237,14 @@ class Lines:
                 parts.append((some, *(seq.lacking_one(_KINDS[2]) if few else seq.ends(END, _KINDS[3]))))
         return _merge(len(self.hash), parts)
 
-    def letters(self, k: int) -> bytes:
-        """Counts of the line's code points by bucket (of their first byte)."""
-        b = np.frombuffer(self.text(k), np.uint8)
-        return np.minimum(np.bincount(_BUCKET[b[(b & 0xC0) != 0x80]], minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+
+def letter_counts(texts: list[bytes]) -> np.ndarray:
+    """Counts of the code points of each text by bucket (of their first byte), up to 255."""
+    b = np.frombuffer(b"".join(texts), np.uint8)
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    lead = (b & 0xC0) != 0x80
+    counts = np.bincount(row[lead] * BUCKETS + _BUCKET[b[lead]], minlength=BUCKETS * len(texts))
+    return np.minimum(counts, 255).astype(np.uint8).reshape(len(texts), BUCKETS)
 
 
 def _buckets() -> np.ndarray:
@@ -312,9 +316,10 @@ def _info(bloom: Bloom) -> Callable:
                 blocks: list[bytes | None] = [None] * len(some)
                 for k, b in zip(hashed.tolist(), x.blocks(some[hashed]), strict=True):
                     blocks[k] = b.tobytes()
+                texts = [x.text(k) for k in some.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [ta.longs(x.hash[some]), pa.array([x.text(k).decode("utf-8", "replace") for k in some.tolist()], pa.string()),
-                     pa.array([x.letters(k) for k in some.tolist()], pa.binary()), pa.array(blocks, pa.binary())],
+                    [ta.longs(x.hash[some]), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string()),
+                     pa.array([c.tobytes() for c in letter_counts(texts)], pa.binary()), pa.array(blocks, pa.binary())],
                     names=[f.split()[0] for f in INFO.split(", ")])
     return run
 

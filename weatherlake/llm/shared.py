@@ -79,9 +79,9 @@ def tidy(run: Callable) -> Callable:
 
 
 def smallest_by_hash(df: DataFrame, hashed: Column, n: int, *order: str) -> DataFrame:
-    """About the ``n`` rows of smallest hash: a bounded sample, the same
-    whenever the rows are the same.  Rows whose hash falls into a share of the
-    range that holds four times as many on average are sorted, so neither the
+    """At most ``n`` rows chosen by hash: a bounded sample, the same whenever
+    the rows are the same.  Of a share of the hash range that holds four times as
+    many rows on average those of smallest hash are taken, so neither the
     driver nor one task sees more than that, however many tasks there are."""
     total = df.count()
     share = max(total // (4 * n), 1)
