@@ -17,6 +17,10 @@ from weatherlake.session import shared_folder
 from weatherlake.sources import fixtures as fx, layouts, pruning
 from weatherlake.sources.metar_csv import CSV_OPTIONS, read_metar, read_raw, parse_metar
 
+#: Queries here that write whole tables before they read.
+WRITING = frozenset(("layout_by_position", "layout_position_bands", "insert_by_date", "insert_by_position", "layout_by_day_range", "write_report",
+                     "csv_round_trip", "csv_first_rows"))
+
 #: Columns of the driver's table that order the writes; they are stored beside the observation.
 ORDER = [c for c in fx.OBS_ORDER if c != "station"]
 STORED = ", ".join(dict.fromkeys([*FULL, *ORDER]))
