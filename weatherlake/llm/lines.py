@@ -49,7 +49,7 @@ SHORT, LONG, END = 20, 40, 16  # code points: lines with keys by code point, and
 TILE = 4096  # lines of a key compared in one place
 SMALL = 64  # groups up to this size are compared all at once
 BUCKETS = 32  # letter counts
-ROWS = 8192  # lines that a task compares at a time, besides those of a last group
+ROWS = 4096  # lines that a task compares at a time, besides those of a last group
 SLICE = 1 << 18  # bytes of text at a time: what is computed of them stays in the processor's cache
 
 
@@ -366,35 +366,6 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return score
 
 
-def similar(a: str, b: str, similarity: float) -> bool:
-    """Whether 1 - distance / longer length reaches ``similarity``."""
-    longer = max(len(a), len(b))
-    most = int((1 - similarity) * longer + 1e-9)
-    if a == b or abs(len(a) - len(b)) > most:
-        return a == b
-    x, y = a.split(" "), b.split(" ")
-    # words replaced in place bound the distance from above
-    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y, strict=True) if v != w) <= most:
-        return True
-    return edit_distance(a, b, most) <= most
-
-
-def _ends(a: str, b: str) -> tuple[str, str]:
-    """The shorter and the longer string without their common ends."""
-    if len(a) > len(b):
-        a, b = b, a
-    lo, hi = 0, len(a)
-    while lo < hi:
-        mid = (lo + hi + 1) // 2
-        lo, hi = (mid, hi) if a[:mid] == b[:mid] else (lo, mid - 1)
-    a, b = a[lo:], b[lo:]
-    lo, hi = 0, len(a)
-    while lo < hi:
-        mid = (lo + hi + 1) // 2
-        lo, hi = (mid, hi) if a[len(a) - mid:] == b[len(b) - mid:] else (lo, mid - 1)
-    return a[:len(a) - lo], b[:len(b) - lo]
-
-
 def _anchored(x: list[str], y: list[str], most: int) -> bool:
     """Whether keeping words that both lines have once, in order, and editing
     what lies between them takes at most ``most`` edits: never fewer than needed."""
@@ -430,74 +401,17 @@ def _anchored(x: list[str], y: list[str], most: int) -> bool:
     return True
 
 
-BAND, TOGETHER = 512, 128  # widest band and number of pairs that are compared at once
-
-
-def similar_pairs(pairs: list[tuple[str, str]], similarity: float) -> np.ndarray:
-    """``similar`` of many pairs: what simple bounds leave open is compared
-    many pairs at a time, in a band as wide as the allowed distance."""
-    out = np.zeros(len(pairs), bool)
-    open_: list[tuple[int, str, str, int]] = []
-    for k, (a, b) in enumerate(pairs):
-        longer = max(len(a), len(b))
-        most = int((1 - similarity) * longer + 1e-9)
-        if a == b or abs(len(a) - len(b)) > most:
-            out[k] = a == b
-            continue
-        x, y = a.split(" "), b.split(" ")
-        if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y, strict=True) if v != w) <= most or _anchored(x, y, most):
-            out[k] = True
-            continue
-        x, y = _ends(a, b)
-        if len(y) <= most or not x:
-            out[k] = len(y) <= most
-        elif most > BAND or most < 2:
-            out[k] = edit_distance(x, y, most) <= most
-        else:
-            open_.append((k, x, y, most))
-    open_.sort(key=lambda p: (p[3] // 8, len(p[1])))
-    for i in range(0, len(open_), TOGETHER):
-        part = open_[i:i + TOGETHER]
-        out[[p[0] for p in part]] = _within(part)
-    return out
-
-
-def _within(part: list[tuple[int, str, str, int]]) -> np.ndarray:
-    """Which pairs (number, shorter, longer, most) are at an edit distance of
-    at most ``most``: row by row for all pairs, in the band of the widest."""
-    far = 1 << 14
-    most = np.array([p[3] for p in part])
-    k = int(most.max())
-    m, n = np.array([len(p[1]) for p in part]), np.array([len(p[2]) for p in part])
-    a = np.full((len(part), int(m.max())), -1, np.int32)
-    b = np.full((len(part), max(int(n.max()), int(m.max()) + k) + 2 * k + 1), -2, np.int32)
-    for r, (_, x, y, _) in enumerate(part):
-        a[r, :len(x)] = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.int32)
-        b[r, k:k + len(y)] = np.frombuffer(y.encode("utf-32-le", "surrogatepass"), np.int32)
-    step = np.arange(2 * k + 1, dtype=np.int16)
-    row = np.where(step >= k, step - k, far).astype(np.int16)[None, :].repeat(len(part), 0)
-    out, live = np.zeros(len(part), bool), np.arange(len(part))
-    for i in range(1, int(m.max()) + 1):
-        # place d of the band is column i + d - k
-        now = row + (a[live, i - 1, None] != b[live, i - 1:i + 2 * k])
-        np.minimum(now[:, :-1], row[:, 1:] + 1, out=now[:, :-1])
-        now -= step
-        np.minimum.accumulate(now, axis=1, out=now)
-        now += step
-        if i < k:
-            now[:, :k - i] = far
-        row = np.minimum(now, far)
-        done = m[live] == i
-        if done.any():
-            at = live[done]
-            out[at] = row[done, n[at] - m[at] + k] <= most[at]
-        if done.any() or i % 16 == 0:
-            keep = ~done & (row.min(1) <= most[live])
-            if not keep.all():
-                live, row = live[keep], row[keep]
-                if not len(live):
-                    break
-    return out
+def similar(a: str, b: str, similarity: float) -> bool:
+    """Whether 1 - distance / longer length reaches ``similarity``."""
+    longer = max(len(a), len(b))
+    most = int((1 - similarity) * longer + 1e-9)
+    if a == b or abs(len(a) - len(b)) > most:
+        return a == b
+    x, y = a.split(" "), b.split(" ")
+    # words replaced in place, and words kept in order, bound the distance from above
+    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y, strict=True) if v != w) <= most:
+        return True
+    return _anchored(x, y, most) or edit_distance(a, b, most) <= most
 
 
 class _Groups:
@@ -509,8 +423,6 @@ class _Groups:
 
     def join(self, a: int, b: int) -> None:
         x, y = int(self.label[a]), int(self.label[b])
-        if x == y:
-            return
         mine, other = self.members.get(x) or [x], self.members.get(y) or [y]
         if len(mine) < len(other):
             x, y, mine, other = y, x, other, mine
@@ -551,39 +463,24 @@ class _Comparison:
         return at[np.abs(self.letters[a] - self.letters[b]).sum(1) <= 2 * most[at]]
 
     def compare(self, i: np.ndarray, j: np.ndarray) -> None:
-        """Verifies pairs until every one is connected or known to differ.
-        Each round takes a few of every line, so that what these connect need not be compared."""
+        """Verifies pairs, but for those that earlier ones have connected."""
         for part in np.array_split(np.arange(len(i)), len(i) // 50_000 + 1):
             a, b = i[part], j[part]
             ok = self.possible(a, b)
             a, b = a[ok], b[ok]
-            while len(a):
-                x, y = self.groups.label[self.of[a]], self.groups.label[self.of[b]]
-                apart = x != y
-                a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-                order = np.lexsort((np.arange(len(a)), np.minimum(x, y)))
-                key = np.minimum(x, y)[order]
-                start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else key
-                rank = np.arange(len(key)) - np.repeat(start, np.diff(np.r_[start, len(key)]))
-                now = np.zeros(len(a), bool)
-                now[order[rank < 4]] = True
-                p, q = a[now].tolist(), b[now].tolist()
-                told = similar_pairs([(self.line[v], self.line[w]) for v, w in zip(p, q, strict=True)], self.similarity)
-                for k in np.flatnonzero(told).tolist():
-                    if self.groups.label[self.of[p[k]]] != self.groups.label[self.of[q[k]]]:
-                        self.groups.join(int(self.of[p[k]]), int(self.of[q[k]]))
-                        self.links.append((p[k], q[k]))
-                a, b = a[~now], b[~now]
+            label = self.groups.label
+            for p, q, x, y in zip(a.tolist(), b.tolist(), self.of[a].tolist(), self.of[b].tolist(), strict=True):
+                if label[x] != label[y] and similar(self.line[p], self.line[q], self.similarity):
+                    self.groups.join(x, y)
+                    self.links.append((p, q))
 
     def run(self) -> None:
         start = np.flatnonzero(np.r_[True, self.group[1:] != self.group[:-1]])
         size = np.diff(np.r_[start, len(self.group)])
         few = np.repeat(size <= SMALL, size)
-        # all pairs of all small groups together: what is verified at a time should be many
-        steps = range(1, int(size[size <= SMALL].max(initial=1)))
-        first = [np.flatnonzero(few[:-d] & (self.group[d:] == self.group[:-d])) for d in steps]
-        if first:
-            self.compare(np.concatenate(first), np.concatenate([i + d for i, d in zip(first, steps, strict=True)]))
+        for d in range(1, int(size[size <= SMALL].max(initial=1))):
+            i = np.flatnonzero(few[:-d] & (self.group[d:] == self.group[:-d]))
+            self.compare(i, i + d)
         for s, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
             order = s + np.argsort(self.length[s:s + n], kind="stable")
             length = self.length[order]
