@@ -239,12 +239,12 @@ class Lines:
 
 
 def letter_counts(texts: list[bytes]) -> np.ndarray:
-    """Counts of the code points of each text by bucket (of their first byte), up to 255."""
+    """Counts of the code points of each text by bucket (of their first byte), up to 65535."""
     b = np.frombuffer(b"".join(texts), np.uint8)
     row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     lead = (b & 0xC0) != 0x80
     counts = np.bincount(row[lead] * BUCKETS + _BUCKET[b[lead]], minlength=BUCKETS * len(texts))
-    return np.minimum(counts, 255).astype(np.uint8).reshape(len(texts), BUCKETS)
+    return np.minimum(counts, 65535).astype(np.uint16).reshape(len(texts), BUCKETS)
 
 
 def _buckets() -> np.ndarray:
@@ -440,7 +440,7 @@ class _Comparison:
         self.side = t.column("side").to_numpy()
         self.line = t.column("line").to_pylist()
         self.length = np.array([len(x) for x in self.line])
-        self.letters = np.frombuffer(b"".join(t.column("letters").to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+        self.letters = np.frombuffer(b"".join(t.column("letters").to_pylist()), np.uint16).reshape(-1, BUCKETS).astype(np.int32)
         blocks = t.column("blocks").to_pylist()
         self.hashed = np.array([b is not None for b in blocks])
         self.blocks = np.frombuffer(b"".join(b or bytes(4 * BLOCKS) for b in blocks), np.uint32).reshape(-1, BLOCKS)
