@@ -30,7 +30,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     modest_batches(spark)
     model = fit_language_model(docs)
     even = 1.02 / max(len(model.languages), 1) if len(model.languages) > 1 else 0.0
-    return identify_language(docs, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= even)).select(*docs.columns)
+    own = dict(zip(("lang_pred", "score"), fresh(docs, "lang_pred", "score"), strict=True))  # where docs has such columns
+    told = identify_language(docs.withColumnsRenamed(own), model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= even))
+    back = [F.col(own.get(c, c)).alias(c) for c in docs.columns]
+    return told.select(*back)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
