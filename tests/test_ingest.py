@@ -4,6 +4,7 @@ from pyspark.errors import PySparkException
 
 from weatherlake import schema
 from weatherlake.operators.upsert import upsert_last, upsert_partial
+from weatherlake.sources import fixtures as fx
 from weatherlake.sources.metar_csv import metar_rejects, parse_metar, read_metar, read_raw
 
 HEADER = "valid,station,lon,lat,tmpf,skyc1,peak_wind_time,relh"
@@ -241,3 +242,27 @@ def test_the_strict_message_names_what_is_wrong(spark, tmp_path):
     f = _write(tmp_path / "b.csv", "station,valid,lat,lon,tmpf\nA,2011-01-01 00:00,1,2,x\n")
     with pytest.raises(PySparkException, match="bad value of tmpf. at station A"):
         read_metar(spark, f).collect()
+
+
+def test_wide_parse_asks_for_methods_that_the_jvm_compiles(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    raw = spark.createDataFrame([("S1", "1998-09-01 10:30", "1.5", "2.5", "null")], "station string, valid string, lat string, lon string, tmpf string")
+    for call in (parse_metar, metar_rejects):
+        spark.conf.set(key, "65535")
+        call(raw)
+        assert spark.conf.get(key) == "8000"
+        spark.conf.set(key, "4000")  # lower settings are kept
+        call(raw)
+        assert spark.conf.get(key) == "4000"
+    spark.conf.unset(key)
+
+
+def test_text_cells_made_behind_an_exchange_are_the_same(spark, tmp_path):
+    rows = spark.range(40).selectExpr(
+        "id as l_orderkey", "id * 3 as l_partkey", "cast(id % 7 as int) as l_linenumber", "id % 10 as l_suppkey",
+        "date_add(date'1995-01-01', cast(id * 37 as int)) as l_shipdate", "cast(id as double) as l_quantity", "id * 10.0D as l_extendedprice",
+        "cast(id % 8 as double) / 100 as l_discount", "cast(id % 6 as double) / 100 as l_tax", "'N' as l_returnflag")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    sf = str(tmp_path)
+    moved = fx.raw_cells(fx.observations(spark, sf).repartitionByRange(5, "l_orderkey"))
+    assert sorted(map(str, moved.collect())) == sorted(map(str, fx.raw_observations(spark, sf).collect()))

@@ -68,6 +68,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def compiled_methods(spark: SparkSession) -> None:
+    """Wide projections: the JVM compiles no method above 8000 bytes and runs
+    it interpreted, several times slower; Spark's own limit for whole-stage
+    code is 64 KB.  Larger stages then run operator by operator, in methods
+    that Spark splits.  Lower settings are kept."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key, "65535")) > 8000:
+        spark.conf.set(key, "8000")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the session's checkpoint directory, which the
     driver and all executors see."""

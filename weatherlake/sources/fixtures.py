@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weatherlake.session import compiled_methods
+
 # The adapter of the test tables, one expression per column.
 OBS_ADAPTER = (
     "concat('S', l_suppkey) as station",
@@ -129,9 +131,14 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*OBS_ADAPTER)
 
 
+def raw_cells(obs: DataFrame) -> DataFrame:
+    """Rows of ``O`` rendered back to METAR text cells, with bad dates and null tokens."""
+    compiled_methods(obs.sparkSession)
+    return obs.selectExpr(*RAW_ADAPTER)
+
+
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``O`` rendered back to METAR text cells, with bad dates and null tokens."""
-    return observations(spark, sf_dir).selectExpr(*RAW_ADAPTER)
+    return raw_cells(observations(spark, sf_dir))
 
 
 def lenient_observations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from weatherlake import schema
-from weatherlake.session import materialize
+from weatherlake.session import compiled_methods, materialize
 
 SEQ = "_seq"
 
@@ -246,6 +246,7 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     """
     if "valid" not in raw.columns:
         raise ValueError("input has no 'valid' column")
+    compiled_methods(raw.sparkSession)
     value_cols = [c for c in schema.OBS_COLUMNS if c not in schema.TIME_PARTS]
     text_cols = value_cols + (["metar"] if valid_struct else [])
     passthrough = [c for c in keep if c in raw.columns] + ([SEQ] if SEQ in raw.columns and SEQ not in keep else [])
@@ -262,6 +263,9 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
     def given(c: str) -> Column:
         return present[c].isNotNull() & ~present[c].isin(*schema.NULL_TOKENS, "")
 
+    def typed_as(c: str) -> str:
+        return "timestamp" if c == "peak_wind_time" else "float"
+
     def failure(what: str) -> Column:
         """A short message keeps the generated code small: station and time locate the row."""
         return F.raise_error(F.concat(F.lit(f"unparsable METAR row ({what}) at station "), F.coalesce(F.col("station"), F.lit("NULL")),
@@ -278,7 +282,7 @@ def parse_metar(raw: DataFrame, *, strict: bool = True, valid_struct: bool = Fal
             if c in ("lat", "lon"):
                 typed[c] = F.when(no_position, bad_position).when(no_time, bad_time).otherwise(typed[c])
             elif not is_text(c) and c in raw.columns:
-                typed[c] = F.when(given(c) & typed[c].isNull(), failure(f"bad value of {c}")).otherwise(typed[c])
+                typed[c] = F.coalesce(typed[c], F.when(given(c), failure(f"bad value of {c}")).cast(typed_as(c)))
 
     cols: list[Column] = []
     for name in schema.OBS_COLUMNS:
@@ -300,6 +304,7 @@ def metar_rejects(raw: DataFrame, *, strict: bool = True) -> DataFrame:
     also for a time part that does not fit an int, or a missing position
     (strict mode raises on both instead).
     """
+    compiled_methods(raw.sparkSession)
     bad_time = ~valid_ok(raw)
     no_pos = F.lit(False)
     if not strict:
