@@ -69,3 +69,15 @@ def test_statistics_of_null_and_nan(spark, tmp_path):
     write_by_position(obs_frame(spark, rows), path, None, key=schema.KEY_POSITION, partitions=1)
     pruning.write_statistics(spark, path)
     assert [r.year for r in pruning.by_position(spark, path, 3.0, 1.0).collect()] == [2011]
+
+
+def test_names_are_cut_out_per_file(spark, tmp_path):
+    """The rows are grouped by the path as it is; the regex sees one path per file."""
+    path = str(tmp_path / "t")
+    spark.range(20).selectExpr("cast(id as float) as lat").repartition(4).write.parquet(path)
+    df = pruning.statistics(spark, path, ["lat"])
+    rows = df.collect()
+    assert sum(r["rows"] for r in rows) == 20 and all("/" not in r["file"] for r in rows)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    result, below = plan.split("\n", 1)
+    assert result.startswith("Aggregate") and "regexp_extract" in result and "regexp_extract" not in below

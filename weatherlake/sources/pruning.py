@@ -57,8 +57,9 @@ def _files(spark: SparkSession, path: str, files: Sequence[str]) -> DataFrame:
 
 def _per_file(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     bounds = [f(c).alias(f"{c}_{n}") for c in columns for f, n in ((F.min, "min"), (F.max, "max"))]
-    name = F.regexp_extract(F.col("_metadata.file_path"), _RELATIVE, 0)
-    return table.groupBy(name.alias("file")).agg(F.count(F.lit(1)).alias("rows"), *bounds)
+    # names are cut out of the paths once per file, not per row
+    found = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *bounds)
+    return found.withColumn("file", F.regexp_extract("file", _RELATIVE, 0))
 
 
 def statistics(spark: SparkSession, path: str, columns: Sequence[str] = schema.KEY_POSITION) -> DataFrame:
