@@ -4,6 +4,7 @@ from hypothesis import given, settings, strategies as st
 from weatherlake import schema
 from weatherlake.operators import climate
 from weatherlake.operators.upsert import rows_sent_vs_kept, upsert_last, upsert_partial
+from weatherlake.sources import layouts
 from weatherlake.sources.layouts import (_with_order, insert_by_date, insert_by_position, laid_out, read_layout, write_by_date,
                                         write_by_position)
 
@@ -230,3 +231,14 @@ def test_partial_upsert_of_hot_keys(spark, hot_rows):
         want[key] = tuple(o if n is None else n for o, n in zip(old, row))
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want.values()))
     assert out.columns == _frame(spark, rows).columns
+
+
+def test_partitions_grow_with_the_table(spark):
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    obs = spark.range(1000)
+    assert layouts.partitions_for(obs, 16) == 16
+    assert layouts.partitions_for(obs, 16, rows_each=30) == 34
+    assert layouts.partitions_for(obs) is None
+    assert layouts.partitions_for(obs, rows_each=1000 // session) is None
+    assert layouts.partitions_for(obs, rows_each=10) == 100
+    assert layouts.partitions_for(obs.limit(0), 16) == 16

@@ -43,7 +43,8 @@ SELECT {STORED} FROM {_latest(schema.KEY_POSITION)} r WHERE {POS}"""))
 def q_layout_by_position(spark, sf_dir):
     """Written as a whole, read at one position from the files that can hold it."""
     path = shared_folder(spark, "by-position")
-    layouts.write_by_position(_observations(spark, sf_dir), path, fx.OBS_ORDER, partitions=16)
+    obs = _observations(spark, sf_dir)
+    layouts.write_by_position(obs, path, fx.OBS_ORDER, partitions=layouts.partitions_for(obs, 16))
     pruning.write_statistics(spark, path)
     columns = [c for c in STORED.split(", ") if c not in ("year", "month")]
     return pruning.by_position(spark, path, fx.PROBE_LAT, fx.PROBE_LON, columns)
@@ -55,7 +56,8 @@ FROM {_latest(schema.KEY_POSITION)} r"""))
 def q_layout_position_bands(spark, sf_dir):
     """The order that the table promises: files hold disjoint ranges of the key."""
     path = shared_folder(spark, "by-position")
-    layouts.write_by_position(_observations(spark, sf_dir), path, fx.OBS_ORDER, partitions=16)
+    obs = _observations(spark, sf_dir)
+    layouts.write_by_position(obs, path, fx.OBS_ORDER, partitions=layouts.partitions_for(obs, 16))
     table = spark.read.parquet(path)
     key = F.struct(*schema.KEY_POSITION)
     bands = table.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
@@ -90,8 +92,9 @@ SELECT {STORED} FROM {_merged(schema.KEY_DATE)} r"""))
 def q_insert_by_date(spark, sf_dir):
     path = shared_folder(spark, "by-date")
     first, second = _two_loads(spark, sf_dir)
-    layouts.write_by_date(first, path, fx.OBS_ORDER)
-    layouts.insert_by_date(second, path, fx.OBS_ORDER)
+    partitions = layouts.partitions_for(first)
+    layouts.write_by_date(first, path, fx.OBS_ORDER, partitions=partitions)
+    layouts.insert_by_date(second, path, fx.OBS_ORDER, partitions=partitions)
     return layouts.read_layout(spark, path).select(*STORED.split(", "))
 
 
@@ -100,8 +103,9 @@ SELECT {STORED} FROM {_merged(schema.KEY_POSITION)} r"""))
 def q_insert_by_position(spark, sf_dir):
     path = shared_folder(spark, "by-position")
     first, second = _two_loads(spark, sf_dir)
-    layouts.write_by_position(first, path, fx.OBS_ORDER, directories=True)
-    layouts.insert_by_position(second, path, fx.OBS_ORDER)
+    partitions = layouts.partitions_for(first)
+    layouts.write_by_position(first, path, fx.OBS_ORDER, directories=True, partitions=partitions)
+    layouts.insert_by_position(second, path, fx.OBS_ORDER, partitions=partitions)
     return layouts.read_layout(spark, path).select(*STORED.split(", "))
 
 
@@ -111,7 +115,8 @@ SELECT {STORED} FROM {_latest(schema.KEY_DATE_BARE)} r WHERE year = {fx.KMEANS_Y
 def q_layout_by_day_range(spark, sf_dir):
     """The by-date table under its bare key, read for some days from the files that can hold them."""
     path = shared_folder(spark, "by-date")
-    layouts.write_by_date(_observations(spark, sf_dir), path, fx.OBS_ORDER, key=schema.KEY_DATE_BARE)
+    obs = _observations(spark, sf_dir)
+    layouts.write_by_date(obs, path, fx.OBS_ORDER, key=schema.KEY_DATE_BARE, partitions=layouts.partitions_for(obs))
     pruning.write_statistics(spark, path)
     return pruning.by_day_range(spark, path, fx.KMEANS_YEAR, fx.KMEANS_MONTH, fx.KMEANS_DAY1, fx.KMEANS_DAY2, STORED.split(", "))
 
@@ -123,8 +128,9 @@ SELECT 'position', (SELECT count(*) FROM O), (SELECT count(*) FROM {_latest(sche
 def q_write_report(spark, sf_dir):
     """The rows sent and kept that the two writes report of themselves."""
     obs = _observations(spark, sf_dir)
-    position = layouts.write_by_position(obs, shared_folder(spark, "by-position"), fx.OBS_ORDER)
-    date = layouts.write_by_date(obs, shared_folder(spark, "by-date"), fx.OBS_ORDER, key=schema.KEY_DATE_BARE)
+    partitions = layouts.partitions_for(obs)
+    position = layouts.write_by_position(obs, shared_folder(spark, "by-position"), fx.OBS_ORDER, partitions=partitions)
+    date = layouts.write_by_date(obs, shared_folder(spark, "by-date"), fx.OBS_ORDER, key=schema.KEY_DATE_BARE, partitions=partitions)
     return (position.frame(spark).select(F.lit("position").alias("layout"), "*")
             .unionByName(date.frame(spark).select(F.lit("date").alias("layout"), "*")))
 
@@ -153,10 +159,11 @@ WHERE rn <= 100"""))
 def q_csv_first_rows(spark, sf_dir):
     """The load limit: the first 100 reports of a folder of CSV files, in order."""
     folder = shared_folder(spark, "csv")
-    raw = fx.raw_observations(spark, sf_dir).filter("l_orderkey % 17 <> 0")
-    in_order = raw.repartitionByRange(32, "l_orderkey", "l_linenumber", "l_partkey", "seq", "station")
-    (in_order.sortWithinPartitions("l_orderkey", "l_linenumber", "l_partkey", "seq", "station")
-     .select(*schema.RAW_COLUMNS, "l_orderkey").write.option("header", True).option("escape", '"').csv(folder))
+    # put in order as typed rows, which are narrower; the cells become text behind the exchange
+    rows = fx.observations(spark, sf_dir).filter("l_orderkey % 17 <> 0")
+    order = ("l_orderkey", "l_linenumber", "l_partkey", "seq", "station")
+    in_order = rows.repartitionByRange(layouts.partitions_for(rows, 32), *order).sortWithinPartitions(*order)
+    (fx.raw_cells(in_order).select(*schema.RAW_COLUMNS, "l_orderkey").write.option("header", True).option("escape", '"').csv(folder))
     obs = parse_metar(read_raw(spark, folder, limit=100), keep=("l_orderkey",))
     return obs.select("station", *schema.TIME_PARTS, "lat", "lon", F.col("l_orderkey").cast("long").alias("l_orderkey"))
 

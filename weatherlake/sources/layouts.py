@@ -150,6 +150,18 @@ def _write(obs: DataFrame, path: str, key: Sequence[str], order: Order, layout:
     return WriteReport(int(sent.get["n"] or 0), int(kept.get["n"]))
 
 
+def partitions_for(obs: DataFrame, least: int | None = None, *, rows_each: int = 1_000_000) -> int | None:
+    """How many range partitions a write of ``obs`` needs, so that none grows
+    with the table: ``least``, or one per ``rows_each`` rows if that is more.
+    Without ``least``, None where the session's number of shuffle partitions
+    will do (Spark then joins small ones).  Counts the rows, which reads no
+    column of a Parquet table."""
+    needed = -(-obs.count() // rows_each)
+    if least is None:
+        return needed if needed > int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+    return max(least, needed)
+
+
 def _position_layout(key: Sequence[str]) -> list[str]:
     return list(key) + [c for c in schema.TIME_PARTS if c not in key]
 
