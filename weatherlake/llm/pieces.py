@@ -40,7 +40,7 @@ from weatherlake.llm.textarrays import U
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁".encode()
-SLICE = 1 << 20  # bytes of text that go down together
+SLICE = 1 << 18  # bytes of text that go down together
 
 
 @dataclass(frozen=True)
@@ -300,7 +300,7 @@ def _uniform_one(*parts: int) -> float:
     return ((x >> 11) + 0.5) * 2.0**-53
 
 
-KEPT_NODES = 3 << 18  # lattices of frequent segments that are kept between batches
+KEPT_NODES = 1 << 18  # lattices of frequent segments that are kept between batches
 
 
 class Sampler:
