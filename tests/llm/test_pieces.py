@@ -32,3 +32,24 @@ def test_kept_lattices_are_few_and_change_no_sample(monkeypatch):
     assert more > 1 << 18
     for x, y in zip(few, many, strict=True):
         assert [(s[0].tolist(), *s[1:]) for s in x] == [(s[0].tolist(), *s[1:]) for s in y]
+
+
+def test_short_pieces_need_no_search(monkeypatch):
+    vocabulary = _vocabulary()
+    trie = pieces.Trie(vocabulary)
+    nodes = trie.follow(np.zeros(256, np.int32), np.arange(256))
+    assert np.array_equal(trie.one, nodes)
+    a, b = np.divmod(np.arange(1 << 16), 256)
+    there = nodes[a] >= 0
+    assert np.array_equal(trie.two[there], trie.follow(nodes[a[there]], b[there])) and (trie.two[~there] == -1).all()
+
+    asked = []
+    follow = pieces.Trie.follow
+    monkeypatch.setattr(pieces.Trie, "follow", lambda self, node, byte: asked.append(len(node)) or follow(self, node, byte))
+    text = np.frombuffer(b" abcdefgh", np.uint8)
+    lattice = pieces.Lattices(text, np.array([0]), np.array([9]), vocabulary, trie)
+    assert sum(asked) < len(text)
+    # one edge a byte and one a pair of letters; the shares of a node sum to one
+    assert len(lattice.to) == 9 + 7
+    for i in range(9):
+        assert np.isclose(np.exp(lattice.log_p[lattice.first[i]:lattice.first[i + 1]]).sum(), 1.0)

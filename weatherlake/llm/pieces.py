@@ -104,6 +104,13 @@ class Trie:
             self.key[slot], self.to[slot] = k, v
         self.piece = np.full(len(at), -1, np.int32)
         self.piece[list(ends)] = list(ends.values())
+        # the nodes after one byte and after two, without a search
+        self.one, self.two = np.full(256, -1, np.int32), np.full(1 << 16, -1, np.int32)
+        for head, v in at.items():
+            if len(head) == 1:
+                self.one[head[0]] = v
+            elif len(head) == 2:
+                self.two[head[0] << 8 | head[1]] = v
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.astype(U) * U(0x9E3779B97F4A7C15)) >> U(32)).astype(np.int64) & self.mask
@@ -122,6 +129,9 @@ class Trie:
         return out
 
 
+_WIDTH = np.select([np.arange(256) < b for b in (0x80, 0xC0, 0xE0, 0xF0)], [1, 0, 2, 3], 4).astype(np.int8)  # bytes of a character, by its first
+
+
 class Lattices:
     """Lattices of distinct segments.  Node i is a byte position; its edges
     ``first[i]:first[i + 1]`` are sorted by falling probability."""
@@ -130,19 +140,24 @@ class Lattices:
         length = ends - starts
         self.root = np.concatenate(([0], np.cumsum(length + 1)))[:-1]  # one node more per segment: its end
         n = int((length + 1).sum())
-        of = np.repeat(np.arange(len(length)), length + 1)
-        pos = np.arange(n) - self.root[of]
-        left = length[of] - pos  # bytes up to the end of the segment
-        text = np.zeros(n, np.uint8)
+        place = np.arange(n)
+        last = self.root + length  # the ends of the segments
+        left = np.repeat(last, length + 1) - place  # bytes up to the end of the segment
+        text = data[np.minimum(np.repeat(starts - self.root, length + 1) + place, len(data) - 1)]
+        text[last] = 0
         inner = left > 0
-        text[inner] = data[(starts[of] + pos)[inner]]
         src, dst, piece = [], [], []
-        live, node = np.flatnonzero(inner), np.zeros(int(inner.sum()), np.int32)
+        live, node = place[inner], np.zeros(0, np.int32)
         covered = np.zeros(n + 4, bool)  # bytes of characters that are pieces themselves
-        char = np.select([text < 0x80, text < 0xC0, text < 0xE0, text < 0xF0], [1, 0, 2, 3], 4)
+        char = _WIDTH[text]
         depth = 0
         while len(live):
-            node = trie.follow(node, text[live + depth])
+            if depth == 0:
+                node = trie.one[text[live]]
+            elif depth == 1:
+                node = trie.two[text[live].astype(np.int32) << 8 | text[live + 1]]
+            else:
+                node = trie.follow(node, text[live + depth])
             depth += 1
             keep = node >= 0
             live, node = live[keep], node[keep]
@@ -150,39 +165,53 @@ class Lattices:
             src.append(live[full])
             dst.append(live[full] + depth)
             piece.append(trie.piece[node[full]])
-            one = live[full][char[live[full]] == depth]
-            for b in range(depth):
-                covered[one + b] = True
+            if depth <= 4:
+                one = src[-1][char[src[-1]] == depth]
+                for b in range(depth):
+                    covered[one + b] = True
             more = left[live] > depth
             live, node = live[more], node[more]
-        bare = np.flatnonzero(inner & ~covered[:n])
+        bare = place[inner & ~covered[:n]]
         src.append(bare)
         dst.append(bare + 1)
         piece.append(vocabulary.bytes_at[text[bare]])
-        src, dst, piece = np.concatenate(src), np.concatenate(dst), np.concatenate(piece).astype(np.int32)
+        # the edges of a node one after another, short ones first: a node has one edge of each length, and one byte
+        degree = np.zeros(n, np.int64)
+        for some in src:
+            degree[some] += 1
+        free = np.cumsum(degree) - degree
+        to, edge = np.empty(int(degree.sum()), place.dtype), np.empty(int(degree.sum()), np.int32)
+        for some, ends_at, kind in zip(src, dst, piece, strict=True):
+            slot = free[some]
+            to[slot], edge[slot] = ends_at, kind
+            free[some] += 1
+        src, dst, piece = np.repeat(place, degree), to, edge
         weight = vocabulary.log_prob[piece]
         # backward sums, from the ends of the segments
         total = np.where(inner, -np.inf, 0.0)
-        order = np.argsort(left[src] * n + src, kind="stable")
-        src, dst, piece, weight = src[order], dst[order], piece[order], weight[order]
-        cuts = np.searchsorted(left[src], np.arange(1, int(left.max(initial=0)) + 2))
+        level = left[src]
+        most = int(left.max(initial=0))
+        order = np.argsort(level.astype(np.uint16) if most < 1 << 16 else level, kind="stable")  # few bits are sorted faster
+        by_src, by_dst, by_weight = src[order], dst[order], weight[order]
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(level, minlength=most + 1)[1:]))).tolist()
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            e = np.arange(a, b)
-            if len(e):
-                value = weight[e] + total[dst[e]]
-                head = np.flatnonzero(np.concatenate(([True], src[e][1:] != src[e][:-1])))
+            if a < b:
+                own = by_src[a:b]
+                value = by_weight[a:b] + total[by_dst[a:b]]
+                head = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
                 top = np.maximum.reduceat(value, head)
-                size = np.diff(np.append(head, len(e)))
+                size = np.diff(np.append(head, b - a))
                 safe = np.where(np.isfinite(top), top, 0.0)
                 with np.errstate(divide="ignore"):
-                    total[src[e][head]] = safe + np.log(np.add.reduceat(np.exp(value - np.repeat(safe, size)), head))
+                    total[own[head]] = safe + np.log(np.add.reduceat(np.exp(value - np.repeat(safe, size)), head))
         log_p = weight + total[dst] - total[src]
         good = np.isfinite(log_p)
         src, dst, piece, log_p = src[good], dst[good], piece[good], log_p[good]
-        order = np.argsort(src - 0.999 * np.exp(log_p), kind="stable")
+        p = np.exp(log_p)
+        order = np.argsort(src - 0.999 * p, kind="stable")
         self.to, self.piece, self.log_p = dst[order].astype(np.int32), piece[order], log_p[order]
-        self.first = np.searchsorted(src[order], np.arange(n + 1)).astype(np.int64)
-        self.cum = np.exp(self.log_p)
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(src, minlength=n)))).astype(np.int64)
+        self.cum = p[order]
         degree, depth = np.diff(self.first), 1
         while True:  # edge by edge: the sums of a node do not depend on its neighbours
             here = self.first[:-1][degree > depth] + depth
@@ -237,10 +266,10 @@ class Lattices:
         """A path other than those in ``taken``, drawn from the rest, its log
         probability, and the probability that is left without it."""
         node, prefix, rest = int(self.root[segment]), 1.0, list(taken)
-        spent = sum(self.probability(segment, t) for t in taken)
+        share = [self.probability(segment, t) for t in taken]
+        spent = sum(share)
         path: list[int] = []
         log_p, step = 0.0, 0
-        share = [self.probability(segment, t) for t in taken]
         while not self.end[node]:
             a, b = int(self.first[node]), int(self.first[node + 1])
             mass = []
@@ -276,14 +305,26 @@ class Lattices:
         return float(np.exp(total))
 
 
-def _uniform(*parts: np.ndarray | int) -> np.ndarray:
-    """Numbers in (0, 1) from a hash of the parts."""
-    x = U(0x6A09E667F3BCC909)
+_START = U(0x6A09E667F3BCC909)
+
+
+def _state(x: np.ndarray | np.uint64, *parts: np.ndarray | int) -> np.ndarray:
+    """A hash that goes on from ``x`` with the parts."""
     for p in parts:
         x = ta.mix(np.asarray(p).astype(U) * U(0x9E3779B97F4A7C15) + x)
+    return x
+
+
+def _number(x: np.ndarray) -> np.ndarray:
+    """A hash as numbers in (0, 1)."""
     return ((x >> U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+def _uniform(*parts: np.ndarray | int) -> np.ndarray:
+    """Numbers in (0, 1) from a hash of the parts."""
+    return _number(_state(_START, *parts))
+
+
 def _below(bound: np.ndarray, mass: np.ndarray, u: np.ndarray) -> np.ndarray:
     """A Gumbel variable of log mass ``mass`` that is at most ``bound``."""
     return -np.logaddexp(-bound, np.log(-np.log(u)) - mass)
@@ -307,9 +348,7 @@ class Sampler:
     def __init__(self, vocabulary: Vocabulary, k: int, seed: int):
         self.kept: tuple[np.ndarray, np.ndarray, Lattices] | None = None
         self.vocabulary, self.trie, self.k, self.seed = vocabulary, Trie(vocabulary), k, seed
-        sizes = np.array([len(p) for p in vocabulary.pieces])
-        self.size, self.at = sizes, np.cumsum(sizes) - sizes
-        self.all = np.frombuffer(b"".join(vocabulary.pieces), np.uint8)
+        self.names = np.array(vocabulary.pieces, object)
 
     def prepared(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Blank-prefixed bytes of non-empty texts, with marks as blanks."""
@@ -327,12 +366,9 @@ class Sampler:
         starts = np.flatnonzero(new)
         return starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
 
-    def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes and row offsets of id rows, with the blank prefix."""
-        size = self.size[ids]
-        end = np.cumsum(size)
-        data = self.all[np.arange(int(size.sum())) + np.repeat(self.at[ids] - (end - size), size)]
-        return data, np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(counts)))]
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of some ids, with the blank prefix."""
+        return b"".join(self.names[ids].tolist())
 
     def lattices(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[Lattices, np.ndarray]:
         """Lattices for the distinct segments, and which one each segment has."""
@@ -376,11 +412,12 @@ class Sampler:
             if len(active) == 0:
                 break
             entry = np.concatenate([np.arange(ranges[r] + cut[r] + 1, ranges[r + 1]) for r in active]) if j else np.arange(len(starts))
-            salt = ta.mix(key[row[entry]] ^ U(j + 1))
-            log_p, count, pieces = lattice.descend(kind[entry], lambda live, step, s=salt, p=place[entry]: _uniform(s[live], p[live], step))
+            # what the hashes of all steps begin with, by row and then by segment
+            begun = _state(_state(_START, ta.mix(key ^ U(j + 1)))[row[entry]], place[entry])
+            log_p, count, pieces = lattice.descend(kind[entry], lambda live, step, s=begun: _number(_state(s[live], step)))
             piece_at = np.concatenate(([0], np.cumsum(count)))
             start = 0
-            u = _uniform(salt, place[entry], 1 << 20)
+            u = _number(_state(begun, 1 << 20))
             rest = np.log(np.maximum(-np.expm1(np.minimum(log_p, 0.0)), 1e-300))
             rest[log_p > -1e-13] = -np.inf  # the only path there is
             for r in active:
@@ -489,8 +526,8 @@ def _sampled(sampler: Sampler, texts: pa.Array, ids: pa.Array) -> tuple[pa.Array
     found = sampler.sample(data, offsets, key)
     trip = []
     for r, samples in enumerate(found):
-        own = data[offsets[r]:offsets[r + 1]]
-        trip.append(all(np.array_equal(sampler.decode(s[0], np.array([len(s[0])]))[0], own) for s in samples))
+        own = data[offsets[r]:offsets[r + 1]].tobytes()
+        trip.append(all(sampler.decode(s[0]) == own for s in samples))
     flat = [s for r, samples in enumerate(found) if there[r] for s in samples]
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(s[0]) for s in flat]))).astype(np.int32)),
                                      pa.array(np.concatenate([s[0] for s in flat]) if flat else np.zeros(0, np.int32)))
