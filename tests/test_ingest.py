@@ -4,7 +4,7 @@ from pyspark.errors import PySparkException
 
 from weatherlake import schema
 from weatherlake.operators.upsert import upsert_last, upsert_partial
-from weatherlake.sources import fixtures as fx
+from weatherlake.sources import fixtures as fx, metar_csv
 from weatherlake.sources.metar_csv import metar_rejects, parse_metar, read_metar, read_raw
 
 HEADER = "valid,station,lon,lat,tmpf,skyc1,peak_wind_time,relh"
@@ -266,3 +266,22 @@ def test_text_cells_made_behind_an_exchange_are_the_same(spark, tmp_path):
     sf = str(tmp_path)
     moved = fx.raw_cells(fx.observations(spark, sf).repartitionByRange(5, "l_orderkey"))
     assert sorted(map(str, moved.collect())) == sorted(map(str, fx.raw_observations(spark, sf).collect()))
+
+
+def test_headers_are_read_without_python_workers(spark, tmp_path, monkeypatch):
+    for k, head in enumerate(("a,b", "b,a", "a,b")):
+        (tmp_path / f"{k}.csv").write_text(head + "\n" + "1,2\n" * 500)
+
+    def no_workers(*_, **__):
+        raise AssertionError("lines go to Python")
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", no_workers)
+    found = metar_csv.headers(spark, [str(tmp_path)])
+    assert [r["file"].rpartition("/")[2] for r in found] == ["0.csv", "1.csv", "2.csv"]
+    assert [r["header"] for r in found] == ["a,b", "b,a", "a,b"]
+
+
+def test_number_suffixes(spark, tmp_path):
+    raw = spark.createDataFrame([(x,) for x in ("1.5d", "1.5F", "inf", "-Infinity", "1e3", "null", "", "0.5f")], "x string")
+    got = [r[0] for r in raw.select(metar_csv._number(raw.x)).collect()]
+    assert got == [None, None, float("inf"), float("-inf"), 1000.0, None, None, None]

@@ -27,10 +27,9 @@ and counts the rows whose timestamp matches, without parsing them.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from weatherlake import schema
@@ -141,31 +140,24 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> list[Row]:
     """The header line of every file: ``file``, ``header``, in one distributed
     pass over first lines.  Empty files have none.
 
-    Each file is one task that stops after its first lines (Spark's text source
-    has no limit per file, so this is an iterator over Arrow batches).  What
-    reaches the driver are the names that its file index holds already.
+    Each file is one partition, whose first row is kept by its id (the lower 33
+    bits number the rows of a partition), so lines are neither built into rows
+    for Python nor grouped.  What reaches the driver are the names that its file
+    index holds already.
     """
     reader = spark.newSession()  # settings of its own: each file is one partition
     whole = str(1 << 40)
     reader.conf.set("spark.sql.files.maxPartitionBytes", whole)
     reader.conf.set("spark.sql.files.openCostInBytes", whole)
-    reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
     text = reader.read.text(list(paths))
     lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
                         F.monotonically_increasing_id().alias("row"), F.col("value").alias("header"))
     alone = text.rdd.getNumPartitions() >= len(text.inputFiles())
     if alone:
-        lines = lines.mapInArrow(_first_batch, lines.schema)
+        lines = lines.filter(F.col("row").bitwiseAND(F.lit((1 << 33) - 1)) == 0)
     return (lines.groupBy("file").agg(F.min_by("header", F.struct("start", "row")).alias("header")).orderBy("file").collect())
 
 
-def _first_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def _first_rows(spark: SparkSession, paths: Sequence[str], limit: int) -> DataFrame:
     """The first rows in input order: files are read in order, twice as many
     each time, and later ones only while rows are missing."""
@@ -224,8 +216,8 @@ def _typed(name: str, text: Column) -> Column:
 
 def _number(text: Column) -> Column:
     """A cell as ``float`` reads it: Java's type suffixes (1.5d) are no numbers."""
-    last = F.substring(text, -1, 1)
-    suffix = last.isin("d", "D", "f", "F") & (F.lower(F.substring(text, -3, 3)) != "inf")
+    ends = lambda c: F.endswith(text, F.lit(c))
+    suffix = (ends("d") | ends("D") | ends("f") | ends("F")) & (F.lower(F.substring(text, -3, 3)) != "inf")
     # a failed cast costs an exception, so the null tokens are looked at first
     return F.when(~(text.isin(*schema.NULL_TOKENS, "") | suffix), text.try_cast("float"))
 
