@@ -171,3 +171,25 @@ def test_similar_bounds():
     assert similar("a" * 10, "a" * 9 + "b", 0.9) and not similar("a" * 9, "a" * 8 + "b", 0.9)
     with pytest.raises(TypeError):
         similar(None, "a", 0.9)
+
+
+@pytest.mark.parametrize("most_length, letters", [(12, "ab"), (90, "abcé"), (900, "abc漢ÿ"), (1500, "abcd")])
+def test_distances_of_many_pairs(most_length, letters):
+    import numpy as np
+    from weatherlake.llm.lines import _codes, within
+    r = rng(77)
+    pairs = []
+    for _ in range(60):
+        a = "".join(r.choice(letters) for _ in range(r.randint(0, most_length)))
+        b = list(a)
+        for _ in range(r.randint(0, most_length // 8)):
+            at = r.randint(0, len(b))
+            b[at:at + r.randint(0, 1)] = r.choice(["", r.choice(letters)])
+        pairs.append((a, "".join(b)) if r.random() < 0.5 else ("".join(b), a))
+    most = [r.randint(0, max(len(a), len(b)) // 6) for a, b in pairs]
+    codes, at = _codes([x for p in pairs for x in p])
+    i = np.arange(0, 2 * len(pairs), 2)
+    true = [plain_distance(a, b) if len(a) < 100 else edit_distance(a, b, len(a) + len(b)) for a, b in pairs]
+    near = [d <= m for d, m in zip(true, most)]
+    assert within(codes, at, i, i + 1, np.array(most)).tolist() == near
+    assert any(near) and not all(near)

@@ -28,6 +28,7 @@ the first by document id and line number, is kept.
 
 from __future__ import annotations
 
+import contextlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -47,9 +48,11 @@ SIMILARITY = 0.9
 FEW = 16  # words of a line that has deletion keys
 SHORT, LONG, END = 20, 40, 16  # code points: lines with keys by code point, and how they get them
 TILE = 4096  # lines of a key compared in one place
-SMALL = 64  # groups up to this size are compared all at once
-BUCKETS = 32  # letter counts
-ROWS = 4096  # lines that a task compares at a time, besides those of a last group
+SMALL = 50_000  # pairs of lines looked at a time
+BUCKETS, WIDTH = 32, 33  # letter counts, and with one place for bytes that are not counted
+PAIRS, BANDS = 1024, 8  # pairs of lines, of one word of 64 diagonals, whose edit distances are computed at a time; most words
+ROWS, BYTES = 1 << 15, 1 << 25  # lines that a task compares at a time, and their bytes, besides those of a last group
+PACK, _BUCKET_BITS = 1 << 19, 16  # keys packed at a time, bits of a key that name its bucket
 SLICE = 1 << 18  # bytes of text at a time: what is computed of them stays in the processor's cache
 
 
@@ -238,20 +241,22 @@ class Lines:
         return _merge(len(self.hash), parts)
 
 
-def letter_counts(texts: list[bytes]) -> np.ndarray:
-    """Counts of the code points of each text by bucket (of their first byte), up to 65535."""
-    b = np.frombuffer(b"".join(texts), np.uint8)
-    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    lead = (b & 0xC0) != 0x80
-    counts = np.bincount(row[lead] * BUCKETS + _BUCKET[b[lead]], minlength=BUCKETS * len(texts))
-    return np.minimum(counts, 65535).astype(np.uint16).reshape(len(texts), BUCKETS)
+def letter_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Counts of the code points of each text by bucket (of their first byte)."""
+    out = np.zeros((len(offsets) - 1, BUCKETS), np.int32)
+    bucket = _BUCKET[data]
+    for i, j in ta.slices(offsets, SLICE >> 3):
+        row = np.repeat(np.arange(0, (j - i) * WIDTH, WIDTH), np.diff(offsets[i:j + 1]))
+        out[i:j] = np.bincount(row + bucket[offsets[i]:offsets[j]], minlength=WIDTH * (j - i)).reshape(-1, WIDTH)[:, :BUCKETS]
+    return out
 
 
 def _buckets() -> np.ndarray:
-    """Letters a to z have a bucket each, blanks one, all other first bytes the last five."""
+    """Letters a to z have a bucket each, blanks one, all other first bytes the last five; further bytes none."""
     t = (np.arange(256) % 5 + BUCKETS - 5).astype(np.int64)
     t[ord("a"):ord("z") + 1] = np.arange(26)
     t[0x20] = 26
+    t[0x80:0xC0] = BUCKETS
     return t
 
 
@@ -279,6 +284,45 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(x.has_blocks()), _lists(*x.keys(new))], names=[f.split()[0] for f in OCCURRENCES.split(", ")])
 
 
+def _packed(buckets: int) -> Callable:
+    """(node, keys) -> (bucket, pairs): keys and their nodes by the hash range of the key, packed
+    as longs, so that a row is many of them."""
+    def pack(held: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.concatenate(held)
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(1)]]
+        bucket = (pairs[:, 0] >> U(64 - _BUCKET_BITS)).astype(np.int64) * buckets >> _BUCKET_BITS
+        start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        where = pa.py_buffer((16 * np.r_[start, len(pairs)]).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[start]), pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, where, pa.py_buffer(pairs)])],
+                                          names=["bucket", "pairs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            lists = batch.column(1)
+            key = lists.flatten().to_numpy(zero_copy_only=False).view(U)
+            node = np.repeat(batch.column(0).to_numpy().view(U), np.diff(lists.offsets.to_numpy()))
+            if len(key):
+                held.append(np.stack([key, node], 1))
+            if sum(map(len, held)) >= PACK:
+                yield pack(held)
+                held = []
+        if held:
+            yield pack(held)
+    return run
+
+
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, pairs), sorted -> keys that more than one node has."""
+    for t in whole_groups(batches, ("bucket",), 1):
+        pairs = np.frombuffer(b"".join(t.column("pairs").to_pylist()), U).reshape(-1, 2)
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        key, node = pairs[:, 0], pairs[:, 1]
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        yield pa.RecordBatch.from_arrays([ta.longs(key[start][np.minimum.reduceat(node, start) != np.maximum.reduceat(node, start)])], names=["key"])
+
+
 def _likely(bloom: Bloom) -> Callable:
     """(node, hashed, keys) -> (key, place, node) of keys that the filter lets
     pass.  ``place``: which block of the SimHash, or BLOCKS for other keys."""
@@ -298,7 +342,8 @@ def _likely(bloom: Bloom) -> Callable:
     return run
 
 
-INFO = "node long, line string, letters binary, blocks binary"
+INFO = "node long, line string"
+EARLIER = [f"block{p}" for p in range(BLOCKS - 1)]
 
 
 def _info(bloom: Bloom) -> Callable:
@@ -312,21 +357,14 @@ def _info(bloom: Bloom) -> Callable:
                 x = Lines(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 node, one_of = np.unique(x.hash.view(np.int64), return_index=True)
                 some = one_of[passes(node)]
-                hashed = np.flatnonzero(x.has_blocks()[some])
-                blocks: list[bytes | None] = [None] * len(some)
-                for k, b in zip(hashed.tolist(), x.blocks(some[hashed]), strict=True):
-                    blocks[k] = b.tobytes()
-                texts = [x.text(k) for k in some.tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [ta.longs(x.hash[some]), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string()),
-                     pa.array([c.tobytes() for c in letter_counts(texts)], pa.binary()), pa.array(blocks, pa.binary())],
-                    names=[f.split()[0] for f in INFO.split(", ")])
+                texts = [x.text(k).decode("utf-8", "replace") for k in some.tolist()]
+                yield pa.RecordBatch.from_arrays([ta.longs(x.hash[some]), pa.array(texts, pa.string())], names=["node", "line"])
     return run
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance of two strings, or more than ``most``: common ends
-    are cut off, the rest is compared bit-parallel."""
+    are cut off, the rest is compared bit-parallel (as in ``within``)."""
     if abs(len(a) - len(b)) > most:
         return most + 1
     if len(a) > len(b):
@@ -343,27 +381,111 @@ def edit_distance(a: str, b: str, most: int) -> int:
     a, b = a[:len(a) - lo], b[:len(b) - lo]
     if not a:
         return len(b)
-    full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    # an alignment of at most ``most`` edits stays on as many diagonals and one: bit t
+    # of column k (from 0) belongs to row k - off + t
+    bit = (most - (len(b) - len(a))) // 2
+    off = len(b) - len(a) + bit
+    full = (1 << (off + bit + 1)) - 1
     where: dict[str, int] = {}
-    for i, c in enumerate(a):
+    for i, c in enumerate(a, off):
         where[c] = where.get(c, 0) | 1 << i
-    up, down, score, left = full, 0, len(a), len(b)
-    for c in b:
-        same = where.get(c, 0)
-        vertical = same | down
-        level = (((same & up) + up) ^ up) | same
+    up, down, edits = full >> off << off, 0, 0
+    for k, c in enumerate(b):
+        same = (where.get(c, 0) >> k) & full
+        level = ((((same & up) + up) ^ up) | same | down) & full
+        if not level >> bit & 1:
+            edits += 1
+            if edits > most:
+                return edits
         plus, minus = down | (full & ~(level | up)), up & level
-        left -= 1
-        if plus & last:
-            score += 1
-        elif minus & last:
-            score -= 1
-        if score - left > most:
-            return most + 1
-        plus = (plus << 1) | 1
-        up = ((minus << 1) | (full & ~(vertical | plus))) & full
-        down = plus & vertical & full
-    return score
+        level >>= 1
+        up, down = minus | (full & ~(level | plus)), level & plus
+    return edits
+
+
+def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of lines, numbered from 1 in one byte if that holds them, and where those of each line start."""
+    at, text = np.concatenate([[0], np.cumsum([len(x) for x in lines])]), "".join(lines)
+    with contextlib.suppress(UnicodeEncodeError):
+        narrow = text.encode("latin-1")
+        if b"\0" not in narrow and b"\xff" not in narrow:
+            return np.frombuffer(narrow, np.uint8), at
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    seen = np.zeros(int(points.max(initial=0)) + 1, bool)
+    seen[points] = True
+    kinds = int(seen.sum())
+    return np.cumsum(seen)[points].astype(np.uint8 if kinds < 255 else np.uint16 if kinds < 65535 else np.uint32), at
+
+
+def _matrix(codes: np.ndarray, start: np.ndarray, size: np.ndarray, left: np.ndarray, width: int, blank: int) -> np.ndarray:
+    """A row per sequence, which begins at column ``left``; ``blank`` elsewhere."""
+    out = np.full((len(start), width), blank, codes.dtype)
+    before = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(before, size)
+    out.ravel()[np.repeat(np.arange(len(start)) * width + left, size) + place] = codes[np.repeat(start, size) + place]
+    return out
+
+
+def within(codes: np.ndarray, at: np.ndarray, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which pairs of lines have a Levenshtein distance of at most ``most``, all pairs at a time.
+
+    An alignment of at most k edits stays on k + 1 diagonals.  The differences
+    between neighbours of a column are bits of ``bands`` words (Hyyro), of which bit t
+    of column c belongs to row c - off + t; the distance is read along the last diagonal.
+    """
+    size = np.diff(at)
+    swap = size[i] > size[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    out = np.zeros(len(i), bool)
+    rest = np.flatnonzero(size[j] - size[i] <= most)
+    rest = rest[np.argsort(-size[j[rest]], kind="stable")]
+    if not len(rest):
+        return out
+    n, least = size[j[rest]], size[j[rest]] - size[i[rest]]
+    bit = (most[rest] - least) // 2
+    off = least + bit
+    bands = int(most[rest].max()) // 64 + 1
+    longest = -(-int(n[0]) // 64) * 64
+    a = _matrix(codes, at[i[rest]], size[i[rest]], off, longest + 64 * bands, 0)
+    b = _matrix(codes, at[j[rest]], n, np.zeros(len(n), np.int64), longest, np.iinfo(codes.dtype).max)
+    ones = ~U(0)
+    up = [np.where(off >= 64 * (w + 1), U(0), ones << np.clip(off - 64 * w, 0, 63).astype(U)) for w in range(bands)]
+    down = [np.zeros(len(n), U) for _ in range(bands)]
+    word, bit, kept, most = bit // 64, (bit % 64).astype(U), np.zeros(len(n), U), most[rest]
+    for lo in range(0, longest, 64):
+        seen = np.lib.stride_tricks.sliding_window_view(a[:, lo:lo + 63 + 64 * bands], 64 * bands, axis=1)
+        same = np.packbits(seen == b[:, lo:lo + 64, None], axis=2, bitorder="little").view(U)
+        same = np.ascontiguousarray(same.transpose(1, 2, 0))
+        for c, m in enumerate(np.searchsorted(-n, -np.arange(lo, min(lo + 64, n[0])), "left").tolist()):  # m lines are longer than lo + c
+            zero, carry = [], None
+            for w in range(bands):
+                x, v = same[c, w, :m], up[w][:m]
+                s = (x & v) + v
+                if bands > 1:
+                    over = s < v
+                    if carry is not None:
+                        s += carry
+                        over |= s < carry
+                    carry = over.astype(U)
+                zero.append((s ^ v) | x | down[w][:m])
+            last = zero[0] if bands == 1 else np.stack(zero)[word[:m], np.arange(m)]
+            kept[:m] += (last >> bit[:m]) & U(1)
+            for w in range(bands):
+                v, d0 = up[w][:m], zero[w]
+                plus, minus = down[w][:m] | ~(d0 | v), d0 & v
+                d1 = d0 >> U(1)
+                if w + 1 < bands:
+                    d1 |= zero[w + 1] << U(63)
+                up[w][:m], down[w][:m] = minus | ~(d1 | plus), d1 & plus
+        done, edits = n <= lo + 64, np.minimum(n, lo + 64) - kept.astype(np.int64)
+        out[rest[done & (edits <= most)]] = True
+        go = np.flatnonzero(~done & (edits <= most))
+        if not len(go):
+            break
+        if len(go) < len(n):
+            rest, n, most, kept, word, bit, a, b = (x[go] for x in (rest, n, most, kept, word, bit, a, b))
+            up, down = [x[go] for x in up], [x[go] for x in down]
+    return out
 
 
 def _anchored(x: list[str], y: list[str], most: int) -> bool:
@@ -401,17 +523,20 @@ def _anchored(x: list[str], y: list[str], most: int) -> bool:
     return True
 
 
+def _in_place(a: str, b: str, most: int) -> bool:
+    """Whether replacing words in place takes at most ``most`` edits."""
+    x, y = a.split(" "), b.split(" ")
+    return len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y, strict=True) if v != w) <= most
+
+
 def similar(a: str, b: str, similarity: float) -> bool:
     """Whether 1 - distance / longer length reaches ``similarity``."""
     longer = max(len(a), len(b))
     most = int((1 - similarity) * longer + 1e-9)
     if a == b or abs(len(a) - len(b)) > most:
         return a == b
-    x, y = a.split(" "), b.split(" ")
     # words replaced in place, and words kept in order, bound the distance from above
-    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y, strict=True) if v != w) <= most:
-        return True
-    return _anchored(x, y, most) or edit_distance(a, b, most) <= most
+    return _in_place(a, b, most) or _anchored(a.split(" "), b.split(" "), most) or edit_distance(a, b, most) <= most
 
 
 class _Groups:
@@ -439,14 +564,14 @@ class _Comparison:
         self.node, self.place = t.column("node").to_numpy(), t.column("place").to_numpy()
         self.side = t.column("side").to_numpy()
         self.line = t.column("line").to_pylist()
-        self.length = np.array([len(x) for x in self.line])
-        self.letters = np.frombuffer(b"".join(t.column("letters").to_pylist()), np.uint16).reshape(-1, BUCKETS).astype(np.int32)
-        blocks = t.column("blocks").to_pylist()
-        self.hashed = np.array([b is not None for b in blocks])
-        self.blocks = np.frombuffer(b"".join(b or bytes(4 * BLOCKS) for b in blocks), np.uint32).reshape(-1, BLOCKS)
+        self.codes, self.at = _codes(self.line)
+        self.length = np.diff(self.at)
+        self.letters = letter_counts(*ta.buffers(t.column("line")))
+        self.blocks = np.stack([t.column(c).to_numpy() for c in EARLIER], 1)
         _, self.of = np.unique(t.column("component").to_numpy(), return_inverse=True)
         self.groups = _Groups(int(self.of.max()) + 1)
         self.links: list[tuple[int, int]] = []
+        self.waiting: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
 
     def possible(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Pairs that meet here first and that letter counts do not rule out."""
@@ -458,45 +583,89 @@ class _Comparison:
         a, b = i[at], j[at]
         met = np.zeros(len(at), bool)
         for p in range(BLOCKS - 1):
-            met |= (self.place[a] > p) & (self.blocks[a, p] == self.blocks[b, p]) & self.hashed[a] & self.hashed[b]
+            met |= (self.place[a] > p) & (self.blocks[a, p] == self.blocks[b, p]) & (self.blocks[a, p] != 0)
         at, a, b = at[~met], a[~met], b[~met]
         return at[np.abs(self.letters[a] - self.letters[b]).sum(1) <= 2 * most[at]]
 
     def compare(self, i: np.ndarray, j: np.ndarray) -> None:
-        """Verifies pairs, but for those that earlier ones have connected."""
-        for part in np.array_split(np.arange(len(i)), len(i) // 50_000 + 1):
+        """Verifies pairs, but for those that earlier ones have connected; some of them wait for others."""
+        for part in np.array_split(np.arange(len(i)), len(i) // SMALL + 1):
             a, b = i[part], j[part]
             ok = self.possible(a, b)
             a, b = a[ok], b[ok]
-            label = self.groups.label
-            for p, q, x, y in zip(a.tolist(), b.tolist(), self.of[a].tolist(), self.of[b].tolist(), strict=True):
-                if label[x] != label[y] and similar(self.line[p], self.line[q], self.similarity):
-                    self.groups.join(x, y)
-                    self.links.append((p, q))
+            most = ((1 - self.similarity) * np.maximum(self.length[a], self.length[b]) + 1e-9).astype(np.int64)
+            a, b, most = self._link(a, b, most, lambda p, q, m: _in_place(self.line[p], self.line[q], m))
+            bands = most // 64 + 1
+            for n in np.unique(bands).tolist():
+                here = bands == n
+                if n > BANDS:
+                    self._link(a[here], b[here], most[here], self._similar)
+                else:
+                    self.waiting.setdefault(n, []).append((a[here], b[here], most[here]))
+                    self._settle(n, PAIRS // n)
+
+    def _similar(self, p: int, q: int, most: int) -> bool:
+        return similar(self.line[p], self.line[q], self.similarity)
+
+    def _settle(self, bands: int, at_least: int) -> None:
+        """Compares waiting pairs of one width, many at a time, while there are so many."""
+        while sum(len(x[0]) for x in self.waiting[bands]) >= at_least:
+            a, b, most = (np.concatenate(x) for x in zip(*self.waiting[bands], strict=True))
+            apart = self._apart(a, b)
+            a, b, most = a[apart], b[apart], most[apart]
+            if len(a) < max(at_least, 16 * bands):
+                if at_least > 1:
+                    self.waiting[bands] = [(a, b, most)]
+                else:
+                    self._link(a, b, most, self._similar)  # so few that they are quicker one by one
+                    del self.waiting[bands]
+                return
+            k = PAIRS // bands
+            near = within(self.codes, self.at, a[:k], b[:k], most[:k])
+            self._link(a[:k][near], b[:k][near], most[:k][near], lambda *_: True)
+            self.waiting[bands] = [(a[k:], b[k:], most[k:])]
+
+    def _apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self.groups.label[self.of[a]] != self.groups.label[self.of[b]]
+
+    def _link(self, a: np.ndarray, b: np.ndarray, most: np.ndarray, test: Callable[[int, int, int], bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links pairs that pass the test, one after the other; the pairs that did not."""
+        label, left = self.groups.label, []
+        for k, (p, q, x, y, m) in enumerate(zip(a.tolist(), b.tolist(), self.of[a].tolist(), self.of[b].tolist(), most.tolist(), strict=True)):
+            if label[x] == label[y]:
+                continue
+            if test(p, q, m):
+                self.groups.join(x, y)
+                self.links.append((p, q))
+            else:
+                left.append(k)
+        return a[left], b[left], most[left]
 
     def run(self) -> None:
-        start = np.flatnonzero(np.r_[True, self.group[1:] != self.group[:-1]])
-        size = np.diff(np.r_[start, len(self.group)])
-        few = np.repeat(size <= SMALL, size)
-        for d in range(1, int(size[size <= SMALL].max(initial=1))):
-            i = np.flatnonzero(few[:-d] & (self.group[d:] == self.group[:-d]))
-            self.compare(i, i + d)
-        for s, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-            order = s + np.argsort(self.length[s:s + n], kind="stable")
-            length = self.length[order]
-            # a line can only be similar to lines that are not much longer
-            until = np.searchsorted(length, length / self.similarity + 1e-6, "right")
-            for lo in range(0, n, 64):
-                hi = min(lo + 64, n)
-                i, j = np.meshgrid(np.arange(lo, hi), np.arange(lo + 1, int(until[hi - 1])), indexing="ij")
-                ok = j > i
-                self.compare(order[i[ok]], order[j[ok]])
+        """Pairs of a group by how far they are apart in order of length: neighbours first, then
+        up to twice as far at a time."""
+        order = np.lexsort((self.length, self.group))
+        group, length = self.group[order], self.length[order]
+        # a line can only be similar to lines that are not much longer
+        longest = length / self.similarity + 1e-6
+        i, d, pairs, held = np.arange(len(order) - 1), 1, [], 0
+        while len(i):
+            i = i[i + d < len(order)]
+            i = i[(group[i + d] == group[i]) & (length[i + d] <= longest[i])]
+            pairs.append((order[i], order[i + d]))
+            held += len(i)
+            d += 1
+            if held >= SMALL or not len(i) or d & (d - 1) == 0:
+                self.compare(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
+                pairs, held = [], 0
+        for bands in list(self.waiting):
+            self._settle(bands, 1)
 
 
 def _linker(similarity: float, keys: tuple[str, ...]) -> Callable:
     """Rows sorted by key and part -> links, at most one fewer than there are lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, keys, ROWS):
+        for t in whole_groups(batches, keys, ROWS, BYTES):
             k = np.stack([t.column(c).to_numpy() for c in keys], 1)
             x = _Comparison(t, np.cumsum(np.r_[False, (k[1:] != k[:-1]).any(1)]), similarity)
             x.run()
@@ -542,12 +711,14 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     """``docs``: id, version, text.  Lines that a group's first occurrence
     makes superfluous: id, version, numbers (array of line numbers)."""
     found = stored(docs.mapInArrow(tidy(_occurrences), OCCURRENCES))
-    several = cut(found.select("node", F.explode("keys").alias("key")).groupBy("key")
-                  .agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key"))
+    buckets = min(max(found.count() // 4096, 64), 1 << _BUCKET_BITS)
+    several = cut(found.select("node", "keys").filter(F.size("keys") > 0).mapInArrow(tidy(_packed(buckets)), "bucket long, pairs binary")
+                  .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_several), "key long"))
     likely = found.select("node", "hashed", "keys").filter(F.size("keys") > 0).mapInArrow(tidy(_likely(Bloom(several, "key"))), "key long, place int, node long")
     live = stored(likely.join(several.hint("shuffle_hash"), "key").select("key", "place", "node").distinct())
-    nodes = cut(live.select("node").distinct())
-    info = stored(docs.select("text").mapInArrow(tidy(_info(Bloom(nodes, "node"))), INFO).dropDuplicates(["node"]))
+    # of two lines that share a block both have its key among the live ones; no such key is 0
+    nodes = cut(live.groupBy("node").agg(*(F.coalesce(F.max(F.when(F.col("place") == p, F.col("key"))), F.lit(0)).alias(c) for p, c in enumerate(EARLIER))))
+    info = stored(docs.select("text").mapInArrow(tidy(_info(Bloom(nodes, "node"))), INFO).dropDuplicates(["node"]).join(nodes, "node"))
     groups = _linked(live, info, similarity)
 
     member = (found.join(groups, "node", "left")

@@ -99,11 +99,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], least: int) -> Iterator[pa.Table]:
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], least: int, most_bytes: int | None = None) -> Iterator[pa.Table]:
     """Batches sorted by ``keys`` -> tables of whole groups, with about
-    ``least`` rows or more each (the last may have fewer)."""
+    ``least`` rows or more each (the last may have fewer, and those that reach ``most_bytes``)."""
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -111,12 +111,13 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], least
         differs = np.flatnonzero((k != k[-1]).any(1))
         at = int(differs[-1]) + 1 if len(differs) else 0  # where the last group of the batch starts
         goes_on = at == 0 and held and all(held[-1].column(c)[-1] == batch.column(c)[0] for c in keys)
-        if not goes_on and rows + at >= least:
+        if not goes_on and rows + at and (rows + at >= least or most_bytes is not None and size + batch.nbytes >= most_bytes):
             yield pa.Table.from_batches(held + ([batch.slice(0, at)] if at else []))
-            held, rows = [], 0
+            held, rows, size = [], 0, 0
             batch = batch.slice(at)
         held.append(batch)
         rows += batch.num_rows
+        size += batch.nbytes
     if held:
         yield pa.Table.from_batches(held)
 
