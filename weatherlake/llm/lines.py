@@ -77,16 +77,22 @@ def normalised_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return low, starts, ends, h, at, line_hash, row[full], number[full]
 
 
-def _nibbles() -> np.ndarray:
-    """Four bits spread to four 16-bit counters of one 64-bit word."""
-    return np.array([sum(((b >> k) & 1) << (16 * k) for k in range(4)) for b in range(16)], U)
-
-
-_NIBBLES = _nibbles()
+# four bits, times the first, masked by the second: each in a 16-bit counter of its own
+_SPREAD, _COUNTERS = U(1 | 1 << 15 | 1 << 30 | 1 << 45), U(1 | 1 << 16 | 1 << 32 | 1 << 48)
 _SHIFT = np.array([sum(luck < (256 >> level) for level in range(1, 7)) for luck in range(256)], U)
 _PIECE = 63  # words summed at a time: 63 weights of at most 1024 fit a 16-bit counter
 
 
+def _mix_in_place(x: np.ndarray) -> None:
+    """``ta.mix`` without arrays of its own but one."""
+    y = x >> U(30)
+    x ^= y
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, U(27), out=y)
+    x *= U(0x94D049BB133111EB)
+    x ^= np.right_shift(x, U(31), out=y)
+
+
 def simhash(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> np.ndarray:
     """SimHash blocks (BLOCKS x lines, uint32) of words with hashes ``h`` and
     byte lengths; words ``at[i]:at[i + 1]`` are line i.
@@ -99,28 +105,33 @@ def simhash(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> np.ndarray:
     """
     counts = np.diff(at)
     line = np.repeat(np.arange(len(counts)), counts)
-    _, one_of, kind = np.unique(h, return_index=True, return_inverse=True)
-    words, length = h[one_of], length[one_of]
     base = np.maximum(1, np.minimum(length, 12) // 3).astype(U) ** U(2)
-    most = np.where(length > 3, U(6), U(0))
-    read = np.select([counts <= 24, counts <= 96], [256, 64], 16).astype(np.uint16)[line]
+    raised = None if (length > 3).all() else np.where(length > 3, U(6), U(0))
+    # the first bits of a hash are a word's luck
+    read = (np.select([counts <= 24, counts <= 96], [U(2**64 - 1), U((64 << 56) - 1)], U((16 << 56) - 1)))[line]
     halves = np.zeros((2 * BLOCKS, len(counts)), np.uint16)
     for k, salt in enumerate(ta.constants(31, 2 * BLOCKS)):
-        x = ta.mix(words ^ salt)
-        luck = (x >> U(56)).astype(np.uint16)
-        at_work = np.flatnonzero(luck[kind] < read)
+        x = h ^ salt
+        _mix_in_place(x)
+        at_work = np.flatnonzero(x <= read)
         if not len(at_work):
             continue
-        of, word = line[at_work], kind[at_work]
+        of, x = line[at_work], x[at_work]
         here = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
         size = np.diff(np.append(here, len(of)))
         whole = int(size.max()) <= _PIECE
         start = here if whole else np.flatnonzero((np.arange(len(of)) - np.repeat(here, size)) % _PIECE == 0)
-        weight = base << np.minimum(_SHIFT[luck], most)
-        low = x.astype(np.uint16)
-        counters = [np.add.reduceat((_NIBBLES[(low >> np.uint16(4 * n)) & np.uint16(15)] * weight)[word], start) for n in range(4)]
+        shift = _SHIFT[(x >> U(56)).astype(np.intp)]
+        weight = base[at_work] << (shift if raised is None else np.minimum(shift, raised[at_work]))
+        counters = []
+        for n in range(4):
+            bits = (x >> U(4 * n)) & U(15)
+            bits *= _SPREAD
+            bits &= _COUNTERS
+            bits *= weight
+            counters.append(np.add.reduceat(bits, start))
         sums = np.stack(counters, 1).view(np.uint16).astype(np.int64)
-        total = np.add.reduceat(weight[word], start).astype(np.int64)
+        total = np.add.reduceat(weight, start).astype(np.int64)
         if not whole:
             piece = np.searchsorted(start, here)
             sums, total = np.add.reduceat(sums, piece, axis=0), np.add.reduceat(total, piece)
@@ -197,10 +208,14 @@ class Lines:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.low, self.starts, self.ends, self.h, self.at, self.hash, self.row, self.number = normalised_lines(data, offsets)
-        lead = np.concatenate([[0], np.cumsum((self.low & 0xC0) != 0x80)])
         self.words = np.diff(self.at)
-        points = np.concatenate([[0], np.cumsum(lead[self.ends] - lead[self.starts])])
-        self.length = np.diff(points[self.at]) + self.words - 1 if len(self.words) else np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+        if len(self.words):
+            # code points: bytes of words but further ones of a character, and a blank between words
+            further = np.flatnonzero((self.low & 0xC0) == 0x80)
+            points = np.concatenate([[0], np.cumsum(self.ends - self.starts)])
+            first, last = self.starts[self.at[:-1]], self.ends[self.at[1:] - 1]
+            self.length = np.diff(points[self.at]) + self.words - 1 - (np.searchsorted(further, last) - np.searchsorted(further, first))
 
     def text(self, k: int) -> bytes:
         return b" ".join(self.low[self.starts[self.at[k]]:self.ends[self.at[k + 1] - 1]].tobytes().split())
@@ -287,10 +302,12 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _packed(buckets: int) -> Callable:
     """(node, keys) -> (bucket, pairs): keys and their nodes by the hash range of the key, packed
     as longs, so that a row is many of them."""
-    def pack(held: list[np.ndarray]) -> pa.RecordBatch:
-        pairs = np.concatenate(held)
-        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-        pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(1)]]
+    def pack(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        key, node = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(key)
+        key, node = key[order], node[order]
+        new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+        pairs = np.stack([key[new], node[new]], 1)
         bucket = (pairs[:, 0] >> U(64 - _BUCKET_BITS)).astype(np.int64) * buckets >> _BUCKET_BITS
         start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         where = pa.py_buffer((16 * np.r_[start, len(pairs)]).astype(np.int32))
@@ -298,16 +315,18 @@ def _packed(buckets: int) -> Callable:
                                           names=["bucket", "pairs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
         for batch in batches:
             lists = batch.column(1)
             key = lists.flatten().to_numpy(zero_copy_only=False).view(U)
             node = np.repeat(batch.column(0).to_numpy().view(U), np.diff(lists.offsets.to_numpy()))
             if len(key):
-                held.append(np.stack([key, node], 1))
-            if sum(map(len, held)) >= PACK:
+                held.append((key, node))
+                size += len(key)
+            if size >= PACK:
                 yield pack(held)
-                held = []
+                held, size = [], 0
         if held:
             yield pack(held)
     return run
@@ -317,8 +336,9 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, pairs), sorted -> keys that more than one node has."""
     for t in whole_groups(batches, ("bucket",), 1):
         pairs = np.frombuffer(b"".join(t.column("pairs").to_pylist()), U).reshape(-1, 2)
-        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-        key, node = pairs[:, 0], pairs[:, 1]
+        key = np.ascontiguousarray(pairs[:, 0])
+        order = np.argsort(key)
+        key, node = key[order], pairs[order, 1]
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         yield pa.RecordBatch.from_arrays([ta.longs(key[start][np.minimum.reduceat(node, start) != np.maximum.reduceat(node, start)])], names=["key"])
 
@@ -449,34 +469,39 @@ def within(codes: np.ndarray, at: np.ndarray, i: np.ndarray, j: np.ndarray, most
     a = _matrix(codes, at[i[rest]], size[i[rest]], off, longest + 64 * bands, 0)
     b = _matrix(codes, at[j[rest]], n, np.zeros(len(n), np.int64), longest, np.iinfo(codes.dtype).max)
     ones = ~U(0)
-    up = [np.where(off >= 64 * (w + 1), U(0), ones << np.clip(off - 64 * w, 0, 63).astype(U)) for w in range(bands)]
-    down = [np.zeros(len(n), U) for _ in range(bands)]
+    up = ~U(0) << np.clip(off - 64 * np.arange(bands)[:, None], 0, 63).astype(U)
+    up[off >= 64 * np.arange(1, bands + 1)[:, None]] = 0
+    down = np.zeros_like(up)
     word, bit, kept, most = bit // 64, (bit % 64).astype(U), np.zeros(len(n), U), most[rest]
+    column = np.arange(len(n))
     for lo in range(0, longest, 64):
         seen = np.lib.stride_tricks.sliding_window_view(a[:, lo:lo + 63 + 64 * bands], 64 * bands, axis=1)
         same = np.packbits(seen == b[:, lo:lo + 64, None], axis=2, bitorder="little").view(U)
         same = np.ascontiguousarray(same.transpose(1, 2, 0))
         for c, m in enumerate(np.searchsorted(-n, -np.arange(lo, min(lo + 64, n[0])), "left").tolist()):  # m lines are longer than lo + c
-            zero, carry = [], None
-            for w in range(bands):
-                x, v = same[c, w, :m], up[w][:m]
-                s = (x & v) + v
-                if bands > 1:
-                    over = s < v
-                    if carry is not None:
-                        s += carry
-                        over |= s < carry
-                    carry = over.astype(U)
-                zero.append((s ^ v) | x | down[w][:m])
-            last = zero[0] if bands == 1 else np.stack(zero)[word[:m], np.arange(m)]
+            x, v, w = same[c][:, :m], up[:, :m], down[:, :m]
+            zero = x & v
+            zero += v
+            if bands > 1:
+                over = zero < v
+                for k in range(1, bands):
+                    zero[k] += over[k - 1]
+                    over[k] |= over[k - 1] & (zero[k] == 0)
+            zero ^= v
+            zero |= x
+            zero |= w
+            last = zero[0] if bands == 1 else zero[word[:m], column[:m]]
             kept[:m] += (last >> bit[:m]) & U(1)
-            for w in range(bands):
-                v, d0 = up[w][:m], zero[w]
-                plus, minus = down[w][:m] | ~(d0 | v), d0 & v
-                d1 = d0 >> U(1)
-                if w + 1 < bands:
-                    d1 |= zero[w + 1] << U(63)
-                up[w][:m], down[w][:m] = minus | ~(d1 | plus), d1 & plus
+            plus = zero | v
+            np.invert(plus, out=plus)
+            plus |= w
+            minus = np.bitwise_and(zero, v, out=v)
+            below = zero >> U(1)
+            if bands > 1:
+                below[:-1] |= zero[1:] << U(63)
+            np.bitwise_and(below, plus, out=w)
+            plus |= below
+            minus |= np.invert(plus, out=plus)
         done, edits = n <= lo + 64, np.minimum(n, lo + 64) - kept.astype(np.int64)
         out[rest[done & (edits <= most)]] = True
         go = np.flatnonzero(~done & (edits <= most))
@@ -484,7 +509,7 @@ def within(codes: np.ndarray, at: np.ndarray, i: np.ndarray, j: np.ndarray, most
             break
         if len(go) < len(n):
             rest, n, most, kept, word, bit, a, b = (x[go] for x in (rest, n, most, kept, word, bit, a, b))
-            up, down = [x[go] for x in up], [x[go] for x in down]
+            up, down = up[:, go], down[:, go]
     return out
 
 
