@@ -41,15 +41,13 @@ MASKS = ("011100111", "101011110", "110111001", "110001111")
 MIN_TOKENS = 13
 LEAST_TOKENS = 5
 UNIT = 256  # hits of a document verified at a time, about
-_DIGITS = np.isin(np.arange(256), list(b"0123456789"))
+_WITH_DIGITS = folded(np.arange(256, dtype=np.uint8))
+_WITH_DIGITS[list(b"0123456789")] = list(b"0123456789")
 
 
 def folded_tokens(data: np.ndarray) -> np.ndarray:
     """Bytes with letters in lower case, digits, and blanks for the rest of ASCII."""
-    low = folded(data)
-    digits = _DIGITS[data]
-    low[digits] = data[digits]
-    return low
+    return folded(data, _WITH_DIGITS)
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

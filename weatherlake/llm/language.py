@@ -44,9 +44,9 @@ def _fold_table() -> np.ndarray:
 _FOLD = _fold_table()
 
 
-def folded(data: np.ndarray) -> np.ndarray:
+def folded(data: np.ndarray, table: np.ndarray = _FOLD) -> np.ndarray:
     """Bytes with ASCII and Latin-1 letters in lower case, blanks for the rest of ASCII."""
-    out = _FOLD[data]
+    out = table.take(data)
     if len(data) > 1:
         second = out[1:]
         upper = (data[:-1] == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)

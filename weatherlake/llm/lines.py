@@ -116,13 +116,13 @@ def simhash(h: np.ndarray, length: np.ndarray, at: np.ndarray) -> np.ndarray:
         at_work = np.flatnonzero(x <= read)
         if not len(at_work):
             continue
-        of, x = line[at_work], x[at_work]
+        of, x = line.take(at_work), x.take(at_work)
         here = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
         size = np.diff(np.append(here, len(of)))
         whole = int(size.max()) <= _PIECE
         start = here if whole else np.flatnonzero((np.arange(len(of)) - np.repeat(here, size)) % _PIECE == 0)
-        shift = _SHIFT[(x >> U(56)).astype(np.intp)]
-        weight = base[at_work] << (shift if raised is None else np.minimum(shift, raised[at_work]))
+        shift = _SHIFT.take((x >> U(56)).astype(np.intp))
+        weight = base.take(at_work) << (shift if raised is None else np.minimum(shift, raised[at_work]))
         counters = []
         for n in range(4):
             bits = (x >> U(4 * n)) & U(15)
@@ -259,10 +259,9 @@ class Lines:
 def letter_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Counts of the code points of each text by bucket (of their first byte)."""
     out = np.zeros((len(offsets) - 1, BUCKETS), np.int32)
-    bucket = _BUCKET[data]
     for i, j in ta.slices(offsets, SLICE >> 3):
         row = np.repeat(np.arange(0, (j - i) * WIDTH, WIDTH), np.diff(offsets[i:j + 1]))
-        out[i:j] = np.bincount(row + bucket[offsets[i]:offsets[j]], minlength=WIDTH * (j - i)).reshape(-1, WIDTH)[:, :BUCKETS]
+        out[i:j] = np.bincount(row + _BUCKET.take(data[offsets[i]:offsets[j]]), minlength=WIDTH * (j - i)).reshape(-1, WIDTH)[:, :BUCKETS]
     return out
 
 
@@ -305,7 +304,7 @@ def _packed(buckets: int) -> Callable:
     def pack(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         key, node = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(key)
-        key, node = key[order], node[order]
+        key, node = key.take(order), node.take(order)
         new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
         pairs = np.stack([key[new], node[new]], 1)
         bucket = (pairs[:, 0] >> U(64 - _BUCKET_BITS)).astype(np.int64) * buckets >> _BUCKET_BITS
@@ -338,7 +337,12 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.frombuffer(b"".join(t.column("pairs").to_pylist()), U).reshape(-1, 2)
         key = np.ascontiguousarray(pairs[:, 0])
         order = np.argsort(key)
-        key, node = key[order], pairs[order, 1]
+        key = key.take(order)
+        again = key[1:] == key[:-1]
+        twice = np.flatnonzero(np.r_[again, False] | np.r_[False, again])
+        if not len(twice):
+            continue
+        key, node = key.take(twice), pairs[order.take(twice), 1]
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         yield pa.RecordBatch.from_arrays([ta.longs(key[start][np.minimum.reduceat(node, start) != np.maximum.reduceat(node, start)])], names=["key"])
 
@@ -550,8 +554,7 @@ def _anchored(x: list[str], y: list[str], most: int) -> bool:
 
 def _in_place(a: str, b: str, most: int) -> bool:
     """Whether replacing words in place takes at most ``most`` edits."""
-    x, y = a.split(" "), b.split(" ")
-    return len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y, strict=True) if v != w) <= most
+    return a.count(" ") == b.count(" ") and sum(max(len(v), len(w)) for v, w in zip(a.split(" "), b.split(" "), strict=True) if v != w) <= most
 
 
 def similar(a: str, b: str, similarity: float) -> bool:
@@ -728,7 +731,8 @@ def _linked(live: DataFrame, info: DataFrame, similarity: float) -> DataFrame:
 
 
 def _links_of(dealt: DataFrame, info: DataFrame, similarity: float, keys: tuple[str, ...]) -> DataFrame:
-    rows = dealt.join(info, "node").repartition(*keys).sortWithinPartitions(*keys)
+    # hashed, the smaller side: the lines need no sorting
+    rows = dealt.hint("shuffle_hash").join(info, "node").repartition(*keys).sortWithinPartitions(*keys)
     return cut(rows.mapInArrow(tidy(_linker(similarity, keys)), "src long, dst long").distinct())
 
 
@@ -792,7 +796,7 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", simi
     # only rows that may lose lines are shuffled to the numbers of those lines
     may = Bloom(gone.select(F.xxhash64(other_id, other_version).alias("h")), "h").condition(F.xxhash64(own_id, version))
     rows = rows.withColumn(losing, F.coalesce(may, F.lit(False)))
-    joined = rows.filter(F.col(losing)).join(gone, F.col(own_id).eqNullSafe(F.col(other_id)) & (F.col(version) == F.col(other_version)), "left").select(
+    joined = rows.filter(F.col(losing)).join(gone.hint("shuffle_hash"), F.col(own_id).eqNullSafe(F.col(other_id)) & (F.col(version) == F.col(other_version)), "left").select(
         *docs.columns, numbers)
     names = [*docs.columns, "lines_removed"]
     schema = extended(docs.schema, "lines_removed int")

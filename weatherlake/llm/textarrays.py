@@ -111,8 +111,10 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         return np.zeros(0, U)
     p, q = _power_tables(len(data) + 1)
     total = np.zeros(len(data) + 1, U)
-    np.cumsum(BYTE_VALUE[data] * p[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(U))
+    value = BYTE_VALUE.take(data)
+    value *= p[:len(data)]
+    np.cumsum(value, out=total[1:])
+    return mix((total.take(ends) - total.take(starts)) * q.take(starts) + (ends - starts).astype(U))
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
