@@ -40,9 +40,11 @@ def _sweep(spark: SparkSession) -> None:
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
-    _shared_folder(df.sparkSession)
+    spark = df.sparkSession
+    _shared_folder(spark)
     out = df.checkpoint(eager=True)
-    _sweep(df.sparkSession)
+    del df  # else its own shuffle files stay until a later sweep
+    _sweep(spark)
     return out
 
 
@@ -50,10 +52,12 @@ def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage of a large frame: a Parquet table in the shared folder,
     smaller than a checkpoint and read by column.  It stays there until the
     folder is cleared."""
-    path = f"{_shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _sweep(df.sparkSession)
-    return df.sparkSession.read.parquet(path)
+    del df
+    _sweep(spark)
+    return spark.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
