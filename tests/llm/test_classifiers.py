@@ -6,7 +6,7 @@ import pytest
 from helpers import documents, rng, words
 from weatherlake.llm import quality
 from weatherlake.llm.language import BUCKETS, fit_language_model, identify_language, is_held_out, presence
-from weatherlake.llm.licences import scan_licences
+from weatherlake.llm.licences import _grams, _words, fit_licence_model, scan_licences
 from weatherlake.llm.textarrays import buffers
 
 import pyarrow as pa
@@ -122,6 +122,26 @@ def test_licences(spark):
     assert scan_licences(documents(spark, [])).count() == 0
 
 
+def test_licences_are_scored_without_shuffling_paragraphs(spark):
+    lines = ["Released under the MIT License.", "License: Apache-2.0", "See the ISC License for details, MIT and MIT again", "The GNU GPL version 2, a license"]
+    rows = [(k % 3, "\n".join(lines[k:] + lines[:k])) for k in (0, 1, 2, 3, 0)] + [(None, lines[0]), (None, lines[0])]  # no other paragraphs: no background
+    found = scan_licences(documents(spark, rows), least=0.0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id") == 1  # the predictions; n-grams and scores stay within their row
+    model = fit_licence_model([])
+
+    def probabilities(line):
+        hits = {g: model["weights"][k].round(6) for k, g in enumerate(model["vocabulary"]) if g in _grams(_words(line))}
+        z = (sum(hits.values()) + model["bias"]) / model["temperature"]
+        return dict(zip(model["classes"], np.exp(z - z.max()) / np.exp(z - z.max()).sum(), strict=True))
+
+    got = found.collect()
+    assert len(got) == 4 * 4 + 1 == len({(x.doc_id, x.paragraph, x.line) for x in got})
+    for x in got:
+        p = probabilities(x.line)
+        assert x.family == max(p, key=p.get) and x.probability == pytest.approx(p[x.family])
+
+
 def test_repeated_ids_stay_within_the_sample(spark):
     r = rng(12)
     rows = [(7, in_language(r, "aa", 10) if k % 2 else "x", "aa") for k in range(20_000)] + [(k, in_language(r, "bb", 20), "bb") for k in range(100, 140)]

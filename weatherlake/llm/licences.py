@@ -9,13 +9,16 @@ sample of paragraphs of the documents (whole ones); a temperature fitted on held
 frames, notices and paragraphs calibrates its probabilities.  A prediction is then compared with the
 templates of its family and confirmed if enough words agree.
 
-The scan itself uses DataFrame functions only: words are exploded, matched with
-a broadcast table of weights (bounded by the templates' words) and summed.
+The scan itself uses DataFrame functions only.  A paragraph is scored within
+its row: its n-grams are looked up in a table of weights that goes with the
+plan (bounded by the templates' words) and summed, so only the predictions are
+shuffled.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -164,6 +167,30 @@ def _word_array(line: str) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(F.col(line)), "[^a-z0-9]+", " ")), " ")
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """With a column that is computed once per row: a filter on it stays above,
+    where an ordinary column would be computed again in the filter."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _weights(spark: SparkSession, model: dict) -> tuple[list[int], Callable[[Column], Column]]:
+    """The hashes of the vocabulary, and a function that gives the weights
+    (an array, by class) of such a hash, found among the few of its bucket."""
+    grams = _inline(spark, [{"at": k, "ws": g.split(" ")} for k, g in enumerate(model["vocabulary"])], "at int, ws array<string>")
+    hashes = [r.h for r in grams.select("at", F.xxhash64(F.get("ws", F.lit(0)), F.get("ws", F.lit(1))).alias("h")).orderBy("at").collect()]
+    buckets = 1 << len(hashes).bit_length()
+    table: list[list[dict]] = [[] for _ in range(buckets)]
+    for h, row in zip(hashes, model["weights"], strict=True):
+        table[h % buckets].append({"h": h, "w": [round(float(v), 6) for v in row]})
+    found = F.from_json(F.lit(json.dumps(table)), "array<array<struct<h: bigint, w: array<double>>>>")  # constant: read once
+
+    def of(gram: Column) -> Column:
+        few = F.get(found, F.pmod(gram, F.lit(buckets)).cast("int"))
+        return F.get(few["w"], (F.array_position(few["h"], gram) - 1).cast("int"))
+
+    return hashes, of
+
+
 def _paragraphs(docs: DataFrame, id: str, text: str) -> DataFrame:
     return (docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("version"), F.posexplode(F.split(text, "\n")).alias("paragraph", "line"))
             .filter(F.trim("line") != ""))
@@ -193,24 +220,21 @@ def scan_licences(docs: DataFrame, *, id: str = "doc_id", text: str = "text", le
     background = [r.grams for r in sample.select(F.array_intersect(F.concat(words, both), seen).alias("grams")).collect()]
     model = fit_licence_model(background)
     classes = model["classes"]
-    weights = _inline(spark, [{"gram": g, "w": [round(float(v), 6) for v in row]}
-                              for g, row in zip(model["vocabulary"], model["weights"], strict=True)], "gram string, w array<double>")
-    weights = weights.select(F.xxhash64(F.split("gram", " ").getItem(0), F.get(F.split("gram", " "), F.lit(1))).alias("gram"), "w")
+    vocabulary, weights = _weights(spark, model)
 
     pair = F.arrays_zip(F.col("ws").alias("a"), F.slice(F.col("ws"), 2, 1 << 30).alias("b"))
-    grams = (paragraphs.withColumn("ws", _word_array("line")).select("id", "version", "paragraph", "line", F.explode(pair).alias("p"))
-             .select("id", "version", "paragraph", "line",
-                     F.explode(F.array(F.xxhash64("p.a", F.lit(None).cast("string")), F.xxhash64("p.a", "p.b"))).alias("gram")))
+    grams = F.concat(F.transform("ws", lambda w: F.xxhash64(w)), F.transform(pair, lambda p: F.xxhash64(p["a"], p["b"])))
+    hits = F.array_distinct(F.filter(grams, lambda g: g.isin(vocabulary)))
     keys = ["id", "version", "paragraph", "line"]
-    # bounded by the words of the templates
-    hits = grams.join(F.broadcast(weights), "gram").dropDuplicates([*keys, "gram"])
-    sums = hits.groupBy(*keys).agg(*[F.sum(F.col("w")[k]).alias(f"z{k}") for k in range(len(classes))])
-    z = F.array(*[(F.col(f"z{k}") + float(model["bias"][k])) / float(model["temperature"]) for k in range(len(classes))])
-    scored = sums.select(*keys, z.alias("z")).withColumn("top", F.array_max("z"))
+    spoken = _once(paragraphs.withColumn("ws", _word_array("line")), "hits", hits).filter(F.size("hits") > 0).select(*keys, "hits")
+    bias = F.array(*[F.lit(float(v)) for v in model["bias"]])
+    z = F.aggregate("hits", F.array_repeat(F.lit(0.0), len(classes)), lambda s, g: F.zip_with(s, weights(g), lambda x, y: x + y),
+                    lambda s: F.zip_with(s, bias, lambda x, y: (x + y) / float(model["temperature"])))
+    scored = _once(spoken, "z", z).withColumn("top", F.array_max("z"))
     scored = scored.select(
         *keys, F.array(*[F.lit(c) for c in classes])[F.array_position("z", F.col("top")).cast("int") - 1].alias("family"),
         (1 / F.aggregate("z", F.lit(0.0), lambda s, v: s + F.exp(v - F.col("top")))).alias("probability"))
-    scored = scored.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= least))
+    scored = scored.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= least)).dropDuplicates(keys)
 
     known = _inline(spark, [{"family": f, "words": sorted(set(_words(t)))} for f, t in templates()], "family string, words array<string>")
     known = known.groupBy("family").agg(F.collect_list("words").alias("templates"))  # a few dozen of each family
