@@ -285,3 +285,33 @@ def test_number_suffixes(spark, tmp_path):
     raw = spark.createDataFrame([(x,) for x in ("1.5d", "1.5F", "inf", "-Infinity", "1e3", "null", "", "0.5f")], "x string")
     got = [r[0] for r in raw.select(metar_csv._number(raw.x)).collect()]
     assert got == [None, None, float("inf"), float("-inf"), 1000.0, None, None, None]
+
+
+def test_first_rows_of_a_folder_put_in_order_as_narrow_rows(spark, tmp_path, monkeypatch):
+    import random
+
+    from weatherlake.plans import stores
+
+    r = random.Random(3)
+    rows = [(r.choice([None, *range(1, 90)]), r.randint(1, 40), r.randint(1, 9), k % 7 + 1, float(r.randint(1, 50)), r.choice([1.5, 2.5]), 0.04, 0.01,
+             r.choice("ANR"), "O", dt.datetime(1998, 9, 1 + k % 28)) for k in range(900)]
+    rows += rows[:30]
+    r.shuffle(rows)
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                  "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    lines.repartition(5).write.parquet(str(tmp_path / "sf" / "lineitem.parquet"))
+    folder = tmp_path / "csv"
+    monkeypatch.setattr(stores, "shared_folder", lambda *_: str(folder))
+    got = stores.q_csv_first_rows(spark, str(tmp_path / "sf")).collect()
+    kept = sorted((x[0], x[3], x[1], x[5], f"S{x[2]}") for x in rows if x[0] is not None and x[0] % 17)
+    assert sorted((x.l_orderkey, x.hour, x.station) for x in got) == sorted((x[0], x[1], x[4]) for x in kept[:100])
+    # the whole table is there, in order, in less room than its text
+    text = spark.read.text(str(folder))
+    table = spark.read.option("header", True).option("escape", '"').csv(str(folder))
+    assert table.count() == len(kept)
+    assert sum(f.stat().st_size for f in folder.glob("part-*")) < sum(len(x.value) + 1 for x in text.collect()) / 2
+    exchange = stores._cells_in_order(fx.table(spark, str(tmp_path / "sf"), "lineitem")).select(*schema.RAW_COLUMNS, "l_orderkey")
+    plan = exchange._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "RepartitionByExpression":
+        plan = plan.children().head()
+    assert plan.output().size() <= 11

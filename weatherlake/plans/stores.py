@@ -152,6 +152,14 @@ def q_csv_round_trip(spark, sf_dir):
     return _full(obs.select("*", "valid.*"), "metar", F.col("l_orderkey").cast("long").alias("l_orderkey"))
 
 
+def _cells_in_order(lines: DataFrame) -> DataFrame:
+    """Text cells of the reports, in order.  What is put in order are rows of the
+    table, a quarter as wide; they become observations and then text behind the exchange."""
+    rows = lines.filter("l_orderkey % 17 <> 0")
+    order = [F.expr(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "concat('S', l_suppkey)")]
+    return fx.raw_cells(fx.as_observations(rows.repartitionByRange(layouts.partitions_for(rows, 32), *order).sortWithinPartitions(*order)))
+
+
 @register("csv_first_rows", with_o("""
 SELECT station, year, month, day, hour, minute, lat, lon, l_orderkey FROM (
   SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, seq, station) AS rn FROM O WHERE l_orderkey % 17 <> 0) t
@@ -159,11 +167,8 @@ WHERE rn <= 100"""))
 def q_csv_first_rows(spark, sf_dir):
     """The load limit: the first 100 reports of a folder of CSV files, in order."""
     folder = shared_folder(spark, "csv")
-    # put in order as typed rows, which are narrower; the cells become text behind the exchange
-    rows = fx.observations(spark, sf_dir).filter("l_orderkey % 17 <> 0")
-    order = ("l_orderkey", "l_linenumber", "l_partkey", "seq", "station")
-    in_order = rows.repartitionByRange(layouts.partitions_for(rows, 32), *order).sortWithinPartitions(*order)
-    (fx.raw_cells(in_order).select(*schema.RAW_COLUMNS, "l_orderkey").write.option("header", True).option("escape", '"').csv(folder))
+    cells = _cells_in_order(fx.table(spark, sf_dir, "lineitem")).select(*schema.RAW_COLUMNS, "l_orderkey")
+    cells.write.option("header", True).option("escape", '"').option("compression", "lz4").csv(folder)
     obs = parse_metar(read_raw(spark, folder, limit=100), keep=("l_orderkey",))
     return obs.select("station", *schema.TIME_PARTS, "lat", "lon", F.col("l_orderkey").cast("long").alias("l_orderkey"))
 

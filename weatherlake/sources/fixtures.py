@@ -126,9 +126,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def as_observations(lines: DataFrame) -> DataFrame:
+    """Rows of ``lineitem`` as typed observations (relation ``O``)."""
+    return lines.selectExpr(*OBS_ADAPTER)
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as typed observations (relation ``O``)."""
-    return table(spark, sf_dir, "lineitem").selectExpr(*OBS_ADAPTER)
+    return as_observations(table(spark, sf_dir, "lineitem"))
 
 
 def raw_cells(obs: DataFrame) -> DataFrame:
