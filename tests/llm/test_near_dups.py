@@ -86,3 +86,23 @@ def test_every_pair_that_shares_tables_meets_at_one(spark):
     assert shared.select("pair").distinct().count() > 1400
     met = shared.filter(first_meeting("p", "q", "place")).groupBy("pair").count().collect()
     assert len(met) == shared.select("pair").distinct().count() and {x["count"] for x in met} == {1}
+
+
+def test_only_table_keys_of_shared_halves_are_made(spark, monkeypatch):
+    from weatherlake.llm import near_dups
+    r = rng(13)
+    rows = [(k, " ".join(words(r, 50))) for k in range(300)]  # nobody's duplicates
+    for k in range(10):
+        base = words(r, 60)
+        rows += [(1000 + 2 * k, " ".join(base)), (1001 + 2 * k, " ".join(edited(r, base, 2)))]
+    given, whole = [], near_dups.linked_groups
+    monkeypatch.setattr(near_dups, "linked_groups", lambda keys, *more: given.append(keys) or whole(keys, *more))
+    got = {tuple(x) for x in near_duplicates(documents(spark, rows), size=2).collect()}
+    assert got == brute(rows, 2)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    made = documents(spark, rows).mapInArrow(_sketcher(2), SKETCHED).select("cid", F.posexplode("a").alias("i", "x"), "b")
+    every = made.select("cid", "i", "x", F.posexplode("b").alias("j", "y")).select(
+        F.xxhash64("x", "y").alias("key"), (F.col("i") * TABLES + F.col("j")).alias("place"), F.col("cid").alias("node"))
+    shared = every.join(every.groupBy("key").count().filter("count > 1"), "key", "left_semi")
+    assert shared.count() > 100 and shared.exceptAll(given[0].select("key", "place", "node")).isEmpty()
+    assert given[0].count() < every.count() / 4

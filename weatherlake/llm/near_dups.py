@@ -12,7 +12,8 @@ The flow, in which every hot key is combined before it is shuffled:
 1. one pass over the texts gives every document its set size, a 64-bit
    fingerprint of its shingle set, the half keys and two sketches;
 2. documents with equal sets become one class (a keyed minimum);
-3. classes that share a table key are compared through hubs, and across
+3. of the table keys those are made whose two half keys both occur in several
+   classes; classes that share one are compared through hubs, and across
    components that are left, as ``links`` describes: no pair is made twice and
    a group of g copies does not give g * g pairs;
 4. pairs whose sizes or sketches rule the similarity out are passed over: a
@@ -34,6 +35,7 @@ from weatherlake.llm import textarrays as ta
 from weatherlake.llm.links import hub_first, in_units, linked_groups
 from weatherlake.llm.shared import Bloom, cut, modest_batches, stored, table, tidy
 from weatherlake.llm.textarrays import U
+from weatherlake.session import compiled_methods
 
 TABLES, WIDTH = 12, 3
 PARITIES = 1024  # buckets of the parity sketch, see _parities
@@ -120,6 +122,23 @@ def _sketcher(size: int) -> Callable:
     return run
 
 
+def _shared_tables(known: Bloom) -> Callable:
+    """Classes (cid and half keys) -> the half keys, place and class of each
+    table key whose half keys both are among ``known``."""
+    test = known.test()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = batch.column(0).to_numpy()
+            a, b = (batch.column(k).flatten().to_numpy().reshape(-1, TABLES) for k in (1, 2))
+            in_a, in_b = (test(x.ravel()).reshape(x.shape) for x in (a, b))
+            r, i, j = np.nonzero(in_a[:, :, None] & in_b[:, None, :])
+            yield pa.RecordBatch.from_arrays([pa.array(a[r, i]), pa.array(b[r, j]), pa.array((i * TABLES + j).astype(np.int32)), pa.array(node[r])],
+                                             names=["x", "y", "place", "node"])
+
+    return run
+
+
 def _agreeing(left: str, right: str, words: range) -> Column:
     """How many of the sketch bytes in some of the sketch's longs agree, in bit arithmetic."""
     differing = F.lit(0)
@@ -198,6 +217,7 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     null ``component_id`` and is kept.  An empty table gives no rows; further
     columns are ignored.
     """
+    compiled_methods(docs.sparkSession)  # the tests of a pair are long conditions
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     rows = stored(docs.mapInArrow(tidy(_sketcher(size)), SKETCHED))
     classes = stored(rows.filter("n_shingles > 0 and id is not null")
@@ -206,8 +226,11 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
                   .dropDuplicates(["cid"]))
     sketch = [c for c in classes.columns if c[0] in "sp" and c[1:].isdigit()]
 
-    keys = (classes.select("cid", F.posexplode("a").alias("i", "x"), "b").select("cid", "i", "x", F.posexplode("b").alias("j", "y"))
-            .select(F.xxhash64("x", "y").alias("key"), (F.col("i") * TABLES + F.col("j")).alias("place"), F.col("cid").alias("node")))
+    # two classes share a table key only if they share both of its halves: 24 rows a class are counted, not 144
+    halves = classes.select(F.explode(F.concat("a", "b")).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    known = Bloom(cut(halves.filter("n > 1").select("x")), "x")
+    keys = (classes.select("cid", "a", "b").mapInArrow(tidy(_shared_tables(known)), "x long, y long, place int, node long")
+            .select(F.xxhash64("x", "y").alias("key"), "place", "node"))
 
     def plausible(p: str, q: str) -> Column:
         m, n = F.col(f"{p}.n_shingles"), F.col(f"{q}.n_shingles")
